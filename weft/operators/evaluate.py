@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import pattern_key
-from ..runtime import durable, small_side
+from ..runtime import cached, durable, small_side
 from .baskets import explode_items as basket_items
 from .patterns import match_patterns
 from .sequences import explode_items as sequence_items
@@ -91,20 +91,23 @@ def _covered_baskets(baskets: DataFrame, sets: DataFrame) -> DataFrame:
 
 def coverage(baskets: DataFrame, itemsets: DataFrame, rules: DataFrame) -> DataFrame:
     """Item, basket and rule coverage with the counts behind them."""
-    totals = baskets.agg(F.count(F.lit(1)).alias("total_transactions"))
-    vocabulary = basket_items(baskets).agg(F.countDistinct("item").alias("total_items"))
     covered = itemsets.select(F.explode("items").alias("item")).agg(F.countDistinct("item").alias("covered_items"))
-    by_sets = _covered_baskets(baskets, itemsets).agg(F.count(F.lit(1)).alias("transactions_with_itemsets"))
     antecedents = rules.select(F.col("antecedent").alias("items"))
-    by_rules = _covered_baskets(baskets, antecedents).agg(F.count(F.lit(1)).alias("transactions_with_rules"))
-    row = _one_row(totals, vocabulary, covered, by_sets, by_rules)
     n = F.col("total_transactions")
-    return row.select(
-        "*",
-        _share(F.col("covered_items"), F.col("total_items")).alias("item_coverage"),
-        _share(F.col("transactions_with_itemsets"), n).alias("transaction_coverage"),
-        _share(F.col("transactions_with_rules"), n).alias("rule_coverage"),
-    )
+    with cached(baskets) as held:
+        totals = held.agg(F.count(F.lit(1)).alias("total_transactions"))
+        vocabulary = basket_items(held).agg(F.countDistinct("item").alias("total_items"))
+        by_sets = _covered_baskets(held, itemsets).agg(F.count(F.lit(1)).alias("transactions_with_itemsets"))
+        by_rules = _covered_baskets(held, antecedents).agg(F.count(F.lit(1)).alias("transactions_with_rules"))
+        row = _one_row(totals, vocabulary, covered, by_sets, by_rules)
+        return durable(
+            row.select(
+                "*",
+                _share(F.col("covered_items"), F.col("total_items")).alias("item_coverage"),
+                _share(F.col("transactions_with_itemsets"), n).alias("transaction_coverage"),
+                _share(F.col("transactions_with_rules"), n).alias("rule_coverage"),
+            )
+        )
 
 
 def rule_quality(rules: DataFrame, high_confidence: float = 0.8, high_lift: float = 2.0) -> DataFrame:
@@ -249,8 +252,6 @@ def _covered_sequences(elements: DataFrame, patterns: DataFrame) -> DataFrame:
 def sequence_coverage(elements: DataFrame, patterns: DataFrame, rules: DataFrame) -> DataFrame:
     """Item and sequence coverage, pattern diversity and rule coverage."""
     n = F.col("total_sequences")
-    totals = elements.agg(F.countDistinct("sequence_id").alias("total_sequences"))
-    vocabulary = sequence_items(elements).agg(F.countDistinct("item").alias("total_items"))
     covered = patterns.select(F.explode(F.flatten("elements")).alias("item")).agg(
         F.countDistinct("item").alias("covered_items")
     )
@@ -258,18 +259,22 @@ def sequence_coverage(elements: DataFrame, patterns: DataFrame, rules: DataFrame
         F.countDistinct(F.sort_array("e")).alias("unique_pattern_elements"),
         F.count("e").alias("total_pattern_elements"),
     )
-    matched = _covered_sequences(elements, patterns).agg(F.count(F.lit(1)).alias("sequences_matched"))
-    by_rules = _covered_sequences(elements, rules.select(F.col("antecedent").alias("elements"))).agg(
-        F.count(F.lit(1)).alias("sequences_with_rules")
-    )
-    row = _one_row(totals, vocabulary, covered, parts, matched, by_rules)
-    return row.select(
-        "*",
-        _share(F.col("covered_items"), F.col("total_items")).alias("item_coverage"),
-        _share(F.col("sequences_matched"), n).alias("sequence_coverage"),
-        _share(F.col("unique_pattern_elements"), F.col("total_pattern_elements")).alias("pattern_diversity"),
-        _share(F.col("sequences_with_rules"), n).alias("rule_coverage"),
-    )
+    antecedents = rules.select(F.col("antecedent").alias("elements"))
+    with cached(elements) as held:
+        totals = held.agg(F.countDistinct("sequence_id").alias("total_sequences"))
+        vocabulary = sequence_items(held).agg(F.countDistinct("item").alias("total_items"))
+        matched = _covered_sequences(held, patterns).agg(F.count(F.lit(1)).alias("sequences_matched"))
+        by_rules = _covered_sequences(held, antecedents).agg(F.count(F.lit(1)).alias("sequences_with_rules"))
+        row = _one_row(totals, vocabulary, covered, parts, matched, by_rules)
+        return durable(
+            row.select(
+                "*",
+                _share(F.col("covered_items"), F.col("total_items")).alias("item_coverage"),
+                _share(F.col("sequences_matched"), n).alias("sequence_coverage"),
+                _share(F.col("unique_pattern_elements"), F.col("total_pattern_elements")).alias("pattern_diversity"),
+                _share(F.col("sequences_with_rules"), n).alias("rule_coverage"),
+            )
+        )
 
 
 def sequence_rule_quality(

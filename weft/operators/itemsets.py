@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import min_count, mllib_support
-from ..runtime import BROADCAST_ROWS, durable, require_columns, small_side
+from ..runtime import BROADCAST_ROWS, cached, durable, require_columns, small_side
 
 # Beyond this many frequent items a block row would be mostly zeros; FP-Growth gives the same itemsets.
 BLOCK_ITEMS = 4096
@@ -153,27 +153,26 @@ def _id_rows(level: DataFrame, k: int) -> DataFrame:
 
 
 def _level_wise(baskets: DataFrame, min_support: float, max_len: int | None, by_support: bool, prune: bool) -> DataFrame:
-    enc = encode(baskets, min_support, by_support)
-    if enc.n_items > BLOCK_ITEMS:
-        return _fpgrowth(enc, max_len)
+    with cached(baskets) as held:
+        enc = encode(held, min_support, by_support)
+        if enc.n_items > BLOCK_ITEMS:
+            return _fpgrowth(enc, max_len)
+        blocks = durable(pack(enc.coded, enc.n)) if enc.n_items > 1 and max_len != 1 else None
     level = enc.dictionary.select(F.col("id").alias("i1"), "support_count")
     found, alive, k = _id_rows(level, 1), enc.n_items, 2
-    blocks = None
     while alive >= k and (max_len is None or k <= max_len):
+        n_candidates = alive * (alive - 1) // 2
         if k == 2:
-            candidates, n_candidates = _pairs(enc.n_items, level), enc.n_items * (enc.n_items - 1) // 2
+            candidates = _pairs(enc.n_items, level)
         else:
             candidates = _extend(level, alive, k)
             if prune:
                 candidates = _prune(candidates, level, alive, k)
-            n_candidates = alive * (alive - 1) // 2
             if n_candidates > BROADCAST_ROWS:  # the bound is too loose to size a broadcast: count exactly
                 candidates = durable(candidates)
                 n_candidates = candidates.count()
-        if n_candidates == 0:
-            break
-        if blocks is None:
-            blocks = durable(pack(enc.coded, enc.n))
+                if n_candidates == 0:
+                    break
         level = durable(
             count_candidates(blocks, candidates, k, n_candidates).where(f"support_count >= {enc.threshold}")
         )
@@ -220,7 +219,8 @@ def _fpgrowth(enc: Encoded, max_len: int | None) -> DataFrame:
 
 def fpgrowth(baskets: DataFrame, min_support: float = 0.01, max_len: int | None = None) -> DataFrame:
     """MLlib's parallel FP-Growth on id-coded baskets of frequent items; ``max_len`` filters the result."""
-    return _fpgrowth(encode(baskets, min_support, by_support=True), max_len)
+    with cached(baskets) as held:
+        return _fpgrowth(encode(held, min_support, by_support=True), max_len)
 
 
 ALGORITHMS = {"apriori": apriori, "fpgrowth": fpgrowth, "eclat": eclat}

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import min_count, mllib_support
-from ..runtime import durable, require_columns, small_side
+from ..runtime import cached, durable, require_columns, small_side
 from .sequences import assemble, explode_items
 
 CHUNK = 1024
@@ -83,7 +83,7 @@ def _item_occurrences(enc: EncodedSequences) -> DataFrame:
     )
     chunks = (
         coded.groupBy("x", "sequence_id", F.expr(f"position div {CHUNK}").alias("chunk"))
-        .agg(F.sort_array(F.collect_list("position")).alias("positions"))
+        .agg(F.sort_array(F.collect_list("position")).alias("positions"), F.max("position").alias("last"))
     )
     if enc.longest <= SALT_ELEMENTS:
         return chunks.withColumn("salts", F.lit(1)).withColumn("salt", F.lit(0))
@@ -111,35 +111,46 @@ def _intersect(occurrences: DataFrame, candidates: DataFrame, rows: int) -> Data
         F.col("x").alias("b"), "sequence_id", "chunk", F.col("positions").alias("_more")
     )
     return (
-        left.drop("x")
-        .join(right, ["b", "sequence_id", "chunk"])
+        left.drop("x", "last")
+        .join(right, ["sequence_id", "b", "chunk"])
         .select(
             F.col("c").alias("x"), "sequence_id", "chunk",
             F.array_intersect("positions", "_more").alias("positions"), "salts", "salt",
         )
         .where(F.size("positions") > 0)
+        .withColumn("last", F.element_at("positions", -1))
     )
 
 
-def _advance(states: DataFrame, occurrences: DataFrame, candidates: DataFrame, rows: int) -> DataFrame:
-    """States of ``c = q -> x``: the first occurrence of ``x`` after the earliest end of ``q``."""
+def _later(states: DataFrame, occurrences: DataFrame, candidates: DataFrame, rows: int) -> DataFrame:
+    """For ``c = q -> x``: the chunks of ``x`` that reach past the earliest end of ``q``."""
     left = (
         states.join(small_side(candidates.select("c", F.col("q").alias("p"), "x"), rows), "p")
         .drop("p")
         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
     )
-    later = left.join(occurrences.drop("salts"), ["x", "sequence_id", "salt"]).where(
-        F.element_at("positions", -1) > F.col("f")
-    )
+    return left.join(occurrences.drop("salts"), ["sequence_id", "x", "salt"]).where("last > f")
+
+
+def _advance(later: DataFrame) -> DataFrame:
+    """States of ``c``: the first occurrence of ``x`` after the earliest end of ``q``."""
     after = F.get(F.filter("positions", lambda p: p > F.col("f")), F.lit(0))
     return (
         later.select("c", "sequence_id", "salts", after.alias("f"))
-        .groupBy("c", "sequence_id", "salts")
+        .groupBy("sequence_id", "c", "salts")
         .agg(F.min("f").alias("f"))
         .withColumnRenamed("c", "p")
     )
 
 
+def _sequences_per(rows: DataFrame, key: str, one_chunk: bool) -> DataFrame:
+    """Sequences per key; with one chunk per sequence the rows are distinct already."""
+    once = rows.select(F.col(key).alias("p"), "sequence_id")
+    if not one_chunk:
+        once = once.distinct()
+    return once.groupBy("p").agg(F.count(F.lit(1)).alias("support_count"))
+
+
 # -- candidate rules ------------------------------------------------------------------------------
 
 _NEW, _SAME = "s", "i"  # last item opens a new element / joins the last element
@@ -243,15 +254,16 @@ def cooccurrence(elements: DataFrame, min_support: float) -> DataFrame:
 
 
 def _grow(elements: DataFrame, min_support: float, rule: str, max_items: int | None, max_elements: int | None) -> DataFrame:
-    enc = encode(elements, min_support)
-    level = enc.dictionary.select(F.array(F.array("id")).alias("els"), "support_count")
-    found, alive, k = level, enc.n_items, 2
     occurrences = states = pair_map = None
-    n_pairs = 0
-    while alive > 0 and (max_items is None or k <= max_items):
-        if occurrences is None:
+    with cached(elements) as held:
+        enc = encode(held, min_support)
+        if enc.n_items and max_items != 1:
             occurrences = durable(_item_occurrences(enc))
             states = durable(_first_states(occurrences))
+    level = enc.dictionary.select(F.array(F.array("id")).alias("els"), "support_count")
+    found, alive, k, n_pairs = level, enc.n_items, 2, 0
+    one_chunk = enc.longest < CHUNK
+    while alive > 0 and (max_items is None or k <= max_items):
         if rule == "gsp":
             grown = _joined_candidates(level, alive, k)
         elif rule == "cm" and k > 2:
@@ -275,22 +287,30 @@ def _grow(elements: DataFrame, min_support: float, rule: str, max_items: int | N
         shape = candidates.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("q") == "").alias("n_single")).first()
         if shape["n"] == 0:
             break
-        new_states = _advance(states, occurrences, candidates.where("q <> ''"), shape["n"])
-        new_occurrences = None
-        if shape["n_single"]:
-            new_occurrences = durable(_intersect(occurrences, candidates.where("q = ''"), shape["n_single"]))
-            new_states = new_states.unionByName(_first_states(new_occurrences))
-        new_states = durable(new_states)
-        counts = new_states.groupBy("p").agg(F.count(F.lit(1)).alias("support_count")).where(
-            f"support_count >= {enc.threshold}"
-        )
+        later = _later(states, occurrences, candidates.where("q <> ''"), shape["n"])
+        grown_sets = _intersect(occurrences, candidates.where("q = ''"), shape["n_single"])
+        new_states = new_occurrences = None
+        if k == max_items:  # no further level reads match states: count and stop
+            counts = _sequences_per(later, "c", one_chunk)
+            if shape["n_single"]:
+                counts = counts.unionByName(_sequences_per(grown_sets, "x", one_chunk))
+        else:
+            new_states = _advance(later)
+            if shape["n_single"]:
+                new_occurrences = durable(grown_sets)
+                new_states = new_states.unionByName(_first_states(new_occurrences))
+            new_states = durable(new_states)
+            counts = _sequences_per(new_states, "p", one_chunk=True)
+        frequent = counts.where(f"support_count >= {enc.threshold}")
         level = durable(
-            counts.join(small_side(candidates.select("els", F.col("c").alias("p")), shape["n"]), "p").select(
+            frequent.join(small_side(candidates.select("els", F.col("c").alias("p")), shape["n"]), "p").select(
                 "els", "support_count", "p"
             )
         )
         alive = level.count()
         found = found.unionByName(level.select("els", "support_count"))
+        if new_states is None:
+            break
         if k == 2 and rule == "cm":
             flat = F.flatten("els")
             pair_map = level.select(
@@ -353,18 +373,19 @@ def prefixspan(elements: DataFrame, min_support: float = 0.1, max_items: int | N
     MLlib needs each sequence as one array; when a sequence is too long for
     that, the vertical miner gives the same patterns.
     """
-    enc = encode(elements, min_support)
-    if enc.longest > NESTED_ITEMS:
-        return spade(elements, min_support, max_items, max_elements)
-    if enc.n_items == 0:
-        return _decode(enc.dictionary.select(F.array(F.array("id")).alias("els"), "support_count"), enc)
-    coded = (
-        explode_items(elements)
-        .join(small_side(enc.dictionary.select("item", "id"), enc.n_items), "item")
-        .groupBy("sequence_id", "position")
-        .agg(F.sort_array(F.collect_list("id")).alias("items"))
-    )
-    nested = durable(assemble(coded).select("elements"))
+    with cached(elements) as held:
+        enc = encode(held, min_support)
+        if enc.longest > NESTED_ITEMS:
+            return spade(held, min_support, max_items, max_elements)
+        if enc.n_items == 0:
+            return _decode(enc.dictionary.select(F.array(F.array("id")).alias("els"), "support_count"), enc)
+        coded = (
+            explode_items(held)
+            .join(small_side(enc.dictionary.select("item", "id"), enc.n_items), "item")
+            .groupBy("sequence_id", "position")
+            .agg(F.sort_array(F.collect_list("id")).alias("items"))
+        )
+        nested = durable(assemble(coded).select("elements"))
     n = nested.count()
     found = PrefixSpan(
         minSupport=mllib_support(enc.threshold, n),

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..runtime import BROADCAST_ROWS, durable, require_columns
+from ..runtime import durable, require_columns, small_side
 from .clean import clean_rows, item_text
 
 # A key with more rows than this is ordered in time slices instead of in one task.
@@ -33,97 +33,107 @@ def _time_us(df: DataFrame, time: str) -> Column:
     return days + clock + (F.extract(F.lit("SECOND"), t) * 1_000_000).cast("bigint")
 
 
-def _sliced(df: DataFrame, key: str, time: str, hot_rows: int) -> tuple[DataFrame, bool]:
+def _sliced(
+    df: DataFrame, keys: list[str], time: str, hot_rows: int, sizing: DataFrame | None = None
+) -> tuple[DataFrame, bool]:
     """Add ``_slice``: 0 for ordinary keys, an increasing time slice for keys with very many rows.
 
-    The table of hot keys has at most (rows / hot_rows) rows. A null time goes to the last slice.
+    Sizes come from one map-side-combined pass over ``sizing`` (cheaper rows
+    with the same keys and times, at least as many). The table of hot keys has
+    at most (rows / hot_rows) rows. A null time goes to the last slice.
     """
+    rows = df if sizing is None else sizing
     stats = (
-        df.select(F.col(key).alias("_k"), _time_us(df, time).alias("_us"))
-        .groupBy("_k")
+        rows.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], _time_us(rows, time).alias("_us"))
+        .groupBy(*[f"_k{i}" for i in range(len(keys))])
         .agg(F.count(F.lit(1)).alias("_n"), F.min("_us").alias("_lo"), F.max("_us").alias("_hi"))
         .where((F.col("_n") > hot_rows) & F.col("_lo").isNotNull())
+        .withColumn("_width", F.expr(f"(_hi - _lo) div ceil(_n / {hot_rows}D) + 1"))
+        .drop("_n", "_hi")
     )
-    hot = durable(
-        stats.select(
-            "_k", "_lo", F.expr(f"(_hi - _lo) div ceil(_n / {hot_rows}D) + 1").alias("_width")
-        )
-    )
+    hot = durable(stats)
     n_hot = hot.count()
     if n_hot == 0:
         return df.withColumn("_slice", F.lit(0).cast("bigint")), False
-    side = F.broadcast(hot) if n_hot <= BROADCAST_ROWS else hot
-    joined = df.withColumn("_us", _time_us(df, time)).join(side, F.col(key) == F.col("_k"), "left")
-    number = F.when(F.col("_k").isNull(), F.lit(0)).otherwise(
+    same = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]
+    joined = df.withColumn("_us", _time_us(df, time)).join(small_side(hot, n_hot), same, "left")
+    number = F.when(F.col("_lo").isNull(), F.lit(0)).otherwise(
         F.coalesce(F.expr("(_us - _lo) div _width"), F.lit(2**62))
     )
-    return joined.withColumn("_slice", number.cast("bigint")).drop("_us", "_k", "_lo", "_width"), True
+    extra = [f"_k{i}" for i in range(len(keys))]
+    return joined.withColumn("_slice", number.cast("bigint")).drop("_us", "_lo", "_width", *extra), True
 
 
-def _offsets(per_slice: DataFrame, key: str, amount: str) -> DataFrame:
-    """Running total of ``amount`` over the earlier slices of the same key."""
-    before = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    return per_slice.select(
-        F.col(key).alias("_ok"),
-        F.col("_slice").alias("_os"),
-        F.coalesce(F.sum(amount).over(before), F.lit(0)).alias("_before"),
+def _with_shift(df: DataFrame, shift: DataFrame, keys: list[str], column: str) -> DataFrame:
+    """Add the per-slice ``_before`` to ``column``. Only hot keys have slices to shift."""
+    right = shift.select(
+        *[F.col(k).alias(f"_o{i}") for i, k in enumerate(keys)], F.col("_slice").alias("_os"), "_before"
+    ).where("_before > 0")
+    same = [F.col(k) == F.col(f"_o{i}") for i, k in enumerate(keys)] + [F.col("_slice") == F.col("_os")]
+    return (
+        df.join(right, same, "left")
+        .withColumn(column, F.col(column) + F.coalesce("_before", F.lit(0)))
+        .drop("_os", "_before", *[f"_o{i}" for i in range(len(keys))])
     )
 
 
 def number_rows(
-    df: DataFrame, key: str, time: str, ties: list[str], hot_rows: int = HOT_ROWS
+    df: DataFrame,
+    keys: list[str],
+    time: str,
+    ties: list[str],
+    hot_rows: int = HOT_ROWS,
+    sizing: DataFrame | None = None,
+    any_hot: bool = True,
 ) -> DataFrame:
     """Add the 1-based ``position`` of each row within its key by time, nulls last.
 
-    Rows of a hot key are numbered slice by slice and shifted by the sizes of the earlier slices.
+    Rows of a hot key are numbered slice by slice and shifted by the sizes of
+    the earlier slices. ``any_hot=False`` says that the caller has already
+    ruled hot keys out.
     """
-    cut, any_hot = _sliced(df, key, time, hot_rows)
+    cut = df.withColumn("_slice", F.lit(0).cast("bigint"))
+    if any_hot:
+        cut, any_hot = _sliced(df, keys, time, hot_rows, sizing)
     order = [F.asc_nulls_last(time), *[F.asc_nulls_last(t) for t in ties]]
-    ranked = cut.withColumn("position", F.row_number().over(Window.partitionBy(key, "_slice").orderBy(*order)).cast("bigint"))
-    if not any_hot:
-        return ranked.drop("_slice")
-    sizes = cut.groupBy(key, "_slice").agg(F.count(F.lit(1)).alias("_size"))
-    offsets = _offsets(sizes, key, "_size").where("_before > 0")
-    return (
-        ranked.join(offsets, (F.col(key) == F.col("_ok")) & (F.col("_slice") == F.col("_os")), "left")
-        .withColumn("position", F.col("position") + F.coalesce("_before", F.lit(0)))
-        .drop("_ok", "_os", "_before", "_slice")
-    )
+    number = F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy(*order))
+    ranked = cut.withColumn("position", number.cast("bigint"))
+    if any_hot:
+        earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+        sizes = cut.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_size")).where("_slice IS NOT NULL")
+        shift = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
+        ranked = _with_shift(ranked, shift, keys, "position")
+    return ranked.drop("_slice")
 
 
 def number_sessions(
-    df: DataFrame, key: str, time: str, ties: list[str], gap_minutes: float, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Add the 0-based ``session`` number per key; a session starts when the gap is strictly longer."""
-    cut, any_hot = _sliced(df, key, time, hot_rows)
+    df: DataFrame, keys: list[str], time: str, ties: list[str], gap_minutes: float, hot_rows: int = HOT_ROWS
+) -> tuple[DataFrame, bool]:
+    """Add the 0-based ``session`` number per key; a session starts when the gap is strictly longer.
+
+    Also says whether any key was hot.
+    """
+    cut, any_hot = _sliced(df, keys, time, hot_rows)
     order = [F.asc_nulls_last(time), *[F.asc_nulls_last(t) for t in ties]]
-    within = Window.partitionBy(key, "_slice").orderBy(*order)
+    within = Window.partitionBy(*keys, "_slice").orderBy(*order)
     gap = round(gap_minutes * 60_000_000)
     now = _time_us(df, time)
     starts = F.coalesce(now - F.lag(now).over(within) > gap, F.lit(False)).cast("bigint")
     marked = cut.withColumn("_start", starts)
     running = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     numbered = marked.withColumn("session", F.sum("_start").over(running))
-    if not any_hot:
-        return numbered.drop("_slice", "_start")
-    # a slice also opens a session when the gap to the last event before it is long enough
-    per_slice = marked.groupBy(key, "_slice").agg(
-        F.sum("_start").alias("_starts"), F.min(now).alias("_first"), F.max(now).alias("_last")
-    )
-    slices = Window.partitionBy(key).orderBy("_slice")
-    edge = F.coalesce(F.col("_first") - F.lag("_last").over(slices) > gap, F.lit(False)).cast("bigint")
-    with_edge = per_slice.withColumn("_edge", edge).withColumn("_total", F.col("_starts") + F.col("_edge"))
-    earlier = slices.rowsBetween(Window.unboundedPreceding, -1)
-    shift = with_edge.select(
-        F.col(key).alias("_ok"),
-        F.col("_slice").alias("_os"),
-        (F.coalesce(F.sum("_total").over(earlier), F.lit(0)) + F.col("_edge")).alias("_before"),
-    ).where("_before > 0")
-    return (
-        numbered.join(shift, (F.col(key) == F.col("_ok")) & (F.col("_slice") == F.col("_os")), "left")
-        .withColumn("session", F.col("session") + F.coalesce("_before", F.lit(0)))
-        .drop("_ok", "_os", "_before", "_slice", "_start")
-    )
+    if any_hot:
+        # a slice also opens a session when the gap to the last event before it is long enough
+        per_slice = marked.groupBy(*keys, "_slice").agg(
+            F.sum("_start").alias("_starts"), F.min(now).alias("_first"), F.max(now).alias("_last")
+        )
+        slices = Window.partitionBy(*keys).orderBy("_slice")
+        edge = F.coalesce(F.col("_first") - F.lag("_last").over(slices) > gap, F.lit(False)).cast("bigint")
+        with_edge = per_slice.withColumn("_edge", edge).withColumn("_total", F.col("_starts") + F.col("_edge"))
+        earlier = slices.rowsBetween(Window.unboundedPreceding, -1)
+        before = F.coalesce(F.sum("_total").over(earlier), F.lit(0)) + F.col("_edge")
+        numbered = _with_shift(numbered, with_edge.withColumn("_before", before), keys, "session")
+    return numbered.drop("_slice", "_start"), any_hot
 
 
 def temporal(
@@ -139,7 +149,9 @@ def temporal(
         .groupBy("sequence_id", "_t")
         .agg(F.sort_array(F.collect_list("_item")).alias("items"))
     )
-    return number_rows(elements, "sequence_id", "_t", [], hot_rows).select("sequence_id", "position", "items")
+    return number_rows(elements, ["sequence_id"], "_t", [], hot_rows, sizing=rows).select(
+        "sequence_id", "position", "items"
+    )
 
 
 def events(
@@ -159,7 +171,7 @@ def events(
         F.col(tiebreak).alias("_tie"),
         item_text(item, null_items).alias("_item"),
     ).where("sequence_id IS NOT NULL AND _item IS NOT NULL")
-    return number_rows(rows, "sequence_id", "_t", ["_tie"], hot_rows).select(
+    return number_rows(rows, ["sequence_id"], "_t", ["_tie"], hot_rows).select(
         "sequence_id", "position", F.array("_item").alias("items")
     )
 
@@ -182,12 +194,11 @@ def sessions(
         F.col(tiebreak).alias("_tie"),
         item_text(item, null_items).alias("_item"),
     ).where("user_id IS NOT NULL AND _item IS NOT NULL")
-    named = number_sessions(rows, "user_id", "_t", ["_tie"], gap_minutes, hot_rows).withColumn(
-        "sequence_id", F.concat_ws("_", F.col("user_id").cast("string"), F.col("session").cast("string"))
-    )
-    return number_rows(named, "sequence_id", "_t", ["_tie"], hot_rows).select(
-        "sequence_id", "user_id", "session", "position", F.array("_item").alias("items")
-    )
+    numbered, any_hot = number_sessions(rows, ["user_id"], "_t", ["_tie"], gap_minutes, hot_rows)
+    # user_id and session rather than the name: the rows already lie by user_id
+    placed = number_rows(numbered, ["user_id", "session"], "_t", ["_tie"], hot_rows, any_hot=any_hot)
+    name = F.concat_ws("_", F.col("user_id").cast("string"), F.col("session").cast("string"))
+    return placed.select(name.alias("sequence_id"), "user_id", "session", "position", F.array("_item").alias("items"))
 
 
 def by_transaction(
@@ -201,7 +212,10 @@ def by_transaction(
         .groupBy("sequence_id", "_txn")
         .agg(F.min("_t").alias("_t"), F.sort_array(F.collect_list("_item")).alias("items"))
     )
-    return number_rows(elements, "sequence_id", "_t", ["_txn"], hot_rows).select("sequence_id", "position", "items")
+    sizing = rows.select(F.col(key).alias("sequence_id"), F.col(time).alias("_t"))
+    return number_rows(elements, ["sequence_id"], "_t", ["_txn"], hot_rows, sizing=sizing).select(
+        "sequence_id", "position", "items"
+    )
 
 
 def custom(df: DataFrame, build: Callable[[DataFrame], DataFrame]) -> DataFrame:

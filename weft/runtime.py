@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 # A side is broadcast only after its row count was compared with this bound.
 BROADCAST_ROWS = 1_000_000
@@ -58,6 +61,19 @@ def small_side(df: DataFrame, rows: int, limit: int | None = None) -> DataFrame:
     return F.broadcast(df) if rows <= (BROADCAST_ROWS if limit is None else limit) else df
 
 
+@contextmanager
+def cached(df: DataFrame) -> Iterator[DataFrame]:
+    """Keep an input that is read several times; a caller's own cache is left alone. Lost blocks are recomputed."""
+    if df.storageLevel != StorageLevel.NONE:
+        yield df
+        return
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield held
+    finally:
+        held.unpersist()
+
+
 def require_columns(df: DataFrame, *names: str) -> None:
     for name in names:
         if name not in df.columns:

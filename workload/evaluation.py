@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from weft.functions import itemset_key
 from weft.operators import evaluate, itemsets, patterns, rules
 from weft.plans import report
-from weft.runtime import durable
+from weft.runtime import cached, durable
 
 from . import data, sql
 from .mining import BRAND, PRIORITY, PURCHASE, TYPE, brand_rules, purchase_rules, type_rules
@@ -37,16 +37,16 @@ def _coverage(ctes: str, sets: str) -> str:
 
 @query("fp_coverage", _coverage(_BRAND, "itemsets"))
 def fp_coverage(spark, sf):
-    b = data.brand_baskets(spark, sf)
-    found = durable(itemsets.fpgrowth(b, BRAND))
-    return evaluate.coverage(b, found, rules.association_rules(found, "confidence", 0.15))
+    with cached(data.brand_baskets(spark, sf)) as b:
+        found = durable(itemsets.fpgrowth(b, BRAND))
+        return evaluate.coverage(b, found, rules.association_rules(found, "confidence", 0.15))
 
 
 @query("fp_coverage_pairs_only", _coverage(_BRAND, "(SELECT * FROM itemsets WHERE size >= 2)"))
 def fp_coverage_pairs_only(spark, sf):
-    b = data.brand_baskets(spark, sf)
-    found = durable(itemsets.fpgrowth(b, BRAND))
-    return evaluate.coverage(b, report.at_least(found, 2), rules.association_rules(found, "confidence", 0.15))
+    with cached(data.brand_baskets(spark, sf)) as b:
+        found = durable(itemsets.fpgrowth(b, BRAND))
+        return evaluate.coverage(b, report.at_least(found, 2), rules.association_rules(found, "confidence", 0.15))
 
 
 _QUALITY = """SELECT count(*) AS total_rules, round(avg(confidence), 6) AS avg_confidence, round(avg(lift), 6) AS avg_lift,
@@ -209,9 +209,9 @@ _PRIORITY = f"WITH {sql.patterns('priority', PRIORITY)}"
       round(sequences_with_rules / total_sequences, 6) AS rule_coverage FROM t""",
 )
 def sp_coverage(spark, sf):
-    elements = data.purchase_sequences(spark, sf)
-    found = durable(patterns.prefixspan(elements, PURCHASE, max_items=3))
-    return evaluate.sequence_coverage(elements, found, rules.sequential_rules(found, 0.8))
+    with cached(data.purchase_sequences(spark, sf)) as elements:
+        found = durable(patterns.prefixspan(elements, PURCHASE, max_items=3))
+        return evaluate.sequence_coverage(elements, found, rules.sequential_rules(found, 0.8))
 
 
 @query(
