@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import pattern_key
-from ..runtime import cached, durable, small_side
+from ..runtime import cached, durable, small_side, with_rarest_item
 from .baskets import explode_items as basket_items
 from .patterns import match_patterns
 from .sequences import explode_items as sequence_items
@@ -62,7 +62,7 @@ def _covered_baskets(baskets: DataFrame, sets: DataFrame) -> DataFrame:
 
     A set with an item that is itself a listed single adds nothing, so with a
     complete itemset table only the singles remain. The other sets are looked
-    up through one item and then tested whole.
+    up through their rarest item and then tested whole.
     """
     distinct = durable(sets.select(F.sort_array("items").alias("items")).distinct())
     singles = distinct.where(F.size("items") == 1).select(F.get("items", F.lit(0)).alias("item"))
@@ -78,7 +78,7 @@ def _covered_baskets(baskets: DataFrame, sets: DataFrame) -> DataFrame:
     n_rest = rest.count()
     hits = basket_items(baskets).join(small_side(singles, n_singles), "item", "left_semi").select("tid")
     if n_rest:
-        anchored = rest.select(F.col("items").alias("_set"), F.get("items", F.lit(0)).alias("item"))
+        anchored = with_rarest_item(rest, n_rest, basket_items(baskets)).withColumnRenamed("items", "_set")
         more = (
             baskets.select("tid", "items", F.explode("items").alias("item"))
             .join(small_side(anchored, n_rest), "item")

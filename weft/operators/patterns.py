@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import min_count, mllib_support
-from ..runtime import cached, durable, require_columns, small_side
+from ..runtime import cached, durable, require_columns, small_side, with_rarest_item
 from .sequences import assemble, explode_items
 
 CHUNK = 1024
@@ -421,24 +421,26 @@ def match_patterns(elements: DataFrame, patterns: DataFrame) -> DataFrame:
     key = lambda e: F.array_join(F.sort_array(e), "\u0001")
     steps = given.select("pattern", F.size("elements").alias("length"), F.posexplode("elements").alias("at", "e"))
     steps = steps.select("pattern", "length", "at", key(F.col("e")).alias("x"), F.sort_array("e").alias("e"))
-    wanted = steps.select("x", "e", F.element_at("e", 1).alias("item")).dropDuplicates(["x"])
-    # occurrences of each wanted itemset, found through its first item
-    anchored = elements.select("sequence_id", "position", "items", F.explode("items").alias("item"))
-    hits = anchored.join(small_side(wanted, n * max(longest, 1)), "item").where(
-        F.size(F.array_except("e", "items")) == 0
+    n_wanted = n * max(longest, 1)
+    sets = steps.select(F.col("e").alias("items")).distinct()
+    wanted = with_rarest_item(sets, n_wanted, explode_items(elements)).select(
+        key(F.col("items")).alias("x"), F.col("items").alias("e"), "item"
     )
+    # occurrences of each wanted itemset, found through its rarest item
+    anchored = elements.select("sequence_id", "position", "items", F.explode("items").alias("item"))
+    hits = anchored.join(small_side(wanted, n_wanted), "item").where(F.size(F.array_except("e", "items")) == 0)
     occurrences = durable(
         hits.groupBy("x", "sequence_id", F.expr(f"position div {CHUNK}").alias("chunk")).agg(
             F.sort_array(F.collect_set("position")).alias("positions")
         )
     )
     at = lambda i: small_side(steps.where(F.col("at") == i).select("pattern", "length", "x"), n)
-    states = (
+    states = durable(
         occurrences.join(at(0), "x")
         .groupBy("pattern", "length", "sequence_id")
         .agg(F.min(F.element_at("positions", 1)).alias("f"))
     )
-    done = []
+    done = [states.where("false").select("pattern", "sequence_id")] if longest == 0 else []
     for i in range(1, longest + 1):
         done.append(states.where(F.col("length") == i).select("pattern", "sequence_id"))
         if i == longest:
@@ -454,8 +456,6 @@ def match_patterns(elements: DataFrame, patterns: DataFrame) -> DataFrame:
             .groupBy("pattern", "length", "sequence_id")
             .agg(F.min("f").alias("f"))
         )
-    if not done:
-        return given.join(elements, F.lit(False)).select("pattern", "sequence_id")
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)

@@ -31,10 +31,10 @@ def build_session(app: str = "weft", cores: str = "8", memory: str = "12g") -> S
 
 def _shared_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; a fresh one only in local mode."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder before mining on a cluster")
     root = tempfile.mkdtemp(prefix="weft-")
@@ -45,9 +45,8 @@ def _shared_root(spark: SparkSession) -> str:
 def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and cut its lineage."""
     spark = df.sparkSession
-    root = _shared_root(spark)
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+        spark.sparkContext.setCheckpointDir(_shared_root(spark))
     return df.checkpoint()
 
 
@@ -74,6 +73,27 @@ def cached(df: DataFrame) -> Iterator[DataFrame]:
         held.unpersist()
 
 
+def with_rarest_item(sets: DataFrame, n_sets: int, data_items: DataFrame) -> DataFrame:
+    """Add ``item``: of each set's ``items`` the one with the fewest rows in ``data_items``.
+
+    Looking sets up through their rarest item keeps a very common item from
+    matching every row with every set. A set with an item that never occurs drops out.
+    """
+    slots = sets.select("items", F.explode("items").alias("item"))
+    wanted = slots.select("item").distinct()
+    counts = (
+        data_items.join(small_side(wanted, n_sets), "item", "left_semi")
+        .groupBy("item")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+    )
+    best = (
+        slots.join(counts, "item", "left")
+        .groupBy("items")
+        .agg(F.min(F.struct(F.coalesce("_rows", F.lit(0)).alias("_rows"), "item")).alias("_best"))
+    )
+    return best.where("_best._rows > 0").select("items", F.col("_best.item").alias("item"))
+
+
 def require_columns(df: DataFrame, *names: str) -> None:
     for name in names:
         if name not in df.columns:
