@@ -9,9 +9,11 @@ GSP, SPADE and CM-SPADE share two vertical tables:
   earliest position at which a match of P can end.
 
 Pattern ``Q -> X`` is contained in a sequence exactly when X occurs after the
-earliest end of Q. Counting is therefore one equi-join of states and
-occurrences on (x, sequence_id): no positions are paired with each other and
-no sequence is held whole. Chunks of very long sequences are salted.
+earliest end of Q, that is, when the last occurrence of X lies after it. So
+support needs one row per sequence with the last position of each itemset it
+holds; positions are read only to build the states of patterns found frequent.
+No positions are paired with each other and no sequence is held whole. Chunks
+of very long sequences are salted.
 
 Patterns are named by text of their item ids, ``1,2>3``.
 """
@@ -122,30 +124,50 @@ def _intersect(occurrences: DataFrame, candidates: DataFrame, rows: int) -> Data
     )
 
 
-def _later(states: DataFrame, occurrences: DataFrame, candidates: DataFrame, rows: int) -> DataFrame:
-    """For ``c = q -> x``: the chunks of ``x`` that reach past the earliest end of ``q``."""
-    left = (
-        states.join(small_side(candidates.select("c", F.col("q").alias("p"), "x"), rows), "p")
-        .drop("p")
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    )
-    return left.join(occurrences.drop("salts"), ["sequence_id", "x", "salt"]).where("last > f")
+def _last_ends(occurrences: DataFrame, one_chunk: bool) -> DataFrame:
+    """Per sequence the last position of each itemset it holds; bounded by the itemsets, not by the sequence."""
+    ends = occurrences.select("sequence_id", "x", "last")
+    if not one_chunk:
+        ends = ends.groupBy("sequence_id", "x").agg(F.max("last").alias("last"))
+    return ends.groupBy("sequence_id").agg(F.collect_list(F.struct("x", "last")).alias("ends"))
 
 
-def _advance(later: DataFrame) -> DataFrame:
-    """States of ``c``: the first occurrence of ``x`` after the earliest end of ``q``."""
-    after = F.get(F.filter("positions", lambda p: p > F.col("f")), F.lit(0))
+def _count_after(states: DataFrame, ends: DataFrame, candidates: DataFrame, rows: int) -> DataFrame:
+    """Support of ``c = q -> x``. States are unique per (pattern, sequence), so rows are sequences."""
+    probes = (
+        states.select("sequence_id", "p", "f")
+        .join(ends, "sequence_id")
+        .select("p", "f", F.inline("ends"))
+        .where("last > f")
+    )
+    wanted = small_side(candidates.select("c", F.col("q").alias("p"), "x"), rows)
     return (
-        later.select("c", "sequence_id", "salts", after.alias("f"))
-        .groupBy("sequence_id", "c", "salts")
-        .agg(F.min("f").alias("f"))
-        .withColumnRenamed("c", "p")
+        probes.join(wanted, ["p", "x"])
+        .groupBy(F.col("c").alias("p"))
+        .agg(F.count(F.lit(1)).alias("support_count"))
     )
 
 
-def _sequences_per(rows: DataFrame, key: str, one_chunk: bool) -> DataFrame:
-    """Sequences per key; with one chunk per sequence the rows are distinct already."""
-    once = rows.select(F.col(key).alias("p"), "sequence_id")
+def _advance(
+    states: DataFrame, occurrences: DataFrame, candidates: DataFrame, rows: int, one_chunk: bool
+) -> DataFrame:
+    """States of ``c = q -> x``: the first occurrence of ``x`` after the earliest end of ``q``."""
+    left = states.join(small_side(candidates.select("c", F.col("q").alias("p"), "x"), rows), "p").drop("p")
+    keys = ["sequence_id", "x"]
+    if not one_chunk:
+        left = left.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+        keys.append("salt")
+    later = left.join(occurrences.select(*keys, "positions", "last"), keys).where("last > f")
+    after = F.get(F.filter("positions", lambda p: p > F.col("f")), F.lit(0))
+    moved = later.select(F.col("c").alias("p"), "sequence_id", "salts", after.alias("f"))
+    if one_chunk:
+        return moved
+    return moved.groupBy("p", "sequence_id", "salts").agg(F.min("f").alias("f"))
+
+
+def _sequences_per(occurrences: DataFrame, one_chunk: bool) -> DataFrame:
+    """Sequences per itemset; with one chunk per sequence the rows are distinct already."""
+    once = occurrences.select(F.col("x").alias("p"), "sequence_id")
     if not one_chunk:
         once = once.distinct()
     return once.groupBy("p").agg(F.count(F.lit(1)).alias("support_count"))
@@ -254,15 +276,16 @@ def cooccurrence(elements: DataFrame, min_support: float) -> DataFrame:
 
 
 def _grow(elements: DataFrame, min_support: float, rule: str, max_items: int | None, max_elements: int | None) -> DataFrame:
-    occurrences = states = pair_map = None
+    occurrences = states = ends = pair_map = None
     with cached(elements) as held:
         enc = encode(held, min_support)
+        one_chunk = enc.longest < CHUNK
         if enc.n_items and max_items != 1:
             occurrences = durable(_item_occurrences(enc))
             states = durable(_first_states(occurrences))
+            ends = durable(_last_ends(occurrences, one_chunk))
     level = enc.dictionary.select(F.array(F.array("id")).alias("els"), "support_count")
     found, alive, k, n_pairs = level, enc.n_items, 2, 0
-    one_chunk = enc.longest < CHUNK
     while alive > 0 and (max_items is None or k <= max_items):
         if rule == "gsp":
             grown = _joined_candidates(level, alive, k)
@@ -287,29 +310,23 @@ def _grow(elements: DataFrame, min_support: float, rule: str, max_items: int | N
         shape = candidates.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("q") == "").alias("n_single")).first()
         if shape["n"] == 0:
             break
-        later = _later(states, occurrences, candidates.where("q <> ''"), shape["n"])
-        grown_sets = _intersect(occurrences, candidates.where("q = ''"), shape["n_single"])
-        new_states = new_occurrences = None
-        if k == max_items:  # no further level reads match states: count and stop
-            counts = _sequences_per(later, "c", one_chunk)
-            if shape["n_single"]:
-                counts = counts.unionByName(_sequences_per(grown_sets, "x", one_chunk))
-        else:
-            new_states = _advance(later)
-            if shape["n_single"]:
-                new_occurrences = durable(grown_sets)
-                new_states = new_states.unionByName(_first_states(new_occurrences))
-            new_states = durable(new_states)
-            counts = _sequences_per(new_states, "p", one_chunk=True)
-        frequent = counts.where(f"support_count >= {enc.threshold}")
+        counts = _count_after(states, ends, candidates.where("q <> ''"), shape["n"])
+        grown_sets = None
+        if shape["n_single"]:
+            grown_sets = _intersect(occurrences, candidates.where("q = ''"), shape["n_single"])
+            if k != max_items:
+                grown_sets = durable(grown_sets)
+            counts = counts.unionByName(_sequences_per(grown_sets, one_chunk))
+        names = small_side(candidates.select("els", "q", "x", "c"), shape["n"])
         level = durable(
-            frequent.join(small_side(candidates.select("els", F.col("c").alias("p")), shape["n"]), "p").select(
-                "els", "support_count", "p"
-            )
+            counts.where(f"support_count >= {enc.threshold}")
+            .withColumnRenamed("p", "c")
+            .join(names, "c")
+            .select("els", "support_count", "c", "q", "x")
         )
         alive = level.count()
         found = found.unionByName(level.select("els", "support_count"))
-        if new_states is None:
+        if k == max_items or alive == 0:  # no further level reads match states
             break
         if k == 2 and rule == "cm":
             flat = F.flatten("els")
@@ -319,12 +336,14 @@ def _grow(elements: DataFrame, min_support: float, rule: str, max_items: int | N
                 F.get(flat, F.lit(1)).alias("z"),
             )
             n_pairs = alive
-        kept = small_side(level.select("p"), alive)
-        states = states.unionByName(new_states.join(kept, "p", "left_semi"))
-        if new_occurrences is not None:
-            occurrences = occurrences.unionByName(
-                new_occurrences.join(kept.withColumnRenamed("p", "x"), "x", "left_semi")
-            )
+        moved = _advance(states, occurrences, level.where("q <> ''"), alive, one_chunk)
+        if grown_sets is not None:
+            kept = small_side(level.where("q = ''").select("x"), alive)
+            fresh = grown_sets.join(kept, "x", "left_semi")
+            moved = moved.unionByName(_first_states(fresh))
+            occurrences = occurrences.unionByName(fresh)
+            ends = durable(_last_ends(occurrences, one_chunk))
+        states = states.unionByName(durable(moved))
         k += 1
     return _decode(found, enc)
 
