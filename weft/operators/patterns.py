@@ -15,7 +15,9 @@ holds; positions are read only to build the states of patterns found frequent.
 No positions are paired with each other and no sequence is held whole. Chunks
 of very long sequences are salted.
 
-Patterns are named by text of their item ids, ``1,2>3``.
+Frequent patterns carry integer ids, so states and occurrences stay narrow and
+joins run on integers; a single item's pattern id is its item id. The small
+pattern tables name patterns by text of their item ids, ``1,2>3``.
 """
 
 from __future__ import annotations
@@ -27,8 +29,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import min_count, mllib_support
-from ..runtime import cached, durable, require_columns, small_side, with_rarest_item
-from .sequences import assemble, explode_items
+from ..runtime import BROADCAST_ROWS, cached, durable, require_columns, small_side, with_rarest_item
+from .sequences import assemble, dense_index, explode_items
 
 CHUNK = 1024
 # A sequence with more elements than this is spread over several salts per itemset.
@@ -81,7 +83,7 @@ def frequent_items(elements: DataFrame, min_support: float) -> DataFrame:
 def _item_occurrences(enc: EncodedSequences) -> DataFrame:
     """Occurrences of single frequent items, chunked."""
     coded = explode_items(enc.elements).join(
-        small_side(enc.dictionary.select("item", F.col("id").cast("string").alias("x")), enc.n_items), "item"
+        small_side(enc.dictionary.select("item", F.col("id").alias("x")), enc.n_items), "item"
     )
     chunks = (
         coded.groupBy("x", "sequence_id", F.expr(f"position div {CHUNK}").alias("chunk"))
@@ -107,8 +109,8 @@ def _first_states(occurrences: DataFrame) -> DataFrame:
 
 
 def _intersect(occurrences: DataFrame, candidates: DataFrame, rows: int) -> DataFrame:
-    """Occurrences of ``c = x with item b added`` from the chunks of ``x`` and of ``b``; equal chunks only."""
-    left = occurrences.join(small_side(candidates.select("c", "b", F.col("grown").alias("x")), rows), "x")
+    """Occurrences of itemset ``grown`` with item ``b`` added, from the chunks of both; equal chunks only."""
+    left = occurrences.join(small_side(candidates.select("grown", "b"), rows), F.col("x") == F.col("grown"))
     right = occurrences.select(
         F.col("x").alias("b"), "sequence_id", "chunk", F.col("positions").alias("_more")
     )
@@ -116,7 +118,7 @@ def _intersect(occurrences: DataFrame, candidates: DataFrame, rows: int) -> Data
         left.drop("x", "last")
         .join(right, ["sequence_id", "b", "chunk"])
         .select(
-            F.col("c").alias("x"), "sequence_id", "chunk",
+            "grown", "b", "sequence_id", "chunk",
             F.array_intersect("positions", "_more").alias("positions"), "salts", "salt",
         )
         .where(F.size("positions") > 0)
@@ -133,44 +135,50 @@ def _last_ends(occurrences: DataFrame, one_chunk: bool) -> DataFrame:
 
 
 def _count_after(states: DataFrame, ends: DataFrame, candidates: DataFrame, rows: int) -> DataFrame:
-    """Support of ``c = q -> x``. States are unique per (pattern, sequence), so rows are sequences."""
+    """Support of ``q -> x``. States are unique per (pattern, sequence), so rows are sequences."""
     probes = (
-        states.select("sequence_id", "p", "f")
+        states.select("sequence_id", F.col("p").alias("q"), "f")
         .join(ends, "sequence_id")
-        .select("p", "f", F.inline("ends"))
+        .select("q", "f", F.inline("ends"))
         .where("last > f")
     )
-    wanted = small_side(candidates.select("c", F.col("q").alias("p"), "x"), rows)
     return (
-        probes.join(wanted, ["p", "x"])
-        .groupBy(F.col("c").alias("p"))
+        probes.join(small_side(candidates.select("q", "x"), rows), ["q", "x"], "left_semi")
+        .groupBy("q", "x")
         .agg(F.count(F.lit(1)).alias("support_count"))
     )
 
 
-def _advance(
-    states: DataFrame, occurrences: DataFrame, candidates: DataFrame, rows: int, one_chunk: bool
-) -> DataFrame:
-    """States of ``c = q -> x``: the first occurrence of ``x`` after the earliest end of ``q``."""
-    left = states.join(small_side(candidates.select("c", F.col("q").alias("p"), "x"), rows), "p").drop("p")
+def _advance(states: DataFrame, occurrences: DataFrame, level: DataFrame, rows: int, one_chunk: bool) -> DataFrame:
+    """States of the pattern ``id = q -> x``: the first occurrence of ``x`` after the earliest end of ``q``."""
+    left = states.join(small_side(level.select("id", F.col("q").alias("p"), "x"), rows), "p").drop("p")
     keys = ["sequence_id", "x"]
     if not one_chunk:
         left = left.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
         keys.append("salt")
     later = left.join(occurrences.select(*keys, "positions", "last"), keys).where("last > f")
     after = F.get(F.filter("positions", lambda p: p > F.col("f")), F.lit(0))
-    moved = later.select(F.col("c").alias("p"), "sequence_id", "salts", after.alias("f"))
+    moved = later.select(F.col("id").alias("p"), "sequence_id", "salts", after.alias("f"))
     if one_chunk:
         return moved
     return moved.groupBy("p", "sequence_id", "salts").agg(F.min("f").alias("f"))
 
 
-def _sequences_per(occurrences: DataFrame, one_chunk: bool) -> DataFrame:
-    """Sequences per itemset; with one chunk per sequence the rows are distinct already."""
-    once = occurrences.select(F.col("x").alias("p"), "sequence_id")
+def _count_itemsets(grown_sets: DataFrame, one_chunk: bool) -> DataFrame:
+    """Sequences per new itemset; with one chunk per sequence the rows are distinct already."""
+    once = grown_sets.select("grown", "b", "sequence_id")
     if not one_chunk:
         once = once.distinct()
-    return once.groupBy("p").agg(F.count(F.lit(1)).alias("support_count"))
+    return once.groupBy("grown", "b").agg(F.count(F.lit(1)).alias("support_count"))
+
+
+def _numbered(level: DataFrame, alive: int, base: int) -> DataFrame:
+    """Pattern ids after ``base``, in name order."""
+    if alive > BROADCAST_ROWS:
+        indexed = dense_index(level, "name", "id")
+    else:
+        indexed = level.withColumn("id", F.row_number().over(Window.orderBy("name")))
+    return indexed.withColumn("id", (F.col("id") + base).cast("int"))
 
 
 # -- candidate rules ------------------------------------------------------------------------------
@@ -275,6 +283,30 @@ def cooccurrence(elements: DataFrame, min_support: float) -> DataFrame:
 # -- the level loop -------------------------------------------------------------------------------
 
 
+def _candidates(grown: DataFrame, known: DataFrame, n_known: int) -> DataFrame:
+    """Candidate sequences with the ids of their parts: ``q -> x``, or for one element ``grown`` plus item ``b``.
+
+    A part that is not frequent has no id and the candidate drops out.
+    """
+    els = F.col("els")
+    last = _last(els)
+    named = grown.select(
+        "els",
+        _name(els).alias("name"),
+        _name(F.slice(els, F.lit(1), F.size(els) - 1)).alias("q_name"),
+        _name(F.array(last)).alias("x_name"),
+        _name(F.array(F.slice(last, F.lit(1), F.size(last) - 1))).alias("grown_name"),
+        _last(last).cast("int").alias("b"),
+    )
+    for part in ("q", "x", "grown"):
+        ids = known.select(F.col("name").alias(f"{part}_name"), F.col("id").alias(part))
+        named = named.join(small_side(ids, n_known), f"{part}_name", "left").drop(f"{part}_name")
+    single = F.size("els") == 1
+    return named.withColumn("single", single).where(
+        (single & F.col("grown").isNotNull()) | (F.col("q").isNotNull() & F.col("x").isNotNull())
+    )
+
+
 def _grow(elements: DataFrame, min_support: float, rule: str, max_items: int | None, max_elements: int | None) -> DataFrame:
     occurrences = states = ends = pair_map = None
     with cached(elements) as held:
@@ -284,8 +316,10 @@ def _grow(elements: DataFrame, min_support: float, rule: str, max_items: int | N
             occurrences = durable(_item_occurrences(enc))
             states = durable(_first_states(occurrences))
             ends = durable(_last_ends(occurrences, one_chunk))
-    level = enc.dictionary.select(F.array(F.array("id")).alias("els"), "support_count")
-    found, alive, k, n_pairs = level, enc.n_items, 2, 0
+    level = enc.dictionary.select(F.array(F.array("id")).alias("els"), "support_count", "id")
+    level = level.withColumn("name", F.col("id").cast("string"))
+    found, known = level.select("els", "support_count"), level.select("name", "id")
+    alive, n_known, k, n_pairs = enc.n_items, enc.n_items, 2, 0
     while alive > 0 and (max_items is None or k <= max_items):
         if rule == "gsp":
             grown = _joined_candidates(level, alive, k)
@@ -295,39 +329,29 @@ def _grow(elements: DataFrame, min_support: float, rule: str, max_items: int | N
             grown = _class_candidates(level, alive)
         if max_elements is not None:
             grown = grown.where(F.size("els") <= max_elements)
-        els = F.col("els")
-        last = _last(els)
-        candidates = durable(
-            grown.select(
-                "els",
-                _name(els).alias("c"),
-                _name(F.slice(els, F.lit(1), F.size(els) - 1)).alias("q"),
-                _name(F.array(last)).alias("x"),
-                _name(F.array(F.slice(last, F.lit(1), F.size(last) - 1))).alias("grown"),
-                _last(last).cast("string").alias("b"),
-            )
-        )
-        shape = candidates.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("q") == "").alias("n_single")).first()
+        candidates = durable(_candidates(grown, known, n_known))
+        shape = candidates.agg(F.count(F.lit(1)).alias("n"), F.count_if("single").alias("n_single")).first()
         if shape["n"] == 0:
             break
-        counts = _count_after(states, ends, candidates.where("q <> ''"), shape["n"])
+        chains, sets = candidates.where("NOT single"), candidates.where("single")
+        counted = _count_after(states, ends, chains, shape["n"]).where(f"support_count >= {enc.threshold}")
+        frequent = counted.join(small_side(chains, shape["n"]), ["q", "x"])
+        columns = ["els", "name", "q", "x", "grown", "b", "single", "support_count"]
+        level = frequent.select(*columns)
         grown_sets = None
         if shape["n_single"]:
-            grown_sets = _intersect(occurrences, candidates.where("q = ''"), shape["n_single"])
+            grown_sets = _intersect(occurrences, sets, shape["n_single"])
             if k != max_items:
                 grown_sets = durable(grown_sets)
-            counts = counts.unionByName(_sequences_per(grown_sets, one_chunk))
-        names = small_side(candidates.select("els", "q", "x", "c"), shape["n"])
-        level = durable(
-            counts.where(f"support_count >= {enc.threshold}")
-            .withColumnRenamed("p", "c")
-            .join(names, "c")
-            .select("els", "support_count", "c", "q", "x")
-        )
+            counted = _count_itemsets(grown_sets, one_chunk).where(f"support_count >= {enc.threshold}")
+            level = level.unionByName(counted.join(small_side(sets, shape["n_single"]), ["grown", "b"]).select(*columns))
+        level = durable(level)
         alive = level.count()
         found = found.unionByName(level.select("els", "support_count"))
         if k == max_items or alive == 0:  # no further level reads match states
             break
+        level = _numbered(level, alive, n_known)
+        known, n_known = known.unionByName(level.select("name", "id")), n_known + alive
         if k == 2 and rule == "cm":
             flat = F.flatten("els")
             pair_map = level.select(
@@ -336,10 +360,10 @@ def _grow(elements: DataFrame, min_support: float, rule: str, max_items: int | N
                 F.get(flat, F.lit(1)).alias("z"),
             )
             n_pairs = alive
-        moved = _advance(states, occurrences, level.where("q <> ''"), alive, one_chunk)
+        moved = _advance(states, occurrences, level.where("NOT single"), alive, one_chunk)
         if grown_sets is not None:
-            kept = small_side(level.where("q = ''").select("x"), alive)
-            fresh = grown_sets.join(kept, "x", "left_semi")
+            kept = small_side(level.where("single").select("grown", "b", F.col("id").alias("x")), alive)
+            fresh = grown_sets.join(kept, ["grown", "b"]).select(*occurrences.columns)
             moved = moved.unionByName(_first_states(fresh))
             occurrences = occurrences.unionByName(fresh)
             ends = durable(_last_ends(occurrences, one_chunk))
