@@ -10,7 +10,7 @@ from weft.runtime import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", cores="8", memory="6g")
+    session = build_session("tests", cores="4", memory="6g")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

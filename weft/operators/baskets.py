@@ -95,12 +95,13 @@ def one_hot(baskets: DataFrame, vocabulary: list[str]) -> DataFrame:
     )
 
 
-def vertical(baskets: DataFrame, chunk: Column | None = None) -> DataFrame:
+def vertical(baskets: DataFrame, chunk: Column | None = None, parts: int = 4096) -> DataFrame:
     """TID lists per item, split in chunks so that a popular item never becomes one huge row.
 
-    ``chunk`` defaults to a hash of the tid in 4096 parts; pass a column of ``tid`` for range chunks.
+    ``chunk`` defaults to a hash of the tid in ``parts`` parts (a list holds about baskets / parts tids at most);
+    pass a column of ``tid`` for range chunks.
     """
-    part = F.pmod(F.xxhash64("tid"), F.lit(4096)) if chunk is None else chunk
+    part = F.pmod(F.xxhash64("tid"), F.lit(parts)) if chunk is None else chunk
     return (
         explode_items(baskets)
         .groupBy("item", part.alias("chunk"))
