@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # 2**12 masks per row at each of the two expansion steps
@@ -16,18 +16,21 @@ def _splits(itemsets: DataFrame) -> DataFrame:
     itemsets of up to 24 items. A frequent n-itemset implies 2**n - 1 rows in
     the itemset table itself, so the unfolding stays linear in that table's own growth.
     """
-    low = F.least(F.col("size"), F.lit(_LOW_BITS))
-    high = F.col("size") - low
+    low = f"least(size, {_LOW_BITS})"
     masked = (
         itemsets.where("size >= 2")
-        .withColumn("_hi", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr("shiftleft(1L, size - least(size, 12)) - 1"))))
-        .withColumn("_lo", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr("shiftleft(1L, least(size, 12)) - 1"))))
-        .withColumn("_m", F.expr("shiftleft(_hi, least(size, 12)) | _lo"))
+        .withColumn("_hi", F.explode(F.expr(f"sequence(0L, shiftleft(1L, size - {low}) - 1)")))
+        .withColumn("_lo", F.explode(F.expr(f"sequence(0L, shiftleft(1L, {low}) - 1)")))
+        .withColumn("_m", F.expr(f"shiftleft(_hi, {low}) | _lo"))
         .where("_m > 0 AND _m < shiftleft(1L, size) - 1")
     )
+
+    def bit(i: Column) -> Column:
+        return F.call_function("shiftright", F.col("_m"), i).bitwiseAND(F.lit(1).cast("bigint"))
+
     return masked.select(
-        F.filter("items", lambda x, i: F.expr("1L").bitwiseAND(F.call_function("shiftright", F.col("_m"), i)) == 1).alias("antecedent"),
-        F.filter("items", lambda x, i: F.expr("1L").bitwiseAND(F.call_function("shiftright", F.col("_m"), i)) == 0).alias("consequent"),
+        F.filter("items", lambda x, i: bit(i) == 1).alias("antecedent"),
+        F.filter("items", lambda x, i: bit(i) == 0).alias("consequent"),
         "support_count",
         "support",
     )
