@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, mix64, ragged
+from .common import chunks, ragged, span_hashes
 
 # The white space of the split pattern, and its contractions.
 SPACES = (0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
@@ -254,22 +254,6 @@ def merge_short(pieces: list[bytes], ranks: Ranks) -> list[tuple[int, ...]]:
     return out
 
 
-@lru_cache(2)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    base = 0x9E3779B97F4A7C15
-    each = np.full((2, size), 1, np.uint64)
-    each[0, 1:], each[1, 1:] = base, pow(base, -1, 2**64)
-    return tuple(np.multiply.accumulate(each, axis=1))
-
-
-def _piece_keys(codepoints: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the pieces, from one running sum over all codepoints."""
-    up, down = _powers(1 << max(16, int(len(codepoints)).bit_length()))
-    terms = np.zeros(len(codepoints) + 1, np.uint64)
-    np.cumsum(mix64(codepoints.astype(np.uint64) + np.uint64(1)) * up[: len(codepoints)], out=terms[1:])
-    return mix64((terms[stops] - terms[starts]) * down[starts] + (stops - starts).astype(np.uint64))
-
-
 def encode_texts(texts: list[str], content: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids of all texts in turn, the byte offset of each within its text, and the number of ids per text.
 
@@ -284,7 +268,7 @@ def encode_texts(texts: list[str], content: bytes) -> tuple[np.ndarray, np.ndarr
     codepoints = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
     starts = piece_starts(codepoints, ends[sizes > 0])
     stops = np.append(starts[1:], len(joined))[: len(starts)]
-    _, example, which = np.unique(_piece_keys(codepoints, starts, stops), return_index=True, return_inverse=True)
+    _, example, which = np.unique(span_hashes(codepoints, starts, stops), return_index=True, return_inverse=True)
     found = ranks.pieces([joined[a:b] for a, b in zip(starts[example].tolist(), stops[example].tolist())])
     counts = np.fromiter(map(len, found), np.int64, len(found))
     distinct = np.fromiter(chain.from_iterable(found), np.int32, int(counts.sum()))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -91,3 +92,19 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0xBF58476D1CE4E5B9)
     x ^= x >> np.uint64(32)
     return x
+
+
+@lru_cache(2)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    base = 0x9E3779B97F4A7C15
+    each = np.full((2, size), 1, np.uint64)
+    each[0, 1:], each[1, 1:] = base, pow(base, -1, 2**64)
+    return tuple(np.multiply.accumulate(each, axis=1))
+
+
+def span_hashes(values: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """64-bit hashes of spans of an array of whole numbers, from one running sum over the array."""
+    up, down = _powers(1 << max(16, int(len(values)).bit_length()))
+    terms = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(mix64(values.astype(np.uint64) + np.uint64(1)) * up[: len(values)], out=terms[1:])
+    return mix64((terms[stops] - terms[starts]) * down[starts] + (stops - starts).astype(np.uint64))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, line_dedup, mixing, sharding, topk
+from . import bpe, exact_dedup, line_dedup, mixing, sharding, substring_dedup, suffix_dedup, topk
 from .common import sha256_text, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,3 +135,49 @@ def line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = line_dedup.LineIndex(spark, min_docs=10, min_chars=1)
     index.insert(docs)
     return index.clean(docs).select("doc_id", "n_lines", "n_dropped", sha256_text(F.col("kept_text")).alias("kept_sha256"))
+
+
+@query("op6_substring_dedup", r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(array_to_string(words[i : i + 34], ' ')) AS content
+  FROM d, unnest(range(1, len(words) - 33)) t(i)),
+repeated AS (
+  SELECT doc_id, i FROM windows WHERE content IN (SELECT content FROM windows GROUP BY content HAVING count(*) > 1)),
+words AS (SELECT doc_id, i, words[i] AS word FROM d, unnest(range(1, len(words) + 1)) t(i)),
+judged AS (
+  SELECT doc_id, i, word, coalesce(i - max(r.i) OVER w < 35, FALSE) AS gone
+  FROM words LEFT JOIN repeated r USING (doc_id, i)
+  WINDOW w AS (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING))
+SELECT doc_id, count(i) AS n_words, count(i) FILTER (gone) AS n_removed,
+       sha256(coalesce(string_agg(word, ' ' ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM d LEFT JOIN judged USING (doc_id) GROUP BY doc_id
+""")
+def substring_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = substring_dedup.remove_repeated(table(spark, sf_dir, "documents"), k=35)
+    return cleaned.select("doc_id", "n_words", "n_removed", sha256_text(F.col("kept_text")).alias("kept_sha256"))
+
+
+@query("op9_suffix_dedup", r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 800)) AS content FROM d, unnest(range(0, len(h) // 2 - 399)) t(i)),
+repeated AS (
+  SELECT doc_id, i FROM windows WHERE content IN (SELECT content FROM windows GROUP BY content HAVING count(*) > 1)),
+runs AS (
+  SELECT doc_id, min(i) AS a, max(i) + 400 AS b
+  FROM (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run
+        FROM (SELECT doc_id, i, (i - lag(i, 1, -1000) OVER (PARTITION BY doc_id ORDER BY i) > 400)::INT AS fresh FROM repeated))
+  GROUP BY doc_id, run),
+gaps AS (
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS x, a AS y FROM runs
+  UNION ALL SELECT doc_id, max(b), 1000000000 FROM runs GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, string_agg(substr(h, 2 * x + 1, 2 * (y - x)), '' ORDER BY x) AS k FROM gaps JOIN d USING (doc_id) GROUP BY doc_id),
+removed AS (SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)
+""")
+def suffix_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = suffix_dedup.remove_repeated(table(spark, sf_dir, "documents"), k=400)
+    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
