@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, line_dedup, mixing, sharding, substring_dedup, suffix_dedup, topk
+from . import bpe, exact_dedup, line_dedup, mixing, near_dedup, sharding, substring_dedup, suffix_dedup, topk
 from .common import sha256_text, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,3 +181,30 @@ FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)
 def suffix_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = suffix_dedup.remove_repeated(table(spark, sf_dir, "documents"), k=400)
     return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op4_near_dedup", r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS MATERIALIZED (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                 ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i : i + 2], ' '))) END AS s
+  FROM d),
+items AS MATERIALIZED (SELECT doc_id, unnest(s) AS x, len(s) AS n FROM sets),
+links AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM items a JOIN items b ON a.x = b.x AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach AS (
+  SELECT a, b FROM links
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least_id AS (SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY a)
+SELECT doc_id, len(s) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id,
+       doc_id = least(doc_id, coalesce(m, doc_id)) AS kept
+FROM sets LEFT JOIN least_id USING (doc_id)
+""")
+def near_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), n=3, percent=85).drop("weft_uid")
