@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, line_dedup, mixing, near_dedup, sharding, substring_dedup, suffix_dedup, topk
+from . import bpe, exact_dedup, line_dedup, mixing, near_dedup, quality, sharding, substring_dedup, suffix_dedup, topk
 from .common import sha256_text, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -208,3 +208,9 @@ FROM sets LEFT JOIN least_id USING (doc_id)
 """)
 def near_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), n=3, percent=85).drop("weft_uid")
+
+
+@query("op3_quality_classifier")
+def quality_classifier_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.classify(docs, quality.co_train(docs, table(spark, sf_dir, "labels")))
