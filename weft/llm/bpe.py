@@ -14,14 +14,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, ragged, span_hashes
+from .common import chunks, ragged, span_hashes, utf8_batch
 
 # The white space of the split pattern, and its contractions.
 SPACES = (0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 
 # Pieces kept with their ids by a Python worker.
-CACHED_PIECES = 400_000
+CACHED_PIECES = 150_000
 # Bytes of the pieces that are merged many at once and cached; longer ones are merged with a heap.
 SHORT = 32
 NONE = np.int64(1 << 40)  # the rank of a pair that does not merge
@@ -179,21 +179,29 @@ class Ranks:
             self.lengths[r] = len(b)
         self.words = np.frombuffer(b"".join(sorted(ranks, key=ranks.get)), np.uint8)
         self.starts = np.cumsum(self.lengths) - self.lengths
+        self._pairs = None
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
-        pairs = {}
-        for b, r in ranks.items():
-            for i in range(1, len(b)):
-                x, y = ranks.get(b[:i]), ranks.get(b[i:])
-                if x is not None and y is not None:
-                    pairs[x << 32 | y] = r
-        self.pair_keys = np.array(sorted(pairs), np.int64)
-        self.pair_ranks = np.array([pairs[k] for k in self.pair_keys.tolist()], np.int64)
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted keys (left << 32 | right) and ranks of all pairs of ids that merge."""
+        if self._pairs is None:
+            keys, merged = [], []
+            for b, r in self.ranks.items():
+                for i in range(1, len(b)):
+                    x, y = self.ranks.get(b[:i]), self.ranks.get(b[i:])
+                    if x is not None and y is not None:
+                        keys.append(x << 32 | y)
+                        merged.append(r)
+            order = np.argsort(keys)
+            self._pairs = np.array(keys, np.int64)[order], np.array(merged, np.int64)[order]
+        return self._pairs
 
     def pair(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Ranks of pairs of ids, NONE where they do not merge."""
+        known, merged = self.pairs()
         keys = (left << 32) | right
-        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
-        return np.where((self.pair_keys[at] == keys) & (left >= 0) & (right >= 0), self.pair_ranks[at], NONE)
+        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+        return np.where((known[at] == keys) & (left >= 0) & (right >= 0), merged[at], NONE)
 
     def pieces(self, pieces: list[str]) -> list[tuple[int, ...]]:
         """Ids of pieces, from the cache where it has them."""
@@ -295,7 +303,7 @@ def encode(docs: DataFrame, ranks_path: str) -> DataFrame:
     Pieces of the split pattern are encoded one by one, without special
     tokens. Null and empty texts have no tokens; repeated rows are encoded one
     by one; other columns are ignored. The rank file (about 1 MB) is read by
-    the driver and sent to the workers. A worker holds about 4 MB of text at
+    the driver and sent to the workers. A worker encodes about 1 MB of text at
     once, or one longer text.
     """
     with open(ranks_path, "rb") as f:
@@ -303,10 +311,9 @@ def encode(docs: DataFrame, ranks_path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
-            sizes = np.append(0, np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts))))
-            for a, b in chunks(sizes):
-                tokens, offsets, counts = encode_texts(texts[a:b], content.value)
+            ids, texts = batch.column(0), batch.column(1)
+            for a, b in chunks(utf8_batch(texts)[1]):
+                tokens, offsets, counts = encode_texts(texts.slice(a, b - a).to_pylist(), content.value)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(a, b - a), pa.array(counts), _lists(tokens, counts), _lists(offsets, counts)],
                     names=["doc_id", "n_tokens", "ids", "offsets"],
@@ -331,7 +338,7 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
             sizes = np.append(0, np.cumsum(counts))
             flat = np.asarray(lists.flatten())
             within = np.asarray(batch.column("offsets").flatten())
-            for a, b in chunks(sizes, 1 << 20):
+            for a, b in chunks(sizes, 1 << 18):
                 ids, places = flat[sizes[a] : sizes[b]], within[sizes[a] : sizes[b]]
                 last = np.cumsum(counts[a:b]) - 1  # of the ids of each row
                 some = counts[a:b] > 0

@@ -15,7 +15,7 @@ from weft.runtime import scratch_path
 
 UID = "weft_uid"
 # A Python task looks at about this many bytes of text at once; longer texts are handled alone.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
