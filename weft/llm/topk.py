@@ -73,6 +73,8 @@ class KdTree:
                 continue
             a, b = self.spans[node]
             scores = self.vectors[a:b] @ query
+            if scores.dtype == object:
+                scores = np.minimum(np.maximum(scores, LOWEST), HIGHEST)
             fit = np.flatnonzero((scores >= -kth[0]) & (uids[a:b] != own))
             if len(fit):
                 best = heapq.nsmallest(k, best + [(-int(scores[i]), int(self.ids[a + i])) for i in fit])
@@ -123,7 +125,7 @@ def _search_partition(k: int):
                 bounds, out = tree.bounds(queries), []
                 for i, (uid, query_id, floor) in enumerate(zip(*(part.column(c).to_pylist() for c in ("uid", "vec_id", "floor")))):
                     for score, vec_id in tree.search(queries[i], bounds[i], uid, tree.uids, k, LOWEST if floor is None else floor):
-                        out.append((uid, query_id, vec_id, min(max(score, LOWEST), HIGHEST)))
+                        out.append((uid, query_id, vec_id, score))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[j] for r in out], t) for j, (_, t) in enumerate(schema)], names=[n for n, _ in schema]
                 )
@@ -147,7 +149,7 @@ def exact_top_k(vectors: DataFrame, asked: Column, k: int = 10, factor: int = 10
     Rows with a null vec_id or an invalid vector take no part. Vectors are
     compared with those of the same length only. Rows with the same vec_id are
     candidates, and queries, of their own. An empty table gives no rows. Scores
-    outside a long are put at its end.
+    outside a long count as its least or largest number.
     """
     spark = vectors.sparkSession
     rows = vectors.select(
