@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 import weft.operators.itemsets as itemsets
 from brute import itemsets as brute
+from weft import runtime
 from weft.functions import min_count
-from weft.operators import evaluate, rules
+from weft.operators import baskets, evaluate, rules
 
 TOY = [("T1", ["a", "b", "c"]), ("T2", ["a", "b", "c"]), ("T3", ["a", "b"]), ("T4", ["c"])]
 SCHEMA = "tid string, items array<string>"
@@ -47,23 +48,36 @@ def test_random_against_brute_force(spark, name):
     assert found(itemsets.ALGORITHMS[name](df, 0.1, max_len=1)) == {k: v for k, v in want.items() if len(k) == 1}
 
 
-def test_sliced_candidates_and_wide_vocabulary(spark, monkeypatch):
+def test_joins_without_broadcast(spark, monkeypatch):
     rng = random.Random(8)
     data = [(str(n), sorted({rng.choice("abcdefgh") for _ in range(5)})) for n in range(200)]
     df = spark.createDataFrame(data, SCHEMA)
     want = brute([b for _, b in data], min_count(0.05, len(data)))
-    monkeypatch.setattr(itemsets, "BROADCAST_ROWS", 5)
+    monkeypatch.setattr(runtime, "BROADCAST_BYTES", 0)
     assert found(itemsets.apriori(df, 0.05)) == want
-    monkeypatch.setattr(itemsets, "BLOCK_ITEMS", 3)
     assert found(itemsets.eclat(df, 0.05)) == want
 
 
-def test_packing_spans_cells(spark, monkeypatch):
+def test_masks_span_cells(spark, monkeypatch):
     monkeypatch.setattr(itemsets, "BASKETS_PER_CELL", 100)
     coded = spark.range(1000).select(F.col("id").alias("tid"), F.explode(F.array(F.lit(0), (F.col("id") % 3 + 1).cast("int"))).alias("id"))
-    blocks = itemsets.pack(coded, 1000)
-    counts = blocks.select(*[F.sum(F.bit_count(F.coalesce(F.get("w", F.lit(i)), F.lit(0)))).alias(f"n{i}") for i in range(4)]).first()
-    assert list(counts) == [1000, 334, 333, 333]
+    masks = itemsets.tid_masks(coded, 1000)
+    counts = {r["x"]: r["n"] for r in masks.groupBy("x").agg(F.sum(F.bit_count("mask")).alias("n")).collect()}
+    assert counts == {0: 1000, 1: 334, 2: 333, 3: 333}
+
+
+def test_null_items_of_a_custom_builder_do_not_count(spark):
+    made = baskets.custom(spark.range(1), lambda d: d.sparkSession.createDataFrame([(1, ["a", None]), (2, ["a", None, "b"]), (3, ["b"])], "tid long, items array<string>"))
+    for mine in itemsets.ALGORITHMS.values():
+        got = {tuple(r["items"]): (r["support_count"], round(r["support"], 3)) for r in mine(made, 0.5).collect()}
+        assert got == {("a",): (2, 0.667), ("b",): (2, 0.667)}
+    assert {r["item"]: round(r["support"], 3) for r in baskets.item_support(made).collect()} == {"a": 0.667, "b": 0.667}
+
+
+def test_rules_of_a_huge_itemset_are_an_error(spark):
+    huge = spark.createDataFrame([([f"i{n}" for n in range(64)], 64, 1, 0.5)], "items array<string>, size int, support_count long, support double")
+    with pytest.raises(Exception, match="more items than can be split"):
+        rules.association_rules(huge, "support", 0.0).collect()
 
 
 def test_no_baskets_and_nothing_frequent(spark):

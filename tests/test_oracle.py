@@ -11,17 +11,6 @@ import check_oracle  # noqa: E402
 import workload  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-# grids and repeated miner runs; set WEFT_ALL_QUERIES=1 to include them
-LONG = {
-    "algorithm_comparison", "pipeline_grid", "pipeline_summary", "sp_pipeline_grid", "fastest_by_threshold", "time_ratio",
-    "algorithms_agree", "patterns_agree", "patterns_maxlen", "pattern_length_share", "gsp_patterns", "gsp_sessions",
-    "gsp_purchases", "spade_purchases", "cm_spade_purchases", "cm_spade_patterns", "spade_events", "apriori_itemsets_dense",
-    "eclat_itemsets_dense", "fp_run_profile", "sp_run_profile", "sp_coverage_long_patterns", "two_event_patterns",
-    "multi_event_patterns", "rule_quality_thresholds", "format_rules", "format_sequential_rules", "lift_pivot_wide",
-    "confidence_histogram", "sp_confidence_histogram", "rule_counts", "rule_metrics", "top_rules_confidence", "sp_top_rules",
-    "pattern_text_import", "long_itemsets", "itemset_size_distribution", "pattern_lengths", "rule_support_sweep",
-}
-NAMES = [n for n in workload.QUERIES if os.environ.get("WEFT_ALL_QUERIES") or n not in LONG]
 
 
 @pytest.fixture(scope="module")
@@ -30,7 +19,7 @@ def db():
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables are not here")
-@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("name", sorted(workload.QUERIES))
 def test_query(spark, db, name):
     problem, _, _ = check_oracle.compare(spark, db, SF, name)
     assert problem is None

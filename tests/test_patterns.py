@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import weft.operators.patterns as patterns
 from brute import contains, patterns as brute
-from weft.functions import contains_pattern, min_count
+from weft.functions import contains_pattern, min_count, pattern_key
 from weft.operators import evaluate, rules
 
 TOY = {"S1": [["a", "c"], ["a", "b"]], "S2": [["a"], ["b"]], "S3": [["a", "b", "c"]]}
@@ -54,9 +54,8 @@ def test_random_against_brute_force(spark, name):
 
 
 @pytest.mark.parametrize("name", ["gsp", "spade", "cm_spade"])
-def test_long_sequences_in_chunks_and_salts(spark, name, monkeypatch):
+def test_long_sequences_in_chunks(spark, name, monkeypatch):
     monkeypatch.setattr(patterns, "CHUNK", 4)
-    monkeypatch.setattr(patterns, "SALT_ELEMENTS", 6)
     rng = random.Random(17)
     data = _random(9, 20)
     data["hot"] = [sorted({rng.choice("abcd") for _ in range(2)}) for _ in range(60)]
@@ -64,11 +63,18 @@ def test_long_sequences_in_chunks_and_salts(spark, name, monkeypatch):
     assert found(patterns.ALGORITHMS[name](elements(spark, data), 0.3, max_items=4)) == want
 
 
-def test_prefixspan_leaves_mllib_for_long_sequences(spark, monkeypatch):
-    monkeypatch.setattr(patterns, "NESTED_ITEMS", 5)
-    data = _random(21, 30)
-    want = brute(list(data.values()), min_count(0.4, len(data)), 3)
-    assert found(patterns.prefixspan(elements(spark, data), 0.4, max_items=3)) == want
+def test_every_sequence_holds_the_empty_pattern(spark):
+    df = elements(spark, {"s1": [["a"]], "s2": [["b"], ["a"]]})
+    given = spark.createDataFrame([("none", []), ("ba", [["b"], ["a"]]), ("z", [["z"]])], "pattern string, elements array<array<string>>")
+    assert {r["pattern"]: r["support_count"] for r in patterns.count_patterns(df, given).collect()} == {"none": 2, "ba": 1, "z": 0}
+
+
+def test_marks_in_items_do_not_join_patterns(spark):
+    df = elements(spark, {"s1": [["a|b"]], "s2": [["a", "b"]], "s3": [["a>b"]], "s4": [["a"], ["b"]], "s5": [["c"]]})
+    given = spark.createDataFrame([([["a|b"]],), ([["a", "b"]],), ([["a>b"]],), ([["a"], ["b"]],)], "elements array<array<string>>")
+    assert evaluate._covered_sequences(df, given).count() == 4
+    keys = given.select(pattern_key("elements").alias("k")).distinct().count()
+    assert keys == 4
 
 
 def test_unbounded_length(spark):

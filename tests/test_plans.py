@@ -94,11 +94,20 @@ def _write(path, lines):
 
 def test_csv_dialect(spark):
     path = scratch_path(spark, "dialect")
-    _write(path, [" a ;b; c", "1;2,5;x", "2;3,5", "3;4,5;y;z", "4;5,5;w"])
+    _write(path, [" a ;b; c", "1;2,5;x", "2;3,5", "3;4,5;y;z", "4;5,5;w", "5;6,5;y;", '6;7,5;"q;""r"";s"', '7;8,5;"q;r";'])
     df = csv.scan_csv_dialect(spark, path, [" a ", "b", " c"], decimal_columns=["b"])
-    want = [("1", 2.5, "x"), ("2", 3.5, None), ("4", 5.5, "w")]
+    want = [("1", 2.5, "x"), ("2", 3.5, None), ("4", 5.5, "w"), ("6", 7.5, 'q;"r";s')]
     assert df.columns == ["a", "b", "c"] and sorted(tuple(r) for r in df.collect()) == want
-    assert df.select("a").count() == 3
+    assert df.select("a").count() == 4
+
+
+def test_csv_quotes_and_line_breaks(spark):
+    path = scratch_path(spark, "quotes")
+    _write(path, ["id,what", '1,"say ""hi"", x"', '2,"two\nlines"', "3,#plain"])
+    got = {r.id: r.what for r in csv.scan_csv(spark, path, "id int, what string", multi_line=True).collect()}
+    assert got == {1: 'say "hi", x', 2: "two\nlines", 3: "#plain"}
+    got = {r.id: r.what for r in csv.scan_csv(spark, path, "id int, what string", multi_line=True, nullValue="#plain").collect()}
+    assert got[3] is None
 
 
 def test_csv_scan(spark):
@@ -126,6 +135,8 @@ def test_pattern_text(spark):
     plain = sorted((r.support_count, r.elements) for r in text.parse_pattern_lines(df).collect())
     assert plain == [(1, [["10"]]), (7, [["1", "2"]]), (42, [["1"], ["3"]])]
     names = spark.createDataFrame([("b", 1), ("a", 2), ("c", 3)], "item string, item_id long")
+    twice = spark.createDataFrame([("1 -1 2 -1 #SUP: 5",), ("1 -1 2 -1 #SUP: 5",)], "value string")
+    assert [r.elements for r in text.parse_pattern_lines(twice, names).collect()] == [[["b"], ["a"]]] * 2
     decoded = sorted((r.support_count, r.elements) for r in text.parse_pattern_lines(df, names).collect())
     assert decoded == [(1, [["10"]]), (7, [["b", "a"]]), (42, [["b"], ["c"]])]
 
@@ -135,7 +146,7 @@ def test_json_writes_infinity_as_text(spark, baskets):
     path = scratch_path(spark, "json")
     results.write_json(found, path)
     rows = [json.loads(r.value) for r in spark.read.text(path).collect()]
-    assert {r["conviction"] for r in rows} == {"inf"}
+    assert {r["conviction"] for r in rows} == {"inf"} and all(isinstance(r["lift"], float) for r in rows)
 
 
 def test_csv_sink(spark, baskets):

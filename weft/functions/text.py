@@ -10,9 +10,14 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _escaped(item) -> Column:
+    """The marks that keys are built with, and the escape itself, after a backslash."""
+    return F.regexp_replace(item, r"([\\|>])", r"\\$1")
+
+
 def itemset_key(items) -> Column:
-    """``a|b|c``"""
-    return F.array_join(F.sort_array(_col(items)), "|")
+    """``a|b|c``; different itemsets have different keys, whatever their items hold."""
+    return F.array_join(F.transform(F.sort_array(_col(items)), lambda i: _escaped(i.cast("string"))), "|")
 
 
 def pattern_key(elements) -> Column:

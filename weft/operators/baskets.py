@@ -78,10 +78,11 @@ def from_rows(
 
 
 def custom(df: DataFrame, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """A caller's own builder; it must return ``tid`` and ``items``."""
+    """A caller's own builder; it must return ``tid`` and ``items``. Null items are dropped."""
     out = df.transform(build)
     require_columns(out, "tid", "items")
-    return out.select("tid", F.sort_array(F.array_distinct("items")).alias("items")).where(F.size("items") > 0)
+    items = F.filter("items", lambda i: i.isNotNull())
+    return out.select("tid", F.sort_array(F.array_distinct(items)).alias("items")).where(F.size("items") > 0)
 
 
 def explode_items(baskets: DataFrame) -> DataFrame:
@@ -95,12 +96,14 @@ def one_hot(baskets: DataFrame, vocabulary: list[str]) -> DataFrame:
     )
 
 
-def vertical(baskets: DataFrame, chunk: Column | None = None, parts: int = 4096) -> DataFrame:
+def vertical(baskets: DataFrame, chunk: Column | None = None, longest: int = 4096) -> DataFrame:
     """TID lists per item, split in chunks so that a popular item never becomes one huge row.
 
-    ``chunk`` defaults to a hash of the tid in ``parts`` parts (a list holds about baskets / parts tids at most);
-    pass a column of ``tid`` for range chunks.
+    ``chunk`` defaults to a hash of the tid in so many parts that a list holds about ``longest`` tids at most, however
+    many baskets there are; pass a column of ``tid`` for range chunks.
     """
+    if chunk is None:
+        parts = max(1, -(-baskets.count() // longest))
     part = F.pmod(F.xxhash64("tid"), F.lit(parts)) if chunk is None else chunk
     return (
         explode_items(baskets)
@@ -124,17 +127,20 @@ def basket_stats(baskets: DataFrame) -> DataFrame:
     )
 
 
+def count_items(baskets: DataFrame) -> DataFrame:
+    """``(whole, item, support_count)``: baskets per item, and one row ``whole`` with the number of baskets."""
+    flagged = F.transform("items", lambda i: F.struct(F.lit(False).alias("whole"), i.cast("string").alias("item")))
+    basket = F.array(F.struct(F.lit(True).alias("whole"), F.lit(None).cast("string").alias("item")))
+    return baskets.select(F.inline(F.concat(flagged, basket))).groupBy("whole", "item").agg(F.count(F.lit(1)).alias("support_count"))
+
+
 def item_support(baskets: DataFrame) -> DataFrame:
     """Support count and share per item.
 
-    The basket count travels through the same shuffle as a null item, so one pass over the baskets is enough.
+    The basket count travels through the same shuffle, so one pass over the baskets is enough.
     """
-    counted = (
-        baskets.select(F.explode(F.concat("items", F.array(F.lit(None).cast("string")))).alias("item"))
-        .groupBy("item")
-        .agg(F.count(F.lit(1)).alias("support_count"))
-    )
-    total = counted.where("item IS NULL").select("support_count")
-    return counted.where("item IS NOT NULL").select(
+    counted = count_items(baskets)
+    total = counted.where("whole").select("support_count")
+    return counted.where("NOT whole AND item IS NOT NULL").select(
         "item", "support_count", (F.col("support_count") / total.scalar()).alias("support")
     )

@@ -78,7 +78,7 @@ def _covered_baskets(baskets: DataFrame, sets: DataFrame) -> DataFrame:
     n_rest = rest.count()
     hits = basket_items(baskets).join(small_side(singles, n_singles), "item", "left_semi").select("tid")
     if n_rest:
-        anchored = with_rarest_item(rest, n_rest, basket_items(baskets)).withColumnRenamed("items", "_set")
+        anchored = with_rarest_item(rest, basket_items(baskets)).withColumnRenamed("items", "_set")
         more = (
             baskets.select("tid", "items", F.explode("items").alias("item"))
             .join(small_side(anchored, n_rest), "item")

@@ -1,11 +1,17 @@
 """Frequent-itemset miners over baskets ``(tid, items)``.
 
-Apriori and Eclat count on packed blocks: one row stands for 64 baskets and
-holds, per frequent item, a 64-bit mask of the baskets that contain it. The
-support of a candidate is the bit count of the AND of its masks, so no basket
-is ever joined with itself and no item pair is emitted per basket. The blocks
-are small (baskets x frequent items / 8 bytes) and are scanned once per level
-with the candidates broadcast behind a size check.
+The three miners count in three ways:
+
+* Apriori is horizontal: a basket yields its pairs of frequent items, and from
+  level 3 only pairs that start a candidate, whose other items are looked up
+  in the rest of the basket.
+* Eclat is vertical: an itemset is a set of 64-bit masks, one per block of 64
+  baskets that has any of its baskets; an itemset grows by the AND of two.
+* FP-Growth is MLlib's.
+
+Pairs are counted from the baskets by Apriori and Eclat alike, so the number of
+items does not matter, only the pairs that occur. Counts are summed map-side,
+so a level shuffles at most one row per candidate and task.
 """
 
 from __future__ import annotations
@@ -13,14 +19,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import min_count, mllib_support
-from ..runtime import BROADCAST_ROWS, cached, durable, require_columns, small_side
+from ..runtime import cached, durable, require_columns, small_side
+from .baskets import count_items
+from .sequences import dense_index
 
-# Beyond this many frequent items a block row would be mostly zeros; FP-Growth gives the same itemsets.
-BLOCK_ITEMS = 4096
 # Baskets per counting partition key; 64 blocks of 64.
 BASKETS_PER_CELL = 4096
 
@@ -39,20 +45,14 @@ class Encoded:
 def encode(baskets: DataFrame, min_support: float, by_support: bool = False) -> Encoded:
     """Count items once, keep the frequent ones and number them by name or by ascending support."""
     require_columns(baskets, "tid", "items")
-    # the null item carries the basket count through the same aggregation
-    counted = durable(
-        baskets.select(F.explode(F.concat("items", F.array(F.lit(None).cast("string")))).alias("item"))
-        .groupBy("item")
-        .agg(F.count(F.lit(1)).alias("support_count"))
-    )
-    total = counted.where("item IS NULL").first()
+    counted = durable(count_items(baskets))
+    total = counted.where("whole").first()
     n = total["support_count"] if total else 0
     threshold = min_count(min_support, n)
-    frequent = counted.where(f"item IS NOT NULL AND support_count >= {threshold}")
-    # at most (average basket size / min_support) rows reach this window
-    order = ["support_count", "item"] if by_support else ["item"]
+    frequent = counted.where(f"NOT whole AND item IS NOT NULL AND support_count >= {threshold}").drop("whole")
+    placed = frequent.withColumn("order", F.struct("support_count", "item") if by_support else F.col("item"))
     dictionary = durable(
-        frequent.withColumn("id", F.row_number().over(Window.orderBy(*order)) - 1).select("item", "id", "support_count")
+        dense_index(placed, "order", "id").select("item", (F.col("id") - 1).cast("int").alias("id"), "support_count")
     )
     n_items = dictionary.count()
     coded = (
@@ -63,54 +63,50 @@ def encode(baskets: DataFrame, min_support: float, by_support: bool = False) ->
     return Encoded(n, threshold, dictionary, n_items, coded)
 
 
-def pack(coded: DataFrame, n: int) -> DataFrame:
-    """``(tid, id)`` to rows ``w``: ``w[id]`` is the mask of the row's 64 baskets that contain the item.
+def reduced_baskets(enc: Encoded) -> DataFrame:
+    """``ids``: per basket the sorted ids of its frequent items, where it has two or more."""
+    ids = F.sort_array(F.collect_list("id"))
+    return enc.coded.groupBy("tid").agg(ids.alias("ids")).where(F.size("ids") > 1).select("ids")
+
+
+def _basket_pairs(reduced: DataFrame) -> DataFrame:
+    """``(i1, i2, rest)``: the pairs of each basket, with the items that come after them."""
+    first = reduced.select(F.posexplode("ids").alias("at", "i1"), "ids").select(
+        "i1", F.slice("ids", F.col("at") + 2, F.size("ids")).alias("after")
+    )
+    return first.select("i1", "after", F.posexplode("after").alias("at", "i2")).select(
+        "i1", "i2", F.slice("after", F.col("at") + 2, F.size("after")).alias("rest")
+    )
+
+
+def count_pairs(reduced: DataFrame) -> DataFrame:
+    """Support of every pair of items that occurs in a basket."""
+    return _basket_pairs(reduced).groupBy("i1", "i2").agg(F.count(F.lit(1)).alias("support_count"))
+
+
+def count_candidates(reduced: DataFrame, candidates: DataFrame, k: int, rows: int) -> DataFrame:
+    """Support of the candidates ``i1 < .. < ik``, k > 2, met through their first two items."""
+    ids = [f"i{j}" for j in range(1, k + 1)]
+    held = _basket_pairs(reduced).join(small_side(candidates.select(*ids), rows), ["i1", "i2"])
+    for i in ids[2:]:
+        held = held.where(F.array_contains("rest", F.col(i)))
+    return held.groupBy(*ids).agg(F.count(F.lit(1)).alias("support_count"))
+
+
+def tid_masks(coded: DataFrame, n: int) -> DataFrame:
+    """``(cell, block, x, mask)``: which of a block's 64 baskets hold item ``x``.
 
     A basket's cell and bit depend only on its tid and its cell mates, so a
     recomputed task rebuilds the same masks.
     """
     cells = max(1, n // BASKETS_PER_CELL)
     in_cell = Window.partitionBy("cell").orderBy("tid")
-    masks = (
+    return (
         coded.withColumn("cell", F.pmod(F.xxhash64("tid"), F.lit(cells)))
         .withColumn("r", F.dense_rank().over(in_cell) - 1)
-        .groupBy("cell", F.expr("r div 64").alias("block"), "id")
+        .groupBy("cell", F.expr("r div 64").alias("block"), F.col("id").alias("x"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(r % 64 AS int))")).alias("mask"))
     )
-    entries = F.sort_array(F.collect_list(F.struct("id", "mask")))
-    rows = masks.groupBy("cell", "block").agg(entries.alias("e"))
-
-    def with_gap(entry: Column, i: Column) -> Column:
-        gap = entry["id"] - F.when(i == 0, F.lit(-1)).otherwise(F.get("e", i - 1)["id"]) - 1
-        return F.concat(F.array_repeat(F.lit(0).cast("bigint"), gap), F.array(entry["mask"]))
-
-    return rows.select(F.flatten(F.transform("e", with_gap)).alias("w"))
-
-
-def count_candidates(blocks: DataFrame, candidates: DataFrame, k: int, rows: int) -> DataFrame:
-    """Support of candidates ``i1 < .. < ik``; more candidates than fit one broadcast are counted in slices."""
-    ids = [f"i{j}" for j in range(1, k + 1)]
-    slices = -(-rows // BROADCAST_ROWS)
-    mask = " & ".join(["m", *[f"coalesce(get(w, {i}), 0L)" for i in ids[1:]]])
-    first = blocks.select("w", F.posexplode("w").alias("pos", "m")).where("m <> 0")
-    parts = []
-    for s in range(slices):
-        part = candidates if slices == 1 else candidates.where(F.pmod(F.xxhash64(*ids), F.lit(slices)) == s)
-        parts.append(
-            first.join(F.broadcast(part), F.col("pos") == F.col("i1"))
-            .select(*ids, F.expr(mask).alias("mask"))
-            .where("mask <> 0")
-            .groupBy(*ids)
-            .agg(F.sum(F.bit_count("mask")).cast("bigint").alias("support_count"))
-        )
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
-def _pairs(n_items: int, level: DataFrame) -> DataFrame:
-    return level.where(f"i1 < {n_items - 1}").select("i1", F.explode(F.sequence(F.col("i1") + 1, F.lit(n_items - 1))).alias("i2"))
 
 
 def _extend(level: DataFrame, alive: int, k: int) -> DataFrame:
@@ -152,44 +148,78 @@ def _id_rows(level: DataFrame, k: int) -> DataFrame:
     return level.select(F.array(*[f"i{j}" for j in range(1, k + 1)]).alias("ids"), "support_count")
 
 
-def _level_wise(baskets: DataFrame, min_support: float, max_len: int | None, by_support: bool, prune: bool) -> DataFrame:
+def apriori(baskets: DataFrame, min_support: float = 0.01, max_len: int | None = None) -> DataFrame:
+    """Level-wise: join, prune by all subsets, count in the baskets."""
     with cached(baskets) as held:
-        enc = encode(held, min_support, by_support)
-        if enc.n_items > BLOCK_ITEMS:
-            return _fpgrowth(enc, max_len)
-        blocks = durable(pack(enc.coded, enc.n)) if enc.n_items > 1 and max_len != 1 else None
-    level = enc.dictionary.select(F.col("id").alias("i1"), "support_count")
-    found, alive, k = _id_rows(level, 1), enc.n_items, 2
-    while alive >= k and (max_len is None or k <= max_len):
-        n_candidates = alive * (alive - 1) // 2
+        enc = encode(held, min_support)
+        reduced = durable(reduced_baskets(enc)) if enc.n_items > 1 and max_len != 1 else None
+    found, k = _id_rows(enc.dictionary.select(F.col("id").alias("i1"), "support_count"), 1), 2
+    alive = enc.n_items
+    level = None
+    while reduced is not None and alive >= k and (max_len is None or k <= max_len):
         if k == 2:
-            candidates = _pairs(enc.n_items, level)
+            counted = count_pairs(reduced)
         else:
-            candidates = _extend(level, alive, k)
-            if prune:
-                candidates = _prune(candidates, level, alive, k)
-            if n_candidates > BROADCAST_ROWS:  # the bound is too loose to size a broadcast: count exactly
-                candidates = durable(candidates)
-                n_candidates = candidates.count()
-                if n_candidates == 0:
-                    break
-        level = durable(
-            count_candidates(blocks, candidates, k, n_candidates).where(f"support_count >= {enc.threshold}")
-        )
+            candidates = durable(_prune(_extend(level, alive, k), level, alive, k))
+            n_candidates = candidates.count()
+            if n_candidates == 0:
+                break
+            counted = count_candidates(reduced, candidates, k, n_candidates)
+        level = durable(counted.where(f"support_count >= {enc.threshold}"))
         alive = level.count()
         found = found.unionByName(_id_rows(level, k))
         k += 1
     return _decode(found, enc)
 
 
-def apriori(baskets: DataFrame, min_support: float = 0.01, max_len: int | None = None) -> DataFrame:
-    """Level-wise: join, prune by all subsets, count."""
-    return _level_wise(baskets, min_support, max_len, by_support=False, prune=True)
-
-
 def eclat(baskets: DataFrame, min_support: float = 0.01, max_len: int | None = None) -> DataFrame:
-    """Vertical: rarest items first, extend inside each prefix class, intersect TID masks."""
-    return _level_wise(baskets, min_support, max_len, by_support=True, prune=False)
+    """Vertical: rarest items first, extend inside each prefix class, intersect TID masks.
+
+    Pairs are counted in the baskets; the masks of the frequent ones start the
+    prefix classes. ``p`` is the id of a prefix, of which each level keeps the
+    masks of the frequent itemsets only.
+    """
+    with cached(baskets) as held:
+        enc = encode(held, min_support, by_support=True)
+        wanted = enc.n_items > 1 and max_len != 1
+        reduced = durable(reduced_baskets(enc)) if wanted else None
+        masks = durable(tid_masks(enc.coded, enc.n)) if wanted and max_len != 2 else None
+    found = _id_rows(enc.dictionary.select(F.col("id").alias("i1"), "support_count"), 1)
+    if not wanted:
+        return _decode(found, enc)
+    level = durable(count_pairs(reduced).where(f"support_count >= {enc.threshold}"))
+    alive, k = level.count(), 2
+    found = found.unionByName(_id_rows(level, 2))
+    states = None
+    while alive > 1 and (max_len is None or k < max_len):
+        # masks of the frequent k-itemsets, named by a dense id
+        ids = [f"i{j}" for j in range(1, k + 1)]
+        named = durable(dense_index(level.withColumn("set", F.array(*ids)), "set", "p"))
+        if k == 2:
+            pair = small_side(named.select("p", F.col("i1").alias("x"), "i2"), alive)
+            grown = masks.join(pair, "x").select("p", "cell", "block", F.col("i2").alias("x"), F.col("mask").alias("other"))
+        else:
+            grown = states.join(small_side(named.select(F.col("from").alias("p"), F.col("p").alias("to"), F.col(ids[-1]).alias("x")), alive), "p")
+            grown = grown.select(F.col("to").alias("p"), "cell", "block", "x", F.col("mask").alias("other"))
+        both = grown.join(masks, ["cell", "block", "x"]).withColumn("mask", F.col("mask").bitwiseAND(F.col("other")))
+        states = durable(both.where("mask <> 0").select("p", "cell", "block", "mask"))
+        left, right = named.select("p", *ids), named.select(*ids[:-1], F.col(ids[-1]).alias(f"i{k + 1}"), F.col("p").alias("q"))
+        joined = left.join(small_side(right, alive), ids[:-1]).where(f"i{k} < i{k + 1}")
+        candidates = durable(joined)
+        n_candidates = candidates.count()
+        if n_candidates == 0:
+            break
+        # an itemset of the class differs from p in its last item only: AND of the two itemsets' masks
+        mine = states.join(small_side(candidates.select("p", "q"), n_candidates), "p")
+        met = mine.join(states.select(F.col("p").alias("q"), "cell", "block", F.col("mask").alias("other")), ["q", "cell", "block"])
+        counted = met.groupBy("p", "q").agg(F.sum(F.bit_count(F.col("mask").bitwiseAND(F.col("other")))).cast("bigint").alias("support_count"))
+        frequent = counted.where(f"support_count >= {enc.threshold}")
+        level = durable(
+            frequent.join(small_side(candidates, n_candidates), ["p", "q"]).select(*ids, f"i{k + 1}", F.col("p").alias("from"), "support_count")
+        )
+        alive, k = level.count(), k + 1
+        found = found.unionByName(_id_rows(level, k))
+    return _decode(found, enc)
 
 
 def _fpgrowth(enc: Encoded, max_len: int | None) -> DataFrame:
@@ -197,9 +227,7 @@ def _fpgrowth(enc: Encoded, max_len: int | None) -> DataFrame:
     if enc.n_items < 2 or max_len == 1:
         return _decode(singles, enc)
     # single-item baskets add nothing beyond the item counts already known
-    reduced = durable(
-        enc.coded.groupBy("tid").agg(F.collect_list("id").alias("ids")).where(F.size("ids") > 1).select("ids")
-    )
+    reduced = durable(reduced_baskets(enc))
     n = reduced.count()
     if n < enc.threshold:
         return _decode(singles, enc)

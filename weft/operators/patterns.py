@@ -10,10 +10,11 @@ GSP, SPADE and CM-SPADE share two vertical tables:
 
 Pattern ``Q -> X`` is contained in a sequence exactly when X occurs after the
 earliest end of Q, that is, when the last occurrence of X lies after it. So
-support needs one row per sequence with the last position of each itemset it
-holds; positions are read only to build the states of patterns found frequent.
-No positions are paired with each other and no sequence is held whole. Chunks
-of very long sequences are salted.
+support needs one row per sequence and itemset with the last position of the
+itemset there. Candidates are attached to the states of their prefix first, so
+a level joins only rows that can count for a candidate; positions are read only
+to build the states of patterns found frequent. No positions are paired with
+each other and no sequence is held whole.
 
 Frequent patterns carry integer ids, so states and occurrences stay narrow and
 joins run on integers; a single item's pattern id is its item id. The small
@@ -25,18 +26,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.fpm import PrefixSpan
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import min_count, mllib_support
-from ..runtime import BROADCAST_ROWS, cached, durable, require_columns, small_side, with_rarest_item
+from ..runtime import cached, durable, require_columns, small_side, with_rarest_item
 from .sequences import assemble, dense_index, explode_items
 
 CHUNK = 1024
-# A sequence with more elements than this is spread over several salts per itemset.
-SALT_ELEMENTS = 1_000_000
-# A sequence with more items than this does not go to MLlib as one array.
-NESTED_ITEMS = 1_000_000
 
 
 def _name(elements: Column) -> Column:
@@ -53,23 +50,19 @@ class EncodedSequences:
     threshold: int
     dictionary: DataFrame  # item, id (1-based, item order), support_count
     n_items: int
-    longest: int  # items in the longest sequence
     elements: DataFrame
 
 
 def encode(elements: DataFrame, min_support: float) -> EncodedSequences:
     require_columns(elements, "sequence_id", "position", "items")
     once = explode_items(elements).groupBy("sequence_id", "item").agg(F.count(F.lit(1)).alias("times"))
-    sized = elements.groupBy("sequence_id").agg(F.sum(F.size("items")).alias("n_items"))
-    figures = sized.agg(F.count(F.lit(1)).alias("n"), F.max("n_items").alias("longest")).first()
-    n, longest = figures["n"], figures["longest"] or 0
+    n = elements.select("sequence_id").distinct().count()
     threshold = min_count(min_support, n)
     frequent = once.groupBy("item").agg(F.count(F.lit(1)).alias("support_count")).where(f"support_count >= {threshold}")
-    # at most (average distinct items per sequence / min_support) rows reach this window
     dictionary = durable(
-        frequent.withColumn("id", F.row_number().over(Window.orderBy("item"))).select("item", "id", "support_count")
+        dense_index(frequent, "item", "id").select("item", F.col("id").cast("int").alias("id"), "support_count")
     )
-    return EncodedSequences(n, threshold, dictionary, dictionary.count(), longest, elements)
+    return EncodedSequences(n, threshold, dictionary, dictionary.count(), elements)
 
 
 def frequent_items(elements: DataFrame, min_support: float) -> DataFrame:
@@ -85,25 +78,14 @@ def _item_occurrences(enc: EncodedSequences) -> DataFrame:
     coded = explode_items(enc.elements).join(
         small_side(enc.dictionary.select("item", F.col("id").alias("x")), enc.n_items), "item"
     )
-    chunks = (
-        coded.groupBy("x", "sequence_id", F.expr(f"position div {CHUNK}").alias("chunk"))
-        .agg(F.sort_array(F.collect_list("position")).alias("positions"), F.max("position").alias("last"))
-    )
-    if enc.longest <= SALT_ELEMENTS:
-        return chunks.withColumn("salts", F.lit(1)).withColumn("salt", F.lit(0))
-    # at most (items / SALT_ELEMENTS) sequences are this long
-    spread = enc.elements.groupBy("sequence_id").agg(F.max("position").alias("_n")).where(f"_n > {SALT_ELEMENTS}")
-    spread = spread.select("sequence_id", F.expr(f"cast(ceil(_n / {SALT_ELEMENTS}D) AS int)").alias("salts"))
-    return (
-        chunks.join(F.broadcast(spread), "sequence_id", "left")
-        .withColumn("salts", F.coalesce("salts", F.lit(1)))
-        .withColumn("salt", F.pmod(F.col("chunk"), F.col("salts")).cast("int"))
+    return coded.groupBy("x", "sequence_id", F.expr(f"position div {CHUNK}").alias("chunk")).agg(
+        F.sort_array(F.collect_list("position")).alias("positions"), F.max("position").alias("last")
     )
 
 
 def _first_states(occurrences: DataFrame) -> DataFrame:
     """Earliest end of the one-element pattern made of each itemset."""
-    return occurrences.groupBy(F.col("x").alias("p"), "sequence_id", "salts").agg(
+    return occurrences.groupBy(F.col("x").alias("p"), "sequence_id").agg(
         F.min(F.element_at("positions", 1)).alias("f")
     )
 
@@ -119,66 +101,46 @@ def _intersect(occurrences: DataFrame, candidates: DataFrame, rows: int) -> Data
         .join(right, ["sequence_id", "b", "chunk"])
         .select(
             "grown", "b", "sequence_id", "chunk",
-            F.array_intersect("positions", "_more").alias("positions"), "salts", "salt",
+            F.array_intersect("positions", "_more").alias("positions"),
         )
         .where(F.size("positions") > 0)
         .withColumn("last", F.element_at("positions", -1))
     )
 
 
-def _last_ends(occurrences: DataFrame, one_chunk: bool) -> DataFrame:
-    """Per sequence the last position of each itemset it holds; bounded by the itemsets, not by the sequence."""
-    ends = occurrences.select("sequence_id", "x", "last")
-    if not one_chunk:
-        ends = ends.groupBy("sequence_id", "x").agg(F.max("last").alias("last"))
-    return ends.groupBy("sequence_id").agg(F.collect_list(F.struct("x", "last")).alias("ends"))
+def _last_ends(occurrences: DataFrame) -> DataFrame:
+    """The last position of each itemset in each sequence."""
+    return occurrences.groupBy("sequence_id", "x").agg(F.max("last").alias("last"))
 
 
 def _count_after(states: DataFrame, ends: DataFrame, candidates: DataFrame, rows: int) -> DataFrame:
-    """Support of ``q -> x``. States are unique per (pattern, sequence), so rows are sequences."""
-    probes = (
-        states.select("sequence_id", F.col("p").alias("q"), "f")
-        .join(ends, "sequence_id")
-        .select("q", "f", F.inline("ends"))
-        .where("last > f")
-    )
+    """Support of the candidates ``q -> x``. States are unique per (pattern, sequence), so rows are sequences."""
+    probes = states.select("sequence_id", F.col("p").alias("q"), "f").join(small_side(candidates.select("q", "x"), rows), "q")
     return (
-        probes.join(small_side(candidates.select("q", "x"), rows), ["q", "x"], "left_semi")
+        probes.join(ends, ["sequence_id", "x"])
+        .where("last > f")
         .groupBy("q", "x")
         .agg(F.count(F.lit(1)).alias("support_count"))
     )
 
 
-def _advance(states: DataFrame, occurrences: DataFrame, level: DataFrame, rows: int, one_chunk: bool) -> DataFrame:
+def _advance(states: DataFrame, occurrences: DataFrame, level: DataFrame, rows: int) -> DataFrame:
     """States of the pattern ``id = q -> x``: the first occurrence of ``x`` after the earliest end of ``q``."""
     left = states.join(small_side(level.select("id", F.col("q").alias("p"), "x"), rows), "p").drop("p")
-    keys = ["sequence_id", "x"]
-    if not one_chunk:
-        left = left.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-        keys.append("salt")
-    later = left.join(occurrences.select(*keys, "positions", "last"), keys).where("last > f")
+    later = left.join(occurrences.select("sequence_id", "x", "positions", "last"), ["sequence_id", "x"]).where("last > f")
     after = F.get(F.filter("positions", lambda p: p > F.col("f")), F.lit(0))
-    moved = later.select(F.col("id").alias("p"), "sequence_id", "salts", after.alias("f"))
-    if one_chunk:
-        return moved
-    return moved.groupBy("p", "sequence_id", "salts").agg(F.min("f").alias("f"))
+    return later.groupBy(F.col("id").alias("p"), "sequence_id").agg(F.min(after).alias("f"))
 
 
-def _count_itemsets(grown_sets: DataFrame, one_chunk: bool) -> DataFrame:
-    """Sequences per new itemset; with one chunk per sequence the rows are distinct already."""
-    once = grown_sets.select("grown", "b", "sequence_id")
-    if not one_chunk:
-        once = once.distinct()
+def _count_itemsets(grown_sets: DataFrame) -> DataFrame:
+    """Sequences per new itemset."""
+    once = grown_sets.select("grown", "b", "sequence_id").distinct()
     return once.groupBy("grown", "b").agg(F.count(F.lit(1)).alias("support_count"))
 
 
-def _numbered(level: DataFrame, alive: int, base: int) -> DataFrame:
+def _numbered(level: DataFrame, base: int) -> DataFrame:
     """Pattern ids after ``base``, in name order."""
-    if alive > BROADCAST_ROWS:
-        indexed = dense_index(level, "name", "id")
-    else:
-        indexed = level.withColumn("id", F.row_number().over(Window.orderBy("name")))
-    return indexed.withColumn("id", (F.col("id") + base).cast("int"))
+    return dense_index(level, "name", "id").withColumn("id", (F.col("id") + base).cast("int"))
 
 
 # -- candidate rules ------------------------------------------------------------------------------
@@ -311,11 +273,10 @@ def _grow(elements: DataFrame, min_support: float, rule: str, max_items: int | N
     occurrences = states = ends = pair_map = None
     with cached(elements) as held:
         enc = encode(held, min_support)
-        one_chunk = enc.longest < CHUNK
         if enc.n_items and max_items != 1:
             occurrences = durable(_item_occurrences(enc))
             states = durable(_first_states(occurrences))
-            ends = durable(_last_ends(occurrences, one_chunk))
+            ends = durable(_last_ends(occurrences))
     level = enc.dictionary.select(F.array(F.array("id")).alias("els"), "support_count", "id")
     level = level.withColumn("name", F.col("id").cast("string"))
     found, known = level.select("els", "support_count"), level.select("name", "id")
@@ -343,14 +304,14 @@ def _grow(elements: DataFrame, min_support: float, rule: str, max_items: int | N
             grown_sets = _intersect(occurrences, sets, shape["n_single"])
             if k != max_items:
                 grown_sets = durable(grown_sets)
-            counted = _count_itemsets(grown_sets, one_chunk).where(f"support_count >= {enc.threshold}")
+            counted = _count_itemsets(grown_sets).where(f"support_count >= {enc.threshold}")
             level = level.unionByName(counted.join(small_side(sets, shape["n_single"]), ["grown", "b"]).select(*columns))
         level = durable(level)
         alive = level.count()
         found = found.unionByName(level.select("els", "support_count"))
         if k == max_items or alive == 0:  # no further level reads match states
             break
-        level = _numbered(level, alive, n_known)
+        level = _numbered(level, n_known)
         known, n_known = known.unionByName(level.select("name", "id")), n_known + alive
         if k == 2 and rule == "cm":
             flat = F.flatten("els")
@@ -360,13 +321,13 @@ def _grow(elements: DataFrame, min_support: float, rule: str, max_items: int | N
                 F.get(flat, F.lit(1)).alias("z"),
             )
             n_pairs = alive
-        moved = _advance(states, occurrences, level.where("NOT single"), alive, one_chunk)
+        moved = _advance(states, occurrences, level.where("NOT single"), alive)
         if grown_sets is not None:
             kept = small_side(level.where("single").select("grown", "b", F.col("id").alias("x")), alive)
-            fresh = grown_sets.join(kept, ["grown", "b"]).select(*occurrences.columns)
+            fresh = durable(grown_sets.join(kept, ["grown", "b"]).select(*occurrences.columns))
             moved = moved.unionByName(_first_states(fresh))
             occurrences = occurrences.unionByName(fresh)
-            ends = durable(_last_ends(occurrences, one_chunk))
+            ends = ends.unionByName(durable(_last_ends(fresh)))
         states = states.unionByName(durable(moved))
         k += 1
     return _decode(found, enc)
@@ -411,15 +372,9 @@ def cm_spade(elements: DataFrame, min_support: float = 0.1, max_items: int | Non
 
 
 def prefixspan(elements: DataFrame, min_support: float = 0.1, max_items: int | None = None, max_elements: int | None = None) -> DataFrame:
-    """MLlib's PrefixSpan on id-coded nested sequences.
-
-    MLlib needs each sequence as one array; when a sequence is too long for
-    that, the vertical miner gives the same patterns.
-    """
+    """MLlib's PrefixSpan on id-coded nested sequences; MLlib holds each sequence as one array of its frequent items."""
     with cached(elements) as held:
         enc = encode(held, min_support)
-        if enc.longest > NESTED_ITEMS:
-            return spade(held, min_support, max_items, max_elements)
         if enc.n_items == 0:
             return _decode(enc.dictionary.select(F.array(F.array("id")).alias("els"), "support_count"), enc)
         coded = (
@@ -454,11 +409,12 @@ ALGORITHMS = {"prefixspan": prefixspan, "gsp": gsp, "spade": spade, "cm_spade":
 def match_patterns(elements: DataFrame, patterns: DataFrame) -> DataFrame:
     """``(pattern, sequence_id)`` for every given pattern a sequence contains.
 
-    ``patterns`` has a text key ``pattern`` and nested ``elements``. Works
-    element by element on match states, so neither the sequences nor the
-    pattern x sequence product is ever laid out.
+    ``patterns`` has a key ``pattern`` and nested ``elements``. Works element
+    by element on match states, so neither the sequences nor the pattern x
+    sequence product is ever laid out. Every sequence holds the empty pattern.
     """
-    given = durable(patterns.select("pattern", "elements").where(F.size("elements") > 0).distinct())
+    named = durable(patterns.select("pattern", "elements").distinct())
+    given = named.where(F.size("elements") > 0)
     figures = given.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("elements")).alias("longest")).first()
     n, longest = figures["n"], figures["longest"] or 0
     key = lambda e: F.array_join(F.sort_array(e), "\u0001")
@@ -466,7 +422,7 @@ def match_patterns(elements: DataFrame, patterns: DataFrame) -> DataFrame:
     steps = steps.select("pattern", "length", "at", key(F.col("e")).alias("x"), F.sort_array("e").alias("e"))
     n_wanted = n * max(longest, 1)
     sets = steps.select(F.col("e").alias("items")).distinct()
-    wanted = with_rarest_item(sets, n_wanted, explode_items(elements)).select(
+    wanted = with_rarest_item(sets, explode_items(elements)).select(
         key(F.col("items")).alias("x"), F.col("items").alias("e"), "item"
     )
     # occurrences of each wanted itemset, found through its rarest item
@@ -483,7 +439,9 @@ def match_patterns(elements: DataFrame, patterns: DataFrame) -> DataFrame:
         .groupBy("pattern", "length", "sequence_id")
         .agg(F.min(F.element_at("positions", 1)).alias("f"))
     )
-    done = [states.where("false").select("pattern", "sequence_id")] if longest == 0 else []
+    done = [states.where("false").select("pattern", "sequence_id")]
+    for row in named.where(F.size("elements") == 0).select("pattern").collect():
+        done.append(elements.select(F.lit(row["pattern"]).alias("pattern"), "sequence_id").distinct())
     for i in range(1, longest + 1):
         done.append(states.where(F.col("length") == i).select("pattern", "sequence_id"))
         if i == longest:

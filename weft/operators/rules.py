@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # 2**12 masks per row at each of the two expansion steps
 _LOW_BITS = 12
+# A larger itemset has more splits than a table can hold; it is an error, not a shorter result.
+MOST_ITEMS = 40
 
 
 def _splits(itemsets: DataFrame) -> DataFrame:
@@ -17,8 +19,11 @@ def _splits(itemsets: DataFrame) -> DataFrame:
     the itemset table itself, so the unfolding stays linear in that table's own growth.
     """
     low = f"least(size, {_LOW_BITS})"
+    bounded = F.when(F.col("size") <= MOST_ITEMS, F.col("size")).otherwise(
+        F.raise_error(F.concat(F.lit("rules of an itemset of more items than can be split: "), F.col("size").cast("string"))).cast("int")
+    )
     masked = (
-        itemsets.where("size >= 2")
+        itemsets.where("size >= 2").withColumn("size", bounded)
         .withColumn("_hi", F.explode(F.expr(f"sequence(0L, shiftleft(1L, size - {low}) - 1)")))
         .withColumn("_lo", F.explode(F.expr(f"sequence(0L, shiftleft(1L, {low}) - 1)")))
         .withColumn("_m", F.expr(f"shiftleft(_hi, {low}) | _lo"))

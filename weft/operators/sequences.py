@@ -219,11 +219,12 @@ def by_transaction(
 
 
 def custom(df: DataFrame, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """A caller's own builder; it must return ``sequence_id``, ``position`` and ``items``."""
+    """A caller's own builder; it must return ``sequence_id``, ``position`` and ``items``. Null items are dropped."""
     out = df.transform(build)
     require_columns(out, "sequence_id", "position", "items")
     return out.select(
-        "sequence_id", F.col("position").cast("bigint").alias("position"), F.sort_array(F.array_distinct("items")).alias("items")
+        "sequence_id", F.col("position").cast("bigint").alias("position"), 
+        F.sort_array(F.array_distinct(F.filter("items", lambda i: i.isNotNull()))).alias("items"),
     ).where(F.size("items") > 0)
 
 

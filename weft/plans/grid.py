@@ -12,11 +12,10 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from ..functions import min_count
 from ..operators import evaluate, rules as rule_ops
-from ..runtime import durable
+from ..runtime import cached, durable
 
 Miner = Callable[[DataFrame], DataFrame]
 # (found, rules, data) -> table with one row
@@ -77,7 +76,12 @@ class Grid:
             raise ValueError("no algorithms added")
         cells = {}
         for dataset, data in self.datasets.items():
-            data = data.persist(StorageLevel.MEMORY_AND_DISK)
+            cells |= self._cells(dataset, data)
+        return GridResult(cells, len(self.evaluators), "patterns" if self.sequential else "itemsets")
+
+    def _cells(self, dataset: str, rows: DataFrame) -> dict[tuple[str, str], Cell]:
+        cells = {}
+        with cached(rows) as data:
             n_rows = data.select("sequence_id").distinct().count() if self.sequential else data.count()
             for algorithm, miner in self.algorithms.items():
                 began = time.perf_counter()
@@ -95,8 +99,7 @@ class Grid:
                 cells[dataset, algorithm] = Cell(
                     dataset, algorithm, found, rules, n_rows, n_found, n_rules, seconds, durable(metrics)
                 )
-            data.unpersist()
-        return GridResult(cells, len(self.evaluators), "patterns" if self.sequential else "itemsets")
+        return cells
 
 
 def _long(row: DataFrame, dataset: str, algorithm: str, evaluator: str) -> DataFrame:

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-# A side is broadcast only after its row count was compared with this bound.
-BROADCAST_ROWS = 1_000_000
+# A side is broadcast only after its size was compared with this bound.
+BROADCAST_BYTES = 64 << 20
 
 
 def build_session(app: str = "weft", cores: str = "8", memory: str = "12g") -> SparkSession:
@@ -55,9 +55,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{_shared_root(spark).rstrip('/')}/weft-{label}-{uuid.uuid4().hex}"
 
 
-def small_side(df: DataFrame, rows: int, limit: int | None = None) -> DataFrame:
+def table_bytes(df: DataFrame, rows: int) -> int:
+    """Size of ``rows`` counted rows by the widths Spark gives their types."""
+    return rows * df._jdf.schema().defaultSize()
+
+
+def small_side(df: DataFrame, rows: int) -> DataFrame:
     """Hint a broadcast when the counted ``rows`` stay within the bound; otherwise leave the join to AQE."""
-    return F.broadcast(df) if rows <= (BROADCAST_ROWS if limit is None else limit) else df
+    return F.broadcast(df) if table_bytes(df, rows) <= BROADCAST_BYTES else df
 
 
 @contextmanager
@@ -73,16 +78,16 @@ def cached(df: DataFrame) -> Iterator[DataFrame]:
         held.unpersist()
 
 
-def with_rarest_item(sets: DataFrame, n_sets: int, data_items: DataFrame) -> DataFrame:
+def with_rarest_item(sets: DataFrame, data_items: DataFrame) -> DataFrame:
     """Add ``item``: of each set's ``items`` the one with the fewest rows in ``data_items``.
 
     Looking sets up through their rarest item keeps a very common item from
     matching every row with every set. A set with an item that never occurs drops out.
     """
     slots = sets.select("items", F.explode("items").alias("item"))
-    wanted = slots.select("item").distinct()
+    wanted = durable(slots.select("item").distinct())
     counts = (
-        data_items.join(small_side(wanted, n_sets), "item", "left_semi")
+        data_items.join(small_side(wanted, wanted.count()), "item", "left_semi")
         .groupBy("item")
         .agg(F.count(F.lit(1)).alias("_rows"))
     )

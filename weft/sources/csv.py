@@ -8,7 +8,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.clean import parse_dates
 
-_EXTRA = "_extra"
+_RAW = "_raw"
 
 
 def scan_csv(
@@ -19,9 +19,16 @@ def scan_csv(
     date_format: str | None = None,
     sep: str = ",",
     encoding: str = "utf-8",
+    multi_line: bool = False,
+    **options: str,
 ) -> DataFrame:
-    """CSV with a header; a missing path is an error. Give a schema to avoid the inference pass."""
+    """CSV with a header; a missing path is an error. Give a schema to avoid the inference pass.
+
+    A quote inside a quoted field is doubled. With ``multi_line`` quoted fields
+    may hold line breaks; such a file is not split. Other options go to the reader.
+    """
     reader = spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
+    reader = reader.option("escape", '"').option("multiLine", multi_line).options(**options)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     df = trim_names(reader.csv(path))
     return parse_dates(df, parse_date_columns, date_format) if parse_date_columns else df
@@ -45,23 +52,31 @@ def scan_csv_dialect(
     decimal_columns: list[str] | None = None,
     encoding: str = "utf-8",
     header: bool = True,
+    **options: str,
 ) -> DataFrame:
     """Text columns of a CSV dialect.
 
-    Lines with too many fields are skipped, short ones are padded with nulls.
-    An extra last column catches the surplus, which the parser modes alone do not tell apart.
+    Lines with too many fields, blank ones counted, are skipped; short ones are
+    padded with nulls. The parser keeps the text of any line of another length,
+    and its fields are counted outside quotes.
     """
     wanted = [c.strip() for c in columns]
-    fields = [StructField(c, StringType()) for c in [*wanted, _EXTRA]]
+    fields = [StructField(c, StringType()) for c in [*wanted, _RAW]]
     raw = (
         spark.read.schema(StructType(fields))
         .option("header", header)
         .option("enforceSchema", True)
         .option("sep", sep)
         .option("encoding", encoding)
+        .option("escape", '"')
+        .option("columnNameOfCorruptRecord", _RAW)
+        .option("columnPruning", False)
+        .options(**options)
         .csv(path)
     )
-    kept = raw.where(F.col(_EXTRA).isNull()).drop(_EXTRA)
+    bare = F.regexp_replace(_RAW, '"([^"]|"")*"', "")
+    marks = (F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit("")))) / len(sep)
+    kept = raw.where(F.col(_RAW).isNull() | (marks < len(wanted))).drop(_RAW)
     return kept.withColumns({c: decimal_number(c, decimal) for c in decimal_columns or []})
 
 

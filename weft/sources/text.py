@@ -28,10 +28,12 @@ def write_sequence_text(coded_elements: DataFrame, path: str) -> None:
 def parse_pattern_lines(lines: DataFrame, dictionary: DataFrame | None = None) -> DataFrame:
     """``value`` lines such as ``1 -1 3 -1 #SUP: 42`` to patterns.
 
-    Lines without ``#SUP:`` are skipped and tokens after ``-2`` are ignored.
+    Lines without ``#SUP:`` are skipped and tokens after ``-2`` are ignored; a line that occurs twice gives two rows.
     With a dictionary ids become items; an unknown id stays as its number.
     """
-    split = lines.where(F.contains(F.col("value"), F.lit("#SUP:"))).select(
+    numbered = lines.withColumn("_line", F.monotonically_increasing_id())
+    split = numbered.where(F.contains(F.col("value"), F.lit("#SUP:"))).select(
+        "_line",
         F.trim(F.substring_index("value", "#SUP:", 1)).alias("pattern"),
         F.trim(F.get(F.split("value", "#SUP:"), F.lit(1))).cast("bigint").alias("support_count"),
     )
@@ -42,19 +44,19 @@ def parse_pattern_lines(lines: DataFrame, dictionary: DataFrame | None = None) -
         lambda e: F.filter(F.split(F.trim(e), r"\s+"), lambda t: t != ""),
     )
     parsed = split.select(
-        "pattern", "support_count", F.filter(tokens, lambda e: F.size(e) > 0).alias("elements")
+        "_line", "support_count", F.filter(tokens, lambda e: F.size(e) > 0).alias("elements")
     )
     if dictionary is None:
         return parsed.select("elements", F.size("elements").alias("n_elements"), "support_count")
     names = dictionary.select(F.col("item_id").cast("string").alias("token"), "item")
     decoded = (
-        parsed.select("pattern", "support_count", F.posexplode("elements").alias("at", "e"))
-        .select("pattern", "support_count", "at", F.posexplode("e").alias("slot", "token"))
+        parsed.select("_line", "support_count", F.posexplode("elements").alias("at", "e"))
+        .select("_line", "support_count", "at", F.posexplode("e").alias("slot", "token"))
         .join(names, "token", "left")
         .withColumn("item", F.coalesce("item", "token"))
-        .groupBy("pattern", "support_count", "at")
+        .groupBy("_line", "support_count", "at")
         .agg(F.sort_array(F.collect_list(F.struct("slot", "item"))).alias("e"))
-        .groupBy("pattern", "support_count")
+        .groupBy("_line", "support_count")
         .agg(F.sort_array(F.collect_list(F.struct("at", "e"))).alias("els"))
     )
     return decoded.select(

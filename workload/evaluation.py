@@ -105,11 +105,15 @@ def itemset_size_distribution(spark, sf):
     return evaluate.size_distribution(itemsets.fpgrowth(data.type_baskets(spark, sf), TYPE))
 
 
-def _profile(spark, rows):
-    return spark.createDataFrame(list(rows.items()), "metric string, value double")
+def _profile(spark, figures):
+    """Times differ from run to run; rates times seconds are the counts, and are shown."""
+    seconds = figures.pop("execution_time")
+    counts = {k.removesuffix("_per_second"): round(v * seconds) for k, v in figures.items()}
+    schema = ", ".join(f"{k} bigint" for k in counts)
+    return spark.createDataFrame([(*counts.values(), seconds > 0)], f"{schema}, timed boolean")
 
 
-@query("fp_run_profile")
+@query("fp_run_profile", f"WITH {sql.itemsets('brand', BRAND, 4)}, {sql.rules('confidence >= 0.15')} SELECT (SELECT count(*) FROM itemsets) AS itemsets, (SELECT count(*) FROM rules) AS rules, n AS transactions, TRUE AS timed FROM n")
 def fp_run_profile(spark, sf):
     b = data.brand_baskets(spark, sf)
     began = time.perf_counter()
@@ -274,7 +278,7 @@ def sp_data_profile(spark, sf):
     return evaluate.sequence_profile(elements, patterns.prefixspan(elements, PURCHASE, max_items=3))
 
 
-@query("sp_run_profile")
+@query("sp_run_profile", f"WITH {sql.patterns('priority', PRIORITY)}, {sql.sequence_rules(0.5)} SELECT (SELECT count(*) FROM patterns) AS patterns, (SELECT count(*) FROM srules) AS rules, n AS sequences, TRUE AS timed FROM n")
 def sp_run_profile(spark, sf):
     elements = data.priority_sequences(spark, sf)
     began = time.perf_counter()

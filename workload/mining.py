@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from weft.functions import pattern_text, rule_text, truncate
-from weft.operators import itemsets, patterns, rules
+from weft.operators import baskets, itemsets, patterns, rules
 from weft.plans import report
 
 from . import data, sql
@@ -48,6 +48,28 @@ def fpgrowth_itemsets_dense(spark, sf):
     return itemsets.fpgrowth(data.type_baskets(spark, sf), TYPE)
 
 
+# Nearly every pair of part and return flag is an item: many more items than a basket holds.
+_WIDE_ITEM = "CAST(l_partkey AS VARCHAR) || l_returnflag"
+WIDE = 0.00035
+_WIDE_SETS = f"""WITH {sql.itemsets('', WIDE, 2, query=f"SELECT DISTINCT l_orderkey AS tid, {_WIDE_ITEM} AS item FROM lineitem")}
+SELECT {sql.ITEMSET_COLUMNS} FROM itemsets"""
+
+
+def _wide(spark, sf):
+    lines = data.table(spark, sf, "lineitem")
+    return baskets.grouped(lines.withColumn("item", F.concat(F.col("l_partkey").cast("string"), "l_returnflag")), "l_orderkey", "item")
+
+
+@query("apriori_itemsets_wide", _WIDE_SETS)
+def apriori_itemsets_wide(spark, sf):
+    return itemsets.apriori(_wide(spark, sf), WIDE, max_len=2)
+
+
+@query("eclat_itemsets_wide", _WIDE_SETS)
+def eclat_itemsets_wide(spark, sf):
+    return itemsets.eclat(_wide(spark, sf), WIDE, max_len=2)
+
+
 @query("itemsets_maxlen", _TYPE_SETS + " WHERE size <= 2")
 def itemsets_maxlen(spark, sf):
     return itemsets.apriori(data.type_baskets(spark, sf), TYPE, max_len=2)
@@ -231,6 +253,30 @@ def gsp_purchases(spark, sf):
     return patterns.gsp(data.purchase_sequences(spark, sf), PURCHASE, max_items=3)
 
 
+def _four(source: str, support: float) -> str:
+    return f"WITH {sql.patterns(source, support, 4)} SELECT {sql.PATTERN_COLUMNS} FROM patterns"
+
+
+@query("prefixspan_four_items", _four("priority", 0.4))
+def prefixspan_four_items(spark, sf):
+    return patterns.prefixspan(data.priority_sequences(spark, sf), 0.4, max_items=4)
+
+
+@query("gsp_four_items", _four("priority", 0.4))
+def gsp_four_items(spark, sf):
+    return patterns.gsp(data.priority_sequences(spark, sf), 0.4, max_items=4)
+
+
+@query("spade_four_items", _four("purchase", 0.8))
+def spade_four_items(spark, sf):
+    return patterns.spade(data.purchase_sequences(spark, sf), 0.8, max_items=4)
+
+
+@query("cm_spade_four_items", _four("event", 0.97))
+def cm_spade_four_items(spark, sf):
+    return patterns.cm_spade(data.event_sequences(spark, sf), 0.97, max_items=4)
+
+
 @query("patterns_maxlen", _patterns("purchase", PURCHASE) + " WHERE n_elements <= 2")
 def patterns_maxlen(spark, sf):
     return patterns.spade(data.purchase_sequences(spark, sf), PURCHASE, max_items=3, max_elements=2)

@@ -49,9 +49,13 @@ def csv_dialect(spark, sf):
     return csv.scan_csv_dialect(spark, path, [" BillNo", "Price ", "Flag"], decimal_columns=["Price"], header=False)
 
 
-@query("sample_rows")
+@query("sample_rows", "SELECT least(1000, count(*)) AS n, least(1000, count(*)) AS n_distinct, least(1000, count(*)) AS n_known FROM orders")
 def sample_rows(spark, sf):
-    return csv.sample_rows(data.table(spark, sf, "orders"), "o_orderkey", 1000)
+    """The rows of a sample cannot be named in SQL; how many there are, how many differ and how many are known can."""
+    orders = data.table(spark, sf, "orders")
+    sample = csv.sample_rows(orders, "o_orderkey", 1000)
+    known = sample.join(orders.select("o_orderkey", F.lit(1).alias("known")), "o_orderkey", "left")
+    return known.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("o_orderkey").alias("n_distinct"), F.count("known").alias("n_known"))
 
 
 @query("table_scan", "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey FROM customer")
@@ -62,14 +66,16 @@ def table_scan(spark, sf):
 _RULES_BACK = f"WITH {sql.itemsets('type', mining.TYPE, 6)}, {sql.rules('confidence >= 0.4')} SELECT {sql.RULE_COLUMNS} FROM rules"
 
 
-@query("json_sink", _RULES_BACK.replace("round(lift, 6) AS lift", "CAST(round(lift, 4) AS DOUBLE) AS lift"))
+@query("json_sink", _RULES_BACK.replace(" FROM rules", ", round(conviction, 6) AS conviction, certain, round(leverage, 6) AS leverage FROM rules"))
 def json_sink(spark, sf):
     path = scratch_path(spark, "json")
     results.write_json(mining.type_rules(spark, sf), path)
     schema = (
-        "antecedent array<string>, consequent array<string>, support_count bigint, support double, confidence double, lift string"
+        "antecedent array<string>, consequent array<string>, support_count bigint, support double, confidence double, lift double, "
+        "conviction string, leverage double"
     )
-    return spark.read.schema(schema).json(path).withColumn("lift", F.round(F.col("lift").cast("double"), 4))
+    back, certain = spark.read.schema(schema).json(path), F.col("conviction") == "inf"
+    return back.withColumn("certain", certain).withColumn("conviction", F.when(~certain, F.col("conviction").cast("double")))
 
 
 @query("csv_sink", f"WITH {sql.itemsets('brand', mining.BRAND, 4)} SELECT {sql.ITEMSET_COLUMNS} FROM itemsets")

@@ -20,29 +20,32 @@ ELEMENTS = {
 }
 
 
-def itemsets(source: str, support: float, longest: int, prefix: str = "") -> str:
-    """CTEs up to ``{prefix}itemsets(items, size, support_count, support)``."""
+def itemsets(source: str, support: float, longest: int, prefix: str = "", query: str | None = None) -> str:
+    """CTEs up to ``{prefix}itemsets(items, size, support_count, support)``; level k grows from the sets of level k - 1."""
     p = prefix
     ctes = [
-        f"{p}pairs AS ({PAIRS[source]})",
-        f"{p}n AS (SELECT count(DISTINCT tid) AS n FROM {p}pairs)",
-        f"{p}th AS (SELECT greatest(1, ceil({support} * n - 1e-9)) AS c FROM {p}n)",
-        f"{p}f AS (SELECT * FROM {p}pairs WHERE item IN (SELECT item FROM {p}pairs GROUP BY item "
+        f"{p}pairs AS MATERIALIZED ({query or PAIRS[source]})",
+        f"{p}n AS MATERIALIZED (SELECT count(DISTINCT tid) AS n FROM {p}pairs)",
+        f"{p}th AS MATERIALIZED (SELECT greatest(1, ceil({support} * n - 1e-9)) AS c FROM {p}n)",
+        f"{p}f AS MATERIALIZED (SELECT * FROM {p}pairs WHERE item IN (SELECT item FROM {p}pairs GROUP BY item "
         f"HAVING count(*) >= (SELECT c FROM {p}th)))",
+        f"{p}o1 AS (SELECT tid, [item] AS items, item AS last_item FROM {p}f)",
     ]
     levels = []
     for k in range(1, longest + 1):
-        items = ", ".join(f"t{i}.item" for i in range(1, k + 1))
-        joins = " ".join(
-            f"JOIN {p}f t{i} ON t{i}.tid = t1.tid AND t{i}.item > t{i - 1}.item" for i in range(2, k + 1)
-        )
-        levels.append(
-            f"SELECT [{items}] AS items, {k} AS size, count(*) AS support_count FROM {p}f t1 {joins} "
-            f"GROUP BY {items} HAVING count(*) >= (SELECT c FROM {p}th)"
+        if k > 1:
+            ctes.append(
+                f"{p}o{k} AS MATERIALIZED (SELECT o.tid, list_append(o.items, t.item) AS items, t.item AS last_item FROM {p}o{k - 1} o "
+                f"JOIN {p}s{k - 1} s ON s.items = o.items JOIN {p}f t ON t.tid = o.tid AND t.item > o.last_item)"
+            )
+        ctes.append(
+            f"{p}s{k} AS MATERIALIZED (SELECT items, {k} AS size, count(*) AS support_count FROM {p}o{k} GROUP BY items "
+            f"HAVING count(*) >= (SELECT c FROM {p}th))"
         )
+        levels.append(f"SELECT * FROM {p}s{k}")
     body = " UNION ALL ".join(levels)
     ctes.append(
-        f"{p}itemsets AS (SELECT items, CAST(size AS BIGINT) AS size, support_count, "
+        f"{p}itemsets AS MATERIALIZED (SELECT items, CAST(size AS BIGINT) AS size, support_count, "
         f"support_count / (SELECT n FROM {p}n) AS support FROM ({body}))"
     )
     return ", ".join(ctes)
@@ -51,12 +54,12 @@ def itemsets(source: str, support: float, longest: int, prefix: str = "") -> str
 def rules(condition: str, prefix: str = "") -> str:
     """CTE ``{prefix}rules`` over ``{prefix}itemsets``; every split by bit mask."""
     p = prefix
-    return f"""{p}splits AS (
+    return f"""{p}splits AS MATERIALIZED (
       SELECT list_filter(items, lambda x, i: ((m >> (i - 1)) & 1) = 1) AS antecedent,
              list_filter(items, lambda x, i: ((m >> (i - 1)) & 1) = 0) AS consequent,
              support_count, support
       FROM (SELECT *, unnest(generate_series(1, (1 << size) - 2)) AS m FROM {p}itemsets WHERE size >= 2)),
-    {p}rules AS (
+    {p}rules AS MATERIALIZED (
       SELECT * FROM (
         SELECT s.antecedent, s.consequent, s.support_count, s.support,
                s.support_count / a.support_count AS confidence,
@@ -80,33 +83,39 @@ RULE_COLUMNS = (
 ITEMSET_COLUMNS = f"{text('items')} AS items, size, support_count, round(support, 6) AS support"
 
 
-def patterns(source: str, support: float) -> str:
-    """CTEs up to ``patterns(key, n_elements, n_items, support_count, support)`` for up to three items."""
-    return f"""elems AS ({ELEMENTS[source]}),
-    n AS (SELECT count(DISTINCT sid) AS n FROM elems),
-    th AS (SELECT greatest(1, ceil({support} * n - 1e-9)) AS c FROM n),
-    o1 AS (SELECT sid, pos, item FROM elems WHERE item IN (
+def patterns(source: str, support: float, longest: int = 3) -> str:
+    """CTEs up to ``patterns(key, n_elements, n_items, support_count, support)`` for up to ``longest`` items.
+
+    ``e`` holds where each itemset of an element occurs, ``c`` the earliest end of each chain of such itemsets.
+    """
+    sets, chains = [], []
+    for m in range(2, longest + 1):
+        sets.append(
+            f"i{m} AS MATERIALIZED (SELECT a.sid, a.pos, a.k || '|' || b.item AS k, b.item AS last_item, {m} AS m FROM i{m - 1} a JOIN o1 b "
+            f"ON a.sid = b.sid AND a.pos = b.pos AND a.last_item < b.item)"
+        )
+    for j in range(2, longest + 1):
+        chains.append(
+            f"c{j} AS MATERIALIZED (SELECT c.sid, c.key || '>' || e.k AS key, {j} AS n_elements, c.n_items + e.m AS n_items, min(e.pos) AS lo "
+            f"FROM c{j - 1} c JOIN e ON c.sid = e.sid AND e.pos > c.lo AND c.n_items + e.m <= {longest} GROUP BY ALL)"
+        )
+    every = " UNION ALL ".join(f"SELECT sid, pos, k, m FROM i{m}" for m in range(1, longest + 1))
+    held = " UNION ALL ".join(f"SELECT sid, key, n_elements, n_items FROM c{j}" for j in range(1, longest + 1))
+    return f"""elems AS MATERIALIZED ({ELEMENTS[source]}),
+    n AS MATERIALIZED (SELECT count(DISTINCT sid) AS n FROM elems),
+    th AS MATERIALIZED (SELECT greatest(1, ceil({support} * n - 1e-9)) AS c FROM n),
+    o1 AS MATERIALIZED (SELECT sid, pos, item FROM elems WHERE item IN (
       SELECT item FROM elems GROUP BY item HAVING count(DISTINCT sid) >= (SELECT c FROM th))),
-    o2 AS (SELECT a.sid, a.pos, a.item AS x, b.item AS y FROM o1 a JOIN o1 b
-      ON a.sid = b.sid AND a.pos = b.pos AND a.item < b.item),
-    o3 AS (SELECT a.sid, a.pos, a.x || '|' || a.y || '|' || b.item AS k FROM o2 a JOIN o1 b
-      ON a.sid = b.sid AND a.pos = b.pos AND a.y < b.item),
-    e1 AS (SELECT sid, item AS k, min(pos) AS lo, max(pos) AS hi FROM o1 GROUP BY ALL),
-    e2 AS (SELECT sid, x || '|' || y AS k, min(pos) AS lo, max(pos) AS hi FROM o2 GROUP BY ALL),
-    s2 AS (SELECT a.sid, a.k || '>' || b.item AS k, min(b.pos) AS lo FROM e1 a JOIN o1 b
-      ON a.sid = b.sid AND b.pos > a.lo GROUP BY ALL),
-    held AS (
-      SELECT sid, k AS key, 1 AS n_elements, 1 AS n_items FROM e1
-      UNION ALL SELECT sid, k, 1, 2 FROM e2
-      UNION ALL SELECT DISTINCT sid, k, 1, 3 FROM o3
-      UNION ALL SELECT sid, k, 2, 2 FROM s2
-      UNION ALL SELECT a.sid, a.k || '>' || b.k, 2, 3 FROM e2 a JOIN e1 b ON a.sid = b.sid AND a.lo < b.hi
-      UNION ALL SELECT a.sid, a.k || '>' || b.k, 2, 3 FROM e1 a JOIN e2 b ON a.sid = b.sid AND a.lo < b.hi
-      UNION ALL SELECT a.sid, a.k || '>' || b.k, 3, 3 FROM s2 a JOIN e1 b ON a.sid = b.sid AND a.lo < b.hi),
-    patterns AS (
+    i1 AS MATERIALIZED (SELECT sid, pos, item AS k, item AS last_item, 1 AS m FROM o1),
+    {", ".join(sets)},
+    e AS MATERIALIZED (SELECT DISTINCT * FROM ({every})),
+    c1 AS MATERIALIZED (SELECT sid, k AS key, 1 AS n_elements, m AS n_items, min(pos) AS lo FROM e GROUP BY ALL),
+    {", ".join(chains)},
+    held AS MATERIALIZED ({held}),
+    patterns AS MATERIALIZED (
       SELECT key, CAST(n_elements AS BIGINT) AS n_elements, CAST(n_items AS BIGINT) AS n_items,
              count(*) AS support_count, count(*) / (SELECT n FROM n) AS support
-      FROM held GROUP BY ALL HAVING count(*) >= (SELECT c FROM th))"""
+      FROM held GROUP BY key, n_elements, n_items HAVING count(*) >= (SELECT c FROM th))"""
 
 
 PATTERN_COLUMNS = "key AS elements, n_elements, n_items, support_count, round(support, 6) AS support"

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from weft.operators import evaluate, itemsets, patterns, rules
 from weft.plans import grid
-from weft.runtime import durable
+from weft.runtime import durable, scratch_path
+from weft.sources import results
 
 from . import data, sql
 from .mining import BRAND, PRIORITY, TYPE
@@ -68,24 +69,80 @@ def pipeline_summary(spark, sf):
     return _grid(spark, sf).summary().drop("total_execution_time")
 
 
-@query("algorithm_comparison")
+def _compared() -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{dataset}' AS dataset, '{algorithm}' AS algorithm, (SELECT count(*) FROM {p}itemsets) AS n_itemsets, "
+        f"(SELECT count(*) FROM {p}rules) AS n_rules, TRUE AS timed"
+        for dataset, p in (("brand", "b_"), ("type", "t_")) for algorithm in itemsets.ALGORITHMS
+    )
+
+
+@query("algorithm_comparison", f"{_GRID} {_compared()}")
 def algorithm_comparison(spark, sf):
-    return _grid(spark, sf).comparison()
+    """Times differ from run to run; that they were taken, and that the rate is baskets over seconds, does not."""
+    g = _grid(spark, sf)
+    n = {d: g.get(d, "apriori").n_rows for d in ("brand", "type")}
+    rows = F.when(F.col("dataset") == "brand", n["brand"]).otherwise(n["type"])
+    rate = F.abs(F.col("throughput") * F.col("seconds") - rows) < 0.001
+    return g.comparison().select("dataset", "algorithm", "n_itemsets", "n_rules", ((F.col("seconds") > 0) & rate).alias("timed"))
 
 
 @query(
     "sp_pipeline_grid",
     f"""WITH {sql.patterns('priority', PRIORITY)}, {sql.sequence_rules(0.5)}
     SELECT 'priority' AS dataset, a AS algorithm, 'run' AS evaluator, m AS metric, CAST(v AS DOUBLE) AS value
-    FROM (SELECT unnest(['gsp', 'prefixspan']) AS a), (SELECT 'n_patterns' AS m, count(*) AS v FROM patterns
-      UNION ALL SELECT 'n_rules', count(*) FROM srules UNION ALL SELECT 'n_sequences', n FROM n)""",
+    FROM (SELECT unnest(['gsp', 'prefixspan', 'spade', 'cm_spade']) AS a), (SELECT 'n_patterns' AS m, count(*) AS v FROM patterns
+      UNION ALL SELECT 'n_rules', count(*) FROM srules UNION ALL SELECT 'n_sequences', n FROM n)
+    UNION ALL SELECT 'priority', a, e, m, round(CAST(v AS DOUBLE), 6)
+    FROM (SELECT unnest(['gsp', 'prefixspan', 'spade', 'cm_spade']) AS a), (
+      SELECT 'coverage' AS e, 'total_items' AS m, count(DISTINCT item) AS v FROM elems
+      UNION ALL SELECT 'coverage', 'item_coverage', (SELECT count(DISTINCT i) FROM (SELECT unnest(regexp_split_to_array(key, '[>|]')) AS i FROM patterns))
+        / count(DISTINCT item) FROM elems
+      UNION ALL SELECT 'quality', 'total_rules', count(*) FROM srules
+      UNION ALL SELECT 'quality', 'avg_confidence', coalesce(avg(confidence), 0) FROM srules
+      UNION ALL SELECT 'quality', 'max_pattern_length', max(n_elements) FROM patterns
+      UNION ALL SELECT 'profile', 'avg_pattern_size', avg(n_elements) FROM patterns
+      UNION ALL SELECT 'profile', 'max_sequence_length', max(c) FROM (SELECT count(DISTINCT pos) AS c FROM elems GROUP BY sid))""",
 )
 def sp_pipeline_grid(spark, sf):
+    """Four miners and three evaluators."""
+    shown = ["n_patterns", "n_rules", "n_sequences", "total_items", "item_coverage", "total_rules", "avg_confidence",
+             "max_pattern_length", "avg_pattern_size", "max_sequence_length"]
+    return _sp_grid(spark, sf).metrics().where(F.col("metric").isin(shown))
+
+
+def _sp_grid(spark, sf):
     g = grid.Grid(min_confidence=0.5, sequential=True)
     g.add_dataset("priority", data.priority_sequences(spark, sf))
-    g.add_algorithm("prefixspan", partial(patterns.prefixspan, min_support=PRIORITY, max_items=3))
-    g.add_algorithm("gsp", partial(patterns.gsp, min_support=PRIORITY, max_items=3))
-    return g.run().metrics().where(F.col("metric").isin("n_patterns", "n_rules", "n_sequences"))
+    for name, miner in patterns.ALGORITHMS.items():
+        g.add_algorithm(name, partial(miner, min_support=PRIORITY, max_items=3))
+    g.add_evaluator("coverage", lambda found, r, s: evaluate.sequence_coverage(s, found, r))
+    g.add_evaluator("quality", lambda found, r, s: evaluate.sequence_rule_quality(found, r))
+    g.add_evaluator("profile", lambda found, r, s: evaluate.sequence_profile(s, found))
+    return g.run()
+
+
+@query(
+    "grid_json_sink",
+    f"""{_GRID} {" UNION ALL ".join(
+        f"SELECT '{d}' AS dataset, '{a}' AS algorithm, (SELECT count(*) FROM {p}itemsets) AS n_itemsets, (SELECT count(*) FROM {p}rules) AS n_rules, "
+        f"least(20, (SELECT count(*) FROM {p}rules)) AS n_top_rules, least(20, (SELECT count(*) FROM {p}rules)) AS n_lifts, "
+        f"(SELECT max(size) FROM {p}itemsets) AS largest, (SELECT count(*) FROM {p}itemsets WHERE size = 2) AS n_pairs"
+        for d, p in (("brand", "b_"), ("type", "t_")) for a in itemsets.ALGORITHMS)}""",
+)
+def grid_json_sink(spark, sf):
+    """The grid's result files read back: metrics, top rules and size distributions per cell."""
+    path = scratch_path(spark, "grid")
+    results.write_grid_json(_grid(spark, sf), path)
+    metrics = spark.read.json(f"{path}/metrics").where("metric IN ('n_itemsets', 'n_rules', 'max_itemset_size')")
+    cells = metrics.groupBy("dataset", "algorithm").pivot("metric", ["n_itemsets", "n_rules", "max_itemset_size"]).agg(F.max("value").cast("bigint"))
+    top = spark.read.schema("dataset string, algorithm string, lift double").json(f"{path}/top_rules")
+    tops = top.groupBy("dataset", "algorithm").agg(F.count(F.lit(1)).alias("n_top_rules"), F.count("lift").alias("n_lifts"))
+    sizes = spark.read.schema("dataset string, algorithm string, size int, n bigint").json(f"{path}/size_distribution").where("size = 2")
+    joined = cells.join(tops, ["dataset", "algorithm"]).join(sizes, ["dataset", "algorithm"])
+    return joined.select(
+        "dataset", "algorithm", "n_itemsets", "n_rules", "n_top_rules", "n_lifts", F.col("max_itemset_size").alias("largest"), F.col("n").alias("n_pairs")
+    )
 
 
 _SUPPORTS = [0.01, 0.02, 0.05, 0.1, 0.2]
@@ -157,16 +214,28 @@ def dataset_comparison(spark, sf):
     return grid.dataset_comparison(*profiles)
 
 
-@query("fastest_by_threshold")
+@query(
+    "fastest_by_threshold",
+    f"WITH {sql.itemsets('brand', 0.01, 3)} " + " UNION ALL ".join(
+        f"SELECT CAST({s} AS DOUBLE) AS min_support, count(*) AS n_found, TRUE AS known, TRUE AS timed FROM itemsets, n "
+        f"WHERE support_count >= greatest(1, ceil({s} * n - 1e-9))" for s in (0.01, 0.05)
+    ),
+)
 def fastest_by_threshold(spark, sf):
+    """Which one is fastest differs from run to run; what it found, and the relations of the times, do not."""
     b = durable(data.brand_baskets(spark, sf))
     runs = {name: partial(miner, b) for name, miner in itemsets.ALGORITHMS.items()}
-    return grid.fastest(grid.timed_sweep(spark, runs, [0.01, 0.05]))
+    best = grid.fastest(grid.timed_sweep(spark, runs, [0.01, 0.05]))
+    return best.select(
+        "min_support", F.round(F.col("found_per_second") * F.col("seconds")).cast("bigint").alias("n_found"),
+        F.col("fastest").isin(list(runs)).alias("known"),
+        ((F.col("seconds") > 0) & (F.col("total_seconds") >= F.col("seconds"))).alias("timed"),
+    )
 
 
-@query("time_ratio")
+@query("time_ratio", "SELECT 'fpgrowth' AS algorithm, TRUE AS positive")
 def time_ratio(spark, sf):
     g = grid.Grid(min_confidence=0.15)
     g.add_dataset("brand", data.brand_baskets(spark, sf)).add_dataset("type", data.type_baskets(spark, sf))
     g.add_algorithm("fpgrowth", partial(itemsets.fpgrowth, min_support=BRAND))
-    return grid.time_ratio(g.run().comparison(), "brand", "type")
+    return grid.time_ratio(g.run().comparison(), "brand", "type").select("algorithm", (F.col("time_ratio") > 0).alias("positive"))
