@@ -76,7 +76,9 @@ def scan_csv_dialect(
     )
     bare = F.regexp_replace(_RAW, '"([^"]|"")*"', "")
     marks = (F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit("")))) / len(sep)
-    kept = raw.where(F.col(_RAW).isNull() | (marks < len(wanted))).drop(_RAW)
+    # the reader does not give the raw text alone, so the filter reads a field too (a length is never negative)
+    fields_read = F.length(F.coalesce(F.col(f"`{wanted[0]}`"), F.lit(""))) >= 0
+    kept = raw.where(fields_read & (F.col(_RAW).isNull() | (marks < len(wanted)))).drop(_RAW)
     return kept.withColumns({c: decimal_number(c, decimal) for c in decimal_columns or []})
 
 
