@@ -116,3 +116,16 @@ def test_dictionary_is_sorted_and_dense(spark):
     items = spark.range(1000).select(F.concat(F.lit("i"), F.lpad(((F.col("id") * 7919) % 500).cast("string"), 4, "0")).alias("item"))
     got = {r.item: r.item_id for r in sequences.item_dictionary(items).collect()}
     assert got == {item: n + 1 for n, item in enumerate(sorted(got))} and len(got) == 500
+
+
+def test_hot_keys_with_one_time_or_none_are_sliced(spark):
+    rows = [("nulls", None, n) for n in range(1000)] + [("once", datetime(2024, 1, 1), n) for n in range(1000)]
+    rows += [("crowd", datetime(2024, 1, 1), 0), *[("crowd", datetime(2025, 1, 1, 0, 0, n % 50), n) for n in range(1, 1000)], ("few", None, 1)]
+    df = spark.createDataFrame(rows, "u string, t timestamp, n int").repartition(5)
+    cut, any_hot = sequences._sliced(df, ["u"], "t", ["n"], 100)
+    sizes = cut.groupBy("u", "_slice").count().collect()
+    assert any_hot and max(r["count"] for r in sizes) <= 100
+    assert {r["u"] for r in sizes if r["_slice"] == 0} == {"few"}
+    got = sequences.number_rows(df, ["u"], "t", ["n"], hot_rows=100)
+    want = sequences.number_rows(df, ["u"], "t", ["n"])
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..runtime import durable, require_columns, small_side
 from .clean import clean_rows, item_text
 
-# A key with more rows than this is ordered in time slices instead of in one task.
+# A key with more rows than this is ordered in slices of rows instead of in one task.
 HOT_ROWS = 4_000_000
 
 
@@ -33,35 +33,34 @@ def _time_us(df: DataFrame, time: str) -> Column:
     return days + clock + (F.extract(F.lit("SECOND"), t) * 1_000_000).cast("bigint")
 
 
+def _in_order(time: str, ties: list[str]) -> list[Column]:
+    return [F.asc_nulls_last(time), *[F.asc_nulls_last(t) for t in ties]]
+
+
 def _sliced(
-    df: DataFrame, keys: list[str], time: str, hot_rows: int, sizing: DataFrame | None = None
+    df: DataFrame, keys: list[str], time: str, ties: list[str], hot_rows: int, sizing: DataFrame | None = None
 ) -> tuple[DataFrame, bool]:
-    """Add ``_slice``: 0 for ordinary keys, an increasing time slice for keys with very many rows.
+    """Add ``_slice``: 0 for ordinary keys, an increasing slice of the rows for keys with very many.
 
     Sizes come from one map-side-combined pass over ``sizing`` (cheaper rows
-    with the same keys and times, at least as many). The table of hot keys has
-    at most (rows / hot_rows) rows. A null time goes to the last slice.
+    with the same keys, at least as many). The table of hot keys has at most
+    (rows / hot_rows) rows. Their rows are laid out by ranges of (key, time,
+    ties), so slices have about equal numbers of rows, also where all times
+    are equal or null.
     """
     rows = df if sizing is None else sizing
-    stats = (
-        rows.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], _time_us(rows, time).alias("_us"))
-        .groupBy(*[f"_k{i}" for i in range(len(keys))])
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("_us").alias("_lo"), F.max("_us").alias("_hi"))
-        .where((F.col("_n") > hot_rows) & F.col("_lo").isNotNull())
-        .withColumn("_width", F.expr(f"(_hi - _lo) div ceil(_n / {hot_rows}D) + 1"))
-        .drop("_n", "_hi")
-    )
-    hot = durable(stats)
-    n_hot = hot.count()
-    if n_hot == 0:
+    named = [f"_k{i}" for i in range(len(keys))]
+    sizes = rows.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, named)]).agg(F.count(F.lit(1)).alias("_n"))
+    hot = durable(sizes.where(F.col("_n") > hot_rows))
+    figures = hot.agg(F.count(F.lit(1)).alias("keys"), F.sum("_n").alias("rows")).first()
+    if figures["keys"] == 0:
         return df.withColumn("_slice", F.lit(0).cast("bigint")), False
-    same = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]
-    joined = df.withColumn("_us", _time_us(df, time)).join(small_side(hot, n_hot), same, "left")
-    number = F.when(F.col("_lo").isNull(), F.lit(0)).otherwise(
-        F.coalesce(F.expr("(_us - _lo) div _width"), F.lit(2**62))
-    )
-    extra = [f"_k{i}" for i in range(len(keys))]
-    return joined.withColumn("_slice", number.cast("bigint")).drop("_us", "_lo", "_width", *extra), True
+    same = [F.col(k) == F.col(n) for k, n in zip(keys, named)]
+    side = small_side(hot.select(*named), figures["keys"])
+    parts = -(-2 * figures["rows"] // hot_rows)
+    laid_out = durable(df.join(side, same, "left_semi").repartitionByRange(parts, *keys, *_in_order(time, ties)))
+    others = df.join(side, same, "left_anti").withColumn("_slice", F.lit(0).cast("bigint"))
+    return others.unionByName(laid_out.withColumn("_slice", (F.spark_partition_id() + 1).cast("bigint"))), True
 
 
 def _with_shift(df: DataFrame, shift: DataFrame, keys: list[str], column: str) -> DataFrame:
@@ -94,8 +93,8 @@ def number_rows(
     """
     cut = df.withColumn("_slice", F.lit(0).cast("bigint"))
     if any_hot:
-        cut, any_hot = _sliced(df, keys, time, hot_rows, sizing)
-    order = [F.asc_nulls_last(time), *[F.asc_nulls_last(t) for t in ties]]
+        cut, any_hot = _sliced(df, keys, time, ties, hot_rows, sizing)
+    order = _in_order(time, ties)
     number = F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy(*order))
     ranked = cut.withColumn("position", number.cast("bigint"))
     if any_hot:
@@ -113,8 +112,8 @@ def number_sessions(
 
     Also says whether any key was hot.
     """
-    cut, any_hot = _sliced(df, keys, time, hot_rows)
-    order = [F.asc_nulls_last(time), *[F.asc_nulls_last(t) for t in ties]]
+    cut, any_hot = _sliced(df, keys, time, ties, hot_rows)
+    order = _in_order(time, ties)
     within = Window.partitionBy(*keys, "_slice").orderBy(*order)
     gap = round(gap_minutes * 60_000_000)
     now = _time_us(df, time)
