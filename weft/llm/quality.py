@@ -54,7 +54,7 @@ def shape_tokens(texts: list[str], column: pa.Array) -> list[list[str]]:
     for tokens, text, size in zip(out, texts, sizes.tolist()):
         words = text.split()
         n = max(1, len(words))
-        tokens += [f"=different{int(20 * len(set(words)) / n)}", f"=width{min(int(size / n), 20)}", f"=words{n.bit_length()}"]
+        tokens += [f"=different{int(20 * len(set(words)) / n)}", f"=width{min(int(size / n), 20)}", f"=words{min(n.bit_length(), 39)}"]
     return out
 
 
@@ -153,33 +153,32 @@ def _significant(sample: DataFrame) -> set[str]:
     return {r["token"] for r in best.select("token").collect()}
 
 
-def _features(sample: DataFrame, known: set[str]) -> list:
-    """Of the sample, small by its bounds, the tokens of both views with labels."""
+SHAPES = [f"={name}{i}" for name in ("upper", "digit", "symbol", "different", "width", "words") for i in range(40)]
+
+
+def _features(sample: DataFrame, names: list[str]) -> pa.Table:
+    """Of the sample, small by its bounds, the numbers of its text tokens in ``names``, its metadata tokens and labels."""
+    number = {t: i for i, t in enumerate(names)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words(known)
+        words = _Words(number)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            found = [sorted(s) for s in text_features(texts, batch.column("text"), words)]
+            found = [sorted(number[t] for t in s) for s in text_features(batch.column("text").to_pylist(), batch.column("text"), words)]
             meta = [metadata_tokens(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("source", "lang", "n_chars")))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(found, pa.list_(pa.string())), pa.array(meta, pa.list_(pa.string())), batch.column("reject"), batch.column("test")],
+                [batch.column("doc_id"), pa.array(found, pa.list_(pa.int32())), pa.array(meta, pa.list_(pa.string())), batch.column("reject"), batch.column("test")],
                 names=["doc_id", "tokens", "meta", "reject", "test"],
             )
 
-    rows = sample.mapInArrow(run, "doc_id long, tokens array<string>, meta array<string>, reject int, test boolean").collect()
-    return sorted(rows, key=lambda r: (r["doc_id"], r["tokens"]))
+    return sample.mapInArrow(run, "doc_id long, tokens array<int>, meta array<string>, reject int, test boolean").toArrow()
 
 
 class _Matrix:
-    """Rows of tokens as a sparse matrix of zeros and ones."""
+    """Rows of tokens as a sparse matrix of zeros and ones; column: the tokens of all rows in turn, as numbers in ``names``."""
 
-    def __init__(self, rows: list[list[str]]):
-        self.names = sorted({t for r in rows for t in r})
-        number = {t: i for i, t in enumerate(self.names)}
-        self.row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-        self.column = np.array([number[t] for r in rows for t in r], np.int64)
-        self.n = len(rows)
+    def __init__(self, names: list[str], column: np.ndarray, sizes: np.ndarray):
+        self.names, self.column, self.n = names, column.astype(np.int64), len(sizes)
+        self.row = np.repeat(np.arange(self.n), sizes)
 
     def scores(self, weights: np.ndarray, bias: float) -> np.ndarray:
         return bias + np.bincount(self.row, weights[self.column], self.n)
@@ -223,15 +222,23 @@ def co_train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> Model:
     row reject it if one does.
     """
     sample = _sample(docs, labels)
-    rows = _features(sample, _significant(sample))
-    target = np.array([-1 if r["reject"] is None else r["reject"] for r in rows])
-    test = np.array([bool(r["test"]) for r in rows])
+    names = sorted(_significant(sample)) + SHAPES
+    rows = _features(sample, names)
+    # in the order of ids, so that sums are the same on every run
+    rows = rows.take(pa.array(np.lexsort((np.asarray(rows["tokens"].combine_chunks().value_lengths()), np.asarray(rows["doc_id"])))))
+    target = np.asarray(rows["reject"].fill_null(-1))
+    test = np.asarray(rows["test"])
     train = (target >= 0) & ~test
     nothing = View({}, 0.0)
     if len({*target[train].tolist()}) < 2 or len({*target[test & (target >= 0)].tolist()}) < 2:
         return Model(nothing, nothing, (-50.0, 0.0, 0.0))
-    views = [_Matrix([r["tokens"] for r in rows]), _Matrix([r["meta"] for r in rows])]
-    given = [np.full(len(rows), -1), np.full(len(rows), -1)]  # what each view was told by the other
+    tokens, meta = rows["tokens"].combine_chunks(), rows["meta"].combine_chunks()
+    codes = meta.flatten().dictionary_encode()
+    views = [
+        _Matrix(names, np.asarray(tokens.flatten()), np.asarray(tokens.value_lengths())),
+        _Matrix(codes.dictionary.to_pylist(), np.asarray(codes.indices), np.asarray(meta.value_lengths())),
+    ]
+    given = [np.full(len(target), -1), np.full(len(target), -1)]  # what each view was told by the other
     for _ in range(rounds):
         scores, fitted = [], []
         for view, told in zip(views, given):
