@@ -208,7 +208,8 @@ class LineIndex:
         passed = lines.groupBy("shard", "salt").cogroup(filters.groupBy("shard", "salt")).applyInPandas(
             one, f"{UID} long, place int, key binary"
         )
-        common = self.counts().where(F.col("n") >= self.min_docs).select("key")
+        # written, so that both sides of the join are plain shuffles and Spark can split the rows of a hot key
+        common = stored(self.counts().where(F.col("n") >= self.min_docs).select("key"), "common-keys")
         return passed.join(common, "key").select(UID, "place")
 
     def clean(self, docs: DataFrame) -> DataFrame:
