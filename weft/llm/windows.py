@@ -250,8 +250,9 @@ def repeated_windows(texts: DataFrame, kind: Kind) -> DataFrame:
        2 to 4 again. The last grams are whole windows, so this ends.
     """
     marks = stored(mark(texts, kind), "marks")
+    # both sides of the joins by key are written, so that Spark can split the rows of a hot key
     shared = marks.groupBy("key").agg((F.count(F.lit(1)) + F.max("inner")).alias("holders")).where("holders > 1")
-    runs = marks.join(shared, "key").groupBy(UID).agg(F.collect_list(F.struct("key", "first", "n", "inner")).alias("runs"))
+    runs = marks.join(stored(shared, "shared"), "key").groupBy(UID).agg(F.collect_list(F.struct("key", "first", "n", "inner")).alias("runs"))
     strings = stored(pack(texts.join(runs, UID), kind), "strings")
     ranges = None
     for level in range(len(kind.grams)):
@@ -270,6 +271,7 @@ def repeated_windows(texts: DataFrame, kind: Kind) -> DataFrame:
         if level + 1 == len(kind.grams):
             break
         sizes = different.groupBy("key").agg(F.count(F.lit(1)).alias("strings"), F.max("inner").alias("within")).where("strings + within > 1").drop("within")
+        sizes = stored(sizes, "sizes")
         mixed = different.drop("digest").join(sizes, "key")
         bucketed = mixed.where(F.col("strings") <= HOT_STRINGS).drop("strings")
         ranges = ranges.unionByName(
