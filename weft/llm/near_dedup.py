@@ -22,7 +22,9 @@ REGISTERS = BANDS * ROWS
 # A pair is dropped before verification if a similarity at the threshold is e**16 times less likely than the best one.
 LESS_LIKELY = 16.0
 # Members of a bucket that are compared with all others of it in one round.
-PIVOTS = 8
+PIVOTS = 16
+# The first round, which links most of what is linked, looks at so many bands only; the others at all of them.
+FIRST_BANDS = 4
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -159,88 +161,135 @@ def components(edges: DataFrame) -> DataFrame:
         state = now
 
 
-def _reaches(shared: Column, n: Column, other: Column, percent: int) -> Column:
-    """Whether a set of n with at most ``shared`` elements in common with a set of at least ``other`` can reach the threshold."""
-    return F.lit(100) * shared >= F.lit(percent) * (n + F.greatest(shared, other) - shared)
+def _feasible(percent: int, shared: Column, n: Column, other: Column) -> Column:
+    """Whether sets of n and of ``other`` elements with at most ``shared`` in common can reach the threshold."""
+    return F.lit(100) * shared >= F.lit(percent) * (n + other - shared)
+
+
+def _narrowed(waiting: DataFrame, percent: int) -> DataFrame:
+    """The members of buckets that could reach the threshold with a member of another component of their bucket.
+
+    A set shares at most the shingles that are not its own with any other. Per
+    bucket and size of set it is known how many those are at most, and whether
+    there is more than one component; so no pairs of members are formed.
+    """
+    sizes = waiting.groupBy(F.col("bucket").alias("b"), F.col("n").alias("n2")).agg(
+        F.max(F.col("n") - F.col("own")).alias("common2"), F.min("root").alias("root1"), F.max("root").alias("root2")
+    )
+    met = (
+        (F.col("bucket") == F.col("b")) & ((F.col("root1") != F.col("root")) | (F.col("root2") != F.col("root")))
+        & _feasible(percent, F.least(F.col("n") - F.col("own"), F.col("common2")), F.col("n"), F.col("n2"))
+    )
+    return waiting.join(sizes, met, "left_semi")
 
 
 def link(texts: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """The sketches of ``texts``, and (uid, root) of the representatives of different shingle sets that are linked.
 
     Rows with the same set are represented by the one with the least uid.
-    Representatives that share a band meet in its bucket. First, members are
-    dropped whose shingles that no other member of any bucket has are so many
-    that they cannot reach the threshold with any; this is exact and costs one
-    pass, and it takes apart families of copies that were edited much. Then,
-    round by round, a few members of each bucket (the pivots: at first the one
-    with the fewest shingles of its own, the middle of a family) are compared
+    Representatives that share a band meet in its bucket. Members whose
+    shingles that no other member of any bucket has are so many that they
+    cannot reach the threshold with a member of another component are dropped;
+    this is exact, forms no pairs, and takes apart families of copies that were
+    edited much. In a first round, over a few bands, the member of each bucket
+    with the fewest shingles of its own (the middle of a family) is compared
+    with the others. Then, round by round over the buckets of all bands, a few
+    members of each (the pivots, from the smallest components) are compared
     with all others of the bucket that are not in their component yet, and
-    leave the bucket; a bucket is done when its members are in one component.
-    So pairs within a component are not formed, but no pair that could join
-    two components is left out, however large a bucket is.
+    leave the bucket; a bucket is done when no members of different components
+    are left that could be linked. So pairs within a component are not formed,
+    but no pair that could join two components is left out, however large a
+    bucket is.
     """
-    threshold = percent / 100
     sketches = stored(_sketches(texts, n), "sketches")
     chosen = sketches.where("n_shingles > 0").groupBy("digest").agg(F.min(UID).alias(UID)).select(UID)
     one_each = stored(sketches.join(chosen, UID).select(UID, F.col("n_shingles").alias("n"), "registers"), "representatives")
-    bands = one_each.select(
-        UID, "n",
-        F.explode(F.array(*[F.xxhash64(F.lit(i), F.substring("registers", 2 * ROWS * i + 1, 2 * ROWS)) for i in range(BANDS)])).alias("bucket"),
+    lonely = (
+        _banded(one_each, BANDS).groupBy("bucket").agg(F.min(UID).alias(UID), F.count(F.lit(1)).alias("members")).where("members = 1")
+        .groupBy(UID).agg(F.count(F.lit(1)).alias("alone"))
     )
-    full = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"), F.min("n").alias("least_n")).where("members > 1")
-    members = stored(bands.join(full.select("bucket", "least_n"), "bucket"), "members")
-    sets = stored(_sets(texts.join(members.select(UID).distinct(), UID).select(UID, "text"), n), "sets")
+    candidates = one_each.join(lonely, UID, "left").where(F.coalesce("alone", F.lit(0)) < BANDS).drop("alone")
+    sets = stored(_sets(texts.join(candidates.select(UID), UID).select(UID, "text"), n), "sets")
     own = (
         sets.select(UID, F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.min(UID).alias(UID), F.count(F.lit(1)).alias("holders"))
         .where("holders = 1").groupBy(UID).agg(F.count(F.lit(1)).alias("own"))
     )
-    owned = members.join(own, UID, "left").withColumn("own", F.coalesce("own", F.lit(0)))
-    able = owned.where(_reaches(F.col("n") - F.col("own"), F.col("n"), F.col("least_n"), percent)).select("bucket", UID, "n", "own")
-    many = able.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    # buckets with the same members need only be looked at once; most true copies share several
-    able = able.join(many.select("bucket"), "bucket")
-    alike = able.groupBy("bucket").agg(F.count(F.lit(1)).alias("c"), F.sum(F.xxhash64(UID).cast("decimal(38,0)")).alias("s")).groupBy("c", "s").agg(F.min("bucket").alias("bucket"))
-    waiting = stored(able.join(alike.select("bucket"), "bucket").withColumn("root", F.col(UID)), "waiting")
-    links = None
-    while True:
-        # where the members of a bucket are in different components, the smallest components give the pivots
-        per_root = waiting.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("own", UID)).alias("best"))
+    met = stored(candidates.join(own, UID, "left").withColumn("own", F.coalesce("own", F.lit(0))).withColumn("root", F.col(UID)), "met")
+    search = _Search(met, sets, percent)
+    search.first_round(FIRST_BANDS)
+    search.all_rounds()
+    if search.roots is None:
+        return sketches, one_each.select(UID, F.col(UID).alias("root")).limit(0)
+    return sketches, search.roots.withColumnRenamed("node", UID)
+
+
+def _banded(representatives: DataFrame, bands: int) -> DataFrame:
+    """A row per representative and band, with the band's bucket in place of the registers."""
+    buckets = [F.xxhash64(F.lit(i), F.substring("registers", 2 * ROWS * i + 1, 2 * ROWS)) for i in range(bands)]
+    return representatives.withColumn("bucket", F.explode(F.array(*buckets))).drop("registers")
+
+
+class _Search:
+    """Links between representatives (uid, n, own, root, registers) whose sets are in ``sets``."""
+
+    def __init__(self, met: DataFrame, sets: DataFrame, percent: int):
+        self.met, self.sets, self.percent = met, sets, percent
+        self.links: DataFrame | None = None
+        self.roots: DataFrame | None = None
+
+    def first_round(self, bands: int) -> None:
+        """Compare the middle of each bucket of the first bands with the others of the bucket."""
+        waiting = stored(_narrowed(_banded(self.met, bands), self.percent), "waiting")
+        middles = waiting.groupBy("bucket").agg(F.min(F.struct("own", UID)).alias("best"))
+        self._compare(waiting, stored(middles.select("bucket", F.col(f"best.{UID}").alias("pivot")), "pivots"))
+
+    def all_rounds(self) -> None:
+        """Go on with the buckets of all bands until no members of different components are left that could be linked."""
+        waiting = _narrowed(_banded(self._rooted(self.met), BANDS), self.percent)
         order = Window.partitionBy("bucket").orderBy("size", "best")
-        open_ = per_root.groupBy("bucket").agg(F.count(F.lit(1)).alias("roots")).where("roots > 1")
-        if links is None:
-            # the middle of the bucket first
-            pivots = waiting.groupBy("bucket").agg(F.min(F.struct("own", UID)).alias("best")).select("bucket", F.col(f"best.{UID}").alias("pivot"))
-            pivots = pivots.join(open_.select("bucket"), "bucket")
-        else:
-            pivots = (
-                per_root.join(open_.select("bucket"), "bucket").withColumn("place", F.row_number().over(order))
-                .where(F.col("place") <= PIVOTS).select("bucket", F.col(f"best.{UID}").alias("pivot"))
-            )
-        pivots = stored(pivots, "pivots")
-        if not pivots.limit(1).count():
-            break
-        roots = waiting.select("bucket", F.col(UID).alias("pivot"), F.col("root").alias("pivot_root"))
-        met = waiting.join(pivots, "bucket").join(roots, ["bucket", "pivot"]).where("root <> pivot_root")
-        pairs = met.select(F.least("pivot", UID).alias("a"), F.greatest("pivot", UID).alias("b")).distinct()
-        side = lambda x: one_each.select(F.col(UID).alias(x), F.col("n").alias(f"n_{x}"), F.col("registers").alias(f"registers_{x}"))
-        likely = _likely(pairs.join(side("a"), "a").join(side("b"), "b"), threshold)
-        full_set = lambda x: sets.select(F.col(UID).alias(x), F.col("shingles").alias(f"shingles_{x}"))
+        while True:
+            # once more, as those that went may have been the only chance of others
+            waiting = stored(_narrowed(stored(waiting, "narrowed"), self.percent), "waiting")
+            per_root = waiting.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("own", UID)).alias("best"))
+            pivots = per_root.withColumn("place", F.row_number().over(order)).where(F.col("place") <= PIVOTS)
+            pivots = stored(pivots.select("bucket", F.col(f"best.{UID}").alias("pivot")), "pivots")
+            if not pivots.limit(1).count():
+                return
+            fresh = self._compare(waiting, pivots)
+            waiting = waiting.join(pivots.withColumnRenamed("pivot", UID), ["bucket", UID], "left_anti")
+            waiting = _narrowed(self._rooted(waiting) if fresh else waiting, self.percent)
+
+    def _rooted(self, rows: DataFrame) -> DataFrame:
+        if self.roots is None:
+            return rows
+        found = rows.drop("root").join(self.roots.withColumnRenamed("node", UID), UID, "left")
+        return found.withColumn("root", F.coalesce("root", UID)).select(*rows.columns)
+
+    def _compare(self, waiting: DataFrame, pivots: DataFrame) -> bool:
+        """Confirm links of the pivots with members of their bucket in other components; whether there are any."""
+        percent = self.percent
+        of_pivot = waiting.join(pivots, (waiting[UID] == pivots["pivot"]) & (waiting["bucket"] == pivots["bucket"])).select(
+            pivots["bucket"].alias("b"), "pivot", F.col("n").alias("n2"), F.col("own").alias("own2"), F.col("root").alias("root2")
+        )
+        met = (
+            (F.col("bucket") == F.col("b")) & (F.col("root") != F.col("root2"))
+            & _feasible(percent, F.least(F.col("n") - F.col("own"), F.col("n2") - F.col("own2")), F.col("n"), F.col("n2"))
+        )
+        pairs = waiting.join(of_pivot, met).select(F.least("pivot", UID).alias("a"), F.greatest("pivot", UID).alias("b")).distinct()
+        side = lambda x: self.met.select(F.col(UID).alias(x), F.col("n").alias(f"n_{x}"), F.col("registers").alias(f"registers_{x}"))
+        likely = _likely(pairs.join(side("a"), "a").join(side("b"), "b"), percent / 100)
+        full_set = lambda x: self.sets.select(F.col(UID).alias(x), F.col("shingles").alias(f"shingles_{x}"))
         both = F.size(F.array_intersect("shingles_a", "shingles_b"))
         found = stored(
             likely.join(full_set("a"), "a").join(full_set("b"), "b")
             .where(F.lit(100) * both >= F.lit(percent) * (F.size("shingles_a") + F.size("shingles_b") - both)).select("a", "b"),
             "links",
         )
-        links = found if links is None else links.unionByName(found)
-        roots = components(links)
-        used = pivots.withColumnRenamed("pivot", UID)
-        waiting = stored(
-            waiting.join(used, ["bucket", UID], "left_anti").join(open_.select("bucket"), "bucket").drop("root")
-            .join(roots.withColumnRenamed("node", UID), UID, "left").withColumn("root", F.coalesce("root", UID)),
-            "waiting",
-        )
-    roots = components(links) if links is not None else one_each.select(F.col(UID).alias("node"), F.col(UID).alias("root")).limit(0)
-    return sketches, roots.withColumnRenamed("node", UID)
+        if not found.limit(1).count():
+            return False
+        self.links = found if self.links is None else self.links.unionByName(found)
+        self.roots = components(self.links)
+        return True
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
