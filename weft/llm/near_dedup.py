@@ -22,7 +22,7 @@ REGISTERS = BANDS * ROWS
 # A pair is dropped before verification if a similarity at the threshold is e**16 times less likely than the best one.
 LESS_LIKELY = 16.0
 # Members of a bucket that are compared with all others of it in one round.
-PIVOTS = 16
+PIVOTS = 64
 # The first round, which links most of what is linked, looks at so many bands only; the others at all of them.
 FIRST_BANDS = 4
 
