@@ -43,12 +43,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids, offsets and decoded_sha256 (of what the ids decode to) of every row."""
-    encoded = bpe.encode(docs, RANKS)
-    both = encoded.withColumns({"token_ids": F.col("ids"), "token_offsets": F.col("offsets")})
-    return bpe.decode(both, RANKS).select(
-        "doc_id", "n_tokens", F.col("token_ids").alias("ids"), F.col("token_offsets").alias("offsets"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    decoded = bpe.decode(bpe.encode(docs, RANKS), RANKS, keep_ids=True)
+    return decoded.withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
 
 
 STAGES = [

@@ -296,6 +296,11 @@ def _lists(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)).astype(np.int32)), pa.array(values))
 
 
+def _small_batches(df: DataFrame) -> None:
+    """Texts, ids and offsets reach Python workers in batches of 8 MB in this session, as two workers a task hold some."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 def encode(docs: DataFrame, ranks_path: str) -> DataFrame:
     """(doc_id, n_tokens, ids, offsets) of every row of ``docs``: the ids of its whole text by the ranks in the file, and the
     byte offset at which each token starts.
@@ -319,15 +324,18 @@ def encode(docs: DataFrame, ranks_path: str) -> DataFrame:
                     names=["doc_id", "n_tokens", "ids", "offsets"],
                 )
 
+    _small_batches(docs)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     return texts.mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, offsets array<int>")
 
 
-def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
-    """``encoded`` with ``decoded`` (binary) in place of ids and offsets: token bytes put down at their offsets. Null ids give none."""
+def decode(encoded: DataFrame, ranks_path: str, keep_ids: bool = False) -> DataFrame:
+    """``encoded`` with ``decoded`` (binary), in place of ids and offsets or beside them: token bytes put down at their
+    offsets. Null ids give none."""
     with open(ranks_path, "rb") as f:
         content = encoded.sparkSession.sparkContext.broadcast(f.read())
-    kept = [f for f in encoded.schema if f.name not in ("ids", "offsets")]
+    _small_batches(encoded)
+    kept = [f for f in encoded.schema if keep_ids or f.name not in ("ids", "offsets")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = load_ranks(content.value)
@@ -353,5 +361,5 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(f.name).slice(a, b - a) for f in kept] + [out], names=[f.name for f in kept] + ["decoded"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    columns = [F.col(f"`{f.name}`") for f in kept]
+    columns = [F.col(f"`{f.name}`") for f in kept if f.name not in ("ids", "offsets")]
     return encoded.select(*columns, "ids", "offsets").mapInArrow(run, f"{schema}, decoded binary")
