@@ -103,6 +103,36 @@ def test_suffix_dedup(make_docs, monkeypatch, hot):
     assert all(r["n_removed"] == sum(s["end"] - s["begin"] for s in r["spans"]) for r in got)
 
 
+def run_rows():
+    """Runs of one word and of one byte of different lengths, each among words of its own, and one that is only repeated within."""
+    own = lambda i, n: [f"w{i}x{j}" for j in range(n)]
+    rows = [(i, " ".join(own(i, 6) + ["De"] * (36 + 3 * i) + own(i + 100, 6))) for i in range(6)]
+    rows += [(i + 10, " ".join(own(i + 200, 4) + ["ABCDEF"[i] + "z" * (401 + 5 * i) + "GHIJKL"[i]] + own(i + 300, 4))) for i in range(6)]
+    return rows + [(20, " ".join(["once"] * 35)), (21, " ".join(["twice"] * 36)), (22, "q" * 400), (23, "y" * 401)]
+
+
+@pytest.mark.parametrize("hot, k", [(2, 35), (512, 6)])
+def test_substring_dedup_runs_of_one_word(make_docs, monkeypatch, hot, k):
+    monkeypatch.setattr(windows, "HOT_STRINGS", hot)
+    rows = run_rows()
+    words = [t.split() for _, t in rows]
+    want = {i: sum(removed(hits, len(w), k)) for (i, _), w, hits in zip(rows, words, brute(words, k))}
+    got = substring_dedup.remove_repeated(make_docs(rows), k).collect()
+    assert {r["doc_id"]: r["n_removed"] for r in got} == want
+    assert want[0] == 36 and want[21] == 36
+
+
+@pytest.mark.parametrize("hot, k", [(2, 400), (512, 100)])
+def test_suffix_dedup_runs_of_one_byte(make_docs, monkeypatch, hot, k):
+    monkeypatch.setattr(windows, "HOT_STRINGS", hot)
+    rows = run_rows()
+    texts = [t.encode() for _, t in rows]
+    want = {i: sum(removed(hits, len(t), k)) for (i, _), t, hits in zip(rows, texts, brute(texts, k))}
+    got = suffix_dedup.remove_repeated(make_docs(rows), k).collect()
+    assert {r["doc_id"]: r["n_removed"] for r in got} == want
+    assert want[10] >= 401 and want[23] == 401
+
+
 def test_empty_tables(make_docs):
     docs = make_docs([])
     assert substring_dedup.remove_repeated(docs).count() == 0

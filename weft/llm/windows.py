@@ -71,7 +71,9 @@ def super_kmers(symbols: np.ndarray, offsets: np.ndarray, k: int, m: int) -> tup
     """(text, first window, number of windows, minimiser, inner) of each run of windows with the same minimiser.
 
     inner is 1 where the minimiser moves on to another place within the run;
-    only then can the run itself hold equal windows.
+    only then can the run itself hold equal windows. With m = k the windows of
+    a run are equal (one symbol repeated); the first then stands for itself, so
+    that a run of several counts twice.
     """
     windows = np.maximum(np.diff(offsets) - k + 1, 0)
     if not windows.any():
@@ -101,6 +103,11 @@ def super_kmers(symbols: np.ndarray, offsets: np.ndarray, k: int, m: int) -> tup
         step = (ragged(np.zeros(len(parts), np.int64), parts)) * LONGEST
         starts, sizes = starts[which] + step, np.minimum(sizes[which] - step, LONGEST)
         text, minimiser, inner = text[which], minimiser[which], inner[which]
+    if m == k and (sizes > 1).any():
+        which = np.repeat(np.arange(len(sizes)), np.where(sizes > 1, 2, 1))
+        rest = np.append(False, which[1:] == which[:-1])
+        starts, sizes = starts[which] + rest, np.where(rest, sizes[which] - 1, 1)
+        text, minimiser, inner = text[which], minimiser[which], inner[which]
     text = np.flatnonzero(some)[text]
     return text, starts - offsets[text], sizes, minimiser, inner
 
@@ -117,10 +124,13 @@ def _tiled(symbols, offsets, k, m):
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def _cut(data: np.ndarray, spans, symbol_offsets: np.ndarray, text, first, n, k) -> list[bytes]:
-    """The strings of runs of windows; words are laid end to end with one space between."""
+def _cut(data: np.ndarray, spans, symbol_offsets: np.ndarray, text, first, n, k, m) -> list[bytes]:
+    """The strings of runs of windows with minimisers of m symbols; words are laid end to end with one space between.
+
+    With m = k a run is one window several times and its string that window, whatever its length.
+    """
     a = symbol_offsets[text] + first
-    b = a + n + k - 1
+    b = a + (n + k - 1 if m < k else k)
     if spans is None:
         raw = data.tobytes()
         return [raw[i:j] for i, j in zip(a.tolist(), b.tolist())]
@@ -183,7 +193,7 @@ def pack(texts: DataFrame, kind: Kind) -> DataFrame:
                 _, at, spans = kind.symbols(part, offsets[a : b + 1] - offsets[a])
                 x, y = counts[a], counts[b]
                 text = np.repeat(np.arange(b - a), np.diff(counts[a : b + 1]))
-                packed = _cut(part, spans, at, text, first[x:y].astype(np.int64), n[x:y].astype(np.int64), kind.k)
+                packed = _cut(part, spans, at, text, first[x:y].astype(np.int64), n[x:y].astype(np.int64), kind.k, kind.grams[0])
                 for i in range(0, y - x, 8192):
                     j = min(i + 8192, y - x)
                     of = slice(x + i, x + j)
@@ -203,7 +213,7 @@ def divide(strings: DataFrame, kind: Kind, level: int) -> DataFrame:
                 part = data[offsets[a] : offsets[b]]
                 hashes, at, spans = kind.symbols(part, offsets[a : b + 1] - offsets[a])
                 text, first, n, minimiser, inner = super_kmers(hashes, at, kind.k, kind.grams[level])
-                packed = _cut(part, spans, at, text, first, n, kind.k)
+                packed = _cut(part, spans, at, text, first, n, kind.k, kind.grams[level])
                 yield _record([minimiser.view(np.int64), uids[a:b][text], firsts[a:b][text] + first, n, inner, weights[a:b][text], packed], STRINGS)
 
     return strings.select(UID, "first", "weight", "packed").mapInArrow(run, _schema(STRINGS))
@@ -247,7 +257,8 @@ def repeated_windows(texts: DataFrame, kind: Kind) -> DataFrame:
     4. A bucket with more than HOT_STRINGS different strings (a phrase that
        very many texts have, each in a context of its own) is divided: its
        strings are cut anew by the minimisers of longer grams and go through
-       2 to 4 again. The last grams are whole windows, so this ends.
+       2 to 4 again. The last grams are whole windows, whose strings are equal
+       if the windows are, so this ends.
     """
     marks = stored(mark(texts, kind), "marks")
     # both sides of the joins by key are written, so that Spark can split the rows of a hot key
