@@ -63,6 +63,22 @@ def test_long_sequences_in_chunks(spark, name, monkeypatch):
     assert found(patterns.ALGORITHMS[name](elements(spark, data), 0.3, max_items=4)) == want
 
 
+def test_prefixspan_holds_no_sequence_whole(spark, monkeypatch):
+    monkeypatch.setattr(patterns, "CHUNK", 8)
+    rng, keep, longest = random.Random(23), patterns.durable, []
+
+    def watched(df, *rest):
+        out = keep(df, *rest)
+        longest.extend(out.agg(F.max(F.size(f.name))).first()[0] or 0 for f in out.schema if f.dataType.typeName() == "array")
+        return out
+
+    monkeypatch.setattr(patterns, "durable", watched)
+    data = _random(29, 12) | {"long": [[rng.choice("abcd")] for _ in range(400)]}
+    want = brute(list(data.values()), min_count(0.4, len(data)), 2)
+    assert found(patterns.prefixspan(elements(spark, data), 0.4, max_items=2)) == want
+    assert 0 < max(longest) <= 8
+
+
 def test_every_sequence_holds_the_empty_pattern(spark):
     df = elements(spark, {"s1": [["a"]], "s2": [["b"], ["a"]]})
     given = spark.createDataFrame([("none", []), ("ba", [["b"], ["a"]]), ("z", [["z"]])], "pattern string, elements array<array<string>>")

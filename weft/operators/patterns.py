@@ -1,6 +1,6 @@
 """Sequential-pattern miners over sequence elements ``(sequence_id, position, items)``.
 
-GSP, SPADE and CM-SPADE share two vertical tables:
+PrefixSpan, GSP, SPADE and CM-SPADE share two vertical tables:
 
 * occurrences of an element itemset X: ``(x, sequence_id, chunk, positions)``,
   where ``positions`` holds the element positions that contain X, in chunks of
@@ -25,13 +25,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.fpm import PrefixSpan
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import min_count, mllib_support
+from ..functions import min_count
 from ..runtime import cached, durable, require_columns, small_side, with_rarest_item
-from .sequences import assemble, dense_index, explode_items
+from .sequences import dense_index, explode_items
 
 CHUNK = 1024
 
@@ -179,7 +178,10 @@ def _described(level: DataFrame) -> DataFrame:
 
 
 def _class_candidates(level: DataFrame, alive: int) -> DataFrame:
-    """SPADE: extend inside the class of patterns that share all but the last item."""
+    """SPADE: extend inside the class of patterns that share all but the last item.
+
+    The last items of a class are those frequent in the projection of its common prefix, so this is PrefixSpan's growth too.
+    """
     rows = _described(level)
     left = rows.select("head", F.col("els").alias("l"), F.col("z").alias("lz"), F.col("joined").alias("lj"))
     right = rows.select("head", F.col("z").alias("x"), F.col("joined").alias("rj"))
@@ -372,32 +374,9 @@ def cm_spade(elements: DataFrame, min_support: float = 0.1, max_items: int | Non
 
 
 def prefixspan(elements: DataFrame, min_support: float = 0.1, max_items: int | None = None, max_elements: int | None = None) -> DataFrame:
-    """MLlib's PrefixSpan on id-coded nested sequences; MLlib holds each sequence as one array of its frequent items."""
-    with cached(elements) as held:
-        enc = encode(held, min_support)
-        if enc.n_items == 0:
-            return _decode(enc.dictionary.select(F.array(F.array("id")).alias("els"), "support_count"), enc)
-        coded = (
-            explode_items(held)
-            .join(small_side(enc.dictionary.select("item", "id"), enc.n_items), "item")
-            .groupBy("sequence_id", "position")
-            .agg(F.sort_array(F.collect_list("id")).alias("items"))
-        )
-        nested = durable(assemble(coded).select("elements"))
-    n = nested.count()
-    found = PrefixSpan(
-        minSupport=mllib_support(enc.threshold, n),
-        maxPatternLength=max_items or 2**31 - 1,
-        sequenceCol="elements",
-    ).findFrequentSequentialPatterns(nested)
-    rows = durable(
-        found.select(
-            F.transform("sequence", lambda e: F.sort_array(e)).alias("els"), F.col("freq").alias("support_count")
-        )
-    )
-    if max_elements is not None:
-        rows = rows.where(F.size("els") <= max_elements)
-    return _decode(rows, enc)
+    """Prefix growth on rows: a prefix is projected as its match states, one earliest end per sequence, and extended by
+    the items that were frequent in the projection of its parent. No projected sequence is laid out."""
+    return _grow(elements, min_support, "prefix", max_items, max_elements)
 
 
 ALGORITHMS = {"prefixspan": prefixspan, "gsp": gsp, "spade": spade, "cm_spade": cm_spade}
