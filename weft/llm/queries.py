@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, line_dedup, mixing, near_dedup, quality, sharding, substring_dedup, suffix_dedup, topk
+from . import bpe, exact_dedup, line_dedup, mixing, near_dedup, quality, sharding, substring_dedup, suffix_dedup, topk, trie, whitening
 from .common import sha256_text, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -214,3 +214,53 @@ def near_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_classifier_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.classify(docs, quality.co_train(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op12_embedding_whitening")
+def embedding_whitening_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whitened = whitening.whiten(table(spark, sf_dir, "embeddings"), top=4, scale=256)
+    return whitened.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+@query("op13_prefix_trie", """
+WITH RECURSIVE ordered AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS n
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, count(*) AS m,
+         xor(list_reduce(
+           list_transform(range(1, length(conv_id::VARCHAR) + 1), lambda i: ascii(substr(conv_id::VARCHAR, i::INT, 1))::BIGINT),
+           lambda crc, byte: list_reduce(range(8)::BIGINT[], lambda x, i: xor(x >> 1, 3988292384 * (x & 1)), xor(crc, byte)),
+           4294967295::BIGINT), 4294967295) % 9 AS h
+  FROM ordered GROUP BY conv_id),
+turns AS (
+  SELECT c.conv_id, o.n, o.role, o.text FROM convs c JOIN ordered o ON o.conv_id = c.base AND o.n < c.h
+  UNION ALL
+  SELECT c.conv_id, o.n + 8, o.role, o.text FROM convs c JOIN ordered o ON o.conv_id = c.conv_id AND o.n >= c.h),
+placed AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY n) AS d,
+         md5(length(role)::VARCHAR || ':' || role || text) AS turn, strlen(text) AS bytes,
+         count(*) OVER (PARTITION BY conv_id) AS length
+  FROM turns),
+prefixes AS (
+  SELECT conv_id, 0::BIGINT AS d, '' AS node, NULL::VARCHAR AS parent, 0::BIGINT AS bytes,
+         NOT EXISTS (FROM placed p WHERE p.conv_id = c.conv_id) AS last FROM convs c
+  UNION ALL
+  SELECT p.conv_id, p.d, md5(r.node || p.turn), r.node, p.bytes, p.d = p.length
+  FROM prefixes r JOIN placed p ON p.conv_id = r.conv_id AND p.d = r.d + 1),
+nodes AS (
+  SELECT d, node, min(conv_id) AS conv_id, count(*) AS n_convs, min(parent) AS parent, max(bytes) AS bytes,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256
+  FROM prefixes GROUP BY d, node),
+children AS (SELECT parent, d - 1 AS d, count(*) AS n FROM nodes WHERE d > 0 GROUP BY parent, d),
+below AS (
+  SELECT r.d, r.node, count(*) FILTER (c.n IS NULL) AS n_leaves, sum((n.n_convs - 1) * n.bytes)::BIGINT AS saved_tokens
+  FROM nodes n LEFT JOIN children c ON c.parent = n.node AND c.d = n.d JOIN prefixes r ON r.conv_id = n.conv_id AND r.d <= n.d
+  GROUP BY r.d, r.node)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children, b.n_leaves, b.saved_tokens, n.ends_sha256
+FROM nodes n LEFT JOIN nodes p ON p.node = n.parent AND p.d = n.d - 1 LEFT JOIN children c ON c.parent = n.node AND c.d = n.d
+JOIN below b ON b.node = n.node AND b.d = n.d
+""")
+def prefix_trie_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
