@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, line_dedup, mixing, near_dedup, quality, sharding, substring_dedup, suffix_dedup, topk, trie, whitening
+from . import bpe, exact_dedup, line_dedup, mixing, near_dedup, quality, sharding, substring_dedup, suffix_dedup, suffix_tree, topk, trie, whitening
 from .common import sha256_text, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -264,3 +264,10 @@ JOIN below b ON b.node = n.node AND b.d = n.d
 """)
 def prefix_trie_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query("op11_suffix_tree_scores")
+def suffix_tree_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2
+    scored = suffix_tree.score(table(spark, sf_dir, "documents"), ~held_out)
+    return scored.withColumn("held_out", ~F.col("learned")).drop("learned")
