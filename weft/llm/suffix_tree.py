@@ -3,7 +3,8 @@
 Texts are handled in batches of whole documents. A batch numbers its distinct
 words; from then on only its distinct words, and its distinct pairs of a
 context and the word after it, travel: to where they are counted over all
-batches, and back with the counts to their batch, which scores its documents.
+batches, and back with the count, where it is not the batch's own, to their
+batch, which scores its documents.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import chunks, stored, utf8_batch
@@ -24,6 +25,8 @@ from .substring_dedup import SPACE, words_of
 
 # Bytes of text in a batch, but for a longer document, which is one alone.
 BATCH_BYTES = 32 << 20
+# A word of a batch has one number: that of the batch, then CODE_BITS for its place among the batch's words.
+CODE_BITS = 28
 # The token after the last word; no word has white space.
 END = "\n"
 
@@ -59,7 +62,12 @@ def _encode(ids: list, learns: list, data: np.ndarray, offsets: np.ndarray) -> t
     inside[np.cumsum(sizes) - 1] = False
     codes[inside] = packed.indices.to_numpy(zero_copy_only=False)
     counts = np.bincount(codes[np.repeat(np.array(learns, bool), sizes)], minlength=len(words))
-    return ids, learns, sizes.tolist(), codes.tobytes(), words, counts.tolist()
+    # common words get small numbers, the bytes of a rank lie together: so they pack well
+    order = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
+    rank = np.empty(len(words), np.int32)
+    rank[order] = np.arange(len(words), dtype=np.int32)
+    planes = rank[codes].view(np.uint8).reshape(-1, 4).T.tobytes()
+    return ids, learns, sizes.tolist(), pa.compress(planes, "zstd", asbytes=True), [words[i] for i in order.tolist()], counts[order].tolist()
 
 
 _BATCH = "batch long, doc_ids array<long>, learns array<boolean>, sizes array<int>, codes binary, words array<string>, counts array<long>"
@@ -72,7 +80,7 @@ def _batches(texts: DataFrame) -> DataFrame:
     """``texts`` (doc_id, learns, text) as rows of whole documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, n, held, size = TaskContext.get().partitionId() << 32, 0, [], 0
+        first, n, held, size = TaskContext.get().partitionId() << 15, 0, [], 0
 
         def row():
             nonlocal n
@@ -119,19 +127,28 @@ def _follow(now: np.ndarray, codes: np.ndarray, first: np.ndarray, keys: np.ndar
     return out
 
 
-def _tokens(codes: bytes, sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    codes = np.frombuffer(codes, np.int32).astype(np.int64)
-    first = np.zeros(len(codes), bool)
+def _tokens(packed: bytes, sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    n = sum(sizes)
+    planes = np.frombuffer(pa.decompress(packed, decompressed_size=4 * n, codec="zstd"), np.uint8)
+    codes = np.ascontiguousarray(planes.reshape(4, n).T).view(np.int32).ravel().astype(np.int64)
+    first = np.zeros(n, bool)
     first[np.append(0, np.cumsum(sizes)[:-1])] = True
     return codes, first
 
 
-_PAIRS = "context boolean, ctx long, word string, batch long, code long, n long"
+def _own_pairs(now: np.ndarray, codes: np.ndarray, learns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct (context, next word) of tokens with a context, as sorted keys, and their occurrences to learn from."""
+    at = np.flatnonzero(now >= 0)
+    pairs, which = np.unique((now[at] << 32) | codes[at], return_inverse=True)
+    return pairs, np.bincount(which, weights=learns[at], minlength=len(pairs)).astype(np.int64)
+
+
+_PAIRS = "ctx long, word string, at long, n long, id long"
 
 
 def _pairs(batches: DataFrame, levels: list[Contexts]) -> DataFrame:
     """Of each batch the distinct (context of the greatest length, next word) with their occurrences to learn from, and its contexts
-    of that length as rows (context before, word) with the id in place of occurrences."""
+    of that length as rows (context before, last word) with their id; ``id`` is 0 for the former."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in _PAIRS.split(", ")]
@@ -144,28 +161,35 @@ def _pairs(batches: DataFrame, levels: list[Contexts]) -> DataFrame:
                 for level in levels:
                     keys, ids = _lookup(level, words)
                     ctx = _follow(ctx, codes, first, keys, ids)
-                at = np.flatnonzero(ctx >= 0)
-                learns = np.repeat(np.array(row.column("learns")[i].as_py(), bool), sizes)[at]
-                pairs, which = np.unique((ctx[at] << 32) | codes[at], return_inverse=True)
-                seen = np.bincount(which, weights=learns, minlength=len(pairs)).astype(np.int64)
-                for key, told, value in ((pairs, False, seen), (keys, True, ids)):
-                    number = key & 0xFFFFFFFF
+                pairs, seen = _own_pairs(ctx, codes, np.repeat(np.array(row.column("learns")[i].as_py(), bool), sizes))
+                for key, n, known in ((pairs, seen, np.zeros(len(pairs), np.int64)), (keys, np.zeros(len(keys), np.int64), ids)):
+                    code = key & 0xFFFFFFFF
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(key), told)), pa.array(key >> 32), words.take(pa.array(number)), pa.array(np.full(len(key), batch)),
-                         pa.array(number), pa.array(value)], names
+                        [pa.array(key >> 32), words.take(pa.array(code)), pa.array((batch << CODE_BITS) | code), pa.array(n), pa.array(known)], names
                     )
 
     return batches.select("batch", "learns", "sizes", "codes", "words").mapInArrow(run, _PAIRS)
 
 
+def _counted(rows: DataFrame, *key: str) -> DataFrame:
+    """``rows`` with ``c``, the sum of n of all batches per key, and ``once``, true in one row per key. A key has a row per batch at most."""
+    same = Window.partitionBy(*key)
+    return rows.withColumn("c", F.sum("n").over(same)).withColumn("once", F.min("at").over(same) == F.col("at"))
+
+
 # -- the tree -----------------------------------------------------------------------------------------
 
 
-def _gains(counted: DataFrame, smoothing: float) -> DataFrame:
-    """(ctx, gain): by how many nats a context tells its next words better than the context one word shorter does, each occurrence told
-    from the others. ``counted``: (ctx, seen, c, p_shorter)."""
-    left_out = (F.col("c") - 1 + smoothing * F.col("p_shorter")) / (F.col("seen") - 1 + smoothing)
-    return counted.where("c > 0").groupBy("ctx").agg(F.sum(F.col("c") * F.log(left_out / F.col("p_shorter"))).alias("gain"))
+def _gains(counted: DataFrame, shared: DataFrame, smoothing: float) -> dict[int, float]:
+    """Per context: by how many nats it tells its next words better than the context one word shorter does, each occurrence told from
+    the others. ``counted`` has (ctx, word, c, seen), ``shared`` those with c > 1 and p_shorter; a word that came once is told by the
+    smoothing alone, whatever its probability."""
+    rest = F.col("seen") - 1 + smoothing
+    singles = counted.where("c = 1").groupBy("ctx").agg(F.sum(F.log(smoothing / rest)).alias("gain"))
+    left_out = (F.col("c") - 1 + smoothing * F.col("p_shorter")) / rest
+    others = shared.groupBy("ctx").agg(F.sum(F.col("c") * F.log(left_out / F.col("p_shorter"))).alias("gain"))
+    both = singles.unionByName(others).groupBy("ctx").agg(F.sum("gain").alias("gain"))
+    return {r["ctx"]: r["gain"] for r in both.collect()}  # one row per context
 
 
 class SuffixTree(NamedTuple):
@@ -209,42 +233,42 @@ def score(
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(learns, F.lit(False)).alias("learns"), F.coalesce("text", F.lit("")).alias("text"))
     batches = stored(_batches(texts), "batches")
     per_batch = batches.select("batch", F.posexplode(F.arrays_zip("words", "counts")).alias("code", "w")).select(
-        "batch", F.col("code").cast("long").alias("code"), F.col("w.words").alias("word"), F.col("w.counts").alias("n")
+        F.col("w.words").alias("word"), (F.shiftleft("batch", CODE_BITS) + F.col("code")).alias("at"), F.col("w.counts").alias("n")
     )
-    words = stored(per_batch.where("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "words")
+    by_word = stored(_counted(per_batch, "word"), "words")
+    words = by_word.where("once AND c > 0").select("word", "c")
     whole = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("tokens"), F.count(F.lit(1)).alias("types")).first()
     tokens, types = whole["tokens"], whole["types"]
     least = max(2, math.ceil(least_share * tokens))
     unseen = (F.col("c_word") + 1) / F.lit(float(tokens + types + 1))
 
-    levels, pairs, counts, gains = [], [], [], {}
+    levels, pairs, gains, told = [], [], {}, None
     level = _next_level(words.withColumn("ctx", F.lit(0).cast("long")), least, 1, lambda s, w: 0)
     while level.ids and len(levels) < longest:
         levels.append(level)
-        found = stored(_pairs(batches, levels), "pairs")
-        pairs.append(found)
+        pairs.append(stored(_counted(_pairs(batches, levels), "ctx", "word"), "pairs"))
         seen = docs.sparkSession.createDataFrame(list(zip(level.ids, level.seen, level.shorter)), "ctx long, seen long, shorter long")
-        counted = found.where("NOT context AND n > 0").groupBy("ctx", "word").agg(F.sum("n").alias("c")).join(F.broadcast(seen), "ctx")
-        if len(levels) == 1:
-            counted = counted.join(words.select("word", F.col("c").alias("c_word")), "word").withColumn("p_shorter", unseen).drop("c_word")
+        counted = pairs[-1].where("id = 0 AND once AND c > 0").select("ctx", "word", "c").join(F.broadcast(seen), "ctx")
+        shared = counted.where("c > 1")
+        if told is None:
+            shared = shared.join(words.select("word", F.col("c").alias("c_word")), "word").withColumn("p_shorter", unseen)
         else:
-            told = counts[-1].select(F.col("ctx").alias("shorter"), "word", F.col("p").alias("p_shorter"))
-            counted = counted.join(told, ["shorter", "word"])
-        counted = counted.withColumn("p", (F.col("c") + smoothing * F.col("p_shorter")) / (F.col("seen") + smoothing))
-        counts.append(stored(counted.select("ctx", "word", "c", "seen", "p", "p_shorter"), "pair-counts"))
-        gains |= {r["ctx"]: r["gain"] for r in _gains(counts[-1], smoothing).collect()}  # one row per context
-        known = dict(zip(zip(level.before, level.words), level.ids))
-        shorter_of = dict(zip(level.ids, level.shorter))
-        longer = _next_level(counts[-1], least, level.ids[-1] + 1, lambda s, w, known=known, up=shorter_of: known[up[s], w])
-        level = longer
+            shared = shared.join(told.select(F.col("ctx").alias("shorter"), "word", F.col("p").alias("p_shorter")), ["shorter", "word"])
+        p = (F.col("c") + smoothing * F.col("p_shorter")) / (F.col("seen") + smoothing)
+        told = stored(shared.withColumn("p", p).select("ctx", "word", "c", "seen", "p", "p_shorter"), "pair-counts")
+        gains |= _gains(counted, told, smoothing)
+        known, up = dict(zip(zip(level.before, level.words), level.ids)), dict(zip(level.ids, level.shorter))
+        level = _next_level(told, least, level.ids[-1] + 1, lambda s, w, known=known, up=up: known[up[s], w])
     tree = SuffixTree(levels, _kept(levels, gains, least_gain), tokens, types, smoothing)
 
-    answers = per_batch.join(words, "word").select("batch", F.lit(False).alias("context"), F.lit(0).cast("long").alias("ctx"), "code", F.col("c").alias("value"))
-    for level, found, counted in zip(levels, pairs, counts):
+    # back to the batches: counts that are more than the batch's own, and (negative) the ids of contexts
+    batch, code = F.shiftright("at", CODE_BITS).alias("to"), F.col("at").bitwiseAND(F.lit((1 << CODE_BITS) - 1))
+    answers = by_word.where("c > n").select(batch, code.alias("key"), F.col("c").alias("value"))
+    for level, found in zip(levels, pairs):
         states = docs.sparkSession.createDataFrame([(i,) for i in level.ids if i in tree.kept], "ctx long")
-        asked = found.where("NOT context").join(F.broadcast(states), "ctx", "left_semi")
-        answers = answers.unionByName(asked.join(counted.select("ctx", "word", "c"), ["ctx", "word"]).select("batch", "context", "ctx", "code", F.col("c").alias("value")))
-        answers = answers.unionByName(found.where("context").select("batch", "context", "ctx", "code", F.col("n").alias("value")))
+        key = (F.shiftleft("ctx", 32) + code).alias("key")
+        answers = answers.unionByName(found.where("id = 0 AND c > n").join(F.broadcast(states), "ctx", "left_semi").select(batch, key, F.col("c").alias("value")))
+        answers = answers.unionByName(found.where("id > 0").select(batch, key, (-F.col("id")).alias("value")))
     return _scored(batches.select("batch", "doc_ids", "learns", "sizes", "codes"), answers, tree)
 
 
@@ -271,29 +295,26 @@ def _scored(batches: DataFrame, answers: DataFrame, tree: SuffixTree) -> DataFra
         row = {c: left.column(c)[0] for c in ("doc_ids", "learns", "sizes", "codes")}
         sizes = row["sizes"].as_py()
         codes, first = _tokens(row["codes"].as_py(), sizes)
-        ctx, code, value = (right.column(c).to_numpy().astype(np.int64) for c in ("ctx", "code", "value"))
-        told = right.column("context").to_numpy().astype(bool)
-        seen_words = np.zeros(int(codes.max()) + 1, np.int64)
+        learns = np.repeat(np.array(row["learns"].as_py(), bool), sizes)
+        key, value = (right.column(c).to_numpy().astype(np.int64) for c in ("key", "value"))
+        ctx, told = key >> 32, value < 0
+        count = np.bincount(codes, weights=learns).astype(np.int64)
         plain = ~told & (ctx == 0)
-        seen_words[code[plain]] = value[plain]
-        known = seen_words[codes]
+        count[key[plain]] = value[plain]
+        known = count[codes]
         p = (known + 1) / (tokens + types + 1)
         base, now = np.log10(p), np.zeros(len(codes), np.int64)
-        keys = (ctx << 32) | code
+        level = np.where(told, level_of[np.where(told, -value, 0)], level_of[ctx])
         for d in range(1, depth + 1):
-            here = told & (level_of[np.where(told, value, 0)] == d)
-            order = np.argsort(keys[here])
-            now = _follow(now, codes, first, keys[here][order], value[here][order])
+            here = np.flatnonzero(told & (level == d))
+            here = here[np.argsort(key[here])]
+            now = _follow(now, codes, first, key[here], -value[here])
+            pairs, own = _own_pairs(now, codes, learns)
+            asked = ~told & (ctx > 0) & (level == d)
+            own[np.searchsorted(pairs, key[asked])] = value[asked]
             at = np.flatnonzero(now >= 0)
             at = at[state[now[at]]]
-            asked = ~told & (ctx > 0) & (level_of[np.where(told, 0, ctx)] == d)
-            order = np.argsort(keys[asked])
-            have, counts = keys[asked][order], value[asked][order]
-            c = np.zeros(len(at))
-            if len(have) and len(at):
-                wanted = (now[at] << 32) | codes[at]
-                place = np.minimum(np.searchsorted(have, wanted), len(have) - 1)
-                c = np.where(have[place] == wanted, counts[place], 0)
+            c = own[np.searchsorted(pairs, (now[at] << 32) | codes[at])]
             p[at] = (c + smoothing * p[at]) / (seen[now[at]] + smoothing)
         begins = np.append(0, np.cumsum(sizes)[:-1])
         total = lambda x: np.add.reduceat(x, begins)
@@ -302,4 +323,4 @@ def _scored(batches: DataFrame, answers: DataFrame, tree: SuffixTree) -> DataFra
             pa.array(np.full(len(sizes), tokens)), pa.array(total(base)), pa.array(total(np.log10(p))),
         ], [c.split()[0] for c in _SCORED.split(", ")])
 
-    return batches.groupBy("batch").cogroup(answers.withColumnRenamed("batch", "to").groupBy("to")).applyInArrow(run, _SCORED)
+    return batches.groupBy("batch").cogroup(answers.groupBy("to")).applyInArrow(run, _SCORED)
