@@ -62,6 +62,23 @@ def test_near_duplicates(make_docs, monkeypatch, n, percent, pivots):
     assert all(r["doc_id"] == r["component_id"] for r in got if r["kept"])
 
 
+@pytest.mark.parametrize("pivots", [1, 8])
+def test_a_family_edited_at_the_same_places(make_docs, monkeypatch, pivots):
+    """Edits are shared by some members, so few shingles are a member's own, and many pairs lie about the threshold."""
+    monkeypatch.setattr(near_dedup, "PIVOTS", pivots)
+    rng = random.Random(12)
+    base = [f"w{rng.randint(0, 900)}" for _ in range(160)]
+    rows = []
+    for i in range(160):
+        words = list(base)
+        for at in rng.sample(range(0, 160, 4), rng.choice([1, 2, 3, 4, 5, 6, 8])):
+            words[at] = f"edit{at}-{rng.randint(0, 2)}"
+        rows.append((i, " ".join(words)))
+    got = near_dedup.near_duplicates(make_docs(rows), 3, 85).collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == brute(rows, 3, 85)
+    assert 5 < sum(r["kept"] for r in got) < 155
+
+
 def test_nothing_to_link(make_docs):
     assert near_dedup.near_duplicates(make_docs([])).count() == 0
     got = near_dedup.near_duplicates(make_docs([(1, None), (2, ""), (3, "alone")])).collect()

@@ -262,12 +262,29 @@ def merge_short(pieces: list[bytes], ranks: Ranks) -> list[tuple[int, ...]]:
     return out
 
 
+def _told_apart(codepoints: np.ndarray, starts: np.ndarray, lengths: np.ndarray, example: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``example`` and ``which`` with each piece that differs from its example made an example of itself."""
+    if not len(starts):
+        return example, which
+    as_long = lengths == lengths[example][which]
+    same, size = np.flatnonzero(as_long), lengths[as_long]
+    differ = codepoints[ragged(starts[same], size)] != codepoints[ragged(starts[example][which][same], size)]
+    wrong = ~as_long
+    if differ.any():
+        ends = np.append(0, np.cumsum(differ))[np.append(0, np.cumsum(size))]
+        wrong[same[np.diff(ends) > 0]] = True
+    odd = np.flatnonzero(wrong)
+    which = which.copy()
+    which[odd] = len(example) + np.arange(len(odd))
+    return np.append(example, odd), which
+
+
 def encode_texts(texts: list[str], content: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids of all texts in turn, the byte offset of each within its text, and the number of ids per text.
 
-    Pieces are made distinct by a 64-bit hash within the call (with a million
-    pieces, two different ones meet with a chance of 3 in 10**8); only the
-    distinct ones become strings and go through the cache.
+    Pieces are made distinct by a hash within the call, and then compared with
+    the one that stands for them; only the distinct ones become strings and go
+    through the cache.
     """
     ranks = load_ranks(content)
     joined = "".join(texts)
@@ -277,6 +294,7 @@ def encode_texts(texts: list[str], content: bytes) -> tuple[np.ndarray, np.ndarr
     starts = piece_starts(codepoints, ends[sizes > 0])
     stops = np.append(starts[1:], len(joined))[: len(starts)]
     _, example, which = np.unique(span_hashes(codepoints, starts, stops), return_index=True, return_inverse=True)
+    example, which = _told_apart(codepoints, starts, stops - starts, example, which)
     found = ranks.pieces([joined[a:b] for a, b in zip(starts[example].tolist(), stops[example].tolist())])
     counts = np.fromiter(map(len, found), np.int64, len(found))
     distinct = np.fromiter(chain.from_iterable(found), np.int32, int(counts.sum()))

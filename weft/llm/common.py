@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weft.runtime import scratch_path
@@ -22,20 +22,60 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Rows of one file that a uid tells apart.
+_ROW_BITS = 40
+
+
+def reserve(docs: DataFrame, *names: str) -> None:
+    """Refuse columns by names that an operator gives to its own."""
+    if taken := sorted({c.lower() for c in docs.columns} & set(names)):
+        raise ValueError(f"columns {taken} are reserved; rename them first")
+
+
+def with_uid(docs: DataFrame) -> DataFrame:
+    """``docs`` with weft_uid: the file of a row, by the order of paths, and its place there.
+
+    So a row has the same uid whenever and by however many tasks its file is
+    read again. A table that is not a scan of files that know their rows
+    (Parquet) is written first. The numbers of the files are as many as the
+    paths that the driver listed for the scan; they go to all tasks.
+    """
+    reserve(docs, UID, "weft_file", "weft_place")
+    docs = as_scan(docs)
+    here = docs.metadataColumn("_metadata")
+    placed = docs.select("*", here["file_path"].alias("weft_file"), here["row_index"].alias("weft_place"))
+    files = placed.select("weft_file").distinct()
+    numbers = files.select("weft_file", F.row_number().over(Window.orderBy("weft_file")).cast("long").alias(UID))
+    uid = F.shiftleft(UID, _ROW_BITS) + F.col("weft_place")
+    named = placed.join(F.broadcast(numbers), "weft_file").withColumn(UID, uid)
+    return named.drop("weft_file", "weft_place")
+
+
+def as_scan(docs: DataFrame) -> DataFrame:
+    """``docs`` itself if its rows have places in files, otherwise as written to a new table: for operators that read it twice."""
+    try:
+        docs.select(docs.metadataColumn("_metadata")["row_index"])
+    except AnalysisException:
+        return stored(docs, "rows")
+    return docs
+
+
 def keyed_texts(docs: DataFrame) -> DataFrame:
     """(weft_uid, doc_id, text) of ``docs``: each row is a document of its own, null text is empty.
 
-    The uid numbers rows by input partition and place, so it is the same
-    whenever a file scan is read again; other inputs should be written first
-    (``stored``). It lets rows that share a doc_id, or have none, stay apart.
+    The uid (``with_uid``) lets rows that share a doc_id, or have none, stay apart.
     """
-    return docs.select(
-        F.monotonically_increasing_id().alias(UID),
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce(F.col("text"), F.lit("")).alias("text"),
+    return with_uid(docs.select("doc_id", "text")).select(
+        UID, F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")
     )
 
 
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs`` but for those whose weft_uid is in ``gone``, with the columns of ``docs``."""
+    named = with_uid(docs)
+    return named.join(gone.select(UID), UID, "left_anti").drop(UID)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to a new table in the shared folder and read it back: lineage ends there, for any executor."""
     spark = df.sparkSession
@@ -94,17 +134,24 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@lru_cache(2)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    base = 0x9E3779B97F4A7C15
-    each = np.full((2, size), 1, np.uint64)
-    each[0, 1:], each[1, 1:] = base, pow(base, -1, 2**64)
-    return tuple(np.multiply.accumulate(each, axis=1))
+# Spans up to this length are hashed symbol by symbol, all at once; the few longer ones each by a digest.
+_SHORT = 48
 
 
 def span_hashes(values: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    """64-bit hashes of spans of an array of whole numbers, from one running sum over the array."""
-    up, down = _powers(1 << max(16, int(len(values)).bit_length()))
-    terms = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(mix64(values.astype(np.uint64) + np.uint64(1)) * up[: len(values)], out=terms[1:])
-    return mix64((terms[stops] - terms[starts]) * down[starts] + (stops - starts).astype(np.uint64))
+    """64-bit hashes of spans of an array of whole numbers: each step scrambles what it has, so that no family of spans agrees."""
+    lengths = stops - starts
+    out = mix64(lengths.astype(np.uint64) + np.uint64(0x632BE59BD9B4E019))
+    order = np.argsort(-lengths, kind="stable")
+    falling = lengths[order]
+    long = int(np.searchsorted(-falling, -_SHORT, side="left"))
+    for i in order[:long].tolist():
+        span = np.ascontiguousarray(values[starts[i] : stops[i]])
+        out[i] = int.from_bytes(hashlib.blake2b(span.tobytes(), digest_size=8).digest(), "little")
+    order, falling = order[long:], falling[long:]
+    at, state = starts[order], out[order]
+    for step in range(int(falling[0]) if len(falling) else 0):
+        n = int(np.searchsorted(-falling, -step, side="left"))  # those longer than the step
+        state[:n] = mix64(state[:n] * np.uint64(0x9FB21C651E98DF25) + values[at[:n] + step].astype(np.uint64) + np.uint64(1))
+    out[order] = state
+    return out

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from weft.runtime import scratch_path
 
-from .common import UID, keyed_texts, salt, sha256_text, stored
+from .common import UID, as_scan, keyed_texts, salt, sha256_text, stored, without
 
 SALTS = 64
 
@@ -85,8 +85,7 @@ class DigestIndex:
 
 
 def keep_first(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; ``docs`` must be a file scan (see ``keyed_texts``)."""
+    """The rows of ``docs`` that stay, with all their columns; a column named weft_uid is refused."""
+    docs = as_scan(docs)
     index = index or DigestIndex(docs.sparkSession)
-    gone = index.ingest(docs).where(~F.col("kept")).select(F.col(UID).alias("weft_gone"))
-    named = docs.withColumn("weft_row", F.monotonically_increasing_id())
-    return named.join(gone, F.col("weft_row") == F.col("weft_gone"), "left_anti").drop("weft_row")
+    return without(docs, stored(index.ingest(docs).where(~F.col("kept")).select(UID), "gone"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from weft.runtime import scratch_path
 
-from .common import UID, keyed_texts, stored
+from .common import UID, as_scan, keyed_texts, stored
 
 WHITE = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -219,6 +219,7 @@ class LineIndex:
         empty line; empty keys are never dropped; repeated rows are documents
         of their own; an empty table gives no rows; other columns are ignored.
         """
+        docs = as_scan(docs)
         dropped = self.find(docs).groupBy(UID).agg(F.collect_list("place").alias("dropped"))
         lines = F.split(F.col("text"), "\n", -1)
         gone = F.coalesce(F.col("dropped"), F.expr("cast(array() as array<int>)"))

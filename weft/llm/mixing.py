@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import UID, salt
+from .common import UID, reserve, salt
 
 # Poisson means above this are split into a sum of smaller ones, so that each table of probabilities stays short.
 MEAN = 16.0
@@ -78,8 +78,10 @@ def replicate(docs: DataFrame, weights: Mapping[str, float] | None = None, ratio
     A row is multiplied before it is shuffled once, by its random order, so no
     source or group of copies stays together. Rates reach the rows by broadcast
     while their number is at most ``BROADCAST_SOURCES``, otherwise by a join on
-    (source, salt). An empty table gives no rows.
+    (source, salt). An empty table gives no rows; texts are carried, not read, so their
+    length does not matter. Columns with names that are added or needed inside (weft_...) are refused.
     """
+    reserve(docs, UID, *(f"weft_{x}" for x in ("source", "rate", "slices", "cdf", "copies", "copy", "order", "salt", "salt2")))
     found = rates(docs, weights, ratio, source).select(
         F.col("source").alias("weft_source"), F.col("rate").alias("weft_rate"),
         F.greatest(F.lit(1), F.ceil(F.col("rate") / MEAN)).cast("int").alias("weft_slices"),

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import UID, chunks, keyed_texts, mix64, span_hashes, stored, utf8_batch
+from .common import UID, as_scan, chunks, keyed_texts, mix64, span_hashes, stored, utf8_batch, without
 from .substring_dedup import words_of
 from .windows import gram_hashes
 
@@ -21,7 +21,7 @@ BANDS, ROWS = 24, 4
 REGISTERS = BANDS * ROWS
 # A pair is dropped before verification if a similarity at the threshold is e**16 times less likely than the best one.
 LESS_LIKELY = 16.0
-# Members of a bucket that are compared with all others of it in one round.
+# Members of a group that are compared with the others of it in one round.
 PIVOTS = 64
 # The first round, which links most of what is linked, looks at so many bands only; the others at all of them.
 FIRST_BANDS = 4
@@ -123,7 +123,7 @@ def _sets(texts: DataFrame, n: int) -> DataFrame:
 
 
 def _likely(pairs: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b, n_a, n_b, registers_a, registers_b) whose registers do not speak against the threshold."""
+    """The pairs (a, b, n_a, n_b, registers_a, registers_b) that share a band and whose registers do not speak against the threshold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,7 +131,8 @@ def _likely(pairs: DataFrame, threshold: float) -> DataFrame:
                 continue
             rows = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, REGISTERS) for c in ("registers_a", "registers_b")]
             sizes = [np.asarray(batch.column(c), np.float64) for c in ("n_a", "n_b")]
-            stay = ~unlikely(*rows, *sizes, threshold)
+            a, b = (r.reshape(-1, BANDS, ROWS) for r in rows)
+            stay = (a == b).all(2).any(1) & ~unlikely(*rows, *sizes, threshold)
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(stay)) for c in ("a", "b")], names=["a", "b"])
 
     return pairs.select("a", "b", "n_a", "n_b", "registers_a", "registers_b").mapInArrow(run, "a long, b long")
@@ -167,22 +168,41 @@ def _feasible(percent: int, shared: Column, n: Column, other: Column) -> Column:
 
 
 def _narrowed(waiting: DataFrame, percent: int) -> DataFrame:
-    """The members of buckets that could reach the threshold with a member of another component of their bucket.
+    """The members of groups that could reach the threshold with a member of another component of their group.
 
-    A set shares at most the shingles that are not its own with any other. Per
-    bucket and size of set it is known how many those are at most, and whether
-    there is more than one component; so no pairs of members are formed.
+    ``most`` bounds what a set shares with any other of the group. Per group
+    and size of set the greatest such bound is known, and whether there is
+    more than one component; so no pairs of members are formed.
     """
-    sizes = waiting.groupBy(F.col("bucket").alias("b"), F.col("n").alias("n2")).agg(
-        F.max(F.col("n") - F.col("own")).alias("common2"), F.min("root").alias("root1"), F.max("root").alias("root2")
+    sizes = waiting.groupBy(F.col("key").alias("k"), F.col("n").alias("n2")).agg(
+        F.max("most").alias("most2"), F.min("root").alias("root1"), F.max("root").alias("root2")
     )
     met = (
-        (F.col("bucket") == F.col("b")) & ((F.col("root1") != F.col("root")) | (F.col("root2") != F.col("root")))
-        & _feasible(percent, F.least(F.col("n") - F.col("own"), F.col("common2")), F.col("n"), F.col("n2"))
+        (F.col("key") == F.col("k")) & ((F.col("root1") != F.col("root")) | (F.col("root2") != F.col("root")))
+        & _feasible(percent, F.least("most", "most2"), F.col("n"), F.col("n2"))
     )
     return waiting.join(sizes, met, "left_semi")
 
 
+def _prefixes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(key, uid, n, most, root): the first shingles of each set that another member has, the rarest first.
+
+    All sets are put in one order of shingles, by holders among the members.
+    If the first shingle that two sets share stands at place i of one and j of
+    the other (from 0), they share n - i and n2 - j at most, so it is among the
+    first n - ceil(threshold * n) + 1 of both if they can be linked: no link is
+    lost. Sets edited so much that these are all their own meet nobody.
+    """
+    each = sets.join(members.select(UID), UID, "left_semi").select(UID, F.explode("shingles").alias("key"))
+    held = stored(each, "member-shingles")
+    counted = held.join(held.groupBy("key").agg(F.count(F.lit(1)).alias("holders")), "key")
+    place = F.row_number().over(Window.partitionBy(UID).orderBy("holders", "key")) - 1
+    ranked = counted.withColumn("place", place).join(members, UID)
+    return ranked.where((F.col("holders") > 1) & (F.col("place") <= F.expr(f"n - ({percent} * n + 99) div 100"))).select(
+        "key", UID, "n", (F.col("n") - F.col("place")).alias("most"), "root"
+    )
+
+
 def link(texts: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """The sketches of ``texts``, and (uid, root) of the representatives of different shingle sets that are linked.
 
@@ -193,13 +213,16 @@ def link(texts: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
     this is exact, forms no pairs, and takes apart families of copies that were
     edited much. In a first round, over a few bands, the member of each bucket
     with the fewest shingles of its own (the middle of a family) is compared
-    with the others. Then, round by round over the buckets of all bands, a few
-    members of each (the pivots, from the smallest components) are compared
-    with all others of the bucket that are not in their component yet, and
-    leave the bucket; a bucket is done when no members of different components
-    are left that could be linked. So pairs within a component are not formed,
-    but no pair that could join two components is left out, however large a
-    bucket is.
+    with the others. The members that could still be linked to another
+    component over any band then meet by the rarest of their shingles
+    (``_prefixes``) instead of by buckets, so members of a family that cannot
+    reach the threshold do not meet. Round by round a few members of each such
+    group (the pivots, from the smallest components) are compared with those of
+    the group that are not in their component, share a band with them and can
+    reach the threshold, and leave the group; a group is done when no members
+    of different components are left that could be linked. So pairs within a
+    component are not formed, but no pair that could join two components is
+    left out, however large a family is.
     """
     sketches = stored(_sketches(texts, n), "sketches")
     chosen = sketches.where("n_shingles > 0").groupBy("digest").agg(F.min(UID).alias(UID)).select(UID)
@@ -237,26 +260,32 @@ class _Search:
         self.links: DataFrame | None = None
         self.roots: DataFrame | None = None
 
+    def _in_buckets(self, rows: DataFrame, bands: int) -> DataFrame:
+        keyed = _banded(rows, bands).withColumn("most", F.col("n") - F.col("own"))
+        return _narrowed(keyed.select(F.col("bucket").alias("key"), UID, "n", "most", "own", "root"), self.percent)
+
     def first_round(self, bands: int) -> None:
         """Compare the middle of each bucket of the first bands with the others of the bucket."""
-        waiting = stored(_narrowed(_banded(self.met, bands), self.percent), "waiting")
-        middles = waiting.groupBy("bucket").agg(F.min(F.struct("own", UID)).alias("best"))
-        self._compare(waiting, stored(middles.select("bucket", F.col(f"best.{UID}").alias("pivot")), "pivots"))
+        waiting = stored(self._in_buckets(self.met, bands), "waiting")
+        middles = waiting.groupBy("key").agg(F.min(F.struct("own", UID)).alias("best"))
+        self._compare(waiting, stored(middles.select("key", F.col(f"best.{UID}").alias("pivot")), "pivots"))
 
     def all_rounds(self) -> None:
-        """Go on with the buckets of all bands until no members of different components are left that could be linked."""
-        waiting = _narrowed(_banded(self._rooted(self.met), BANDS), self.percent)
-        order = Window.partitionBy("bucket").orderBy("size", "best")
+        """Go on, by rare shingles, until no members of different components are left that share a band and could be linked."""
+        left = stored(self._in_buckets(self._rooted(self.met), BANDS), "left")
+        members = _narrowed(left, self.percent).select(UID, "n", "root").distinct()
+        waiting = _narrowed(stored(_prefixes(stored(members, "members"), self.sets, self.percent), "prefixes"), self.percent)
+        order = Window.partitionBy("key").orderBy("size", "best")
         while True:
             # once more, as those that went may have been the only chance of others
             waiting = stored(_narrowed(stored(waiting, "narrowed"), self.percent), "waiting")
-            per_root = waiting.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("own", UID)).alias("best"))
+            per_root = waiting.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct(-F.col("most"), UID)).alias("best"))
             pivots = per_root.withColumn("place", F.row_number().over(order)).where(F.col("place") <= PIVOTS)
-            pivots = stored(pivots.select("bucket", F.col(f"best.{UID}").alias("pivot")), "pivots")
+            pivots = stored(pivots.select("key", F.col(f"best.{UID}").alias("pivot")), "pivots")
             if not pivots.limit(1).count():
                 return
             fresh = self._compare(waiting, pivots)
-            waiting = waiting.join(pivots.withColumnRenamed("pivot", UID), ["bucket", UID], "left_anti")
+            waiting = waiting.join(pivots.withColumnRenamed("pivot", UID), ["key", UID], "left_anti")
             waiting = _narrowed(self._rooted(waiting) if fresh else waiting, self.percent)
 
     def _rooted(self, rows: DataFrame) -> DataFrame:
@@ -266,14 +295,14 @@ class _Search:
         return found.withColumn("root", F.coalesce("root", UID)).select(*rows.columns)
 
     def _compare(self, waiting: DataFrame, pivots: DataFrame) -> bool:
-        """Confirm links of the pivots with members of their bucket in other components; whether there are any."""
+        """Confirm links of the pivots with members of their group in other components; whether there are any."""
         percent = self.percent
-        of_pivot = waiting.join(pivots, (waiting[UID] == pivots["pivot"]) & (waiting["bucket"] == pivots["bucket"])).select(
-            pivots["bucket"].alias("b"), "pivot", F.col("n").alias("n2"), F.col("own").alias("own2"), F.col("root").alias("root2")
+        of_pivot = waiting.join(pivots, (waiting[UID] == pivots["pivot"]) & (waiting["key"] == pivots["key"])).select(
+            pivots["key"].alias("k"), "pivot", F.col("n").alias("n2"), F.col("most").alias("most2"), F.col("root").alias("root2")
         )
         met = (
-            (F.col("bucket") == F.col("b")) & (F.col("root") != F.col("root2"))
-            & _feasible(percent, F.least(F.col("n") - F.col("own"), F.col("n2") - F.col("own2")), F.col("n"), F.col("n2"))
+            (F.col("key") == F.col("k")) & (F.col("root") != F.col("root2"))
+            & _feasible(percent, F.least("most", "most2"), F.col("n"), F.col("n2"))
         )
         pairs = waiting.join(of_pivot, met).select(F.least("pivot", UID).alias("a"), F.greatest("pivot", UID).alias("b")).distinct()
         side = lambda x: self.met.select(F.col(UID).alias(x), F.col("n").alias(f"n_{x}"), F.col("registers").alias(f"registers_{x}"))
@@ -323,7 +352,6 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns; ``docs`` must be a file scan (see ``keyed_texts``)."""
-    gone = near_duplicates(docs, n, percent).where(~F.col("kept")).select(F.col(UID).alias("weft_gone"))
-    named = docs.withColumn("weft_row", F.monotonically_increasing_id())
-    return named.join(gone, F.col("weft_row") == F.col("weft_gone"), "left_anti").drop("weft_row")
+    """The rows of ``docs`` that are kept, with all their columns; a column named weft_uid is refused."""
+    docs = as_scan(docs)
+    return without(docs, stored(near_duplicates(docs, n, percent).where(~F.col("kept")).select(UID), "gone"))

@@ -24,7 +24,7 @@ from .common import chunks, stored, utf8_batch
 from .substring_dedup import SPACE, words_of
 
 # Bytes of text in a batch, but for a longer document, which is one alone.
-BATCH_BYTES = 32 << 20
+BATCH_BYTES = 16 << 20
 # A word of a batch has one number: that of the batch, then CODE_BITS for its place among the batch's words.
 CODE_BITS = 28
 # The token after the last word; no word has white space.
