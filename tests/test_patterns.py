@@ -79,6 +79,34 @@ def test_prefixspan_holds_no_sequence_whole(spark, monkeypatch):
     assert 0 < max(longest) <= 8
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_prefixspan_grows_by_itself(spark, monkeypatch, seed):
+    """Nothing of the candidate miners is used, and results are those of brute force, also of wide elements over many chunks."""
+    for name in ("_class_candidates", "_grow", "_advance", "_candidates", "_count_after"):
+        monkeypatch.setattr(patterns, name, None)
+    monkeypatch.setattr(patterns, "CHUNK", 3)
+    rng = random.Random(seed)
+    data = {f"s{s}": [sorted(rng.sample("abcde", rng.randint(1, 4))) for _ in range(rng.randint(0, 7))] or [["a"]] for s in range(40)}
+    data["hot"] = [sorted(rng.sample("abcde", 2)) for _ in range(40)]
+    want = brute(list(data.values()), min_count(0.4, len(data)), 5)
+    assert found(patterns.prefixspan(elements(spark, data), 0.4, max_items=5)) == want
+    short = {p: n for p, n in want.items() if len(p) <= 2}
+    assert found(patterns.prefixspan(elements(spark, data), 0.4, max_items=5, max_elements=2)) == short
+
+
+def test_prefixspan_repeated_items_in_an_element(spark):
+    df = elements(spark, {"s1": [["a", "a", "b"], ["b"]], "s2": [["b", "a"], ["a", "b"]]})
+    want = brute([[["a", "b"], ["b"]], [["a", "b"], ["a", "b"]]], 2, 3)
+    assert found(patterns.prefixspan(df, 1.0, max_items=3)) == want
+
+
+def test_prefixspan_with_a_million_events_in_one_sequence(spark):
+    events = spark.range(1_000_000).select(F.lit("hot").alias("sequence_id"), (F.col("id") + 1).alias("position"), F.array(F.concat(F.lit("i"), F.col("id") % 5)).alias("items"))
+    short = {f"s{i}": [["i0"], ["i1"], ["i0"], ["i9"]] for i in range(3)}
+    got = found(patterns.prefixspan(events.unionByName(elements(spark, short)), 1.0, max_items=3))
+    assert got == {p: 4 for p in brute([[["i0"], ["i1"], ["i0"]]], 1, 3)}
+
+
 def test_every_sequence_holds_the_empty_pattern(spark):
     df = elements(spark, {"s1": [["a"]], "s2": [["b"], ["a"]]})
     given = spark.createDataFrame([("none", []), ("ba", [["b"], ["a"]]), ("z", [["z"]])], "pattern string, elements array<array<string>>")

@@ -1,6 +1,6 @@
 """Sequential-pattern miners over sequence elements ``(sequence_id, position, items)``.
 
-PrefixSpan, GSP, SPADE and CM-SPADE share two vertical tables:
+GSP, SPADE and CM-SPADE share two vertical tables (PrefixSpan has its own growth, see there):
 
 * occurrences of an element itemset X: ``(x, sequence_id, chunk, positions)``,
   where ``positions`` holds the element positions that contain X, in chunks of
@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import min_count
@@ -178,10 +178,7 @@ def _described(level: DataFrame) -> DataFrame:
 
 
 def _class_candidates(level: DataFrame, alive: int) -> DataFrame:
-    """SPADE: extend inside the class of patterns that share all but the last item.
-
-    The last items of a class are those frequent in the projection of its common prefix, so this is PrefixSpan's growth too.
-    """
+    """SPADE: extend inside the class of patterns that share all but the last item."""
     rows = _described(level)
     left = rows.select("head", F.col("els").alias("l"), F.col("z").alias("lz"), F.col("joined").alias("lj"))
     right = rows.select("head", F.col("z").alias("x"), F.col("joined").alias("rj"))
@@ -374,9 +371,115 @@ def cm_spade(elements: DataFrame, min_support: float = 0.1, max_items: int | Non
 
 
 def prefixspan(elements: DataFrame, min_support: float = 0.1, max_items: int | None = None, max_elements: int | None = None) -> DataFrame:
-    """Prefix growth on rows: a prefix is projected as its match states, one earliest end per sequence, and extended by
-    the items that were frequent in the projection of its parent. No projected sequence is laid out."""
-    return _grow(elements, min_support, "prefix", max_items, max_elements)
+    """Prefix growth on projected databases kept as rows.
+
+    The projection of a prefix on a sequence is its pointer, the position ``f``
+    at which the earliest match ends. What follows is counted for all prefixes
+    of a length at once and without candidates: an item opens a new element if
+    its last occurrence lies after ``f``, and joins the last element if an
+    element after the rest of the prefix holds that element and the item. Only
+    what is found frequent is projected further, by one look into the chunk of
+    positions that holds the next occurrence. No sequence is laid out whole.
+    """
+    with cached(elements) as held:
+        enc = encode(held, min_support)
+        found = enc.dictionary.select(F.array(F.array("id")).alias("els"), "support_count")
+        if not enc.n_items or max_items == 1:
+            return _decode(found, enc)
+        db = _Projected(held, enc)
+    level = enc.dictionary.select(F.array(F.array("id")).alias("els"), F.col("id").cast("long").alias("id"))
+    states, open_rows, k, alive = db.first_states, db.first_open, 2, enc.n_items
+    while alive and (max_items is None or k <= max_items):
+        last = k == max_items
+        longer = db.new_elements(states, level, alive, max_elements)
+        joined = db.same_element(open_rows)
+        if joined is not None and not last:
+            joined = durable(joined)
+        level = db.frequent(longer, joined, level, alive)
+        found, alive = found.unionByName(level.select("els", "support_count")), level.count()
+        if alive and not last:
+            states, open_rows = db.project(states, open_rows, joined, level, alive)
+        k += 1
+    return _decode(found, enc)
+
+
+class _Projected:
+    """The rows that projections point into.
+
+    * ``ends``: the last position of each item in each sequence;
+    * ``chunks``: positions of an item in a sequence, CHUNK positions a row, with the last position before the row;
+    * ``sets``: the elements with more than one frequent item, as sorted item ids.
+
+    Pointers are (p, sequence_id, f). ``open`` rows (p, sequence_id, position, z) are the elements of ``sets`` that end a match of p
+    with item z last and hold greater items; they are None if there are no such elements at all.
+    """
+
+    def __init__(self, elements: DataFrame, enc: EncodedSequences):
+        self.threshold = enc.threshold
+        items = small_side(enc.dictionary.select("item", "id"), enc.n_items)
+        coded = durable(explode_items(elements).join(items, "item").select("sequence_id", "position", F.col("id").alias("x")).distinct())
+        chunked = coded.groupBy("sequence_id", "x", F.expr(f"position div {CHUNK}").alias("chunk")).agg(
+            F.sort_array(F.collect_list("position")).alias("positions")
+        )
+        before = F.lag(F.element_at("positions", -1)).over(Window.partitionBy("sequence_id", "x").orderBy("chunk"))
+        self.chunks = durable(chunked.select("sequence_id", "x", "positions", before.alias("before"), F.element_at("positions", -1).alias("last")))
+        spans = self.chunks.groupBy("sequence_id", "x").agg(F.max("last").alias("last"), F.min(F.element_at("positions", 1)).alias("f"))
+        self.ends = durable(spans)
+        self.first_states = self.ends.select(F.col("x").cast("long").alias("p"), "sequence_id", "f")
+        sets = coded.groupBy("sequence_id", "position").agg(F.sort_array(F.collect_list("x")).alias("ids")).where(F.size("ids") > 1)
+        self.sets = durable(sets)
+        self.first_open = None
+        if self.sets.limit(1).count():
+            each = self.sets.select("sequence_id", "position", "ids", F.explode("ids").alias("z")).where(F.col("z") < F.array_max("ids"))
+            self.openers = durable(each.select("sequence_id", "position", "z"))
+            self.first_open = self.openers.withColumn("p", F.col("z").cast("long"))
+
+    def new_elements(self, states: DataFrame, level: DataFrame, alive: int, max_elements: int | None) -> DataFrame:
+        """(p, x, support_count) of the items that follow a prefix."""
+        if max_elements is not None:
+            able = level.where(F.size("els") < max_elements).select(F.col("id").alias("p"))
+            states = states.join(small_side(able, alive), "p", "left_semi")
+        after = states.join(self.ends.select("sequence_id", "x", "last"), "sequence_id").where("last > f")
+        return after.groupBy("p", "x").agg(F.count(F.lit(1)).alias("support_count")).where(f"support_count >= {self.threshold}")
+
+    def same_element(self, open_rows: DataFrame | None) -> DataFrame | None:
+        """(p, x, sequence_id, position) of the items that stand with the last element of a prefix."""
+        if open_rows is None:
+            return None
+        beside = open_rows.join(self.sets, ["sequence_id", "position"])
+        return beside.select("p", F.explode(F.filter("ids", lambda i: i > F.col("z"))).alias("x"), "sequence_id", "position")
+
+    def frequent(self, longer: DataFrame, joined: DataFrame | None, level: DataFrame, alive: int) -> DataFrame:
+        """The next level: els, id, support_count, the prefix p, the item x and the kind of its growth."""
+        grown = longer.withColumn("kind", F.lit(_NEW))
+        if joined is not None:
+            once = joined.select("p", "x", "sequence_id").distinct().groupBy("p", "x").agg(F.count(F.lit(1)).alias("support_count"))
+            grown = grown.unionByName(once.where(f"support_count >= {self.threshold}").withColumn("kind", F.lit(_SAME)))
+        named = grown.join(small_side(level.select(F.col("id").alias("p"), F.col("els").alias("head")), alive), "p")
+        els = F.when(F.col("kind") == _NEW, _append(F.col("head"), F.col("x"), _NEW)).otherwise(_append(F.col("head"), F.col("x"), _SAME))
+        return durable(named.select(els.alias("els"), "support_count", "p", "x", "kind", F.monotonically_increasing_id().alias("id")))
+
+    def project(
+        self, states: DataFrame, open_rows: DataFrame | None, joined: DataFrame | None, level: DataFrame, alive: int
+    ) -> tuple[DataFrame, DataFrame | None]:
+        """Pointers and open rows of the patterns of ``level``."""
+        grown = lambda kind: small_side(level.where(F.col("kind") == kind).select("p", "x", "id"), alive)
+        here = (F.coalesce("before", F.lit(-1)) <= F.col("f")) & (F.col("last") > F.col("f"))  # true of one chunk at most
+        after = F.get(F.filter("positions", lambda at: at > F.col("f")), F.lit(0))
+        moved = states.join(grown(_NEW), "p").join(self.chunks, ["sequence_id", "x"]).where(here).select(
+            F.col("id").alias("p"), "sequence_id", "x", after.alias("f")
+        )
+        if joined is None:
+            return durable(moved.select("p", "sequence_id", "f")), None
+        moved = durable(moved)
+        stay = joined.join(grown(_SAME), ["p", "x"]).select(F.col("id").alias("p"), "sequence_id", "position", F.col("x").alias("z"))
+        stay = durable(stay)
+        first = stay.groupBy("p", "sequence_id").agg(F.min("position").alias("f"))
+        states = durable(moved.select("p", "sequence_id", "f").unionByName(first))
+        fresh = moved.withColumnRenamed("x", "z").join(self.openers, ["sequence_id", "z"]).where("position >= f")
+        more = stay.join(self.openers, ["sequence_id", "position", "z"])
+        columns = ["p", "sequence_id", "position", "z"]
+        return states, durable(fresh.select(*columns).unionByName(more.select(*columns)))
 
 
 ALGORITHMS = {"prefixspan": prefixspan, "gsp": gsp, "spade": spade, "cm_spade": cm_spade}
