@@ -129,3 +129,19 @@ def test_hot_keys_with_one_time_or_none_are_sliced(spark):
     got = sequences.number_rows(df, ["u"], "t", ["n"], hot_rows=100)
     want = sequences.number_rows(df, ["u"], "t", ["n"])
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_baskets_by_id(spark):
+    rows = spark.createDataFrame([(1, ["b", "a"]), (2, ["c"]), (3, ["a", "c", "z"])], "tid long, items array<string>")
+    dictionary = sequences.item_dictionary(baskets.explode_items(rows).where("item <> 'z'"))
+    coded = baskets.encode(rows, dictionary)
+    assert {r["tid"]: r["items"] for r in coded.collect()} == {1: [1, 2], 2: [3], 3: [1, 3]}
+    assert {r["tid"]: r["items"] for r in baskets.decode(coded, dictionary).collect()} == {1: ["a", "b"], 2: ["c"], 3: ["a", "c"]}
+    assert {r["tid"]: r["indices"] for r in baskets.one_hot_sparse(rows, dictionary).collect()} == {1: [0, 1], 2: [2], 3: [0, 2]}
+
+
+def test_one_hot_of_a_large_vocabulary(spark):
+    rows = spark.range(100_000).select((F.col("id") % 1000).alias("tid"), F.array(F.concat(F.lit("item"), F.col("id").cast("string"))).alias("items"))
+    dictionary = sequences.item_dictionary(baskets.explode_items(rows))
+    places = baskets.one_hot_sparse(rows, dictionary).select(F.explode("indices").alias("at"))
+    assert places.agg(F.min("at"), F.max("at"), F.countDistinct("at")).first()[:] == (0, 99_999, 100_000)

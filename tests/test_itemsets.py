@@ -144,3 +144,61 @@ def test_coverage_without_singles(spark):
 def test_histogram_top_edge(spark):
     df = spark.createDataFrame([(0.0,), (0.5,), (1.0,), (float("inf"),)], "v double")
     assert sorted((r.bin, r.n) for r in evaluate.histogram(df, "v", 4).collect()) == [(1, 1), (2, 0), (3, 1), (4, 1)]
+
+
+@pytest.mark.parametrize("max_len", [2, 3, 5])
+def test_bounded_fpgrowth_makes_no_longer_set(spark, monkeypatch, max_len):
+    rng, made, keep = random.Random(max_len), [], itemsets.durable
+
+    def watched(df):
+        out = keep(df)
+        if {"ids", "path"} <= set(out.columns):
+            made.extend(r["k"] for r in out.select((F.size("ids") + 1).alias("k")).distinct().collect())
+        return out
+
+    monkeypatch.setattr(itemsets, "durable", watched)
+    monkeypatch.setattr(itemsets, "FPGrowth", None)
+    data = [sorted(rng.sample("abcdefg", rng.randint(1, 6))) for _ in range(80)] + [["a", "b", "c", "d"]] * 20
+    df = spark.createDataFrame(list(enumerate(data)), "tid long, items array<string>")
+    want = {s: n for s, n in brute(data, min_count(0.1, len(data))).items() if len(s) <= max_len}
+    got = {tuple(r["items"]): r["support_count"] for r in itemsets.fpgrowth(df, 0.1, max_len=max_len).collect()}
+    assert got == want and max(made) <= max_len
+
+
+def test_confident_rules_of_an_itemset_of_sixty(spark):
+    """Two consequents reach the bound alone, and together; no other split is made."""
+    items = [f"i{n:02d}" for n in range(60)]
+    without = lambda *gone: [i for i in items if i not in gone]
+    rows = [(items, 100)] + [(without(i), 100 if i in ("i07", "i31") else 1000) for i in items] + [(without("i07", "i31"), 105), (without("i07", "i08"), 5000)]
+    rows += [([i], 100_000) for i in items] + [(["i07", "i31"], 50_000)]
+    table = spark.createDataFrame([(s, len(s), n, n / 1e6) for s, n in rows], "items array<string>, size int, support_count long, support double")
+    got = {(tuple(r.antecedent), tuple(r.consequent)): r.confidence for r in rules.association_rules(table, "confidence", 0.9).collect()}
+    both = tuple(without("i07", "i31"))  # also the antecedent of rules of the two sets of 59 items
+    assert got == {
+        (tuple(without("i07")), ("i07",)): 1.0, (tuple(without("i31")), ("i31",)): 1.0, (both, ("i07", "i31")): 100 / 105,
+        (both, ("i07",)): 100 / 105, (both, ("i31",)): 100 / 105,
+    }
+
+
+@pytest.mark.parametrize("bound", [0.0, 0.3, 0.6, 0.95])
+def test_grown_rules_are_all_rules(spark, bound):
+    rng = random.Random(4)
+    data = [sorted(rng.sample("abcde", rng.randint(1, 5))) for _ in range(60)]
+    counts = brute(data, 3)
+    table = spark.createDataFrame([(list(s), len(s), n, n / 60) for s, n in counts.items()], "items array<string>, size int, support_count long, support double")
+    got = {(tuple(r.antecedent), tuple(r.consequent)): r.support_count for r in rules.association_rules(table, "confidence", bound).collect()}
+    want = {}
+    for s, n in counts.items():
+        for mask in range(1, 2 ** len(s) - 1):
+            a = tuple(x for i, x in enumerate(s) if mask >> i & 1)
+            if n / counts[a] >= bound:
+                want[a, tuple(x for x in s if x not in a)] = n
+    assert got == want
+
+
+def test_broadcasts_are_checked_by_real_lengths(spark):
+    rows = spark.range(10).select(F.array([F.repeat(F.lit("x"), 1000)] * 1000).alias("items"))
+    assert runtime.table_bytes(rows, 10) >= 10_000_000
+    texts = spark.range(10).select(F.repeat(F.lit("y"), 5000).alias("text"), F.array(F.array(F.lit(1), F.lit(2))).alias("els"))
+    assert 50_000 <= runtime.table_bytes(texts, 10) < 60_000
+    assert runtime.table_bytes(spark.range(10), 10) == 80

@@ -153,3 +153,12 @@ def test_csv_sink(spark, baskets):
     path = scratch_path(spark, "sink")
     results.write_csv(itemsets.apriori(baskets, 0.49), path)
     assert csv.scan_csv(spark, path).where("items = 'a|b|c'").first().support_count == 2
+
+
+def test_csv_dialect_with_a_long_quoted_field(spark):
+    """A surplus field beside a quoted one of 100,000 characters, with doubled quotes and separators inside."""
+    path = scratch_path(spark, "dialect-long")
+    long = '"' + 'a;""b""' * 15_000 + '"'
+    spark.createDataFrame([("a;b",), (f"{long};1",), (f"{long};1;2",), ('"x;y";2',)], "value string").coalesce(1).write.text(path)
+    got = csv.scan_csv_dialect(spark, path, ["a", "b"]).collect()
+    assert sorted((len(r["a"]), r["b"]) for r in got) == [(3, "2"), (75_000, "1")]

@@ -96,6 +96,28 @@ def one_hot(baskets: DataFrame, vocabulary: list[str]) -> DataFrame:
     )
 
 
+def encode(baskets: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """``items`` as sorted ids of a dictionary (item, item_id), see ``sequences.item_dictionary``; items it lacks are left out."""
+    coded = explode_items(baskets).join(dictionary.select("item", "item_id"), "item", "left")
+    return coded.groupBy("tid").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+
+
+def decode(itemsets: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Itemsets of ids with the sorted names of the dictionary (item, item_id) in their place; other columns stay."""
+    named = itemsets.select(F.col("items").alias("_ids"), F.explode("items").alias("item_id")).join(dictionary.select("item", "item_id"), "item_id")
+    names = named.groupBy("_ids").agg(F.sort_array(F.collect_list("item")).alias("_names"))
+    back = itemsets.join(names, F.col("items") == F.col("_ids"))
+    return back.select(*[F.col("_names").alias("items") if c == "items" else F.col(f"`{c}`") for c in itemsets.columns])
+
+
+def one_hot_sparse(baskets: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """One-hot rows over an open vocabulary: ``(tid, indices)``, the 0-based places of a basket's items in the dictionary.
+
+    The vocabulary is a table (item, item_id from 1), so it may have any number of items.
+    """
+    return encode(baskets, dictionary).select("tid", F.transform("items", lambda i: i - 1).alias("indices"))
+
+
 def vertical(baskets: DataFrame, chunk: Column | None = None, longest: int = 4096) -> DataFrame:
     """TID lists per item, split in chunks so that a popular item never becomes one huge row.
 

@@ -222,7 +222,38 @@ def eclat(baskets: DataFrame, min_support: float = 0.01, max_len: int | None = N
     return _decode(found, enc)
 
 
+def _paths(bases: DataFrame) -> DataFrame:
+    """From (ids, path, n) the conditional base of each set with one more item of the path: what comes after it, equal paths merged."""
+    each = bases.select("ids", "n", "path", F.posexplode("path").alias("at", "x"))
+    after = each.select(F.concat("ids", F.array("x")).alias("ids"), F.slice("path", F.col("at") + 2, F.size("path")).alias("path"), "n")
+    return after.where(F.size("path") > 0).groupBy("ids", "path").agg(F.sum("n").alias("n"))
+
+
+def _fpgrowth_bounded(enc: Encoded, max_len: int) -> DataFrame:
+    """FP-Growth to a length: conditional pattern bases as rows (ids of the set, path, n) instead of trees.
+
+    Ids rise with support, so a path holds the items more frequent than the
+    set's. It is cut to the items that are frequent in the base of its set
+    before the next one is made, and none is made for the last length.
+    """
+    found = enc.dictionary.select(F.array("id").alias("ids"), "support_count")
+    nothing = F.array().cast("array<int>")
+    bases = reduced_baskets(enc).groupBy(F.col("ids").alias("path")).agg(F.count(F.lit(1)).alias("n")).withColumn("ids", nothing)
+    for k in range(2, max_len + 1):
+        bases = durable(_paths(bases))
+        counted = bases.select("ids", "n", F.explode("path").alias("x")).groupBy("ids", "x").agg(F.sum("n").alias("support_count"))
+        level = durable(counted.where(f"support_count >= {enc.threshold}"))
+        found = found.unionByName(level.select(F.concat("ids", F.array("x")).alias("ids"), "support_count"))
+        if k == max_len or not level.limit(1).count():
+            break
+        able = level.groupBy("ids").agg(F.collect_set("x").alias("able"))
+        bases = bases.join(able, "ids").select("ids", F.array_intersect("path", "able").alias("path"), "n")
+    return _decode(found, enc)
+
+
 def _fpgrowth(enc: Encoded, max_len: int | None) -> DataFrame:
+    if max_len is not None and enc.n_items > 1 and max_len > 1:
+        return _fpgrowth_bounded(enc, max_len)
     singles = enc.dictionary.select(F.array("id").alias("ids"), "support_count")
     if enc.n_items < 2 or max_len == 1:
         return _decode(singles, enc)
@@ -240,13 +271,11 @@ def _fpgrowth(enc: Encoded, max_len: int | None) -> DataFrame:
             F.sort_array("items").alias("ids"), F.col("freq").alias("support_count")
         )
     )
-    if max_len is not None:
-        longer = longer.where(F.size("ids") <= max_len)
     return _decode(singles.unionByName(longer), enc)
 
 
 def fpgrowth(baskets: DataFrame, min_support: float = 0.01, max_len: int | None = None) -> DataFrame:
-    """MLlib's parallel FP-Growth on id-coded baskets of frequent items; ``max_len`` filters the result."""
+    """MLlib's parallel FP-Growth on id-coded baskets of frequent items; with ``max_len`` growth stops there, which MLlib cannot."""
     with cached(baskets) as held:
         return _fpgrowth(encode(held, min_support, by_support=True), max_len)
 

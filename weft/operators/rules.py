@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import durable
+
 # 2**12 masks per row at each of the two expansion steps
 _LOW_BITS = 12
-# A larger itemset has more splits than a table can hold; it is an error, not a shorter result.
+# A larger itemset has more splits than a table can hold; it is an error, not a shorter result. Rules by confidence have no such bound.
 MOST_ITEMS = 40
 
 
@@ -41,18 +43,46 @@ def _splits(itemsets: DataFrame) -> DataFrame:
     )
 
 
+def _confident_splits(itemsets: DataFrame, antecedents: DataFrame, min_confidence: float) -> DataFrame:
+    """The splits whose rule reaches ``min_confidence``, consequents grown item by item.
+
+    A rule that misses the bound misses it with every larger consequent of the
+    same itemset, as its antecedent only gets more frequent. So a consequent
+    is grown only from one that reached it, by items that reached it alone.
+    """
+    def reaching(tried: DataFrame) -> DataFrame:
+        rest = F.filter("items", lambda x: ~F.array_contains("consequent", x))
+        scored = tried.withColumn("antecedent", rest).where(F.size("antecedent") > 0).join(antecedents, "antecedent")
+        return durable(scored.withColumn("confidence", F.col("support_count") / F.col("_ac")).where(F.col("confidence") >= min_confidence))
+
+    whole = itemsets.where("size >= 2").select("items", "support_count", "support")
+    level = reaching(whole.select("*", F.explode(F.transform("items", lambda x: F.array(x))).alias("consequent")))
+    found = level
+    able = level.groupBy("items").agg(F.array_sort(F.flatten(F.collect_list("consequent"))).alias("able"))
+    while level.limit(1).count():
+        more = F.explode(F.filter("able", lambda x: x > F.element_at("consequent", -1)))
+        grown = level.select("items", "support_count", "support", "consequent").join(able, "items").withColumn("more", more)
+        level = reaching(grown.select("items", "support_count", "support", F.concat("consequent", F.array("more")).alias("consequent")))
+        found = found.unionByName(level)
+    return found.drop("items")
+
+
 def association_rules(itemsets: DataFrame, metric: str = "confidence", min_threshold: float = 0.5) -> DataFrame:
-    """Rules with multi-item sides and five measures; ``itemsets`` must hold all subsets of its sets."""
+    """Rules with multi-item sides and five measures; ``itemsets`` must hold all subsets of its sets.
+
+    Rules by confidence are grown from small consequents, for itemsets of any size.
+    """
     if metric not in ("support", "confidence", "lift", "conviction", "leverage"):
         raise ValueError(f"unknown metric '{metric}'")
+    itemsets = durable(itemsets.select("items", "size", "support_count", "support"))
     ant = itemsets.select(
         F.col("items").alias("antecedent"), F.col("support_count").alias("_ac"), F.col("support").alias("_as")
     )
     con = itemsets.select(F.col("items").alias("consequent"), F.col("support").alias("_cs"))
-    splits = _splits(itemsets)
-    scored = splits.join(ant, "antecedent").withColumn("confidence", F.col("support_count") / F.col("_ac"))
     if metric == "confidence":
-        scored = scored.where(F.col("confidence") >= min_threshold)
+        scored = _confident_splits(itemsets, ant, min_threshold)
+    else:
+        scored = _splits(itemsets).join(ant, "antecedent").withColumn("confidence", F.col("support_count") / F.col("_ac"))
     certain = F.col("support_count") == F.col("_ac")
     rules = (
         scored.join(con, "consequent")

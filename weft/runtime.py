@@ -7,8 +7,9 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 from pyspark.storagelevel import StorageLevel
 
 # A side is broadcast only after its size was compared with this bound.
@@ -55,9 +56,30 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{_shared_root(spark).rstrip('/')}/weft-{label}-{uuid.uuid4().hex}"
 
 
+def _varying(kind: DataType) -> bool:
+    return kind.typeName() in ("string", "binary", "array", "map", "struct", "variant")
+
+
+def _bytes_of(column: Column, kind: DataType) -> Column:
+    """The length of a value: texts and arrays by what they hold, not by the width of their type."""
+    name = kind.typeName()
+    if name in ("string", "binary"):
+        return F.octet_length(column).cast("long")
+    if name == "array" and not _varying(kind.elementType):
+        return F.size(column) * F.lit(16).cast("long")
+    if name == "array":
+        return F.aggregate(column, F.lit(0).cast("long"), lambda done, x: done + 16 + F.coalesce(_bytes_of(x, kind.elementType), F.lit(0)))
+    return F.octet_length(F.to_json(F.struct(column))).cast("long")
+
+
 def table_bytes(df: DataFrame, rows: int) -> int:
-    """Size of ``rows`` counted rows by the widths Spark gives their types."""
-    return rows * df._jdf.schema().defaultSize()
+    """Size of ``rows`` counted rows: by the widths of their types, and for columns of varying length by what they hold."""
+    width = rows * df._jdf.schema().defaultSize()
+    varying = [f for f in df.schema if _varying(f.dataType)]
+    if not varying or width > BROADCAST_BYTES:
+        return width
+    held = df.agg(*[F.sum(_bytes_of(F.col(f"`{f.name}`"), f.dataType)) for f in varying]).first()
+    return width + sum(x or 0 for x in held)
 
 
 def small_side(df: DataFrame, rows: int) -> DataFrame:

@@ -74,7 +74,7 @@ def scan_csv_dialect(
         .options(**options)
         .csv(path)
     )
-    bare = F.regexp_replace(_RAW, '"([^"]|"")*"', "")
+    bare = F.regexp_replace(_RAW, '"[^"]*"', "")  # a doubled quote ends one quoted span and opens the next
     marks = (F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit("")))) / len(sep)
     # the reader does not give the raw text alone, so the filter reads a field too (a length is never negative)
     fields_read = F.length(F.coalesce(F.col(f"`{wanted[0]}`"), F.lit(""))) >= 0

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weft.operators import baskets, clean
+from weft.operators import baskets, clean, sequences
 from weft.plans import report
 
 from . import data, sql
@@ -136,6 +136,17 @@ def one_hot(spark, sf):
     return baskets.one_hot(data.type_baskets(spark, sf), TYPES)
 
 
+@query(
+    "one_hot_sparse",
+    f"""WITH p AS ({sql.PAIRS['brand']}), v AS (SELECT item, row_number() OVER (ORDER BY item) - 1 AS place FROM (SELECT DISTINCT item FROM p))
+    SELECT tid, place AS item_index FROM (SELECT DISTINCT tid, item FROM p) JOIN v USING (item)""",
+)
+def one_hot_sparse(spark, sf):
+    named = data.brand_baskets(spark, sf)
+    rows = baskets.one_hot_sparse(named, sequences.item_dictionary(baskets.explode_items(named)))
+    return rows.select("tid", F.explode("indices").alias("item_index"))
+
+
 @query(
     "vertical_tidlists",
     f"""SELECT item, tid // 4096 AS chunk, string_agg(CAST(tid AS VARCHAR), '|' ORDER BY tid) AS tids

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from weft.functions import pattern_text, rule_text, truncate
-from weft.operators import baskets, itemsets, patterns, rules
+from weft.operators import baskets, itemsets, patterns, rules, sequences
 from weft.plans import report
 
 from . import data, sql
@@ -80,6 +80,14 @@ def itemsets_maxlen_fpgrowth(spark, sf):
     return itemsets.fpgrowth(data.type_baskets(spark, sf), TYPE, max_len=3)
 
 
+@query("itemsets_by_id", _BRAND_SETS)
+def itemsets_by_id(spark, sf):
+    """Mined on ids, named afterwards."""
+    named = data.brand_baskets(spark, sf)
+    dictionary = sequences.item_dictionary(baskets.explode_items(named))
+    return baskets.decode(itemsets.fpgrowth(baskets.encode(named, dictionary), BRAND), dictionary)
+
+
 @query("long_itemsets", _TYPE_SETS + " WHERE size >= 3")
 def long_itemsets(spark, sf):
     return report.at_least(itemsets.fpgrowth(data.type_baskets(spark, sf), TYPE), 3)
