@@ -38,7 +38,7 @@ def near_unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated, or left out, by Poisson draws that bring the sources to WEIGHTS, in a random order."""
-    return mixing.replicate(docs, WEIGHTS).select(*docs.columns)
+    return mixing.replicate(docs, WEIGHTS).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
