@@ -51,3 +51,12 @@ def test_without_labels(spark, make_docs):
         model = quality.co_train(docs, spark.createDataFrame(labels, LABELS))
         assert quality.keep_good(docs, model).count() == 300
     assert quality.classify(make_docs([]), model).count() == 0
+
+
+def test_labels_known_by_one_column_and_repeated_ids(spark, make_docs):
+    """A toxic label without quality is learnt from; of rows with one doc_id a sample holds one, whatever their number."""
+    rows = [(i, "fine words here", "en", "s", 5) for i in range(3)] + [(7, f"copy {n}", "en", "s", 5) for n in range(40)]
+    labels = spark.createDataFrame([(0, None, 1), (1, 1, None), (2, None, None), (7, 0, 0)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: (r["reject"], r["text"]) for r in quality._sample(make_docs(rows), labels, 100, 100).collect()}
+    assert got == {0: (1, "fine words here"), 1: (0, "fine words here"), 2: (None, "fine words here"), 7: (1, "copy 0")}
+    assert quality._sample(make_docs(rows), labels, 2, 0).count() == 2

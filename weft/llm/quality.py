@@ -15,9 +15,6 @@ from pyspark.sql import functions as F
 
 from .common import stored, utf8_batch
 
-# Bounds of what a model is fitted on; scoring always reads all rows.
-MOST_LABELLED = 20_000
-MOST_UNLABELLED = 20_000
 MOST_FEATURES = 4096
 LEAST_DOCS = 5  # labelled texts that hold a token before it may become a feature
 LEAST_Z = 4.0  # standard deviations by which rejected texts must have it more, or less, often
@@ -107,24 +104,28 @@ def text_features(texts: list[str], column: pa.Array, words: _Words) -> list[set
     return out
 
 
-def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, source, lang, n_chars, reject, test) of at most MOST_LABELLED labelled and MOST_UNLABELLED other rows, those of
-    the least hash. Their ids are few by these bounds, so they are broadcast and texts stay where they are."""
+def _sample(docs: DataFrame, labels: DataFrame, most_labelled: int, most_unlabelled: int) -> DataFrame:
+    """(doc_id, text, source, lang, n_chars, reject, test) of at most ``most_labelled`` labelled and ``most_unlabelled`` other
+    documents, those of the least hash, one row of each doc_id. The ids are few by these bounds, so they are broadcast."""
     place = lambda kind: F.xxhash64(F.lit(SEED + kind), F.col("doc_id"))
+    foul = F.coalesce(F.col("quality") == 0, F.lit(False)) | F.coalesce(F.col("toxic") == 1, F.lit(False))
     marked = (
-        labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
-        .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(((F.col("quality") == 0) | F.coalesce(F.col("toxic") == 1, F.lit(False))).cast("int")).alias("reject"))
-        .orderBy(place("a"), "doc_id").limit(MOST_LABELLED)
+        labels.where("doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL)")
+        .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(foul.cast("int")).alias("reject"))
+        .orderBy(place("a"), "doc_id").limit(most_labelled)
     )
     marked = stored(marked, "labelled")
     others = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").orderBy(place("b"), "doc_id").limit(MOST_LABELLED + MOST_UNLABELLED)
-        .distinct().join(F.broadcast(marked), "doc_id", "left_anti").orderBy(place("b"), "doc_id").limit(MOST_UNLABELLED)
+        docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").orderBy(place("b"), "doc_id").limit(most_labelled + most_unlabelled)
+        .distinct().join(F.broadcast(marked), "doc_id", "left_anti").orderBy(place("b"), "doc_id").limit(most_unlabelled)
     )
     ids = marked.unionByName(others.withColumn("reject", F.lit(None).cast("int")))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), "source", "lang", F.col("n_chars").cast("long").alias("n_chars"))
+    # of rows that share a doc_id the least one, so that the bounds hold for rows too
+    one = F.min(F.struct("text", "source", "lang", "n_chars", "reject")).alias("row")
+    chosen = rows.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(one).select("doc_id", "row.*")
     return stored(
-        rows.join(F.broadcast(ids), "doc_id").withColumn("test", F.col("reject").isNotNull() & (F.pmod(place("c"), F.lit(4)) == 0)), "sample"
+        chosen.withColumn("test", F.col("reject").isNotNull() & (F.pmod(place("c"), F.lit(4)) == 0)), "sample"
     )
 
 
@@ -183,7 +184,7 @@ class _Matrix:
     def scores(self, weights: np.ndarray, bias: float) -> np.ndarray:
         return bias + np.add.reduceat(weights[self.column], self.first)
 
-    def fit(self, target: np.ndarray, weight: np.ndarray, penalty: float = 1e-3, steps: int = 200) -> tuple[np.ndarray, float]:
+    def fit(self, target: np.ndarray, weight: np.ndarray, penalty: float = 1e-3, steps: int = 400) -> tuple[np.ndarray, float]:
         """Logistic regression by accelerated gradient descent; rows of weight 0 take no part."""
         total = max(weight.sum(), 1.0)
         rate = 4.0 / (1 + np.bincount(self.row, minlength=self.n).max(initial=1))
@@ -209,7 +210,7 @@ def _calibrated(columns: np.ndarray, target: np.ndarray) -> np.ndarray:
     return w
 
 
-def co_train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> Model:
+def co_train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, most_labelled: int = 20_000, most_unlabelled: int = 20_000) -> Model:
     """Fit on a bounded sample of ``docs`` and ``labels`` (doc_id, quality, toxic): low quality and toxic texts are to be rejected.
 
     Two views see different things of a row: its text (significant words and
@@ -218,10 +219,15 @@ def co_train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> Model:
     that it is sure of for the other view. A quarter of the labelled rows is
     held out: on it each view is calibrated, and the calibrated views are
     combined. Without rows of both kinds the model accepts everything.
-    Rows with a null doc_id or null quality are no labels; several labels of a
-    row reject it if one does.
+    The sample has at most ``most_labelled`` labelled documents and
+    ``most_unlabelled`` others; scoring always reads all rows.
+    Rows with a null doc_id, or with neither quality nor toxic, are no labels; a
+    label rejects on whichever of the two says so, and several labels of a
+    document reject it if one does. Of documents with the same doc_id one is
+    looked at. Null and empty texts are learnt from by their make-up; empty
+    tables of documents or labels give the model that accepts everything.
     """
-    sample = _sample(docs, labels)
+    sample = _sample(docs, labels, most_labelled, most_unlabelled)
     names = sorted(_significant(sample)) + SHAPES
     rows = _features(sample, names)
     # in the order of ids, so that sums are the same on every run
