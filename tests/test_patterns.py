@@ -82,7 +82,7 @@ def test_prefixspan_holds_no_sequence_whole(spark, monkeypatch):
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_prefixspan_grows_by_itself(spark, monkeypatch, seed):
     """Nothing of the candidate miners is used, and results are those of brute force, also of wide elements over many chunks."""
-    for name in ("_class_candidates", "_grow", "_advance", "_candidates", "_count_after"):
+    for name in ("_class_candidates", "_grow", "_advance", "_candidates", "_count_after", "_vertical", "_count_later", "_meet", "_later"):
         monkeypatch.setattr(patterns, name, None)
     monkeypatch.setattr(patterns, "CHUNK", 3)
     rng = random.Random(seed)
@@ -94,6 +94,62 @@ def test_prefixspan_grows_by_itself(spark, monkeypatch, seed):
     assert found(patterns.prefixspan(elements(spark, data), 0.4, max_items=5, max_elements=2)) == short
 
 
+@pytest.mark.parametrize("name", ["spade", "cm_spade"])
+def test_spade_joins_idlists_only(spark, monkeypatch, name):
+    """No occurrences, match states or projections; masks of several blocks, with the top bit of a block set and set alone."""
+    for other in ("_grow", "_item_occurrences", "_intersect", "_advance", "_count_after", "_step", "_Projected"):
+        monkeypatch.setattr(patterns, other, None)
+    rng = random.Random(41)
+    data = {f"s{s}": [sorted(rng.sample("abcd", rng.randint(1, 3))) for _ in range(rng.randint(1, 6))] for s in range(30)}
+    rows = [(sid, 62 + n, e) for sid, seq in data.items() for n, e in enumerate(seq)]
+    for n in range(8):  # ends at the top bits of blocks only
+        data[f"top{n}"] = [["a"], ["a", "b"], ["b"], ["c"]]
+        rows += [(f"top{n}", 64 * b + 63, e) for b, e in enumerate(data[f"top{n}"])]
+    data["hot"] = [sorted(rng.sample("abcd", 2)) for _ in range(300)]
+    rows += [("hot", n + 1, e) for n, e in enumerate(data["hot"])]
+    df = spark.createDataFrame(rows, "sequence_id string, position long, items array<string>")
+    want = brute(list(data.values()), min_count(0.3, len(data)), 4)
+    assert found(patterns.ALGORITHMS[name](df, 0.3, max_items=4)) == want
+    short = {p: n for p, n in want.items() if len(p) <= 2}
+    assert found(patterns.ALGORITHMS[name](df, 0.3, max_items=4, max_elements=2)) == short
+
+
+def test_spade_with_a_million_events_in_one_sequence(spark):
+    events = spark.range(1_000_000).select(F.lit("hot").alias("sequence_id"), (F.col("id") + 1).alias("position"), F.array(F.concat(F.lit("i"), F.col("id") % 5)).alias("items"))
+    short = {f"s{i}": [["i0"], ["i1"], ["i0"], ["i9"]] for i in range(3)}
+    got = found(patterns.spade(events.unionByName(elements(spark, short)), 1.0, max_items=3))
+    assert got == {p: 4 for p in brute([[["i0"], ["i1"], ["i0"]]], 1, 3)}
+
+
+def test_a_step_meets_one_chunk(spark, monkeypatch):
+    monkeypatch.setattr(patterns, "CHUNK", 4)
+    at = {x: [n for n in range(200) if n % k == 0] for x, k in (("a", 3), ("b", 7))}
+    rows = [("s", x, p // 4, p) for x, ps in at.items() for p in ps]
+    chunks = spark.createDataFrame(rows, "sequence_id string, x string, chunk long, p long").groupBy("sequence_id", "x", "chunk").agg(
+        F.sort_array(F.collect_list("p")).alias("positions")
+    )
+    states = spark.range(-1, 200).select(F.lit("s").alias("sequence_id"), F.explode(F.array(F.lit("a"), F.lit("b"))).alias("x"), F.col("id").alias("f"), "id")
+    got = [(r.x, r.id, r.f) for r in patterns._step(states, patterns._spans(chunks)).collect()]
+    want = [(x, f, min(p for p in ps if p > f)) for x, ps in at.items() for f in range(-1, 200) if f < ps[-1]]
+    assert sorted(got) == sorted(want)
+
+
+@pytest.mark.parametrize("chunk", [1024, 3])
+def test_covered_sequences_leave_once(spark, monkeypatch, chunk):
+    monkeypatch.setattr(patterns, "CHUNK", chunk)
+    data = _random(51, 50)
+    given = [[["a", "b", "c"]], [["d"], ["d"]], [["b"], ["a", "c"], ["d"]], [["a"], ["b"], ["c"], ["d"]], [["zz"], ["a"]]]
+    table = spark.createDataFrame([(str(n), p) for n, p in enumerate(given)], "pattern string, elements array<array<string>>")
+    want = sorted(k for k, s in data.items() if any(contains(p, s) for p in given))
+    assert 0 < len(want) < 50
+    for got in (patterns.matching_sequences(elements(spark, data), table), evaluate._covered_sequences(elements(spark, data), table)):
+        assert sorted(r.sequence_id for r in got.collect()) == want
+    with_single = table.unionByName(spark.createDataFrame([("one", [["a"]])], table.schema))
+    want = sorted(k for k, s in data.items() if any(contains(p, s) for p in [*given, [["a"]]]))
+    assert sorted(r.sequence_id for r in evaluate._covered_sequences(elements(spark, data), with_single).collect()) == want
+    assert patterns.matching_sequences(elements(spark, data), table.limit(0)).count() == 0
+
+
 def test_prefixspan_repeated_items_in_an_element(spark):
     df = elements(spark, {"s1": [["a", "a", "b"], ["b"]], "s2": [["b", "a"], ["a", "b"]]})
     want = brute([[["a", "b"], ["b"]], [["a", "b"], ["a", "b"]]], 2, 3)

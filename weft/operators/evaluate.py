@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import pattern_key
 from ..runtime import cached, durable, small_side, with_rarest_item
 from .baskets import explode_items as basket_items
-from .patterns import match_patterns
+from .patterns import matching_sequences
 from .sequences import explode_items as sequence_items
 
 # Fixed bucket edges of the two rule histograms.
@@ -61,8 +61,9 @@ def _covered_baskets(baskets: DataFrame, sets: DataFrame) -> DataFrame:
     """Tids of baskets that contain at least one set.
 
     A set with an item that is itself a listed single adds nothing, so with a
-    complete itemset table only the singles remain. The other sets are looked
-    up through their rarest item and then tested whole.
+    complete itemset table only the singles remain. Baskets with one of those
+    leave. The other sets are looked up through their rarest item and tested
+    whole, until the first one fits: no (set, basket) pairs are put out.
     """
     distinct = durable(sets.select(F.sort_array("items").alias("items")).distinct())
     singles = distinct.where(F.size("items") == 1).select(F.get("items", F.lit(0)).alias("item"))
@@ -76,17 +77,14 @@ def _covered_baskets(baskets: DataFrame, sets: DataFrame) -> DataFrame:
     )
     rest = durable(longer.join(implied, "items", "left_anti"))
     n_rest = rest.count()
-    hits = basket_items(baskets).join(small_side(singles, n_singles), "item", "left_semi").select("tid")
-    if n_rest:
-        anchored = with_rarest_item(rest, basket_items(baskets)).withColumnRenamed("items", "_set")
-        more = (
-            baskets.select("tid", "items", F.explode("items").alias("item"))
-            .join(small_side(anchored, n_rest), "item")
-            .where(F.size(F.array_except("_set", "items")) == 0)
-            .select("tid")
-        )
-        hits = hits.unionByName(more)
-    return hits.distinct()
+    hits = basket_items(baskets).join(small_side(singles, n_singles), "item", "left_semi").select("tid").distinct()
+    if n_rest == 0:
+        return hits
+    hits = durable(hits)
+    anchored = with_rarest_item(rest, basket_items(baskets)).select(F.col("item").alias("anchor"), F.col("items").alias("wanted"))
+    open_baskets = baskets.join(hits, "tid", "left_anti").select("tid", "items", F.explode("items").alias("item"))
+    holds = (F.col("item") == F.col("anchor")) & (F.size(F.array_except("wanted", "items")) == 0)
+    return hits.unionByName(open_baskets.join(small_side(anchored, n_rest), holds, "left_semi").select("tid").distinct())
 
 
 def coverage(baskets: DataFrame, itemsets: DataFrame, rules: DataFrame) -> DataFrame:
@@ -243,10 +241,11 @@ def _covered_sequences(elements: DataFrame, patterns: DataFrame) -> DataFrame:
         .distinct()
     )
     rest = durable(longer.join(implied, "pattern", "left_anti"))
-    hits = sequence_items(elements).join(small_side(singles, n_singles), "item", "left_semi").select("sequence_id")
-    if not rest.isEmpty():
-        hits = hits.unionByName(match_patterns(elements, rest).select("sequence_id"))
-    return hits.distinct()
+    hits = sequence_items(elements).join(small_side(singles, n_singles), "item", "left_semi").select("sequence_id").distinct()
+    if rest.isEmpty():
+        return hits
+    hits = durable(hits)
+    return hits.unionByName(matching_sequences(elements.join(hits, "sequence_id", "left_anti"), rest))
 
 
 def sequence_coverage(elements: DataFrame, patterns: DataFrame, rules: DataFrame) -> DataFrame:

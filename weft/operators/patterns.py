@@ -1,20 +1,20 @@
 """Sequential-pattern miners over sequence elements ``(sequence_id, position, items)``.
 
-GSP, SPADE and CM-SPADE share two vertical tables (PrefixSpan has its own growth, see there):
-
-* occurrences of an element itemset X: ``(x, sequence_id, chunk, positions)``,
-  where ``positions`` holds the element positions that contain X, in chunks of
-  1024 positions so that no row grows with the sequence;
-* match states of a pattern P: ``(p, sequence_id, f)``, where ``f`` is the
-  earliest position at which a match of P can end.
-
-Pattern ``Q -> X`` is contained in a sequence exactly when X occurs after the
-earliest end of Q, that is, when the last occurrence of X lies after it. So
-support needs one row per sequence and itemset with the last position of the
-itemset there. Candidates are attached to the states of their prefix first, so
-a level joins only rows that can count for a candidate; positions are read only
-to build the states of patterns found frequent. No positions are paired with
-each other and no sequence is held whole.
+The miners count in three ways:
+
+* GSP joins candidates with the sequences: the earliest position ``f`` at which
+  a match of a prefix can end, one row per (prefix, sequence), meets the last
+  position of the itemset that follows. The states of a prefix serve all
+  candidates that begin with it.
+* SPADE and CM-SPADE keep id-lists, the positions at which matches of a pattern
+  end, as masks of 64 positions. Patterns are made of two siblings: AND of the
+  masks, or the positions of one after the first of the other.
+* PrefixSpan projects prefixes and counts what follows, without candidates.
+
+Occurrences of an itemset are kept in chunks of 1024 positions, each with its
+last position and the last one before it, so that the next occurrence after a
+position is found in one chunk. No row grows with the sequence, no positions
+are paired with each other and no sequence is held whole.
 
 Frequent patterns carry integer ids, so states and occurrences stay narrow and
 joins run on integers; a single item's pattern id is its item id. The small
@@ -77,11 +77,28 @@ def _item_occurrences(enc: EncodedSequences) -> DataFrame:
     coded = explode_items(enc.elements).join(
         small_side(enc.dictionary.select("item", F.col("id").alias("x")), enc.n_items), "item"
     )
-    return coded.groupBy("x", "sequence_id", F.expr(f"position div {CHUNK}").alias("chunk")).agg(
-        F.sort_array(F.collect_list("position")).alias("positions"), F.max("position").alias("last")
+    return _spans(
+        coded.groupBy("x", "sequence_id", F.expr(f"position div {CHUNK}").alias("chunk")).agg(
+            F.sort_array(F.collect_list("position")).alias("positions")
+        )
     )
 
 
+def _spans(chunks: DataFrame) -> DataFrame:
+    """Chunks with their ``last`` position and the last one ``before`` them: the skip index of each (x, sequence)."""
+    before = F.lag(F.element_at("positions", -1)).over(Window.partitionBy("sequence_id", "x").orderBy("chunk"))
+    return chunks.withColumn("last", F.element_at("positions", -1)).withColumn("before", before)
+
+
+def _step(states: DataFrame, chunks: DataFrame) -> DataFrame:
+    """As-of join: ``f`` moves to the next occurrence of ``x``, which one chunk of ``_spans`` holds at most."""
+    ends = F.col("f")
+    here = (F.col("last") > ends) & (F.col("before").isNull() | (F.col("before") <= ends))
+    after = F.get(F.filter("positions", lambda at: at > F.col("f")), F.lit(0))
+    held = chunks.select("sequence_id", "x", "positions", "before", "last")
+    return states.join(held, ["sequence_id", "x"]).where(here).withColumn("f", after).drop("positions", "before", "last")
+
+
 def _first_states(occurrences: DataFrame) -> DataFrame:
     """Earliest end of the one-element pattern made of each itemset."""
     return occurrences.groupBy(F.col("x").alias("p"), "sequence_id").agg(
@@ -96,14 +113,13 @@ def _intersect(occurrences: DataFrame, candidates: DataFrame, rows: int) -> Data
         F.col("x").alias("b"), "sequence_id", "chunk", F.col("positions").alias("_more")
     )
     return (
-        left.drop("x", "last")
+        left.drop("x", "last", "before")
         .join(right, ["sequence_id", "b", "chunk"])
         .select(
             "grown", "b", "sequence_id", "chunk",
             F.array_intersect("positions", "_more").alias("positions"),
         )
         .where(F.size("positions") > 0)
-        .withColumn("last", F.element_at("positions", -1))
     )
 
 
@@ -126,9 +142,7 @@ def _count_after(states: DataFrame, ends: DataFrame, candidates: DataFrame, rows
 def _advance(states: DataFrame, occurrences: DataFrame, level: DataFrame, rows: int) -> DataFrame:
     """States of the pattern ``id = q -> x``: the first occurrence of ``x`` after the earliest end of ``q``."""
     left = states.join(small_side(level.select("id", F.col("q").alias("p"), "x"), rows), "p").drop("p")
-    later = left.join(occurrences.select("sequence_id", "x", "positions", "last"), ["sequence_id", "x"]).where("last > f")
-    after = F.get(F.filter("positions", lambda p: p > F.col("f")), F.lit(0))
-    return later.groupBy(F.col("id").alias("p"), "sequence_id").agg(F.min(after).alias("f"))
+    return _step(left, occurrences).select(F.col("id").alias("p"), "sequence_id", "f")
 
 
 def _count_itemsets(grown_sets: DataFrame) -> DataFrame:
@@ -171,6 +185,7 @@ def _described(level: DataFrame) -> DataFrame:
     els = F.col("els")
     return level.select(
         "els",
+        "id",
         _name(_drop_last(els)).alias("head"),
         _last(_last(els)).alias("z"),
         (F.size(_last(els)) > 1).alias("joined"),
@@ -178,27 +193,21 @@ def _described(level: DataFrame) -> DataFrame:
 
 
 def _class_candidates(level: DataFrame, alive: int) -> DataFrame:
-    """SPADE: extend inside the class of patterns that share all but the last item."""
+    """SPADE: (els, kind, l, r), siblings ``l`` and ``r`` joined inside the class of patterns that share all but the last item."""
     rows = _described(level)
-    left = rows.select("head", F.col("els").alias("l"), F.col("z").alias("lz"), F.col("joined").alias("lj"))
-    right = rows.select("head", F.col("z").alias("x"), F.col("joined").alias("rj"))
+    left = rows.select("head", F.col("id").alias("l"), F.col("els").alias("_l"), F.col("z").alias("lz"), F.col("joined").alias("lj"))
+    right = rows.select("head", F.col("id").alias("r"), F.col("z").alias("x"), F.col("joined").alias("rj"))
     pairs = left.join(small_side(right, alive), "head")
-    new = pairs.where("NOT rj").select(_append(F.col("l"), F.col("x"), _NEW).alias("els"))
-    same = pairs.where("x > lz AND lj = rj").select(_append(F.col("l"), F.col("x"), _SAME).alias("els"))
-    return new.unionByName(same)
+    grown = lambda held, kind: held.select(_append(F.col("_l"), F.col("x"), kind).alias("els"), F.lit(kind).alias("kind"), "l", "r")
+    return grown(pairs.where("NOT rj"), _NEW).unionByName(grown(pairs.where("x > lz AND lj = rj"), _SAME))
 
 
 def _mapped_candidates(level: DataFrame, alive: int, pairs: DataFrame, n_pairs: int) -> DataFrame:
     """CM-SPADE: class candidates whose last two items form a frequent pair of the same kind."""
-    grown = _class_candidates(level, alive).withColumn("_l", _last(F.col("els")))
-    joins = F.size("_l") > 1
-    keyed = grown.select(
-        "els",
-        F.when(joins, _SAME).otherwise(_NEW).alias("kind"),
-        F.when(joins, F.get("_l", F.size("_l") - 2)).otherwise(_last(F.get("els", F.size("els") - 2))).alias("y"),
-        _last(F.col("_l")).alias("z"),
-    )
-    return keyed.join(small_side(pairs, n_pairs), ["kind", "y", "z"], "left_semi").select("els")
+    last, before = _last(F.col("els")), F.get("els", F.size("els") - 2)
+    second = F.when(F.col("kind") == _SAME, F.get(last, F.size(last) - 2)).otherwise(_last(before))
+    keyed = _class_candidates(level, alive).withColumn("y", second).withColumn("z", _last(last))
+    return keyed.join(small_side(pairs, n_pairs), ["kind", "y", "z"], "left_semi").select("els", "kind", "l", "r")
 
 
 def _joined_candidates(level: DataFrame, alive: int, k: int) -> DataFrame:
@@ -241,7 +250,7 @@ def cooccurrence(elements: DataFrame, min_support: float) -> DataFrame:
     )
 
 
-# -- the level loop -------------------------------------------------------------------------------
+# -- earliest ends -------------------------------------------------------------------------------
 
 
 def _candidates(grown: DataFrame, known: DataFrame, n_known: int) -> DataFrame:
@@ -268,8 +277,9 @@ def _candidates(grown: DataFrame, known: DataFrame, n_known: int) -> DataFrame:
     )
 
 
-def _grow(elements: DataFrame, min_support: float, rule: str, max_items: int | None, max_elements: int | None) -> DataFrame:
-    occurrences = states = ends = pair_map = None
+def _grow(elements: DataFrame, min_support: float, max_items: int | None, max_elements: int | None) -> DataFrame:
+    """GSP's levels."""
+    occurrences = states = ends = None
     with cached(elements) as held:
         enc = encode(held, min_support)
         if enc.n_items and max_items != 1:
@@ -279,14 +289,9 @@ def _grow(elements: DataFrame, min_support: float, rule: str, max_items: int | N
     level = enc.dictionary.select(F.array(F.array("id")).alias("els"), "support_count", "id")
     level = level.withColumn("name", F.col("id").cast("string"))
     found, known = level.select("els", "support_count"), level.select("name", "id")
-    alive, n_known, k, n_pairs = enc.n_items, enc.n_items, 2, 0
+    alive, n_known, k = enc.n_items, enc.n_items, 2
     while alive > 0 and (max_items is None or k <= max_items):
-        if rule == "gsp":
-            grown = _joined_candidates(level, alive, k)
-        elif rule == "cm" and k > 2:
-            grown = _mapped_candidates(level, alive, pair_map, n_pairs)
-        else:
-            grown = _class_candidates(level, alive)
+        grown = _joined_candidates(level, alive, k)
         if max_elements is not None:
             grown = grown.where(F.size("els") <= max_elements)
         candidates = durable(_candidates(grown, known, n_known))
@@ -312,18 +317,10 @@ def _grow(elements: DataFrame, min_support: float, rule: str, max_items: int | N
             break
         level = _numbered(level, n_known)
         known, n_known = known.unionByName(level.select("name", "id")), n_known + alive
-        if k == 2 and rule == "cm":
-            flat = F.flatten("els")
-            pair_map = level.select(
-                F.when(F.size("els") == 2, _NEW).otherwise(_SAME).alias("kind"),
-                F.get(flat, F.lit(0)).alias("y"),
-                F.get(flat, F.lit(1)).alias("z"),
-            )
-            n_pairs = alive
         moved = _advance(states, occurrences, level.where("NOT single"), alive)
         if grown_sets is not None:
             kept = small_side(level.where("single").select("grown", "b", F.col("id").alias("x")), alive)
-            fresh = durable(grown_sets.join(kept, ["grown", "b"]).select(*occurrences.columns))
+            fresh = durable(_spans(grown_sets.join(kept, ["grown", "b"])).select(*occurrences.columns))
             moved = moved.unionByName(_first_states(fresh))
             occurrences = occurrences.unionByName(fresh)
             ends = ends.unionByName(durable(_last_ends(fresh)))
@@ -356,18 +353,114 @@ def _decode(found: DataFrame, enc: EncodedSequences) -> DataFrame:
 
 
 def gsp(elements: DataFrame, min_support: float = 0.1, max_items: int | None = None, max_elements: int | None = None) -> DataFrame:
-    """Level-wise: join, prune, count."""
-    return _grow(elements, min_support, "gsp", max_items, max_elements)
+    """Level-wise: join, prune, count at the earliest match ends of the prefixes."""
+    return _grow(elements, min_support, max_items, max_elements)
+
+
+# -- id-lists -------------------------------------------------------------------------------------
+
+
+def _item_idlists(enc: EncodedSequences) -> DataFrame:
+    """``(p, sequence_id, block, mask)``: the positions of each frequent item, a bit per position of a block of 64."""
+    items = small_side(enc.dictionary.select("item", F.col("id").cast("long").alias("p")), enc.n_items)
+    coded = explode_items(enc.elements).join(items, "item")
+    bit = F.expr("shiftleft(1L, cast(position & 63 AS int))")
+    return coded.groupBy("p", "sequence_id", F.expr("shiftright(position, 6)").alias("block")).agg(F.bit_or(bit).alias("mask"))
+
+
+def _bounds(idlists: DataFrame) -> DataFrame:
+    """``(p, sequence_id, f, last)``: the first and last position of each id-list. Taking one from the top bit alone is null, not an error."""
+    lowest = F.expr("block * 64L + coalesce(bit_count(~mask & try_subtract(mask, 1L)), 63)")
+    highest = F.expr("block * 64L + length(bin(mask)) - 1")
+    return idlists.groupBy("p", "sequence_id").agg(F.min(lowest).alias("f"), F.max(highest).alias("last"))
+
+
+def _count_later(bounds: DataFrame, chains: DataFrame, rows: int) -> DataFrame:
+    """Support of l, then the last item of r: some position of r's id-list lies after the first one of l's."""
+    left = bounds.select(F.col("p").alias("l"), "sequence_id", "f").join(small_side(chains.select("l", "r"), rows), "l")
+    met = left.join(bounds.select(F.col("p").alias("r"), "sequence_id", "last"), ["sequence_id", "r"]).where("last > f")
+    return met.groupBy("l", "r").agg(F.count(F.lit(1)).alias("support_count"))
+
+
+def _meet(idlists: DataFrame, sets: DataFrame, rows: int) -> DataFrame:
+    """The id-lists of siblings of one element joined: AND of their masks."""
+    left = idlists.withColumnRenamed("p", "l").join(small_side(sets.select("l", "r"), rows), "l")
+    right = idlists.select(F.col("p").alias("r"), "sequence_id", "block", F.col("mask").alias("_other"))
+    both = left.join(right, ["sequence_id", "r", "block"]).withColumn("mask", F.col("mask").bitwiseAND(F.col("_other")))
+    return both.where("mask <> 0").select("l", "r", "sequence_id", "block", "mask")
+
+
+def _later(bounds: DataFrame, idlists: DataFrame, level: DataFrame, rows: int) -> DataFrame:
+    """Id-lists of ``id`` = l, then the last item of r: r's, without the positions up to the first one of l's."""
+    grown = small_side(level.select("id", F.col("l").alias("p"), "r"), rows)
+    left = bounds.select("p", "sequence_id", "f").join(grown, "p").select("id", F.col("r").alias("p"), "sequence_id", "f")
+    rest = F.expr("CASE WHEN block > shiftright(f, 6) THEN mask ELSE mask & shiftleft(-2L, cast(f & 63 AS int)) END")
+    held = left.join(idlists, ["p", "sequence_id"]).where("block >= shiftright(f, 6)").withColumn("mask", rest)
+    return held.where("mask <> 0").select(F.col("id").alias("p"), "sequence_id", "block", "mask")
+
+
+def _vertical(elements: DataFrame, min_support: float, mapped: bool, max_items: int | None, max_elements: int | None) -> DataFrame:
+    """SPADE's levels. The id-list of a pattern holds the positions at which its matches end.
+
+    A pattern is made of two siblings, so a level reads the id-lists of the
+    level before and nothing else. Counting a chain needs their bounds only,
+    one row per pattern and sequence; id-lists are made for frequent patterns.
+    """
+    with cached(elements) as held:
+        enc = encode(held, min_support)
+        found = enc.dictionary.select(F.array(F.array("id")).alias("els"), "support_count")
+        if not enc.n_items or max_items == 1:
+            return _decode(found, enc)
+        idlists = durable(_item_idlists(enc))
+    level = enc.dictionary.select(F.array(F.array("id")).alias("els"), F.col("id").cast("long").alias("id"))
+    alive, k, pair_map, n_pairs = enc.n_items, 2, None, 0
+    while alive and (max_items is None or k <= max_items):
+        grown = _class_candidates(level, alive) if pair_map is None else _mapped_candidates(level, alive, pair_map, n_pairs)
+        if max_elements is not None:
+            grown = grown.where(F.size("els") <= max_elements)
+        candidates = durable(grown)
+        shape = candidates.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("kind") == _SAME).alias("n_same")).first()
+        if shape["n"] == 0:
+            break
+        bounds = durable(_bounds(idlists))
+        counted = _count_later(bounds, candidates.where(F.col("kind") == _NEW), shape["n"]).withColumn("kind", F.lit(_NEW))
+        met = None
+        if shape["n_same"]:
+            met = _meet(idlists, candidates.where(F.col("kind") == _SAME), shape["n_same"])
+            if k != max_items:
+                met = durable(met)
+            once = met.select("l", "r", "sequence_id").distinct().groupBy("l", "r").agg(F.count(F.lit(1)).alias("support_count"))
+            counted = counted.unionByName(once.withColumn("kind", F.lit(_SAME)))
+        counted = counted.where(f"support_count >= {enc.threshold}")
+        level = counted.join(small_side(candidates, shape["n"]), ["l", "r", "kind"])
+        level = durable(level.withColumn("id", F.monotonically_increasing_id()))
+        alive = level.count()
+        found = found.unionByName(level.select("els", "support_count"))
+        if k == max_items or alive == 0:
+            break
+        if k == 2 and mapped:
+            flat = F.flatten("els")
+            pair_map, n_pairs = level.select("kind", F.get(flat, F.lit(0)).alias("y"), F.get(flat, F.lit(1)).alias("z")), alive
+        moved = _later(bounds, idlists, level.where(F.col("kind") == _NEW), alive)
+        if met is not None:
+            kept = small_side(level.where(F.col("kind") == _SAME).select("l", "r", F.col("id").alias("p")), alive)
+            moved = moved.unionByName(met.join(kept, ["l", "r"]).select("p", "sequence_id", "block", "mask"))
+        idlists = durable(moved)
+        k += 1
+    return _decode(found, enc)
 
 
 def spade(elements: DataFrame, min_support: float = 0.1, max_items: int | None = None, max_elements: int | None = None) -> DataFrame:
-    """Vertical: extend inside prefix classes."""
-    return _grow(elements, min_support, "spade", max_items, max_elements)
+    """Vertical: join the id-lists of siblings inside prefix classes."""
+    return _vertical(elements, min_support, False, max_items, max_elements)
 
 
 def cm_spade(elements: DataFrame, min_support: float = 0.1, max_items: int | None = None, max_elements: int | None = None) -> DataFrame:
     """SPADE with co-occurrence pruning."""
-    return _grow(elements, min_support, "cm", max_items, max_elements)
+    return _vertical(elements, min_support, True, max_items, max_elements)
+
+
+# -- projections ----------------------------------------------------------------------------------
 
 
 def prefixspan(elements: DataFrame, min_support: float = 0.1, max_items: int | None = None, max_elements: int | None = None) -> DataFrame:
@@ -421,8 +514,7 @@ class _Projected:
         chunked = coded.groupBy("sequence_id", "x", F.expr(f"position div {CHUNK}").alias("chunk")).agg(
             F.sort_array(F.collect_list("position")).alias("positions")
         )
-        before = F.lag(F.element_at("positions", -1)).over(Window.partitionBy("sequence_id", "x").orderBy("chunk"))
-        self.chunks = durable(chunked.select("sequence_id", "x", "positions", before.alias("before"), F.element_at("positions", -1).alias("last")))
+        self.chunks = durable(_spans(chunked).drop("chunk"))
         spans = self.chunks.groupBy("sequence_id", "x").agg(F.max("last").alias("last"), F.min(F.element_at("positions", 1)).alias("f"))
         self.ends = durable(spans)
         self.first_states = self.ends.select(F.col("x").cast("long").alias("p"), "sequence_id", "f")
@@ -464,11 +556,7 @@ class _Projected:
     ) -> tuple[DataFrame, DataFrame | None]:
         """Pointers and open rows of the patterns of ``level``."""
         grown = lambda kind: small_side(level.where(F.col("kind") == kind).select("p", "x", "id"), alive)
-        here = (F.coalesce("before", F.lit(-1)) <= F.col("f")) & (F.col("last") > F.col("f"))  # true of one chunk at most
-        after = F.get(F.filter("positions", lambda at: at > F.col("f")), F.lit(0))
-        moved = states.join(grown(_NEW), "p").join(self.chunks, ["sequence_id", "x"]).where(here).select(
-            F.col("id").alias("p"), "sequence_id", "x", after.alias("f")
-        )
+        moved = _step(states.join(grown(_NEW), "p").drop("p"), self.chunks).select(F.col("id").alias("p"), "sequence_id", "x", "f")
         if joined is None:
             return durable(moved.select("p", "sequence_id", "f")), None
         moved = durable(moved)
@@ -496,52 +584,58 @@ def match_patterns(elements: DataFrame, patterns: DataFrame) -> DataFrame:
     sequence product is ever laid out. Every sequence holds the empty pattern.
     """
     named = durable(patterns.select("pattern", "elements").distinct())
-    given = named.where(F.size("elements") > 0)
+    out = _matches(elements, named.where(F.size("elements") > 0), ["pattern", "sequence_id"])
+    for row in named.where(F.size("elements") == 0).select("pattern").collect():
+        out = out.unionByName(elements.select(F.lit(row["pattern"]).alias("pattern"), "sequence_id").distinct())
+    return out
+
+
+def matching_sequences(elements: DataFrame, patterns: DataFrame) -> DataFrame:
+    """``sequence_id`` of the sequences that contain at least one of ``patterns`` (pattern, elements), once each.
+
+    A sequence leaves with all its match states as soon as a pattern is
+    complete in it, shorter patterns before longer ones, so no (pattern,
+    sequence) pairs are put out. Every sequence holds the empty pattern.
+    """
+    named = durable(patterns.select("pattern", "elements").distinct())
+    if not named.where(F.size("elements") == 0).isEmpty():
+        return elements.select("sequence_id").distinct()
+    return _matches(elements, named, ["sequence_id"])
+
+
+def _matches(elements: DataFrame, given: DataFrame, wanted: list[str]) -> DataFrame:
+    """Rows of ``wanted`` for the non-empty patterns complete in a sequence; of ``sequence_id`` alone, one row and no further steps."""
     figures = given.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("elements")).alias("longest")).first()
     n, longest = figures["n"], figures["longest"] or 0
     key = lambda e: F.array_join(F.sort_array(e), "\u0001")
     steps = given.select("pattern", F.size("elements").alias("length"), F.posexplode("elements").alias("at", "e"))
     steps = steps.select("pattern", "length", "at", key(F.col("e")).alias("x"), F.sort_array("e").alias("e"))
-    n_wanted = n * max(longest, 1)
     sets = steps.select(F.col("e").alias("items")).distinct()
-    wanted = with_rarest_item(sets, explode_items(elements)).select(
+    rarest = with_rarest_item(sets, explode_items(elements)).select(
         key(F.col("items")).alias("x"), F.col("items").alias("e"), "item"
     )
     # occurrences of each wanted itemset, found through its rarest item
     anchored = elements.select("sequence_id", "position", "items", F.explode("items").alias("item"))
-    hits = anchored.join(small_side(wanted, n_wanted), "item").where(F.size(F.array_except("e", "items")) == 0)
+    hits = anchored.join(small_side(rarest, n * max(longest, 1)), "item").where(F.size(F.array_except("e", "items")) == 0)
     occurrences = durable(
-        hits.groupBy("x", "sequence_id", F.expr(f"position div {CHUNK}").alias("chunk")).agg(
-            F.sort_array(F.collect_set("position")).alias("positions")
+        _spans(
+            hits.groupBy("x", "sequence_id", F.expr(f"position div {CHUNK}").alias("chunk")).agg(
+                F.sort_array(F.collect_set("position")).alias("positions")
+            )
         )
     )
     at = lambda i: small_side(steps.where(F.col("at") == i).select("pattern", "length", "x"), n)
-    states = durable(
-        occurrences.join(at(0), "x")
-        .groupBy("pattern", "length", "sequence_id")
-        .agg(F.min(F.element_at("positions", 1)).alias("f"))
-    )
-    done = [states.where("false").select("pattern", "sequence_id")]
-    for row in named.where(F.size("elements") == 0).select("pattern").collect():
-        done.append(elements.select(F.lit(row["pattern"]).alias("pattern"), "sequence_id").distinct())
+    first = occurrences.where("before IS NULL").withColumn("f", F.element_at("positions", 1))
+    states = durable(first.join(at(0), "x").select("pattern", "length", "sequence_id", "f"))
+    out = states.where("false").select(*wanted)
     for i in range(1, longest + 1):
-        done.append(states.where(F.col("length") == i).select("pattern", "sequence_id"))
-        if i == longest:
-            break
-        after = F.get(F.filter("positions", lambda p: p > F.col("f")), F.lit(0))
-        states = durable(
-            states.where(F.col("length") > i)
-            .drop("length")
-            .join(at(i), "pattern")
-            .join(occurrences, ["x", "sequence_id"])
-            .where(F.element_at("positions", -1) > F.col("f"))
-            .select("pattern", "length", "sequence_id", after.alias("f"))
-            .groupBy("pattern", "length", "sequence_id")
-            .agg(F.min("f").alias("f"))
-        )
-    out = done[0]
-    for part in done[1:]:
-        out = out.unionByName(part)
+        complete, rest = states.where(F.col("length") == i).select(*wanted), states.where(F.col("length") > i)
+        if wanted == ["sequence_id"]:
+            complete = durable(complete.distinct())
+            rest = rest.join(complete, "sequence_id", "left_anti")
+        out = out.unionByName(complete)
+        if i < longest:
+            states = durable(_step(rest.drop("length").join(at(i), "pattern"), occurrences).select("pattern", "length", "sequence_id", "f"))
     return out
 
 
