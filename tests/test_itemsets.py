@@ -58,6 +58,37 @@ def test_joins_without_broadcast(spark, monkeypatch):
     assert found(itemsets.eclat(df, 0.05)) == want
 
 
+@pytest.mark.parametrize("tile", [1, 2, 3])
+def test_baskets_in_tiles(spark, monkeypatch, tile):
+    monkeypatch.setattr(itemsets, "TILE", tile)
+    rng = random.Random(13)
+    data = [(str(n), sorted(rng.sample("abcdefgh", rng.randint(1, 8)))) for n in range(80)]
+    df = spark.createDataFrame(data, SCHEMA)
+    want = brute([b for _, b in data], min_count(0.2, len(data)))
+    assert found(itemsets.apriori(df, 0.2)) == want
+    assert found(itemsets.eclat(df, 0.2)) == want
+
+
+def test_pairs_of_a_huge_basket_are_dealt_over_tasks(spark):
+    reduced = spark.range(3).select(F.col("id").alias("tid"), F.expr("sequence(0, 2000)").alias("ids")).coalesce(1)
+    parts = itemsets._basket_pairs(reduced).groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n")).where("n > 0")
+    sizes = [r.n for r in parts.collect()]
+    assert sum(sizes) == 3 * 2001 * 2000 // 2 and max(sizes) < sum(sizes) * 0.6
+    counted = itemsets.count_pairs(reduced).groupBy("support_count").agg(F.count(F.lit(1)).alias("n")).collect()
+    assert [(r.support_count, r.n) for r in counted] == [(3, 2001 * 2000 // 2)]
+
+
+def test_covered_baskets_against_brute_force(spark):
+    rng = random.Random(19)
+    data = [(str(n), sorted(rng.sample("abcdefgh", rng.randint(1, 5)))) for n in range(120)]
+    sets = [["a"], ["a", "b"], ["c", "d"], ["d", "c"], ["e", "f", "g"], ["b", "zz"], ["h", "b"]]
+    df = spark.createDataFrame(data, SCHEMA)
+    for given in (sets, sets[1:]):
+        table = spark.createDataFrame([(x,) for x in given], "items array<string>")
+        got = sorted(r.tid for r in evaluate._covered_baskets(df, table).collect())
+        assert got == sorted(tid for tid, b in data if any(set(x) <= set(b) for x in given))
+
+
 def test_masks_span_cells(spark, monkeypatch):
     monkeypatch.setattr(itemsets, "BASKETS_PER_CELL", 100)
     coded = spark.range(1000).select(F.col("id").alias("tid"), F.explode(F.array(F.lit(0), (F.col("id") % 3 + 1).cast("int"))).alias("id"))

@@ -4,7 +4,7 @@ The three miners count in three ways:
 
 * Apriori is horizontal: a basket yields its pairs of frequent items, and from
   level 3 only pairs that start a candidate, whose other items are looked up
-  in the rest of the basket.
+  in the basket.
 * Eclat is vertical: an itemset is a set of 64-bit masks, one per block of 64
   baskets that has any of its baskets; an itemset grows by the AND of two.
 * FP-Growth is MLlib's.
@@ -29,6 +29,8 @@ from .sequences import dense_index
 
 # Baskets per counting partition key; 64 blocks of 64.
 BASKETS_PER_CELL = 4096
+# A basket's pairs are formed in tiles of so many items by as many.
+TILE = 512
 
 
 @dataclass
@@ -64,19 +66,30 @@ def encode(baskets: DataFrame, min_support: float, by_support: bool = False) ->
 
 
 def reduced_baskets(enc: Encoded) -> DataFrame:
-    """``ids``: per basket the sorted ids of its frequent items, where it has two or more."""
-    ids = F.sort_array(F.collect_list("id"))
-    return enc.coded.groupBy("tid").agg(ids.alias("ids")).where(F.size("ids") > 1).select("ids")
+    """``(tid, ids)``: per basket the sorted ids of its frequent items, where it has two or more."""
+    return enc.coded.groupBy("tid").agg(F.sort_array(F.collect_list("id")).alias("ids")).where(F.size("ids") > 1)
 
 
 def _basket_pairs(reduced: DataFrame) -> DataFrame:
-    """``(i1, i2, rest)``: the pairs of each basket, with the items that come after them."""
-    first = reduced.select(F.posexplode("ids").alias("at", "i1"), "ids").select(
-        "i1", F.slice("ids", F.col("at") + 2, F.size("ids")).alias("after")
-    )
-    return first.select("i1", "after", F.posexplode("after").alias("at", "i2")).select(
-        "i1", "i2", F.slice("after", F.col("at") + 2, F.size("after")).alias("rest")
-    )
+    """``(i1, i2, ids)``: the pairs ``i1 < i2`` of each basket, with the basket.
+
+    A basket of more than TILE items is cut into tiles of TILE x TILE pairs,
+    which are dealt over a fixed number of tasks: tiles are small, their pairs
+    are not, so they are not to be put together by their bytes. A tile is sent
+    as its two runs of items: to count its pairs a basket of n items sends
+    n * n / TILE items.
+    """
+    tasks = int(reduced.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    short = reduced.where(F.size("ids") <= TILE)
+    first = short.select("ids", F.posexplode("ids").alias("at", "i1"))
+    near = first.select("i1", F.explode(F.slice("ids", F.col("at") + 2, F.size("ids"))).alias("i2"), "ids")
+    runs = reduced.where(F.size("ids") > TILE).withColumn("runs", F.expr(f"cast((size(ids) - 1) div {TILE} AS int)"))
+    tiles = runs.select("tid", "ids", "runs", F.explode(F.expr("sequence(0, runs)")).alias("a"))
+    tiles = tiles.select("tid", "ids", "a", F.explode(F.expr("sequence(a, runs)")).alias("b"))
+    run = lambda at: F.slice("ids", F.col(at) * TILE + 1, F.lit(TILE))
+    dealt = tiles.select(run("a").alias("left"), run("b").alias("right"), "ids", F.xxhash64("tid", "a", "b").alias("to")).repartition(tasks, "to")
+    far = dealt.select(F.explode("left").alias("i1"), "right", "ids").select("i1", F.explode("right").alias("i2"), "ids")
+    return near.unionByName(far.where("i1 < i2"))
 
 
 def count_pairs(reduced: DataFrame) -> DataFrame:
@@ -89,7 +102,7 @@ def count_candidates(reduced: DataFrame, candidates: DataFrame, k: int, rows: in
     ids = [f"i{j}" for j in range(1, k + 1)]
     held = _basket_pairs(reduced).join(small_side(candidates.select(*ids), rows), ["i1", "i2"])
     for i in ids[2:]:
-        held = held.where(F.array_contains("rest", F.col(i)))
+        held = held.where(F.array_contains("ids", F.col(i)))
     return held.groupBy(*ids).agg(F.count(F.lit(1)).alias("support_count"))
 
 
@@ -258,7 +271,7 @@ def _fpgrowth(enc: Encoded, max_len: int | None) -> DataFrame:
     if enc.n_items < 2 or max_len == 1:
         return _decode(singles, enc)
     # single-item baskets add nothing beyond the item counts already known
-    reduced = durable(reduced_baskets(enc))
+    reduced = durable(reduced_baskets(enc).select("ids"))
     n = reduced.count()
     if n < enc.threshold:
         return _decode(singles, enc)
