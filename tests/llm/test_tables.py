@@ -154,6 +154,30 @@ def test_sharding(make_docs, shards):
     assert max(sizes) - min(sizes) <= 4 * 101  # a row more or less at each cut
 
 
+def test_sharding_keeps_equal_texts_together(make_docs):
+    """Copies of other sources and languages too; only groups that are large for a shard may be divided, and few are."""
+    rng = random.Random(6)
+    rows = [(i, f"text {i // 3} " + "w" * (i // 3 % 40), rng.choice(["en", "de", "fr", None]), rng.choice(["a", "b", "c"]), None) for i in range(3000)]
+    rows += [(5000 + i, "copied by all", rng.choice(["en", "de"]), rng.choice(["a", "b"]), None) for i in range(2000)]
+    got = sharding.kd_shards(make_docs(rows), shards=8).collect()
+    text = {r[0]: r[1] for r in rows}
+    held, sizes = defaultdict(set), Counter()
+    for r in got:
+        held[text[r["doc_id"]]].add(r["shard"])
+        sizes[r["shard"]] += r["size"]
+    assert {t for t, at in held.items() if len(at) > 1} <= {"copied by all"}
+    mean = sum(sizes.values()) / 8
+    assert all(abs(n - mean) < 0.04 * mean for n in sizes.values())
+
+
+@pytest.mark.parametrize("shards", [2, 5, 16])
+def test_sharding_of_a_very_long_text(make_docs, shards):
+    rows = [(0, "long " * 400_000)] + [(i, f"text {i}") for i in range(1, 200)] + [(None, None), (7, "")]
+    got = sharding.kd_shards(make_docs(rows), shards=shards).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(r[0] for r in rows) and all(0 <= r["shard"] < shards for r in got)
+    assert [r["size"] for r in got if r["doc_id"] == 0] == [2_000_001]
+
+
 def test_sharding_by_target_bytes(make_docs):
     docs = make_docs([(i, "x" * 99) for i in range(100)])
     sizes = Counter(r["shard"] for r in sharding.kd_shards(docs, target_bytes=2600).collect())
