@@ -315,8 +315,8 @@ def _lists(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
 
 
 def _small_batches(df: DataFrame) -> None:
-    """Texts, ids and offsets reach Python workers in batches of 8 MB in this session, as two workers a task hold some."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    """Texts, ids and offsets reach Python workers in batches of 4 MB in this session, as two workers a task hold some."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 def encode(docs: DataFrame, ranks_path: str) -> DataFrame:
@@ -326,7 +326,7 @@ def encode(docs: DataFrame, ranks_path: str) -> DataFrame:
     Pieces of the split pattern are encoded one by one, without special
     tokens. Null and empty texts have no tokens; repeated rows are encoded one
     by one; other columns are ignored. The rank file (about 1 MB) is read by
-    the driver and sent to the workers. A worker encodes about 1 MB of text at
+    the driver and sent to the workers. A worker encodes about 0.5 MB of text at
     once, or one longer text.
     """
     with open(ranks_path, "rb") as f:
@@ -335,7 +335,7 @@ def encode(docs: DataFrame, ranks_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
-            for a, b in chunks(utf8_batch(texts)[1]):
+            for a, b in chunks(utf8_batch(texts)[1], 1 << 19):
                 tokens, offsets, counts = encode_texts(texts.slice(a, b - a).to_pylist(), content.value)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(a, b - a), pa.array(counts), _lists(tokens, counts), _lists(offsets, counts)],
@@ -364,7 +364,7 @@ def decode(encoded: DataFrame, ranks_path: str, keep_ids: bool = False) -> DataF
             sizes = np.append(0, np.cumsum(counts))
             flat = np.asarray(lists.flatten())
             within = np.asarray(batch.column("offsets").flatten())
-            for a, b in chunks(sizes, 1 << 18):
+            for a, b in chunks(sizes, 1 << 17):
                 ids, places = flat[sizes[a] : sizes[b]], within[sizes[a] : sizes[b]]
                 last = np.cumsum(counts[a:b]) - 1  # of the ids of each row
                 some = counts[a:b] > 0
