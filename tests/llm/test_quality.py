@@ -57,6 +57,37 @@ def test_labels_known_by_one_column_and_repeated_ids(spark, make_docs):
     """A toxic label without quality is learnt from; of rows with one doc_id a sample holds one, whatever their number."""
     rows = [(i, "fine words here", "en", "s", 5) for i in range(3)] + [(7, f"copy {n}", "en", "s", 5) for n in range(40)]
     labels = spark.createDataFrame([(0, None, 1), (1, 1, None), (2, None, None), (7, 0, 0)], "doc_id long, quality int, toxic int")
-    got = {r["doc_id"]: (r["reject"], r["text"]) for r in quality._sample(make_docs(rows), labels, 100, 100).collect()}
-    assert got == {0: (1, "fine words here"), 1: (0, "fine words here"), 2: (None, "fine words here"), 7: (1, "copy 0")}
-    assert quality._sample(make_docs(rows), labels, 2, 0).count() == 2
+    docs = make_docs(rows)
+    marked = quality._marked(labels, 100)
+    got = {r["doc_id"]: (r["reject"], r["text"]) for r in quality._sample(docs, marked).collect()}
+    assert got == {0: (1, "fine words here"), 1: (0, "fine words here"), 7: (1, "copy 0")}
+    assert quality._sample(docs, quality._marked(labels, 2)).count() == 2
+    # the row whose label says nothing is one of the others; rows of labelled ids are not
+    others = quality._unlabelled(docs, marked, quality.SHAPES, ["lang=en", "source=s"]).collect()
+    assert [r["meta"] for r in others] == [[1, 0]]
+
+
+def test_every_other_row_teaches(spark, make_docs):
+    """Counts by brute force: rows that one view is sure of, per token of the other, over all rows of a table."""
+    import numpy as np
+
+    table = [([0, 1], [0])] * 30 + [([0], [1])] * 50 + [([1], [2])] * 20
+    unlabelled = spark.createDataFrame(table, "tokens array<int>, meta array<int>").repartition(7)
+    # metadata 0 and 2 are surely rejected, 1 surely accepted; no text is sure
+    text, meta = quality._taught(unlabelled, [(np.zeros(2), 0.0), (np.array([9.0, -9.0, 9.0]), 0.0)])
+    held = np.array([[50, 0], [30, 50]])  # accepted, rejected x tokens 0, 1
+    rows = np.array([[50], [50]])
+    ratio = np.log((held + 1) / (held.sum(0) * rows / 100 + 1))
+    assert np.allclose(text, ratio[1] - ratio[0]) and not meta.any()
+
+
+def test_what_was_taught_is_weighed_by_the_labelled_rows():
+    import numpy as np
+
+    matrix = quality._Matrix(["a", "b", "c"], np.array([0, 1, 0, 1, 2]), np.array([1, 1, 1, 1, 1]))
+    target, weight = np.array([1.0, 0.0, 1.0, 0.0, 0.0]), np.array([1.0, 1.0, 1.0, 1.0, 0.0])
+    right, _ = matrix.fit(target, weight, np.array([3.0, -3.0, 3.0]))
+    wrong, _ = matrix.fit(target, weight, np.array([-3.0, 3.0, 3.0]))
+    plain, _ = matrix.fit(target, weight, np.zeros(3))
+    # no labelled row holds c: it follows what was taught as far as that agrees with them
+    assert right[2] > 0 > wrong[2] and plain[2] == 0 and all(w[0] > 0 > w[1] for w in (right, wrong, plain))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, ragged, span_hashes, utf8_batch
+from .common import chunks, ragged, small_batches, span_hashes, utf8_batch
 
 # The white space of the split pattern, and its contractions.
 SPACES = (0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
@@ -314,11 +314,6 @@ def _lists(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)).astype(np.int32)), pa.array(values))
 
 
-def _small_batches(df: DataFrame) -> None:
-    """Texts, ids and offsets reach Python workers in batches of 4 MB in this session, as two workers a task hold some."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
-
-
 def encode(docs: DataFrame, ranks_path: str) -> DataFrame:
     """(doc_id, n_tokens, ids, offsets) of every row of ``docs``: the ids of its whole text by the ranks in the file, and the
     byte offset at which each token starts.
@@ -342,7 +337,7 @@ def encode(docs: DataFrame, ranks_path: str) -> DataFrame:
                     names=["doc_id", "n_tokens", "ids", "offsets"],
                 )
 
-    _small_batches(docs)
+    small_batches(docs)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     return texts.mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, offsets array<int>")
 
@@ -352,7 +347,7 @@ def decode(encoded: DataFrame, ranks_path: str, keep_ids: bool = False) -> DataF
     offsets. Null ids give none."""
     with open(ranks_path, "rb") as f:
         content = encoded.sparkSession.sparkContext.broadcast(f.read())
-    _small_batches(encoded)
+    small_batches(encoded)
     kept = [f for f in encoded.schema if keep_ids or f.name not in ("ids", "offsets")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

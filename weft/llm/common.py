@@ -84,6 +84,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame) -> None:
+    """Columns reach Python workers in batches of 4 MB in this session, as two workers a task may hold some."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
+
 def salt(column: str, n: int) -> Column:
     return F.pmod(F.xxhash64(F.col(column)), F.lit(n)).cast("int")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -13,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, utf8_batch
+from .common import small_batches, stored, utf8_batch
 
 MOST_FEATURES = 4096
 LEAST_DOCS = 5  # labelled texts that hold a token before it may become a feature
@@ -22,6 +23,9 @@ ROUNDS = 3
 CONFIDENT = 0.95
 SEED = "weft-quality"
 CACHED_WORDS = 200_000
+TEXTS = 256  # looked at together
+# sources and languages also count by a hash, so that those without a label can be taught about
+SOURCE_BINS, LANG_BINS = 1024, 64
 
 _EDGES = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 PREFIXES = (4, 5, 6, 7, 8)
@@ -38,26 +42,29 @@ def word_tokens(raw: str) -> tuple[str, ...]:
     return (word, *("^" + word[:k] for k in PREFIXES if len(word) > k)) if word else ()
 
 
-def shape_tokens(texts: list[str], column: pa.Array) -> list[list[str]]:
+def shape_tokens(words: list[list[str]], different: list[set[str]], column: pa.Array) -> list[list[str]]:
     """Tokens of the make-up of each text: shares of kinds of bytes, of different words, length of words and text."""
     data, offsets = utf8_batch(column)
     kinds = _BYTES[data]
     sizes = np.maximum(np.diff(offsets), 1)
-    out: list[list[str]] = [[] for _ in texts]
+    out: list[list[str]] = [[] for _ in words]
     for name, kind in (("upper", 1), ("digit", 3), ("symbol", 4)):
         share = np.diff(np.append(0, np.cumsum(kinds == kind))[offsets]) / sizes
         for tokens, b in zip(out, np.minimum(share * 40, 20).astype(int).tolist()):
             tokens.append(f"={name}{b}")
-    for tokens, text, size in zip(out, texts, sizes.tolist()):
-        words = text.split()
-        n = max(1, len(words))
-        tokens += [f"=different{int(20 * len(set(words)) / n)}", f"=width{min(int(size / n), 20)}", f"=words{min(n.bit_length(), 39)}"]
+    for tokens, all_words, distinct, size in zip(out, words, different, sizes.tolist()):
+        n = max(1, len(all_words))
+        tokens += [f"=different{int(20 * len(distinct) / n)}", f"=width{min(int(size / n), 20)}", f"=words{min(n.bit_length(), 39)}"]
     return out
 
 
 def metadata_tokens(source, lang, n_chars) -> list[str]:
     n = 0 if n_chars is None or n_chars != n_chars else int(n_chars)
-    return [f"source={source}", f"lang={lang}", f"chars={max(n, 0).bit_length()}"]
+    return [f"source={source}", f"lang={lang}", f"chars={max(n, 0).bit_length()}", _bin("source", source, SOURCE_BINS), _bin("lang", lang, LANG_BINS)]
+
+
+def _bin(name: str, value, bins: int) -> str:
+    return f"{name}~{zlib.crc32(str(value).encode()) % bins}"
 
 
 class View(NamedTuple):
@@ -92,41 +99,52 @@ class _Words(dict):
         return found
 
 
-def text_features(texts: list[str], column: pa.Array, words: _Words) -> list[set[str]]:
-    shapes = shape_tokens(texts, column)
-    out = []
-    for text, shape in zip(texts, shapes):
-        found = set(shape)
-        for raw in set(text.split()):
-            if hit := words[raw]:
-                found.update(hit)
-        out.append(found)
-    return out
+def text_features(column: pa.Array, words: _Words) -> Iterator[set[str]]:
+    """The tokens of each text of ``column`` (no nulls)."""
+    for at in range(0, len(column), TEXTS):
+        part = column.slice(at, TEXTS)
+        split = [text.split() for text in part.to_pylist()]
+        different = [set(x) for x in split]
+        for raws, shape in zip(different, shape_tokens(split, different, part)):
+            found = set(shape)
+            for raw in raws:
+                if hit := words[raw]:
+                    found.update(hit)
+            yield found
+
 
+def _place(kind: str) -> Column:
+    return F.xxhash64(F.lit(SEED + kind), F.col("doc_id"))
 
-def _sample(docs: DataFrame, labels: DataFrame, most_labelled: int, most_unlabelled: int) -> DataFrame:
-    """(doc_id, text, source, lang, n_chars, reject, test) of at most ``most_labelled`` labelled and ``most_unlabelled`` other
-    documents, those of the least hash, one row of each doc_id. The ids are few by these bounds, so they are broadcast."""
-    place = lambda kind: F.xxhash64(F.lit(SEED + kind), F.col("doc_id"))
+
+def _marked(labels: DataFrame, most: int) -> DataFrame:
+    """(doc_id, reject) of at most ``most`` labelled doc_ids, those of the least hash."""
     foul = F.coalesce(F.col("quality") == 0, F.lit(False)) | F.coalesce(F.col("toxic") == 1, F.lit(False))
     marked = (
         labels.where("doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL)")
         .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(foul.cast("int")).alias("reject"))
-        .orderBy(place("a"), "doc_id").limit(most_labelled)
+        .orderBy(_place("a"), "doc_id").limit(most)
     )
-    marked = stored(marked, "labelled")
-    others = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").orderBy(place("b"), "doc_id").limit(most_labelled + most_unlabelled)
-        .distinct().join(F.broadcast(marked), "doc_id", "left_anti").orderBy(place("b"), "doc_id").limit(most_unlabelled)
+    return stored(marked, "labelled")
+
+
+def _read(docs: DataFrame) -> DataFrame:
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), "source", "lang",
+        F.col("n_chars").cast("long").alias("n_chars"),
     )
-    ids = marked.unionByName(others.withColumn("reject", F.lit(None).cast("int")))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), "source", "lang", F.col("n_chars").cast("long").alias("n_chars"))
-    # of rows that share a doc_id the least one, so that the bounds hold for rows too
+
+
+def _sample(docs: DataFrame, marked: DataFrame) -> DataFrame:
+    """(doc_id, text, source, lang, n_chars, reject, part) of the documents in ``marked``, one row of each doc_id.
+
+    Three quarters are of the part 'train', an eighth each of 'scale' and 'mix'.
+    """
+    # of rows that share a doc_id the least one, so that the bound holds for rows too
     one = F.min(F.struct("text", "source", "lang", "n_chars", "reject")).alias("row")
-    chosen = rows.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(one).select("doc_id", "row.*")
-    return stored(
-        chosen.withColumn("test", F.col("reject").isNotNull() & (F.pmod(place("c"), F.lit(4)) == 0)), "sample"
-    )
+    chosen = _read(docs).join(F.broadcast(marked), "doc_id").groupBy("doc_id").agg(one).select("doc_id", "row.*")
+    eighth = F.pmod(_place("c"), F.lit(8))
+    return stored(chosen.withColumn("part", F.when(eighth == 0, "scale").when(eighth == 4, "mix").otherwise("train")), "sample")
 
 
 def _significant(sample: DataFrame) -> set[str]:
@@ -143,7 +161,7 @@ def _significant(sample: DataFrame) -> set[str]:
             names=["token", "held", "rejected"],
         )
 
-    train = sample.where("reject IS NOT NULL AND NOT test")
+    train = sample.where("part = 'train'")
     n, n1 = train.agg(F.count(F.lit(1)), F.sum("reject")).first()
     if not n or not n1 or n1 == n:
         return set()
@@ -158,20 +176,82 @@ SHAPES = [f"={name}{i}" for name in ("upper", "digit", "symbol", "different", "w
 
 
 def _features(sample: DataFrame, names: list[str]) -> pa.Table:
-    """Of the sample, small by its bounds, the numbers of its text tokens in ``names``, its metadata tokens and labels."""
+    """Of the sample, small by its bound, the numbers of its text tokens in ``names``, its metadata tokens and labels."""
     number = {t: i for i, t in enumerate(names)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words(number)
         for batch in batches:
-            found = [sorted(number[t] for t in s) for s in text_features(batch.column("text").to_pylist(), batch.column("text"), words)]
+            found = [sorted(number[t] for t in s) for s in text_features(batch.column("text"), words)]
             meta = [metadata_tokens(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("source", "lang", "n_chars")))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(found, pa.list_(pa.int32())), pa.array(meta, pa.list_(pa.string())), batch.column("reject"), batch.column("test")],
-                names=["doc_id", "tokens", "meta", "reject", "test"],
+                [batch.column("doc_id"), pa.array(found, pa.list_(pa.int32())), pa.array(meta, pa.list_(pa.string())), batch.column("reject"), batch.column("part")],
+                names=["doc_id", "tokens", "meta", "reject", "part"],
             )
 
-    return sample.mapInArrow(run, "doc_id long, tokens array<int>, meta array<string>, reject int, test boolean").toArrow()
+    return sample.mapInArrow(run, "doc_id long, tokens array<int>, meta array<string>, reject int, part string").toArrow()
+
+
+def _unlabelled(docs: DataFrame, marked: DataFrame, names: list[str], metas: list[str]) -> DataFrame:
+    """(tokens, meta): the numbers, in ``names`` and ``metas``, of the tokens of every row of ``docs`` that is not in ``marked``.
+
+    Written once, a few dozen numbers a row, so that the rounds need not read the texts again.
+    """
+    number, place = ({t: i for i, t in enumerate(x)} for x in (names, metas))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _Words(number)
+        for batch in batches:
+            found = [sorted(number[t] for t in s) for s in text_features(batch.column("text"), words)]
+            meta = [[place[t] for t in metadata_tokens(*x) if t in place] for x in zip(*(batch.column(c).to_pylist() for c in ("source", "lang", "n_chars")))]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), pa.array(meta, pa.list_(pa.int32()))], names=["tokens", "meta"])
+
+    others = _read(docs).join(F.broadcast(marked.select("doc_id")), "doc_id", "left_anti").select("text", "source", "lang", "n_chars")
+    return stored(others.mapInArrow(run, "tokens array<int>, meta array<int>"), "unlabelled")
+
+
+def _taught(unlabelled: DataFrame, fitted: list[tuple[np.ndarray, float]]) -> list[np.ndarray]:
+    """What each view learns from the rows that the other is sure of: per token the log of how much more often rejected
+    than accepted rows hold it than by chance.
+
+    Rows are scored where they lie. Tasks send one count per token and label, as many as the model has weights.
+    """
+    shapes = [len(w) for w, _ in fitted]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = [np.zeros((2, n + 1), np.int64) for n in shapes]  # the last column counts rows
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held = []
+            for column in (batch.column("tokens"), batch.column("meta")):
+                sizes = np.asarray(column.value_lengths()).astype(np.int64)
+                held.append((np.asarray(column.flatten()).astype(np.int64), sizes, np.cumsum(sizes) - sizes))
+            chance = [1 / (1 + np.exp(-np.clip(b + np.add.reduceat(w[t], first), -50, 50))) for (w, b), (t, _, first) in zip(fitted, held)]
+            for pupil, teacher in ((0, 1), (1, 0)):
+                tokens, sizes, _ = held[pupil]
+                for label, sure in enumerate((chance[teacher] <= 1 - CONFIDENT, chance[teacher] >= CONFIDENT)):
+                    counts[pupil][label, :-1] += np.bincount(tokens[np.repeat(sure, sizes)], minlength=shapes[pupil])
+                    counts[pupil][label, -1] += int(sure.sum())
+        for view, table in enumerate(counts):
+            label, token = np.nonzero(table)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(token), view), pa.int32()), pa.array(label, pa.int32()), pa.array(token, pa.int32()), pa.array(table[label, token], pa.int64())],
+                names=["view", "label", "token", "n"],
+            )
+
+    summed = unlabelled.mapInArrow(run, "view int, label int, token int, n long").groupBy("view", "label", "token").agg(F.sum("n").alias("n")).toArrow()
+    counts = [np.zeros((2, n + 1)) for n in shapes]
+    for view, table in enumerate(counts):
+        of = np.asarray(summed["view"]) == view
+        table[np.asarray(summed["label"])[of], np.asarray(summed["token"])[of]] = np.asarray(summed["n"])[of]
+    out = []
+    for table in counts:
+        rows, held = table[:, -1:], table[:, :-1]
+        expected = held.sum(0) * rows / max(rows.sum(), 1.0)
+        ratio = np.log((held + 1) / (expected + 1))
+        out.append(ratio[1] - ratio[0])
+    return out
 
 
 class _Matrix:
@@ -184,19 +264,29 @@ class _Matrix:
     def scores(self, weights: np.ndarray, bias: float) -> np.ndarray:
         return bias + np.add.reduceat(weights[self.column], self.first)
 
-    def fit(self, target: np.ndarray, weight: np.ndarray, penalty: float = 1e-3, steps: int = 400) -> tuple[np.ndarray, float]:
-        """Logistic regression by accelerated gradient descent; rows of weight 0 take no part."""
+    def fit(self, target: np.ndarray, weight: np.ndarray, taught: np.ndarray, penalty: float = 1e-3, steps: int = 400) -> tuple[np.ndarray, float]:
+        """Logistic regression by accelerated gradient descent; rows of weight 0 take no part.
+
+        ``taught`` gives weights from elsewhere: their sum over a row is a
+        feature of its own, so the labelled rows decide how far they are
+        followed. They are part of the weights returned.
+        """
+        given = self.scores(taught, 0.0)
+        most = max(np.abs(given).max(initial=0.0), 1e-9)
+        given = given / most
         total = max(weight.sum(), 1.0)
-        rate = 4.0 / (1 + np.bincount(self.row, minlength=self.n).max(initial=1))
-        w, v, bias, moved = np.zeros(len(self.names)), np.zeros(len(self.names)), 0.0, 0.0
+        rate = 4.0 / (2 + np.bincount(self.row, minlength=self.n).max(initial=1))
+        # the weights, then the one of what was taught, then the bias, which is not held back
+        w, v = np.zeros(len(self.names) + 2), np.zeros(len(self.names) + 2)
+        held = np.append(np.full(len(w) - 1, penalty), 0.0)
         for step in range(steps):
-            ahead = step / (step + 3)
-            w_at, bias_at = w + ahead * v, bias + ahead * moved
-            error = weight * (1 / (1 + np.exp(-np.clip(self.scores(w_at, bias_at), -50, 50))) - target) / total
-            v = w_at - rate * (np.bincount(self.column, error[self.row], len(w)) + penalty * w_at) - w
-            moved = bias_at - rate * error.sum() - bias
-            w, bias = w + v, bias + moved
-        return w, float(bias)
+            at = w + step / (step + 3) * v
+            chance = 1 / (1 + np.exp(-np.clip(self.scores(at[:-2], at[-1]) + at[-2] * given, -50, 50)))
+            error = weight * (chance - target) / total
+            slope = np.concatenate([np.bincount(self.column, error[self.row], len(self.names)), [error @ given, error.sum()]])
+            v = at - rate * (slope + held * at) - w
+            w = w + v
+        return w[:-2] + w[-2] / most * taught, float(w[-1])
 
 
 def _calibrated(columns: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -210,57 +300,61 @@ def _calibrated(columns: np.ndarray, target: np.ndarray) -> np.ndarray:
     return w
 
 
-def co_train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, most_labelled: int = 20_000, most_unlabelled: int = 20_000) -> Model:
-    """Fit on a bounded sample of ``docs`` and ``labels`` (doc_id, quality, toxic): low quality and toxic texts are to be rejected.
+def co_train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, most_labelled: int = 20_000) -> Model:
+    """Fit on ``docs`` and ``labels`` (doc_id, quality, toxic): low quality and toxic texts are to be rejected.
 
     Two views see different things of a row: its text (significant words and
     word beginnings, make-up of the text) and its metadata (source, lang,
-    n_chars). Each round, both are fitted, and each labels the unlabelled rows
-    that it is sure of for the other view. A quarter of the labelled rows is
-    held out: on it each view is calibrated, and the calibrated views are
-    combined. Without rows of both kinds the model accepts everything.
-    The sample has at most ``most_labelled`` labelled documents and
-    ``most_unlabelled`` others; scoring always reads all rows.
+    n_chars). Each round, both are fitted, and each labels every other row of
+    ``docs`` that it is sure of: how often these rows hold each token of the
+    other view is counted over all documents, and that view is taught by the
+    counts in the next round. Only the labelled side is a sample, of at most
+    ``most_labelled`` documents; those beyond teach like unlabelled ones.
+    Of the labelled rows an eighth calibrates each view and another eighth
+    combines the calibrated views; if one of the two lacks rows of a kind, both
+    serve for both. Without rows of both kinds the model accepts everything.
     Rows with a null doc_id, or with neither quality nor toxic, are no labels; a
     label rejects on whichever of the two says so, and several labels of a
-    document reject it if one does. Of documents with the same doc_id one is
-    looked at. Null and empty texts are learnt from by their make-up; empty
-    tables of documents or labels give the model that accepts everything.
+    document reject it if one does. Of labelled documents with the same doc_id
+    one is looked at. Null and empty texts are learnt from by their make-up;
+    empty tables of documents or labels give the model that accepts everything.
     """
-    sample = _sample(docs, labels, most_labelled, most_unlabelled)
+    small_batches(docs)
+    marked = _marked(labels, most_labelled)
+    sample = _sample(docs, marked)
     names = sorted(_significant(sample)) + SHAPES
     rows = _features(sample, names)
     # in the order of ids, so that sums are the same on every run
-    rows = rows.take(pa.array(np.lexsort((np.asarray(rows["tokens"].combine_chunks().value_lengths()), np.asarray(rows["doc_id"])))))
-    target = np.asarray(rows["reject"].fill_null(-1))
-    test = np.asarray(rows["test"])
-    train = (target >= 0) & ~test
-    nothing = View({}, 0.0)
-    if len({*target[train].tolist()}) < 2 or len({*target[test & (target >= 0)].tolist()}) < 2:
-        return Model(nothing, nothing, (-50.0, 0.0, 0.0))
+    rows = rows.take(pa.array(np.argsort(np.asarray(rows["doc_id"]), kind="stable")))
+    target, part = np.asarray(rows["reject"]), np.asarray(rows["part"].to_pylist(), dtype=object)
+    train, scale, mix = (part == name for name in ("train", "scale", "mix"))
+    both_kinds = lambda x: len({*target[x].tolist()}) == 2
+    if not both_kinds(train) or not both_kinds(scale | mix):
+        return Model(View({}, 0.0), View({}, 0.0), (-50.0, 0.0, 0.0))
+    if not both_kinds(scale) or not both_kinds(mix):
+        scale = mix = scale | mix
     tokens, meta = rows["tokens"].combine_chunks(), rows["meta"].combine_chunks()
-    codes = meta.flatten().dictionary_encode()
+    metas = sorted({*meta.flatten().to_pylist()} | {f"source~{i}" for i in range(SOURCE_BINS)} | {f"lang~{i}" for i in range(LANG_BINS)})
+    place = {t: i for i, t in enumerate(metas)}
     views = [
         _Matrix(names, np.asarray(tokens.flatten()), np.asarray(tokens.value_lengths())),
-        _Matrix(codes.dictionary.to_pylist(), np.asarray(codes.indices), np.asarray(meta.value_lengths())),
+        _Matrix(metas, np.array([place[t] for t in meta.flatten().to_pylist()]), np.asarray(meta.value_lengths())),
     ]
-    given = [np.full(len(target), -1), np.full(len(target), -1)]  # what each view was told by the other
-    for _ in range(rounds):
+    unlabelled = _unlabelled(docs, marked, names, metas)
+    taught = [np.zeros(len(v.names)) for v in views]
+    for turn in range(rounds):
         scores, fitted = [], []
-        for view, told in zip(views, given):
-            known = np.where(train, target, told)
-            w, bias = view.fit((known == 1).astype(float), np.where(known >= 0, np.where(train, 1.0, 0.5), 0.0))
+        for view, given in zip(views, taught):
+            w, bias = view.fit((target == 1).astype(float), train.astype(float), given)
             raw = view.scores(w, bias)
-            scale = _calibrated(raw[test, None], target[test])
-            fitted.append((w * scale[1], bias * scale[1] + scale[0]))
-            scores.append(raw * scale[1] + scale[0])
-        for teacher, pupil in ((0, 1), (1, 0)):
-            p = 1 / (1 + np.exp(-np.clip(scores[teacher], -50, 50)))
-            sure = (target < 0) & ((p >= CONFIDENT) | (p <= 1 - CONFIDENT))
-            given[pupil] = np.where(sure, (p >= 0.5).astype(int), -1)
-    mix = _calibrated(np.column_stack(scores)[test], target[test])
+            to = _calibrated(raw[scale, None], target[scale])
+            fitted.append((w * to[1], bias * to[1] + to[0]))
+            scores.append(raw * to[1] + to[0])
+        if turn + 1 < rounds:
+            taught = _taught(unlabelled, fitted)
+    weights = _calibrated(np.column_stack(scores)[mix], target[mix])
     text, meta = (View({t: float(x) for t, x in zip(v.names, w) if x}, float(b)) for v, (w, b) in zip(views, fitted))
-    return Model(text, meta, tuple(float(x) for x in mix))
+    return Model(text, meta, tuple(float(x) for x in weights))
 
 
 def scorer(model: Model):
@@ -272,11 +366,9 @@ def scorer(model: Model):
         weight = model.text.weights.get
         for texts, sources, langs, sizes in batches:
             content, meta = [], []
-            for i in range(0, len(texts), 256):
-                part = texts.iloc[i : i + 256].tolist()
-                for found in text_features(part, pa.array(part, pa.string()), words):
-                    # in a fixed order, so that sums are the same on every run
-                    content.append(model.text.bias + sum(weight(t, 0.0) for t in sorted(found)))
+            for found in text_features(pa.array(texts, pa.string()), words):
+                # in a fixed order, so that sums are the same on every run
+                content.append(model.text.bias + sum(weight(t, 0.0) for t in sorted(found)))
             for row in zip(sources, langs, sizes):
                 meta.append(model.meta.bias + sum(model.meta.weights.get(t, 0.0) for t in metadata_tokens(*row)))
             content, meta = np.array(content, float), np.array(meta, float)
@@ -286,16 +378,20 @@ def scorer(model: Model):
 
 
 def scored(docs: DataFrame, model: Model) -> Column:
-    """The score of each row of ``docs``; null and empty texts are scored by their make-up and metadata like others."""
+    """The score of each row of ``docs``; null and empty texts are scored by their make-up and metadata like others.
+
+    Texts reach Python workers in batches of 4 MB in this session.
+    """
+    small_batches(docs)
     return scorer(model)(F.coalesce(docs["text"], F.lit("")), docs["source"], docs["lang"], docs["n_chars"].cast("long"))
 
 
 def classify(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
-    """doc_id, text_score, meta_score (log-odds of rejection by each view), reject_probability and kept, one row per row of ``docs``."""
+    """doc_id, text_score, meta_score (log-odds of rejection by each view), reject_probability and kept, one row per row of ``docs``; none for an empty table."""
     rated = docs.select(F.col("doc_id").cast("long").alias("doc_id"), scored(docs, model).alias("s"))
     return rated.select("doc_id", "s.*", (F.col("s.reject_probability") < threshold).alias("kept"))
 
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that are not rejected, with all their columns, in place (nothing is shuffled)."""
+    """The rows of ``docs`` that are not rejected, with all their columns, in place (nothing is shuffled); none of an empty table."""
     return docs.where(scored(docs, model)["reject_probability"] < threshold)
