@@ -38,9 +38,9 @@ def test_stages(spark):
             assert docs.columns == columns
     raw, good, exact, near, mixed = ({r["doc_id"]: r["text"] for r in d.collect()} for d in seen)
     labels = table(spark, SF, "labels").collect()
-    # some 60 labels are too few to learn what is foul; test_quality.py measures that on more
-    fine = [r["doc_id"] for r in labels if r["quality"] and not r["toxic"]]
-    assert set(good) <= set(raw) and sum(i in good for i in fine) > 0.9 * len(fine)
+    foul = {r["doc_id"] for r in labels if r["quality"] == 0 or r["toxic"] == 1}
+    fine = {r["doc_id"] for r in labels} - foul
+    assert set(good) <= set(raw) and len(fine & set(good)) > 0.95 * len(fine) and len(foul & set(good)) < 0.5 * len(foul)
     groups = defaultdict(list)
     for i, t in good.items():
         groups[re.sub(r"[\x20\x09-\x0D]+", " ", t or "")].append(i)

@@ -20,6 +20,7 @@ MOST_FEATURES = 4096
 LEAST_DOCS = 5  # labelled texts that hold a token before it may become a feature
 LEAST_Z = 4.0  # standard deviations by which rejected texts must have it more, or less, often
 ROUNDS = 3
+LEAST_ROWS = 100  # of an eighth of the labelled rows, for it to serve alone
 CONFIDENT = 0.95
 SEED = "weft-quality"
 CACHED_WORDS = 200_000
@@ -290,14 +291,23 @@ class _Matrix:
 
 
 def _calibrated(columns: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Bias and weights of a logistic regression on a few columns, by Newton's method with a small penalty."""
-    x = np.column_stack([np.ones(len(target)), columns])
-    w = np.zeros(x.shape[1])
-    for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(len(w))
-        w -= np.linalg.solve(hessian, x.T @ (p - target) + 1e-2 * w)
-    return w
+    """Bias and weights of a logistic regression on a few columns, by Newton's method with a small penalty.
+
+    Each column is a score of the target, so a weight below 0 is chance: such columns get 0.
+    """
+    used = np.arange(columns.shape[1])
+    while True:
+        x = np.column_stack([np.ones(len(target)), columns[:, used]])
+        w = np.zeros(x.shape[1])
+        for _ in range(30):
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            hessian = (x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(len(w))
+            w -= np.linalg.solve(hessian, x.T @ (p - target) + 1e-2 * w)
+        if (w[1:] >= 0).all():
+            out = np.zeros(columns.shape[1] + 1)
+            out[0], out[1 + used] = w[0], w[1:]
+            return out
+        used = used[w[1:] >= 0]
 
 
 def co_train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, most_labelled: int = 20_000) -> Model:
@@ -311,8 +321,8 @@ def co_train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, most_labe
     counts in the next round. Only the labelled side is a sample, of at most
     ``most_labelled`` documents; those beyond teach like unlabelled ones.
     Of the labelled rows an eighth calibrates each view and another eighth
-    combines the calibrated views; if one of the two lacks rows of a kind, both
-    serve for both. Without rows of both kinds the model accepts everything.
+    combines the calibrated views; if one of the two lacks rows of a kind, or has
+    fewer than ``LEAST_ROWS``, both serve for both. Without rows of both kinds the model accepts everything.
     Rows with a null doc_id, or with neither quality nor toxic, are no labels; a
     label rejects on whichever of the two says so, and several labels of a
     document reject it if one does. Of labelled documents with the same doc_id
@@ -331,7 +341,7 @@ def co_train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, most_labe
     both_kinds = lambda x: len({*target[x].tolist()}) == 2
     if not both_kinds(train) or not both_kinds(scale | mix):
         return Model(View({}, 0.0), View({}, 0.0), (-50.0, 0.0, 0.0))
-    if not both_kinds(scale) or not both_kinds(mix):
+    if not both_kinds(scale) or not both_kinds(mix) or min(scale.sum(), mix.sum()) < LEAST_ROWS:
         scale = mix = scale | mix
     tokens, meta = rows["tokens"].combine_chunks(), rows["meta"].combine_chunks()
     metas = sorted({*meta.flatten().to_pylist()} | {f"source~{i}" for i in range(SOURCE_BINS)} | {f"lang~{i}" for i in range(LANG_BINS)})
