@@ -63,18 +63,18 @@ cdf AS (
   SELECT source, rate, slices, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS c FROM terms),
 lists AS (SELECT source, rate, slices, list(c ORDER BY k) AS cdf FROM cdf GROUP BY ALL),
 draws AS (
-  SELECT doc_id, d.source, rate, cdf,
+  SELECT doc_id, d.source, d.text, d.lang, d.n_chars, rate, cdf,
          ('0x' || substr(md5(concat_ws('|', '{MIX_SEED}', doc_id::VARCHAR, j::VARCHAR)), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
   FROM documents d JOIN lists l ON d.source IS NOT DISTINCT FROM l.source, unnest(range(0, slices)) s(j)),
 copies AS (
-  SELECT doc_id, source, rate, sum(len(list_filter(cdf, lambda c: c <= u)))::INT AS n_copies FROM draws GROUP BY ALL)
-SELECT doc_id, source, round(rate, 6) AS rate, n_copies, copy::INT AS copy
+  SELECT doc_id, source, text, lang, n_chars, rate, sum(len(list_filter(cdf, lambda c: c <= u)))::INT AS n_copies FROM draws GROUP BY ALL)
+SELECT doc_id, source, text, lang, n_chars, round(rate, 6) AS rate, n_copies, copy::INT AS copy
 FROM copies, unnest(range(0, n_copies)) t(copy)
 """)
 def poisson_mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return mixing.replicate(docs, MIX, seed=MIX_SEED).select(
-        "doc_id", "source", F.round("weft_rate", 6).alias("rate"), F.col("weft_copies").alias("n_copies"), F.col("weft_copy").alias("copy")
+        "doc_id", "source", "text", "lang", "n_chars", F.round("weft_rate", 6).alias("rate"), F.col("weft_copies").alias("n_copies"), F.col("weft_copy").alias("copy")
     )
 
 
