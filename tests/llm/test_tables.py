@@ -87,6 +87,34 @@ def test_line_dedup_is_reversible(spark, make_docs):
     assert index.clean(make_docs([])).count() == 0
 
 
+def test_line_index_is_opened_again_and_grows(spark, make_docs, tmp_path, monkeypatch):
+    monkeypatch.setattr(line_dedup, "SHARD_KEYS", 4)
+    first = [(i, "\n".join(f"line {j}" for j in range(i % 7))) for i in range(30)]
+    second = [(100 + i, "\n".join(f"more {j}" for j in range(40))) for i in range(5)]
+    a, b = make_docs(first), make_docs(second)
+    rows = lambda df: Counter((r["doc_id"], r["n_lines"], r["n_dropped"], r["kept_text"]) for r in df.collect())
+    index = line_dedup.LineIndex(spark, f"{tmp_path}/index", min_docs=3, shards=1)
+    index.insert(a)
+    assert index.shards == 1
+    again = line_dedup.LineIndex(spark, f"{tmp_path}/index", min_docs=3, shards=1)
+    assert rows(again.clean(a)) == rows(index.clean(a)) == line_brute(first, first, 3)
+    again.insert(b)
+    assert again.shards > 1 and again.version == 2
+    both = line_brute(first, first + second, 3)
+    assert rows(again.clean(a)) == both and rows(line_dedup.LineIndex(spark, f"{tmp_path}/index", min_docs=3, shards=1).clean(a)) == both
+    again.delete(b)
+    assert rows(again.clean(a)) == line_brute(first, first, 3)
+
+
+def test_line_dedup_of_a_very_long_text(spark, make_docs):
+    rows = [(1, "same\n" * 200_000 + "own"), (2, "same"), (3, "x" * 2_000_000)]
+    index = line_dedup.LineIndex(spark, min_docs=2)
+    docs = make_docs(rows)
+    index.insert(docs)
+    got = {r["doc_id"]: (r["n_lines"], r["n_dropped"], r["kept_text"]) for r in index.clean(docs).collect()}
+    assert got == {1: (200_001, 200_000, "own"), 2: (1, 1, ""), 3: (1, 0, "x" * 2_000_000)}
+
+
 def test_cuckoo_filter():
     rng = np.random.default_rng(1)
     keys, others = rng.integers(0, 2**63, 5000).astype(np.uint64) * np.uint64(2), rng.integers(0, 2**63, 20000).astype(np.uint64)

@@ -6,6 +6,7 @@ import math
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +19,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SLOTS = 4
 FULL = 0.85  # load at which a filter is rebuilt twice as large
 KICKS = 500
-GROUP_LINES = 4096
+SHARD_KEYS = 65_536  # of the keys in a filter, about; more shards are made before there are more than twice as many
+GROUP_LINES = 65_536  # that meet a copy of their shard's filter, about
 
 
 class CuckooFilter:
@@ -103,15 +105,29 @@ class LineIndex:
     what each insertion added and each deletion took away; a key is the MD5 of
     a line key. The filters follow: keys that cross ``min_docs`` are added to
     their shard's filter or removed from it, and a filter that runs full is
-    rebuilt from the counts. Deleting what was inserted gives back the state
-    before. Keys shorter than ``min_chars`` code points are never counted.
+    rebuilt from the counts. There are ``shards`` of them, and twice as many
+    again, rebuilt from the counts, whenever the keys call for it: a shard holds
+    some 65,536 keys at any size of the corpus. Deleting what was inserted gives
+    back the state before. Keys shorter than ``min_chars`` code points are never
+    counted. An index that ``path`` already holds is opened at its last version.
     """
 
     def __init__(self, spark: SparkSession, path: str | None = None, min_docs: int = 10, min_chars: int = 1, shards: int = 32):
         self.spark, self.path = spark, path or scratch_path(spark, "lines")
         self.min_docs, self.min_chars, self.shards = min_docs, min_chars, shards
-        self.version = 0
+        self.version = self._last_version() if path else 0
         self.filters: DataFrame | None = None
+        if self.version and not self._grow(self._common().count()):
+            self._rebuild()
+
+    def _last_version(self) -> int:
+        """0 if nothing was written to ``path``. Versions are numbered without a gap."""
+        try:
+            return self.spark.read.parquet(self.path).agg(F.max("version")).first()[0] or 0
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return 0
+            raise
 
     def _shard(self) -> Column:
         return F.pmod(F.xxhash64("key"), F.lit(self.shards)).cast("int")
@@ -148,8 +164,26 @@ class LineIndex:
             changed = changed.withColumn("old", F.lit(0))
         up = (F.col("old") < self.min_docs) & (F.col("old") + F.col("n") >= self.min_docs)
         down = (F.col("old") >= self.min_docs) & (F.col("old") + F.col("n") < self.min_docs)
-        crossed = changed.where(up | down).select("key", up.alias("added"), self._shard().alias("shard"))
-        self._update(crossed)
+        crossed = stored(changed.where(up | down).select("key", up.alias("added")), "crossed")
+        held = self.filters.agg(F.sum("n_keys")).first()[0] or 0 if self.filters is not None else 0
+        if not self._grow(held + (crossed.agg(F.sum(F.when(F.col("added"), 1).otherwise(-1))).first()[0] or 0)):
+            self._update(crossed.withColumn("shard", self._shard()))
+
+    def _common(self) -> DataFrame:
+        return self.counts().where(F.col("n") >= self.min_docs).select("key")
+
+    def _grow(self, n: int) -> bool:
+        """True if ``n`` keys called for more shards, and all filters were made anew."""
+        if n <= 2 * SHARD_KEYS * self.shards:
+            return False
+        while n > SHARD_KEYS * self.shards:
+            self.shards *= 2
+        self._rebuild()
+        return True
+
+    def _rebuild(self) -> None:
+        every = self.spark.range(self.shards).select(F.col("id").cast("int").alias("shard"))
+        self.filters = stored(self._rebuilt(every), "filters")
 
     def _update(self, crossed: DataFrame) -> None:
         filters = self.filters if self.filters is not None else self.spark.createDataFrame([], "shard int, n_keys long, blob binary, full boolean")
@@ -171,7 +205,7 @@ class LineIndex:
         self.filters = updated
 
     def _rebuilt(self, full: DataFrame) -> DataFrame:
-        common = self.counts().where(F.col("n") >= self.min_docs).select("key", self._shard().alias("shard"))
+        common = self._common().withColumn("shard", self._shard())
         common = common.join(full.select("shard"), "shard", "left_semi")
 
         def one(key, keys: pd.DataFrame) -> pd.DataFrame:
@@ -187,6 +221,7 @@ class LineIndex:
 
         Lines meet the filter of their shard, of which every salt has a copy,
         so a line that is in a third of the documents is dealt over all salts.
+        A shard's keys are bounded, so the copies grow with the lines alone.
         What passes (a little more than the answer) is confirmed by a join with
         the exact counts.
         """
@@ -209,7 +244,7 @@ class LineIndex:
             one, f"{UID} long, place int, key binary"
         )
         # written, so that both sides of the join are plain shuffles and Spark can split the rows of a hot key
-        common = stored(self.counts().where(F.col("n") >= self.min_docs).select("key"), "common-keys")
+        common = stored(self._common(), "common-keys")
         return passed.join(common, "key").select(UID, "place")
 
     def clean(self, docs: DataFrame) -> DataFrame:
