@@ -86,17 +86,27 @@ class Model(NamedTuple):
 
 
 class _Words(dict):
-    """What a raw word adds to the features, for words seen before."""
+    """What a raw word adds to the features, for words seen before; ``dull`` has those that add nothing."""
 
     def __init__(self, known):
         super().__init__()
-        self.known = known
+        self.known, self.dull = known, set()
+        self.beginnings = {t[: 1 + PREFIXES[0]] for t in known if t.startswith("^")}
 
     def __missing__(self, raw):
-        found = tuple(t for t in word_tokens(raw) if t in self.known)
-        if len(self) >= CACHED_WORDS:
+        word = raw.lower()
+        # most words neither are features nor begin like one
+        if word.isalpha() and word not in self.known and "^" + word[: PREFIXES[0]] not in self.beginnings:
+            found = ()
+        else:
+            found = tuple(t for t in word_tokens(raw) if t in self.known)
+        if len(self) + len(self.dull) >= CACHED_WORDS:
             self.clear()
-        self[raw] = found
+            self.dull.clear()
+        if found:
+            self[raw] = found
+        else:
+            self.dull.add(raw)
         return found
 
 
@@ -108,9 +118,8 @@ def text_features(column: pa.Array, words: _Words) -> Iterator[set[str]]:
         different = [set(x) for x in split]
         for raws, shape in zip(different, shape_tokens(split, different, part)):
             found = set(shape)
-            for raw in raws:
-                if hit := words[raw]:
-                    found.update(hit)
+            for raw in raws - words.dull:
+                found.update(words[raw])
             yield found
 
 
