@@ -114,6 +114,30 @@ def test_spade_joins_idlists_only(spark, monkeypatch, name):
     assert found(patterns.ALGORITHMS[name](df, 0.3, max_items=4, max_elements=2)) == short
 
 
+@pytest.mark.parametrize("name", ["prefixspan", "spade", "cm_spade"])
+def test_short_sequences_are_mined_row_by_row(spark, monkeypatch, name):
+    """No join of id-lists or projections, up to the last position of a block, with repeated elements."""
+    for other in ("_count_later", "_meet", "_later", "_bounds", "_Projected", "_step"):
+        monkeypatch.setattr(patterns, other, None)
+    data = _random(47, 30)
+    rows = [(sid, 64 - len(seq) + n, e) for sid, seq in data.items() for n, e in enumerate(seq)]
+    rows += rows[:20]
+    df = spark.createDataFrame(rows, "sequence_id string, position long, items array<string>")
+    want = brute(list(data.values()), min_count(0.3, len(data)), 4)
+    assert found(patterns.ALGORITHMS[name](df, 0.3, max_items=4)) == want
+    short = {p: n for p, n in want.items() if len(p) <= 2}
+    assert found(patterns.ALGORITHMS[name](df, 0.3, max_items=4, max_elements=2)) == short
+
+
+@pytest.mark.parametrize("name", ["prefixspan", "spade", "cm_spade"])
+def test_packed_and_long_sequences_add_up(spark, monkeypatch, name):
+    data = _random(53, 20) | {f"long{i}": [["a"], ["b", "c"], ["d"]] * 30 for i in range(6)}
+    want = brute(list(data.values()), min_count(0.4, len(data)), 3)
+    assert found(patterns.ALGORITHMS[name](elements(spark, data), 0.4, max_items=3)) == want
+    monkeypatch.setattr(patterns, "PACKED_ITEMS", 2)
+    assert found(patterns.ALGORITHMS[name](elements(spark, data), 0.4, max_items=3)) == want
+
+
 def test_spade_with_a_million_events_in_one_sequence(spark):
     events = spark.range(1_000_000).select(F.lit("hot").alias("sequence_id"), (F.col("id") + 1).alias("position"), F.array(F.concat(F.lit("i"), F.col("id") % 5)).alias("items"))
     short = {f"s{i}": [["i0"], ["i1"], ["i0"], ["i9"]] for i in range(3)}
