@@ -138,6 +138,19 @@ def test_packed_and_long_sequences_add_up(spark, monkeypatch, name):
     assert found(patterns.ALGORITHMS[name](elements(spark, data), 0.4, max_items=3)) == want
 
 
+def test_given_patterns_of_short_sequences_are_matched_row_by_row(spark, monkeypatch):
+    data = _random(59, 20)
+    given = {"ab": [["a"], ["b"]], "abc": [["a", "b"], ["c"]], "aba": [["a"], ["b"], ["a"]], "d": [["d"]], "z": [["a"], ["z"]]}
+    table = spark.createDataFrame(list(given.items()), "pattern string, elements array<array<string>>")
+    want = sorted((p, sid) for p, e in given.items() for sid, seq in data.items() if contains(e, seq))
+    with monkeypatch.context() as m:
+        m.setattr(patterns, "_step", None)
+        assert sorted(map(tuple, patterns.match_patterns(elements(spark, data), table).collect())) == want
+    data |= {"long": [["a"], ["b", "c"]] * 40}
+    want += [(p, "long") for p, e in given.items() if contains(e, data["long"])]
+    assert sorted(map(tuple, patterns.match_patterns(elements(spark, data), table).collect())) == sorted(want)
+
+
 def test_spade_with_a_million_events_in_one_sequence(spark):
     events = spark.range(1_000_000).select(F.lit("hot").alias("sequence_id"), (F.col("id") + 1).alias("position"), F.array(F.concat(F.lit("i"), F.col("id") % 5)).alias("items"))
     short = {f"s{i}": [["i0"], ["i1"], ["i0"], ["i9"]] for i in range(3)}
