@@ -233,3 +233,38 @@ def test_broadcasts_are_checked_by_real_lengths(spark):
     texts = spark.range(10).select(F.repeat(F.lit("y"), 5000).alias("text"), F.array(F.array(F.lit(1), F.lit(2))).alias("els"))
     assert 50_000 <= runtime.table_bytes(texts, 10) < 60_000
     assert runtime.table_bytes(spark.range(10), 10) == 80
+
+
+def test_equal_baskets_are_one_row_with_their_number(spark):
+    data = [["a", "b", "c"]] * 300 + [["a", "b"]] * 101 + [["b", "c", "z"]] * 7 + [["c"]] * 50
+    df = spark.createDataFrame([(str(n), b) for n, b in enumerate(data)], SCHEMA)
+    enc = itemsets.encode(df, 0.1)
+    assert (enc.n, enc.n_items) == (458, 3)
+    assert {tuple(r["ids"]): r["n"] for r in itemsets.reduced_baskets(enc).collect()} == {(0, 1, 2): 300, (0, 1): 101, (1, 2): 7}
+    for mine in itemsets.ALGORITHMS.values():
+        assert found(mine(df, 0.1)) == brute(data, min_count(0.1, len(data)))
+
+
+@pytest.mark.parametrize("name", itemsets.ALGORITHMS)
+def test_rows_of_one_tid_are_baskets_of_their_own(spark, monkeypatch, name):
+    monkeypatch.setattr(itemsets, "ROW_ITEMS", 2)
+    data = [("x", ["a", "b", "c"]), ("x", ["a", "b"]), ("y", ["b", "c"]), (None, ["a", "b"]), (None, ["a"])]
+    assert found(itemsets.ALGORITHMS[name](spark.createDataFrame(data, SCHEMA), 0.2)) == brute([b for _, b in data], 1)
+
+
+def test_transactions_of_a_common_basket_are_dealt_over_tasks(spark):
+    reduced = spark.createDataFrame([([0, 1], 1003), ([1, 2], 5)], "ids array<int>, n long")
+    rows = itemsets._transactions(reduced, 1008, 4)
+    assert {tuple(r["ids"]): r["count"] for r in rows.groupBy("ids").count().collect()} == {(0, 1): 1003, (1, 2): 5}
+    parts = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(parts) < 800
+
+
+def test_coverage_counts_a_repeated_tid_once(spark):
+    df = spark.createDataFrame([("x", ["a"]), ("x", ["a"]), ("y", ["a"]), ("z", ["b"])], SCHEMA)
+    sets = spark.createDataFrame([(["a"],)], "items array<string>")
+    nothing = spark.createDataFrame([], "antecedent array<string>")
+    row = evaluate.coverage(df, sets, nothing).first()
+    assert (row.total_transactions, row.transactions_with_itemsets, row.transactions_with_rules) == (4, 2, 0)
+    row = evaluate.coverage(df.where("tid <> 'x'").unionByName(df.limit(1)), sets, nothing).first()
+    assert (row.total_transactions, row.transactions_with_itemsets) == (3, 2)

@@ -149,11 +149,15 @@ def basket_stats(baskets: DataFrame) -> DataFrame:
     )
 
 
-def count_items(baskets: DataFrame) -> DataFrame:
-    """``(whole, item, support_count)``: baskets per item, and one row ``whole`` with the number of baskets."""
+def count_items(baskets: DataFrame, weight: str | None = None) -> DataFrame:
+    """``(whole, item, support_count)``: baskets per item, and one row ``whole`` with the number of baskets.
+
+    ``weight`` is a column that says how many baskets a row stands for.
+    """
     flagged = F.transform("items", lambda i: F.struct(F.lit(False).alias("whole"), i.cast("string").alias("item")))
     basket = F.array(F.struct(F.lit(True).alias("whole"), F.lit(None).cast("string").alias("item")))
-    return baskets.select(F.inline(F.concat(flagged, basket))).groupBy("whole", "item").agg(F.count(F.lit(1)).alias("support_count"))
+    rows = baskets.select(*([weight] if weight else []), F.inline(F.concat(flagged, basket)))
+    return rows.groupBy("whole", "item").agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("support_count"))
 
 
 def item_support(baskets: DataFrame) -> DataFrame:

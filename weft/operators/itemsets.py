@@ -9,7 +9,7 @@ The three miners count in three ways:
   baskets that has any of its baskets; an itemset grows by the AND of two.
 * FP-Growth is MLlib's.
 
-Pairs are counted from the baskets by Apriori and Eclat alike, so the number of
+Equal baskets are merged before anything is counted. Pairs are counted from the baskets by Apriori and Eclat alike, so the number of
 items does not matter, only the pairs that occur. Counts are summed map-side,
 so a level shuffles at most one row per candidate and task.
 """
@@ -31,6 +31,10 @@ from .sequences import dense_index
 BASKETS_PER_CELL = 4096
 # A basket's pairs are formed in tiles of so many items by as many.
 TILE = 512
+# With at most so many frequent items a basket is coded within its row.
+ROW_ITEMS = 256
+# Binary digits of the number of equal baskets.
+PLANES = 64
 
 
 @dataclass
@@ -41,13 +45,17 @@ class Encoded:
     threshold: int
     dictionary: DataFrame  # item, id (0-based), support_count
     n_items: int
-    coded: DataFrame  # tid, id
+    merged: DataFrame  # items, n: equal baskets are one row
 
 
 def encode(baskets: DataFrame, min_support: float, by_support: bool = False) -> Encoded:
-    """Count items once, keep the frequent ones and number them by name or by ascending support."""
+    """Merge equal baskets in one pass, count items, keep the frequent ones and number them by name or by ascending support.
+
+    Every row is a basket of its own, whatever its tid.
+    """
     require_columns(baskets, "tid", "items")
-    counted = durable(count_items(baskets))
+    merged = durable(baskets.groupBy("items").agg(F.count(F.lit(1)).alias("n")))
+    counted = durable(count_items(merged, "n"))
     total = counted.where("whole").first()
     n = total["support_count"] if total else 0
     threshold = min_count(min_support, n)
@@ -56,22 +64,25 @@ def encode(baskets: DataFrame, min_support: float, by_support: bool = False) ->
     dictionary = durable(
         dense_index(placed, "order", "id").select("item", (F.col("id") - 1).cast("int").alias("id"), "support_count")
     )
-    n_items = dictionary.count()
-    coded = (
-        baskets.select("tid", F.explode("items").alias("item"))
-        .join(small_side(dictionary.select("item", "id"), n_items), "item")
-        .select("tid", "id")
-    )
-    return Encoded(n, threshold, dictionary, n_items, coded)
+    return Encoded(n, threshold, dictionary, dictionary.count(), merged)
 
 
 def reduced_baskets(enc: Encoded) -> DataFrame:
-    """``(tid, ids)``: per basket the sorted ids of its frequent items, where it has two or more."""
-    return enc.coded.groupBy("tid").agg(F.sort_array(F.collect_list("id")).alias("ids")).where(F.size("ids") > 1)
+    """``(ids, n)``: the sorted ids of a basket's frequent items, where it has two or more, and how many baskets have just these."""
+    ids = enc.dictionary.select("item", "id")
+    if enc.n_items <= ROW_ITEMS:
+        named = ids.agg(F.map_from_entries(F.collect_list(F.struct("item", "id"))).alias("named"))
+        coded = F.transform("items", lambda i: F.element_at("named", i.cast("string")))
+        held = enc.merged.crossJoin(F.broadcast(named)).select(F.filter(coded, lambda i: i.isNotNull()).alias("ids"), "n")
+    else:
+        each = enc.merged.withColumn("row", F.monotonically_increasing_id()).select("row", "n", F.explode("items").alias("item"))
+        coded = each.withColumn("item", F.col("item").cast("string")).join(small_side(ids, enc.n_items), "item")
+        held = coded.groupBy("row").agg(F.collect_list("id").alias("ids"), F.max("n").alias("n"))
+    return held.where(F.size("ids") > 1).groupBy(F.sort_array("ids").alias("ids")).agg(F.sum("n").alias("n"))
 
 
 def _basket_pairs(reduced: DataFrame) -> DataFrame:
-    """``(i1, i2, ids)``: the pairs ``i1 < i2`` of each basket, with the basket.
+    """``(i1, i2, ids, n)``: the pairs ``i1 < i2`` of each basket, with the basket; ``n`` is 1 where the baskets have none.
 
     A basket of more than TILE items is cut into tiles of TILE x TILE pairs,
     which are dealt over a fixed number of tasks: tiles are small, their pairs
@@ -80,21 +91,22 @@ def _basket_pairs(reduced: DataFrame) -> DataFrame:
     n * n / TILE items.
     """
     tasks = int(reduced.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    reduced = reduced.select("ids", "n" if "n" in reduced.columns else F.lit(1).cast("bigint").alias("n"))
     short = reduced.where(F.size("ids") <= TILE)
-    first = short.select("ids", F.posexplode("ids").alias("at", "i1"))
-    near = first.select("i1", F.explode(F.slice("ids", F.col("at") + 2, F.size("ids"))).alias("i2"), "ids")
+    first = short.select("ids", "n", F.posexplode("ids").alias("at", "i1"))
+    near = first.select("i1", F.explode(F.slice("ids", F.col("at") + 2, F.size("ids"))).alias("i2"), "ids", "n")
     runs = reduced.where(F.size("ids") > TILE).withColumn("runs", F.expr(f"cast((size(ids) - 1) div {TILE} AS int)"))
-    tiles = runs.select("tid", "ids", "runs", F.explode(F.expr("sequence(0, runs)")).alias("a"))
-    tiles = tiles.select("tid", "ids", "a", F.explode(F.expr("sequence(a, runs)")).alias("b"))
+    tiles = runs.select("ids", "n", "runs", F.explode(F.expr("sequence(0, runs)")).alias("a"))
+    tiles = tiles.select("ids", "n", "a", F.explode(F.expr("sequence(a, runs)")).alias("b"))
     run = lambda at: F.slice("ids", F.col(at) * TILE + 1, F.lit(TILE))
-    dealt = tiles.select(run("a").alias("left"), run("b").alias("right"), "ids", F.xxhash64("tid", "a", "b").alias("to")).repartition(tasks, "to")
-    far = dealt.select(F.explode("left").alias("i1"), "right", "ids").select("i1", F.explode("right").alias("i2"), "ids")
+    dealt = tiles.select(run("a").alias("left"), run("b").alias("right"), "ids", "n", F.xxhash64("ids", "a", "b").alias("to")).repartition(tasks, "to")
+    far = dealt.select(F.explode("left").alias("i1"), "right", "ids", "n").select("i1", F.explode("right").alias("i2"), "ids", "n")
     return near.unionByName(far.where("i1 < i2"))
 
 
 def count_pairs(reduced: DataFrame) -> DataFrame:
     """Support of every pair of items that occurs in a basket."""
-    return _basket_pairs(reduced).groupBy("i1", "i2").agg(F.count(F.lit(1)).alias("support_count"))
+    return _basket_pairs(reduced).groupBy("i1", "i2").agg(F.sum("n").alias("support_count"))
 
 
 def count_candidates(reduced: DataFrame, candidates: DataFrame, k: int, rows: int) -> DataFrame:
@@ -103,19 +115,27 @@ def count_candidates(reduced: DataFrame, candidates: DataFrame, k: int, rows: in
     held = _basket_pairs(reduced).join(small_side(candidates.select(*ids), rows), ["i1", "i2"])
     for i in ids[2:]:
         held = held.where(F.array_contains("ids", F.col(i)))
-    return held.groupBy(*ids).agg(F.count(F.lit(1)).alias("support_count"))
+    return held.groupBy(*ids).agg(F.sum("n").alias("support_count"))
+
+
+def by_planes(reduced: DataFrame) -> DataFrame:
+    """``(tid, id, plane)``: merged baskets for ``tid_masks``, once per binary digit of how many there are; ``tid`` is the basket."""
+    planes = F.filter(F.sequence(F.lit(0), F.lit(62)), lambda b: F.expr("n").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), b)) != 0)
+    return reduced.select("ids", F.explode(planes).alias("plane")).select(F.col("ids").alias("tid"), F.explode("ids").alias("id"), "plane")
 
 
 def tid_masks(coded: DataFrame, n: int) -> DataFrame:
     """``(cell, block, x, mask)``: which of a block's 64 baskets hold item ``x``.
 
     A basket's cell and bit depend only on its tid and its cell mates, so a
-    recomputed task rebuilds the same masks.
+    recomputed task rebuilds the same masks. With a ``plane`` p every bit of a
+    cell stands for 2**p equal baskets; p is the cell modulo PLANES.
     """
     cells = max(1, n // BASKETS_PER_CELL)
+    plane = F.col("plane") if "plane" in coded.columns else F.lit(0)
     in_cell = Window.partitionBy("cell").orderBy("tid")
     return (
-        coded.withColumn("cell", F.pmod(F.xxhash64("tid"), F.lit(cells)))
+        coded.withColumn("cell", F.pmod(F.xxhash64("tid"), F.lit(cells)) * PLANES + plane)
         .withColumn("r", F.dense_rank().over(in_cell) - 1)
         .groupBy("cell", F.expr("r div 64").alias("block"), F.col("id").alias("x"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(r % 64 AS int))")).alias("mask"))
@@ -163,9 +183,8 @@ def _id_rows(level: DataFrame, k: int) -> DataFrame:
 
 def apriori(baskets: DataFrame, min_support: float = 0.01, max_len: int | None = None) -> DataFrame:
     """Level-wise: join, prune by all subsets, count in the baskets."""
-    with cached(baskets) as held:
-        enc = encode(held, min_support)
-        reduced = durable(reduced_baskets(enc)) if enc.n_items > 1 and max_len != 1 else None
+    enc = encode(baskets, min_support)
+    reduced = durable(reduced_baskets(enc)) if enc.n_items > 1 and max_len != 1 else None
     found, k = _id_rows(enc.dictionary.select(F.col("id").alias("i1"), "support_count"), 1), 2
     alive = enc.n_items
     level = None
@@ -192,11 +211,10 @@ def eclat(baskets: DataFrame, min_support: float = 0.01, max_len: int | None = N
     prefix classes. ``p`` is the id of a prefix, of which each level keeps the
     masks of the frequent itemsets only.
     """
-    with cached(baskets) as held:
-        enc = encode(held, min_support, by_support=True)
-        wanted = enc.n_items > 1 and max_len != 1
-        reduced = durable(reduced_baskets(enc)) if wanted else None
-        masks = durable(tid_masks(enc.coded, enc.n)) if wanted and max_len != 2 else None
+    enc = encode(baskets, min_support, by_support=True)
+    wanted = enc.n_items > 1 and max_len != 1
+    reduced = durable(reduced_baskets(enc)) if wanted else None
+    masks = durable(tid_masks(by_planes(reduced), reduced.count())) if wanted and max_len != 2 else None
     found = _id_rows(enc.dictionary.select(F.col("id").alias("i1"), "support_count"), 1)
     if not wanted:
         return _decode(found, enc)
@@ -225,7 +243,9 @@ def eclat(baskets: DataFrame, min_support: float = 0.01, max_len: int | None = N
         # an itemset of the class differs from p in its last item only: AND of the two itemsets' masks
         mine = states.join(small_side(candidates.select("p", "q"), n_candidates), "p")
         met = mine.join(states.select(F.col("p").alias("q"), "cell", "block", F.col("mask").alias("other")), ["q", "cell", "block"])
-        counted = met.groupBy("p", "q").agg(F.sum(F.bit_count(F.col("mask").bitwiseAND(F.col("other")))).cast("bigint").alias("support_count"))
+        both = F.bit_count(F.col("mask").bitwiseAND(F.col("other"))).cast("bigint")
+        weight = F.expr(f"shiftleft(1L, cast(cell % {PLANES} AS int))")
+        counted = met.groupBy("p", "q").agg(F.sum(both * weight).alias("support_count"))
         frequent = counted.where(f"support_count >= {enc.threshold}")
         level = durable(
             frequent.join(small_side(candidates, n_candidates), ["p", "q"]).select(*ids, f"i{k + 1}", F.col("p").alias("from"), "support_count")
@@ -251,7 +271,7 @@ def _fpgrowth_bounded(enc: Encoded, max_len: int) -> DataFrame:
     """
     found = enc.dictionary.select(F.array("id").alias("ids"), "support_count")
     nothing = F.array().cast("array<int>")
-    bases = reduced_baskets(enc).groupBy(F.col("ids").alias("path")).agg(F.count(F.lit(1)).alias("n")).withColumn("ids", nothing)
+    bases = reduced_baskets(enc).select(F.col("ids").alias("path"), "n", nothing.alias("ids"))
     for k in range(2, max_len + 1):
         bases = durable(_paths(bases))
         counted = bases.select("ids", "n", F.explode("path").alias("x")).groupBy("ids", "x").agg(F.sum("n").alias("support_count"))
@@ -264,6 +284,15 @@ def _fpgrowth_bounded(enc: Encoded, max_len: int) -> DataFrame:
     return _decode(found, enc)
 
 
+def _transactions(reduced: DataFrame, n: int, parts: int) -> DataFrame:
+    """One row per basket again, for MLlib: equal ones come together, so trees stay small, but a common one in pieces."""
+    piece = max(1, n // (parts * 8))
+    pieces = reduced.select("ids", "n", F.explode(F.expr(f"sequence(0L, (n - 1) div {piece})")).alias("piece"))
+    dealt = pieces.repartition(parts, "ids", "piece").sortWithinPartitions("ids")
+    left = f"least({piece}, n - piece * {piece})"
+    return dealt.select("ids", F.explode(F.expr(f"array_repeat(1, cast({left} AS int))"))).select("ids")
+
+
 def _fpgrowth(enc: Encoded, max_len: int | None) -> DataFrame:
     if max_len is not None and enc.n_items > 1 and max_len > 1:
         return _fpgrowth_bounded(enc, max_len)
@@ -271,26 +300,27 @@ def _fpgrowth(enc: Encoded, max_len: int | None) -> DataFrame:
     if enc.n_items < 2 or max_len == 1:
         return _decode(singles, enc)
     # single-item baskets add nothing beyond the item counts already known
-    reduced = durable(reduced_baskets(enc).select("ids"))
-    n = reduced.count()
+    reduced = durable(reduced_baskets(enc))
+    n = reduced.agg(F.sum("n")).first()[0] or 0
     if n < enc.threshold:
         return _decode(singles, enc)
-    parts = max(reduced.sparkSession.sparkContext.defaultParallelism, reduced.rdd.getNumPartitions())
-    model = FPGrowth(
-        itemsCol="ids", minSupport=mllib_support(enc.threshold, n), minConfidence=1.0, numPartitions=parts
-    ).fit(reduced)
-    longer = durable(
-        model.freqItemsets.where(F.size("items") > 1).select(
-            F.sort_array("items").alias("ids"), F.col("freq").alias("support_count")
+    conf = reduced.sparkSession.conf
+    parts = max(reduced.sparkSession.sparkContext.defaultParallelism, int(conf.get("spark.sql.shuffle.partitions")))
+    with cached(_transactions(reduced, n, parts)) as held:
+        model = FPGrowth(
+            itemsCol="ids", minSupport=mllib_support(enc.threshold, n), minConfidence=1.0, numPartitions=parts
+        ).fit(held)
+        longer = durable(
+            model.freqItemsets.where(F.size("items") > 1).select(
+                F.sort_array("items").alias("ids"), F.col("freq").alias("support_count")
+            )
         )
-    )
     return _decode(singles.unionByName(longer), enc)
 
 
 def fpgrowth(baskets: DataFrame, min_support: float = 0.01, max_len: int | None = None) -> DataFrame:
     """MLlib's parallel FP-Growth on id-coded baskets of frequent items; with ``max_len`` growth stops there, which MLlib cannot."""
-    with cached(baskets) as held:
-        return _fpgrowth(encode(held, min_support, by_support=True), max_len)
+    return _fpgrowth(encode(baskets, min_support, by_support=True), max_len)
 
 
 ALGORITHMS = {"apriori": apriori, "fpgrowth": fpgrowth, "eclat": eclat}
