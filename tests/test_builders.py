@@ -145,3 +145,12 @@ def test_one_hot_of_a_large_vocabulary(spark):
     dictionary = sequences.item_dictionary(baskets.explode_items(rows))
     places = baskets.one_hot_sparse(rows, dictionary).select(F.explode("indices").alias("at"))
     assert places.agg(F.min("at"), F.max("at"), F.countDistinct("at")).first()[:] == (0, 99_999, 100_000)
+
+
+def test_transactions_are_read_once(spark):
+    """The rows' own join is done once, for row numbers, sizes of keys and readers alike."""
+    rows = spark.createDataFrame([(1, 7, "b", 2), (1, 7, "a", 1), (1, 7, "a", 3), (1, 5, "c", 1), (2, 9, "a", None)], "k long, t long, x string, at int")
+    joined = rows.select("k", "t", "x", F.timestamp_seconds("at").alias("at")).join(spark.range(1, 3).withColumnRenamed("id", "k"), "k")
+    made = sequences.by_transaction(joined, "k", "t", "x", "at")
+    assert "Join" not in made._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.sequence_id, r.position, r["items"]) for r in made.collect()) == [(1, 1, ["c"]), (1, 2, ["a", "b"])]

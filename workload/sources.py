@@ -91,8 +91,8 @@ _CODED = f"""e AS (SELECT sid, pos, item FROM ({sql.ELEMENTS['purchase']})),
     c AS (SELECT sid, pos, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY id) AS part FROM e JOIN d USING (item) GROUP BY sid, pos)"""
 
 
-def _coded(spark, sf):
-    elements = data.purchase_sequences(spark, sf)
+def _coded(spark, sf, elements=None):
+    elements = data.purchase_sequences(spark, sf) if elements is None else elements
     dictionary = sequences.item_dictionary(sequences.explode_items(elements))
     return sequences.encode(elements, dictionary), dictionary
 
@@ -114,8 +114,9 @@ def sequence_text_export(spark, sf):
 def pattern_text_import(spark, sf):
     """Mined patterns written as pattern text, with a comment line among them, and read back through the dictionary."""
     path = scratch_path(spark, "patterns")
-    found, _ = mining.purchase_rules(spark, sf)
-    dictionary = _coded(spark, sf)[1]
+    elements = data.purchase_sequences(spark, sf)
+    found, _ = mining.purchase_rules(spark, sf, elements=elements)
+    dictionary = _coded(spark, sf, elements)[1]
     coded = (
         found.select(pattern_key("elements").alias("n"), "support_count", F.posexplode("elements").alias("at", "e"))
         .select("n", "support_count", "at", F.explode("e").alias("item"))
