@@ -91,3 +91,42 @@ def test_what_was_taught_is_weighed_by_the_labelled_rows():
     plain, _ = matrix.fit(target, weight, np.zeros(3))
     # no labelled row holds c: it follows what was taught as far as that agrees with them
     assert right[2] > 0 > wrong[2] and plain[2] == 0 and all(w[0] > 0 > w[1] for w in (right, wrong, plain))
+
+
+def test_words_are_looked_up_many_at_once(spark, monkeypatch):
+    """The features of a text are those that its words and their beginnings give one by one; plain words are not looked at one by one."""
+    import pyarrow as pa
+
+    odd = ["", " ", "\n\t", " ends ", "Awful, awful; (awfully) don't 1awful2 '''' 12 _ab_c_ awful-ness", "a b　c\x1cd", "Été étés «été»",
+           "ΑΣ Σα ЖУК. Жуки", "İstanbul ǅungla ŉab 日本語語語", "=upper0 ^awfu"]
+    many = " ".join(f"stem{'abcdefghij'[i % 10]}{'xyz'[i % 3]}{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}." for i in range(5000))
+    texts = [*odd, many, None, "x" * 3000]
+    texts = [t or "" for t in texts]
+    tokens = [{t for raw in text.split() for t in quality.word_tokens(raw)} for text in texts]
+    known = sorted(set().union(*tokens))
+    names = [*known[::3], *(t for t in known if not t.startswith("^stem") and len(t) < 12), "missing", *quality.SHAPES]
+    number = {t: i for i, t in enumerate(dict.fromkeys(names))}
+    calls = []
+    inner = quality.word_tokens
+    monkeypatch.setattr(quality, "word_tokens", lambda raw: calls.append(raw) or inner(raw))
+    lists = quality._lists(pa.array(texts, pa.string()), quality._Words(number)).to_pylist()
+    shapes = {number[t] for t in quality.SHAPES}
+    assert [set(x) - shapes for x in lists] == [{number[t] for t in s if t in number} for s in tokens]
+    assert all(len(shapes & set(x)) == 6 and x == sorted(set(x)) for x in lists)
+    assert len(calls) < 30
+    inside = [tuple(t for t in quality.SHAPES if number[t] in x) for x in lists]
+    assert inside[texts.index(" ends ")] == ("=upper0", "=digit0", "=symbol0", "=different20", "=width6", "=words1")
+
+
+def test_letters_are_lowered_as_in_python():
+    """What a word of letters of up to two bytes becomes does not depend on whether it is looked up with others."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    letters = pa.array([f"a{chr(c)}b" for c in range(0x800)])
+    plain = quality.plain_words(letters)
+    assert [x for x, p in zip(pc.utf8_lower(letters).to_pylist(), plain) if p] == [x.lower() for x, p in zip(letters.to_pylist(), plain) if p]
+    alone = pa.array([chr(c) for c in range(0x800)])
+    alone_plain = quality.plain_words(pc.ascii_trim(alone, characters=quality._MARKS))
+    for c, p in zip(alone.to_pylist(), alone_plain):
+        assert not p or quality.word_tokens(c) in ((c.lower(),), ()) and (quality.word_tokens(c) == ()) == (c in quality._MARKS)

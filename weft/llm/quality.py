@@ -6,15 +6,17 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, stored, utf8_batch
+from .common import chunks, ragged, small_batches, stored, utf8_batch
 
 MOST_FEATURES = 4096
 LEAST_DOCS = 5  # labelled texts that hold a token before it may become a feature
@@ -23,12 +25,13 @@ ROUNDS = 3
 LEAST_ROWS = 100  # of an eighth of the labelled rows, for it to serve alone
 CONFIDENT = 0.95
 SEED = "weft-quality"
-CACHED_WORDS = 200_000
-TEXTS = 256  # looked at together
+CACHED_WORDS = 100_000
 # sources and languages also count by a hash, so that those without a label can be taught about
 SOURCE_BINS, LANG_BINS = 1024, 64
 
 _EDGES = re.compile(r"^[\W\d_]+|[\W\d_]+$")
+_MARKS = "".join(c for c in map(chr, range(128)) if not c.isalpha())
+_SPECIAL = "\u0130\u03a3"  # become two letters, or one by its place in the word
 PREFIXES = (4, 5, 6, 7, 8)
 # classes of bytes: 0 other, 1 upper case, 2 lower case, 3 digit, 4 symbol, 5 white space
 _BYTES = np.zeros(256, np.uint8)
@@ -37,26 +40,28 @@ _BYTES[48:58], _BYTES[65:91], _BYTES[97:123] = 3, 1, 2
 _BYTES[[32, *range(9, 14)]] = 5
 
 
+SHAPE_NAMES = ("upper", "digit", "symbol", "different", "width", "words")
+SHAPES = [f"={name}{i}" for name in SHAPE_NAMES for i in range(40)]
+
+
 def word_tokens(raw: str) -> tuple[str, ...]:
     """The word in lower case without marks at its ends, and its first 4 to 8 letters."""
     word = _EDGES.sub("", raw.lower())
     return (word, *("^" + word[:k] for k in PREFIXES if len(word) > k)) if word else ()
 
 
-def shape_tokens(words: list[list[str]], different: list[set[str]], column: pa.Array) -> list[list[str]]:
-    """Tokens of the make-up of each text: shares of kinds of bytes, of different words, length of words and text."""
-    data, offsets = utf8_batch(column)
+def shape_bins(data: np.ndarray, offsets: np.ndarray, words: np.ndarray, different: np.ndarray) -> Iterator[tuple[str, np.ndarray]]:
+    """The make-up of each text, given its bytes and how many words, and different ones, it has: shares of kinds of bytes, of
+    different words, length of words and text; each with the number of its token."""
     kinds = _BYTES[data]
     sizes = np.maximum(np.diff(offsets), 1)
-    out: list[list[str]] = [[] for _ in words]
     for name, kind in (("upper", 1), ("digit", 3), ("symbol", 4)):
         share = np.diff(np.append(0, np.cumsum(kinds == kind))[offsets]) / sizes
-        for tokens, b in zip(out, np.minimum(share * 40, 20).astype(int).tolist()):
-            tokens.append(f"={name}{b}")
-    for tokens, all_words, distinct, size in zip(out, words, different, sizes.tolist()):
-        n = max(1, len(all_words))
-        tokens += [f"=different{int(20 * len(distinct) / n)}", f"=width{min(int(size / n), 20)}", f"=words{min(n.bit_length(), 39)}"]
-    return out
+        yield name, np.minimum(share * 40, 20).astype(np.int64)
+    n = np.maximum(words, 1)
+    yield "different", (20 * different / n).astype(np.int64)
+    yield "width", np.minimum(sizes / n, 20).astype(np.int64)
+    yield "words", np.minimum(np.frexp(n.astype(float))[1], 39).astype(np.int64)
 
 
 def metadata_tokens(source, lang, n_chars) -> list[str]:
@@ -86,41 +91,118 @@ class Model(NamedTuple):
 
 
 class _Words(dict):
-    """What a raw word adds to the features, for words seen before; ``dull`` has those that add nothing."""
+    """The features of raw words, as their numbers in ``number``; those of a word that is looked at by itself are kept."""
 
-    def __init__(self, known):
+    def __init__(self, number: dict[str, int]):
         super().__init__()
-        self.known, self.dull = known, set()
-        self.beginnings = {t[: 1 + PREFIXES[0]] for t in known if t.startswith("^")}
-
-    def __missing__(self, raw):
-        word = raw.lower()
-        # most words neither are features nor begin like one
-        if word.isalpha() and word not in self.known and "^" + word[: PREFIXES[0]] not in self.beginnings:
-            found = ()
-        else:
-            found = tuple(t for t in word_tokens(raw) if t in self.known)
-        if len(self) + len(self.dull) >= CACHED_WORDS:
+        self.number = number
+        self.shapes = {name: np.array([number.get(f"={name}{i}", -1) for i in range(40)]) for name in SHAPE_NAMES}
+        # without the mark of a beginning; by the number of letters, 0 for whole words
+        held = {k: [t for t in number if t[:1] == "^" and len(t) == k + 1] for k in PREFIXES} | {0: [t for t in number if t[:1] not in ("^", "=")]}
+        self.held = {k: (pa.array([t[k > 0 :] for t in ts], pa.string()), np.array([number[t] for t in ts], np.int64)) for k, ts in held.items()}
+        starts = {t[1 : 1 + PREFIXES[0]] for k in PREFIXES for t in held[k]}
+        self.starts = pa.array(sorted(starts), pa.string())
+
+    def __missing__(self, raw: str) -> tuple[int, ...]:
+        found = tuple(self.number[t] for t in word_tokens(raw) if t in self.number)
+        if len(self) >= CACHED_WORDS:
             self.clear()
-            self.dull.clear()
-        if found:
-            self[raw] = found
-        else:
-            self.dull.add(raw)
+        self[raw] = found
         return found
 
-
-def text_features(column: pa.Array, words: _Words) -> Iterator[set[str]]:
-    """The tokens of each text of ``column`` (no nulls)."""
-    for at in range(0, len(column), TEXTS):
-        part = column.slice(at, TEXTS)
-        split = [text.split() for text in part.to_pylist()]
-        different = [set(x) for x in split]
-        for raws, shape in zip(different, shape_tokens(split, different, part)):
-            found = set(shape)
-            for raw in raws - words.dull:
-                found.update(words[raw])
-            yield found
+    def _in(self, k: int, texts: pa.Array, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Those of ``texts`` that are features of ``k`` letters: where they are (``at``), and their numbers."""
+        values, numbers = self.held[k]
+        place = np.asarray(pc.index_in(texts, value_set=values).fill_null(-1))
+        return at[place >= 0], numbers[place[place >= 0]]
+
+    def features(self, raws: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(place in ``raws``, number) of the features that ``word_tokens`` gives, for many words at once; of few words one by one."""
+        bare = pc.ascii_trim(raws, characters=_MARKS)
+        plain = plain_words(bare)
+        odd = np.flatnonzero(~plain)
+        one_by_one = [self[raw] for raw in raws.take(pa.array(odd)).to_pylist()]
+        at = [np.repeat(odd, [len(x) for x in one_by_one])]
+        numbers = [np.fromiter(chain.from_iterable(one_by_one), np.int64, len(at[0]))]
+        where = np.flatnonzero(plain)
+        lower = pc.utf8_lower(bare.take(pa.array(where)))
+        found = [self._in(0, lower, where)]
+        # most words do not begin like a feature
+        begun = pc.is_in(pc.utf8_slice_codeunits(lower, 0, PREFIXES[0]), value_set=self.starts)
+        lower, where = lower.filter(begun), where[np.asarray(begun)]
+        length = np.asarray(pc.utf8_length(lower))
+        for k in PREFIXES:
+            longer = length > k
+            found.append(self._in(k, pc.utf8_slice_codeunits(lower.filter(pa.array(longer)), 0, k), where[longer]))
+        return np.concatenate([*at, *[x for x, _ in found]]), np.concatenate([*numbers, *[x for _, x in found]])
+
+
+def plain_words(bare: pa.Array) -> np.ndarray:
+    """Whether each word, without ASCII marks at its ends, is what ``word_tokens`` makes of it but for lower case, and is lowered
+    letter by letter: it begins and ends with letters, all are of at most two bytes, and none has a special lower case."""
+    data, offsets = utf8_batch(bare)
+    sizes = np.diff(offsets)
+    some = sizes > 0
+    plain = np.zeros(len(sizes), bool)
+    if not some.any():
+        return ~plain
+    begin = offsets[:-1][some]
+    special = data > 0xDF
+    for first, second in (b.encode() for b in _SPECIAL):
+        special[:-1] |= (data[:-1] == first) & (data[1:] == second)
+    ascii_ends = (data[begin] < 0x80) & (data[offsets[1:][some] - 1] < 0x80)
+    plain[some] = ~np.logical_or.reduceat(special, begin) & (ascii_ends | np.asarray(pc.utf8_is_alpha(bare))[some])
+    plain[~some] = True
+    return plain
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
+
+
+def distinct_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """The words of each text of ``column`` (no nulls): how many it has, then (row, word) of its different ones, by row, as
+    places in the array of all different words."""
+    split = pc.utf8_split_whitespace(column)
+    row = np.repeat(np.arange(len(column)), np.asarray(split.value_lengths()))
+    coded = split.flatten().dictionary_encode()
+    code, raws = np.asarray(coded.indices).astype(np.int64), coded.dictionary
+    blank = pc.index(raws, "").as_py()
+    if blank >= 0:  # at white space at the ends of a text
+        row, code = row[code != blank], code[code != blank]
+    pairs = _distinct(row * max(len(raws), 1) + code)
+    return np.bincount(row, minlength=len(column)), *np.divmod(pairs, max(len(raws), 1)), raws
+
+
+def text_features(column: pa.Array, words: _Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The features of the texts of ``column`` (no nulls), some texts at a time: how many each has, and their numbers, rising
+    within a text."""
+    data, offsets = utf8_batch(column)
+    for a, b in chunks(offsets):
+        n_words, row, code, raws = distinct_words(column.slice(a, b - a))
+        place, number = words.features(raws)
+        flat = number[np.argsort(place, kind="stable")]
+        sizes = np.bincount(place, minlength=len(raws))
+        bright = sizes[code] > 0
+        at, of = row[bright], code[bright]
+        rows, numbers = [np.repeat(at, sizes[of])], [flat[ragged((np.cumsum(sizes) - sizes)[of], sizes[of])]]
+        part = data[offsets[a] : offsets[b]]
+        for name, bins in shape_bins(part, offsets[a : b + 1] - offsets[a], n_words, np.bincount(row, minlength=b - a)):
+            number = words.shapes[name][bins]
+            rows.append(np.flatnonzero(number >= 0))
+            numbers.append(number[number >= 0])
+        most = max(len(words.number), 1)
+        row, number = np.divmod(_distinct(np.concatenate(rows) * most + np.concatenate(numbers)), most)
+        yield np.bincount(row, minlength=b - a), number
+
+
+def _lists(column: pa.Array, words: _Words) -> pa.Array:
+    """The numbers of the features of each text, as lists."""
+    found = list(text_features(column, words))
+    sizes = np.concatenate([np.zeros(1, np.int64), *[n for n, _ in found]])
+    numbers = np.concatenate([np.zeros(0, np.int64), *[x for _, x in found]])
+    return pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), pa.array(numbers, pa.int32()))
 
 
 def _place(kind: str) -> Column:
@@ -182,9 +264,6 @@ def _significant(sample: DataFrame) -> set[str]:
     return {r["token"] for r in best.select("token").collect()}
 
 
-SHAPES = [f"={name}{i}" for name in ("upper", "digit", "symbol", "different", "width", "words") for i in range(40)]
-
-
 def _features(sample: DataFrame, names: list[str]) -> pa.Table:
     """Of the sample, small by its bound, the numbers of its text tokens in ``names``, its metadata tokens and labels."""
     number = {t: i for i, t in enumerate(names)}
@@ -192,10 +271,10 @@ def _features(sample: DataFrame, names: list[str]) -> pa.Table:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words(number)
         for batch in batches:
-            found = [sorted(number[t] for t in s) for s in text_features(batch.column("text"), words)]
+            found = _lists(batch.column("text"), words)
             meta = [metadata_tokens(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("source", "lang", "n_chars")))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(found, pa.list_(pa.int32())), pa.array(meta, pa.list_(pa.string())), batch.column("reject"), batch.column("part")],
+                [batch.column("doc_id"), found, pa.array(meta, pa.list_(pa.string())), batch.column("reject"), batch.column("part")],
                 names=["doc_id", "tokens", "meta", "reject", "part"],
             )
 
@@ -212,9 +291,9 @@ def _unlabelled(docs: DataFrame, marked: DataFrame, names: list[str], metas: lis
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words(number)
         for batch in batches:
-            found = [sorted(number[t] for t in s) for s in text_features(batch.column("text"), words)]
+            found = _lists(batch.column("text"), words)
             meta = [[place[t] for t in metadata_tokens(*x) if t in place] for x in zip(*(batch.column(c).to_pylist() for c in ("source", "lang", "n_chars")))]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), pa.array(meta, pa.list_(pa.int32()))], names=["tokens", "meta"])
+            yield pa.RecordBatch.from_arrays([found, pa.array(meta, pa.list_(pa.int32()))], names=["tokens", "meta"])
 
     others = _read(docs).join(F.broadcast(marked.select("doc_id")), "doc_id", "left_anti").select("text", "source", "lang", "n_chars")
     return stored(others.mapInArrow(run, "tokens array<int>, meta array<int>"), "unlabelled")
@@ -381,13 +460,14 @@ def scorer(model: Model):
 
     @F.pandas_udf("text_score double, meta_score double, reject_probability double")
     def score(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        words = _Words(model.text.weights.keys())
-        weight = model.text.weights.get
+        # numbered in the order of tokens, which is fixed, so that sums are the same on every run
+        names = sorted(model.text.weights)
+        words, weight = _Words({t: i for i, t in enumerate(names)}), np.array([model.text.weights[t] for t in names], float)
         for texts, sources, langs, sizes in batches:
             content, meta = [], []
-            for found in text_features(pa.array(texts, pa.string()), words):
-                # in a fixed order, so that sums are the same on every run
-                content.append(model.text.bias + sum(weight(t, 0.0) for t in sorted(found)))
+            for sizes_of, numbers in text_features(pa.array(texts, pa.string()), words):
+                ends, held = np.cumsum(sizes_of).tolist(), weight[numbers].tolist()
+                content += [model.text.bias + sum(held[i:j]) for i, j in zip([0, *ends], ends)]
             for row in zip(sources, langs, sizes):
                 meta.append(model.meta.bias + sum(model.meta.weights.get(t, 0.0) for t in metadata_tokens(*row)))
             content, meta = np.array(content, float), np.array(meta, float)
