@@ -147,3 +147,27 @@ def test_long_text_by_tiles(monkeypatch):
     for _, first, n, *_ in zip(*windows._tiled(symbols, offsets, 40, 8)):
         cover[first : first + n] += 1
     assert (cover == 1).all()
+
+
+def test_groups_that_agree_are_not_sorted_again(monkeypatch):
+    """Refining equals a sort of all by (group, value); members of groups that agree are left where they are."""
+    import numpy as np
+
+    from weft.llm import windows
+
+    rng, inner, seen = np.random.default_rng(5), np.lexsort, []
+    for trial in range(60):
+        group = np.sort(rng.integers(0, 8, rng.integers(1, 40)))
+        value = rng.integers(0, 1 + trial % 4, len(group)).astype(np.uint64) + (group % 3).astype(np.uint64) * np.uint64(1 << 63)
+        alive = rng.permutation(len(group))
+        order = inner((value, group))
+        pairs = list(zip(group[order].tolist(), value[order].tolist()))
+        several = [i for i, p in enumerate(pairs) if pairs.count(p) > 1]
+        number = [sorted(set(pairs)).index(pairs[i]) for i in several]
+        got, left = windows.refine(group, value, alive)
+        assert left.tolist() == alive[order][several].tolist() and got.tolist() == number
+    monkeypatch.setattr(np, "lexsort", lambda keys: seen.append(len(keys[0])) or inner(keys))
+    group, value = np.repeat(np.arange(1000), 2), np.repeat(np.arange(1000), 2).astype(np.uint64)
+    value[:4] = [3, 2, 1, 1]
+    got, left = windows.refine(group, value, np.arange(2000))
+    assert seen == [2] and left.tolist() == list(range(2, 2000))
