@@ -43,7 +43,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids, offsets and decoded_sha256 (of what the ids decode to) of every row."""
-    decoded = bpe.decode(bpe.encode(docs, RANKS), RANKS, keep_ids=True)
+    # written between, so that a task has one Python worker at a time; each holds the ranks and its cache
+    decoded = bpe.decode(stored(bpe.encode(docs, RANKS), "encoded"), RANKS, keep_ids=True)
     return decoded.withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
 
 

@@ -67,3 +67,12 @@ def test_stages_take_odd_rows(spark, make_docs, tmp_path):
             docs = stored(stage(spark, docs, str(tmp_path)), "test-stage")
             assert docs.columns == columns or name == corpus_pipeline.STAGES[-1][0]
         assert docs.count() or not given
+
+
+def test_a_task_has_one_python_worker(spark, make_docs):
+    """Encoding and decoding do not share a stage: the workers of both would be held by an executor at once."""
+    docs = make_docs([(1, "some words, and 12 numbers", "en", "a", 5), (2, None, None, None, None), (2, "", "en", "a", 0)])
+    done = corpus_pipeline.tokenised(spark, docs, "")
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "FileScan" in plan
+    assert {(r["doc_id"], r["n_tokens"] > 0) for r in done.collect()} == {(1, True), (2, False)} and done.count() == 3
