@@ -262,3 +262,47 @@ def test_infinite_lift_when_consequent_is_unknown(spark):
     assert got.first().lift == float("inf")
     quality = evaluate.sequence_rule_quality(table, got).first()
     assert (quality.avg_lift, quality.num_high_lift_rules) == (0.0, 1)
+
+
+@pytest.mark.parametrize("name", ["prefixspan", "spade", "cm_spade", "gsp"])
+def test_last_level_is_counted_without_being_laid_out(spark, monkeypatch, name):
+    """Classes, projections and states that only the last level reads are not written; one pass over the elements."""
+    written, write = [], patterns.durable
+    monkeypatch.setattr(patterns, "durable", lambda df: written.append(df.columns) or write(df))
+    monkeypatch.setattr(patterns, "encode", None)
+    data = {"s0": [["a", "b"], ["c"], ["a"], ["b", "c"]], "s1": [["a"], ["b", "c"], ["a", "b"]], "s2": [["c"], ["a", "c"], ["b"]]}
+    want = brute(list(data.values()), min_count(0.6, 3), 3)
+    assert any(sum(map(len, p)) == 3 for p in want)
+    assert found(patterns.ALGORITHMS[name](elements(spark, data), 0.6, max_items=3)) == want
+    laid_out = [c for c in written if {"members", "states"} & set(c)]
+    # GSP's rows get the frequent pairs of one element
+    assert len(laid_out) <= (name == "gsp")
+
+
+@pytest.mark.parametrize("longest", [3, 4, 5])
+def test_gsp_counts_short_sequences_row_by_row(spark, monkeypatch, longest):
+    """No occurrences or rows of match states, up to the last position of a block, with repeated elements."""
+    for other in ("_item_occurrences", "_first_states", "_last_ends", "_count_after", "_advance", "_intersect", "_step"):
+        monkeypatch.setattr(patterns, other, None)
+    data = _random(53, 30)
+    rows = [(sid, 64 - len(seq) + n, e) for sid, seq in data.items() for n, e in enumerate(seq)]
+    rows += rows[:20]
+    df = spark.createDataFrame(rows, "sequence_id string, position long, items array<string>")
+    want = brute(list(data.values()), min_count(0.1, len(data)), longest)
+    assert any(sum(map(len, p)) == longest for p in want)
+    assert found(patterns.gsp(df, 0.1, max_items=longest)) == want
+
+
+@pytest.mark.parametrize("name", ["prefixspan", "spade", "cm_spade", "gsp"])
+def test_short_and_long_sequences_and_sequences_without_items(spark, name):
+    rng = random.Random(59)
+    data = {f"s{s}": [sorted(rng.sample("abcd", rng.randint(1, 3))) for _ in range(rng.randint(1, 5))] for s in range(20)}
+    for n in range(8):
+        data[f"long{n}"] = [sorted(rng.sample("abcd", rng.randint(1, 2))) for _ in range(90)]
+    rows = [(sid, n + 1, e) for sid, seq in data.items() for n, e in enumerate(seq)]
+    rows += [(f"none{n}", 1, []) for n in range(12)]
+    df = spark.createDataFrame(rows, "sequence_id string, position long, items array<string>")
+    want = brute(list(data.values()), min_count(0.4, 40), 4)
+    out = patterns.ALGORITHMS[name](df, 0.4, max_items=4)
+    assert found(out) == want
+    assert out.where("n_items = 1 AND elements[0][0] = 'a'").first()["support"] == want[("a",),] / 40
